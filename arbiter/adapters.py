@@ -85,3 +85,25 @@ def request_payloads(events: DataFrame) -> DataFrame:
 
 # The five event types of the supplied `events` table, in name order.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+# ---- customers as session payloads (routing / grouping queries) ------------------------------
+
+# Positional labels of the customer payload (the reference's label config, for our data).
+CUSTOMER_LABELS = ("custkey", "name", "segment", "nation", "asn", "region", "acctbal")
+
+
+def customer_payloads(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """customer ⋈ nation ⋈ region -> ``(c_custkey, n_name, r_name, c_mktsegment, payload)``.
+
+    The dimensions (nation, region) are tiny; Catalyst broadcasts them, the customer side is
+    never shuffled.
+    """
+    from .operators.joins import small
+    nr = small(nation.join(small(region), nation.n_regionkey == region.r_regionkey)
+               .select("n_nationkey", "n_name", "r_name"))
+    c = customer.join(nr, customer.c_nationkey == nr.n_nationkey, "left")
+    payload = F.concat_ws(TAB, F.col("c_custkey").cast("string"), "c_name", "c_mktsegment",
+                          F.coalesce("n_name", F.lit("")), F.col("c_nationkey").cast("string"),
+                          F.coalesce("r_name", F.lit("")), F.col("c_acctbal").cast("decimal(18,2)").cast("string"))
+    return c.select("c_custkey", "n_name", "r_name", "c_mktsegment", "c_acctbal", payload.alias("payload"))
