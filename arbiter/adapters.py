@@ -107,3 +107,37 @@ def customer_payloads(customer: DataFrame, nation: DataFrame, region: DataFrame)
                           F.coalesce("n_name", F.lit("")), F.col("c_nationkey").cast("string"),
                           F.coalesce("r_name", F.lit("")), F.col("c_acctbal").cast("decimal(18,2)").cast("string"))
     return c.select("c_custkey", "n_name", "r_name", "c_mktsegment", "c_acctbal", payload.alias("payload"))
+
+
+# ---- orders + lineitem as a replay trace ---------------------------------------------------------
+
+# Fixed values of the synthetic load curves: thresholds of the two steps.
+LOAD_THRESHOLDS = ("0.25", "0.50")
+
+
+def trace_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """orders ⋈ lineitem (pre-aggregated per order and return flag) -> trace text lines.
+
+    ``ts⇥orderkey⇥custkey⇥status⇥priority⇥(10 empty)⇥DecisionMap<flag>,<qty>⇥...⇥LoadMap<flag>,0.25;<f1>;0.50;<f2>⇥...``
+    Decision = return flag, its cost = the order's quantity under that flag; load curve factors
+    from the flag's max tax and max discount. Output ``(line_no, line)``; line_no = order key.
+    lineitem is combined per (order, flag) map-side before the shuffle, then joined on order key.
+    """
+    li = (lineitem.groupBy("l_orderkey", "l_returnflag")
+          .agg(F.sum(money("l_quantity")).alias("qty"), F.max("l_tax").alias("mtax"), F.max("l_discount").alias("mdisc")))
+    f1 = (F.lit(1) + F.col("mtax").cast("decimal(10,2)")).cast("string")
+    f2 = (F.lit(1) + F.lit(10) * F.col("mdisc").cast("decimal(10,2)")).cast("string")
+    item = F.struct(F.col("l_returnflag").alias("k"),
+                    F.concat_ws(",", "l_returnflag", F.col("qty").cast("string")).alias("d"),
+                    F.concat(F.col("l_returnflag"), F.lit(","), F.lit(LOAD_THRESHOLDS[0]), F.lit(";"), f1, F.lit(";"),
+                             F.lit(LOAD_THRESHOLDS[1]), F.lit(";"), f2).alias("l"))
+    per_order = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+                      (F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")).alias("ts_ms"))
+    j = o.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    feats = [F.col("ts_ms").cast("string"), F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
+             F.col("o_orderstatus"), F.col("o_orderpriority")] + [F.lit("")] * 10
+    line = F.concat(F.concat_ws(TAB, *feats), F.lit(TAB), F.lit("DecisionMap"),
+                    F.array_join(F.transform("items", lambda x: x["d"]), TAB), F.lit(TAB), F.lit("LoadMap"),
+                    F.array_join(F.transform("items", lambda x: x["l"]), TAB))
+    return j.select(F.col("o_orderkey").alias("line_no"), line.alias("line"))

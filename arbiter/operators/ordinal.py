@@ -1,9 +1,9 @@
 """Distributed ordinals and bounded look-back (W8, section 7.5.4 of the design).
 
 An unpartitioned window (``row_number() over (order by ...)``) pulls all rows into one task.
-Here the rows are range-partitioned on the order keys (a hot key is split across partitions),
-sorted inside each partition, numbered locally, and shifted by the row counts of the preceding
-partitions. The per-partition count table has at most (partitions + keys) rows.
+Here the rows are cut into key-range buckets (a hot key is split across buckets by its
+tiebreakers), numbered inside each bucket, and shifted by the row counts of the preceding
+buckets. The per-bucket count table has at most (buckets + keys) rows.
 """
 
 from __future__ import annotations
@@ -22,25 +22,51 @@ def _n_parts(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+MAX_BUCKETS = 1024        # bucket boundaries are compared per row: keep the list short
+SAMPLES_PER_BUCKET = 64   # sampled keys per bucket when choosing the boundaries
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
+    """A deterministic range bucket of ``struct(keys)``.
+
+    Boundaries come from a bounded sample of the keys (at most ``buckets * SAMPLES_PER_BUCKET``
+    rows reach the driver) and are fixed into the plan as literals, so every re-evaluation --
+    a second branch of the same plan, a retried task -- assigns the same bucket. A hot key
+    value is split across buckets by the tiebreaking keys that follow it.
+    """
+    buckets = max(1, min(buckets, MAX_BUCKETS))
+    total = df.count()
+    want = buckets * SAMPLES_PER_BUCKET
+    frac = min(1.0, want / max(total, 1))
+    sample = df.select(*keys).sample(False, frac, seed=17) if frac < 1.0 else df.select(*keys)
+    rows = sorted(tuple(r) for r in sample.limit(2 * want).collect())
+    if len(rows) < 2 or buckets == 1:
+        return F.lit(0)
+    step = len(rows) / buckets
+    bounds = sorted({rows[int(i * step)] for i in range(1, buckets)})
+    types = dict(df.dtypes)
+    key = F.struct(*[F.col(k).alias(k) for k in keys])
+    lits = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds]
+    return F.size(F.filter(F.array(*lits), lambda b: b <= key))
+
+
 def with_ordinal(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), name: str = "ord",
                  partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (within ``partition_by`` groups when given).
 
-    ``partition_by + order`` must identify rows (add a unique tiebreaker), which makes the
-    numbering deterministic across task retries.
+    ``partition_by + order`` must identify rows (add a unique tiebreaker). Rows are cut into
+    deterministic key-range buckets; a row's ordinal is the count of its group's rows in earlier
+    buckets plus its rank inside its bucket. Every window is partitioned by bucket (bounded),
+    none by the whole table.
     """
     keys = [*partition_by, *order]
-    n = _n_parts(df, partitions)
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    stats = ranged.groupBy("_pid", *partition_by).agg(F.min("_local").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*partition_by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    b = df.withColumn("_bucket", range_buckets(df, keys, _n_parts(df, partitions)))
+    stats = b.groupBy("_bucket", *partition_by).agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*partition_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    out = ranged.join(small(stats), ["_pid", *partition_by])
-    return out.withColumn(name, (F.col("_before") + F.col("_local") - F.col("_first")).cast("bigint")) \
-        .drop("_pid", "_local", "_first", "_before")
+    local = F.row_number().over(Window.partitionBy("_bucket", *partition_by).orderBy(*order))
+    out = b.withColumn("_local", local).join(small(stats), ["_bucket", *partition_by])
+    return out.withColumn(name, (F.col("_before") + F.col("_local") - 1).cast("bigint")).drop("_bucket", "_local", "_before")
 
 
 def with_lookback(df: DataFrame, ord_col: str, lookback: int, block: int = 65536,
