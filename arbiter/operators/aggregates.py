@@ -65,9 +65,9 @@ def feature_frequency(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("feature_index", "feature_value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def run_rollup(headers: DataFrame) -> DataFrame:
-    """Total sent, mean duration and offered rate across workers."""
-    return headers.agg(F.sum("sent").cast("bigint").alias("total_sent"),
-                       F.avg("seconds").alias("mean_seconds"),
-                       (F.sum("sent") / F.avg("seconds")).alias("offered_rps"),
-                       F.count(F.lit(1)).alias("n_workers"))
+def run_rollup(headers: DataFrame, sent: str = "sent", dur_us: str = "dur_us") -> DataFrame:
+    """Total sent, mean duration (s) and offered rate across workers (integer micros)."""
+    n = F.count(F.lit(1))
+    mean_s = F.sum(dur_us).cast("double") / n / 1000000
+    return headers.agg(F.sum(sent).cast("bigint").alias("total_sent"), mean_s.alias("mean_seconds"),
+                       (F.sum(sent) / mean_s).alias("offered_rps"), n.alias("n_workers"))
