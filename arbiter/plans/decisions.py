@@ -52,7 +52,7 @@ def _parsed(spark, d):
 
 
 @query("parse_updates", f"""WITH {MSGS_SQL}
-SELECT event_id, gid AS group_id, parts[1] AS decision, -cost AS score, 1.0 AS cnt FROM q WHERE reason IS NULL""")
+SELECT event_id, gid AS group_id, parts[1] AS decision, -cost AS score, CAST(1.0 AS DOUBLE) AS cnt FROM q WHERE reason IS NULL""")
 def parse_updates_q(spark, d):
     return _parsed(spark, d)[0]
 

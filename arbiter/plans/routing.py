@@ -172,7 +172,7 @@ def _order_payloads(spark, d):
   FROM orders WHERE o_orderkey % 100 = 0),
 e AS (SELECT unnest(range(0, 4)) AS feature_index, f FROM s)
 SELECT CAST(feature_index AS INTEGER) AS feature_index, f[feature_index + 1] AS feature_value, count(*) AS n,
-       0.01 AS sample_fraction
+       CAST(0.01 AS DOUBLE) AS sample_fraction
 FROM e GROUP BY ALL""")
 def feature_frequency_q(spark, d):
     s = sample_rows(_order_payloads(spark, d), "o_orderkey", SAMPLE_FRACTION, method="key_mod")

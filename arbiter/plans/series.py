@@ -198,7 +198,7 @@ def latency_p90_q(spark, d):
 
 
 @query("run_rollup", """WITH w AS (SELECT user_id, count(*) AS sent, max(epoch_us(ts)) - min(epoch_us(ts)) AS dur_us FROM events GROUP BY user_id)
-SELECT sum(sent) AS total_sent, CAST(sum(dur_us) AS DOUBLE) / count(*) / 1000000 AS mean_seconds,
+SELECT CAST(sum(sent) AS BIGINT) AS total_sent, CAST(sum(dur_us) AS DOUBLE) / count(*) / 1000000 AS mean_seconds,
        sum(sent) / (CAST(sum(dur_us) AS DOUBLE) / count(*) / 1000000) AS offered_rps, count(*) AS n_workers FROM w""")
 def run_rollup_q(spark, d):
     e = ad.table(spark, d, "events")
