@@ -46,9 +46,14 @@ def parse_updates(df: DataFrame, value: str = "value", keep: Sequence[str] = ())
 
     parsed: ``keep + (group_id, decision, score, cnt)`` with ``score = 0 - cost`` and ``cnt = 1.0``
     rejects: ``keep + (value, reason)``
+
+    The parse runs inside a one-row ``inline`` generator: the reject filter cannot be pushed
+    below it, so each message is parsed once (not once per predicate branch).
     """
     cols = parse_update_columns(value)
-    staged = df.select(*keep, F.col(value).alias("_value"), *[c.alias(f"_{k}") for k, c in cols.items()])
+    row = F.struct(*[F.col(k).alias(k) for k in keep], F.col(value).alias("_value"),
+                   *[c.alias(f"_{k}") for k, c in cols.items()])
+    staged = df.select(F.inline(F.array(row)))
     parsed = staged.where(F.col("_reason").isNull()).select(
         *keep, F.col("_group_id").alias("group_id"), F.col("_decision").alias("decision"),
         F.col("_score").alias("score"), F.lit(1.0).alias("cnt"))

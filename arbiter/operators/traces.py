@@ -11,11 +11,15 @@ from .joins import small
 from .ordinal import with_ordinal
 
 
-def parse_trace(lines: DataFrame, start_ms: int, line: str = "line", keep=("line_no",)) -> DataFrame:
-    """S8 + E9 + E10: trace text -> records with second / minute offsets from ``start_ms``."""
+def parse_trace(lines: DataFrame, line: str = "line", keep=("line_no",)) -> DataFrame:
+    """S8 + E9: trace text -> records ``(ts_ms, features, decision_map, load_map)``."""
     p = parse_trace_line(line)
-    t = lines.select(*keep, *[c.alias(k) for k, c in p.items()])
-    return (t.withColumn("sec", second_offset("ts_ms", F.lit(int(start_ms))))
+    return lines.select(*keep, *[c.alias(k) for k, c in p.items()])
+
+
+def with_offsets(records: DataFrame, start_ms: int) -> DataFrame:
+    """Second and minute offsets from the trace start."""
+    return (records.withColumn("sec", second_offset("ts_ms", F.lit(int(start_ms))))
             .withColumn("minute", minute_offset("sec")))
 
 

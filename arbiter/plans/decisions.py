@@ -48,7 +48,7 @@ q AS (
 
 
 def _parsed(spark, d):
-    return parse_updates(ad.update_messages(ad.table(spark, d, "events")), keep=("event_id",))
+    return parse_updates(ad.update_messages(ad.table(spark, d, "events", spread_rows=True)), keep=("event_id",))
 
 
 @query("parse_updates", f"""WITH {MSGS_SQL}

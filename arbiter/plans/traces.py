@@ -11,18 +11,19 @@ from ..operators import policies
 from ..operators import traces as T
 from ..operators.joins import small
 from ..operators.ordinal import with_ordinal
+from ..session import materialize
 from .registry import query
 
 
 def lines(spark, d) -> DataFrame:
-    return ad.trace_lines(ad.table(spark, d, "orders"), ad.table(spark, d, "lineitem"))
+    return ad.trace_lines(ad.table(spark, d, "orders", spread_rows=True), ad.table(spark, d, "lineitem", spread_rows=True))
 
 
 def records(spark, d) -> DataFrame:
-    ln = lines(spark, d)
-    start = T.trace_start(ln, F.split("line", "\t", 2).getItem(0).cast("bigint"))
-    r = T.parse_trace(ln, start)
-    return r.withColumn("group_id", F.get("features", 4))
+    """Parsed trace records, materialized once: the start scalar, the policy aggregate, the
+    ordinal's sample and the main job all read the same copy."""
+    r = materialize(T.parse_trace(lines(spark, d)).withColumn("group_id", F.get("features", 4)))
+    return T.with_offsets(r, T.trace_start(r, F.col("ts_ms")))
 
 
 def policy(recs: DataFrame) -> DataFrame:

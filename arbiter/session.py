@@ -54,3 +54,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and continue from the copy.
+
+    Used where one expensive intermediate result feeds several passes (a scalar, a sample and
+    the main job); re-reading the copy also survives the loss of the executors that made it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
