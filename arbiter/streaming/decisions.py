@@ -60,7 +60,8 @@ class DecisionStream:
         payload = policies.reset_payload(F.col("schedule"), F.col("epoch"), self.reset) if self.reset else F.col("schedule")
         out = sched.select("epoch", "group_id", payload.alias("payload")) \
             .withColumn("message", decision_message(F.col("group_id"), F.col("payload"), self.origin))
-        out.write.mode("overwrite").parquet(f"{self.out}/epoch={epoch}")
+        # one folder per epoch (overwrite: a replayed batch rewrites its own output only)
+        out.drop("epoch").write.mode("overwrite").parquet(f"{self.out}/epoch={epoch}")
         batch.unpersist()
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None):
@@ -68,7 +69,8 @@ class DecisionStream:
         return w.trigger(**(trigger or {"availableNow": True})).start()
 
     def decisions(self) -> DataFrame:
-        return self.spark.read.parquet(self.out)
+        d = self.spark.read.parquet(self.out)
+        return d.withColumn("epoch", F.col("epoch").cast("bigint"))
 
     def current_state(self) -> DataFrame | None:
         return self.state.read()
