@@ -16,7 +16,7 @@ OUTCOME_ROW = 5      # [req_id, sent, received, resp_time, result]
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """W8 for raw files: ``(file, line_no, value)`` with 0-based line numbers in file order."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     lines = F.split(F.regexp_replace("value", "\n$", ""), "\n", -1)
     return whole.select("file", F.posexplode(lines).alias("line_no", "value"))
 
@@ -59,7 +59,7 @@ def read_outcomes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
 def scrape_report(spark: SparkSession, path: str) -> DataFrame:
     """Load-tool reports -> throughput and mean time per request, found by label."""
-    r = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    r = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     return r.select("file",
                     F.regexp_extract("value", r"Requests per second:\s+([0-9.]+)", 1).try_cast("double").alias("rps"),
                     F.regexp_extract("value", r"Time per request:\s+([0-9.]+) \[ms\] \(mean\)", 1)
