@@ -176,13 +176,15 @@ s AS (SELECT *, CASE WHEN cnt > 0 THEN score_sum / cnt ELSE 0.0 END AS mean_scor
              CAST(sum(floor(cnt)) OVER (PARTITION BY group_id, epoch) AS BIGINT) AS n_eff FROM state),
 u AS (SELECT *, CASE WHEN cnt > 0 THEN mean_score + (CASE WHEN n_eff > 1 THEN 1000.0 * sqrt(2.0 * ln(CAST(n_eff AS DOUBLE))) ELSE 0.0 END) / sqrt(cnt)
                      ELSE 0.0 END AS ucb FROM s)
-SELECT group_id, epoch, decision, mean_score, cnt, n_eff, round(ucb, 6) AS ucb,
+SELECT group_id, epoch, decision, mean_score, cnt, n_eff, CAST(ucb AS FLOAT) AS ucb,
        row_number() OVER (PARTITION BY group_id, epoch ORDER BY ucb DESC, decision) AS rank
 FROM u""")
 def ucb_scores_q(spark, d):
+    # The score is reported in single precision: ``ln`` may differ in the last bit between
+    # engines; ranks are computed at full precision before the cast.
     s = policies.ucb_scores(state(spark, d))
     return s.select("group_id", "epoch", "decision", "mean_score", "cnt", "n_eff",
-                    F.round("ucb", 6).alias("ucb"), F.col("rank").cast("bigint").alias("rank"))
+                    F.col("ucb").cast("float").alias("ucb"), F.col("rank").cast("bigint").alias("rank"))
 
 
 @query("ucb_schedule", f"""WITH RECURSIVE {UPDATES}, {TOTALS}, {state_sql()}, {ucb_schedule_sql()}

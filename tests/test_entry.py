@@ -36,7 +36,7 @@ def _canon(rows):
         if v is None or (isinstance(v, float) and math.isnan(v)):
             return None
         return float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else v
-    return sorted(tuple(c(v) for v in r) for r in rows)
+    return sorted((tuple(c(v) for v in r) for r in rows), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))

@@ -9,7 +9,7 @@ from arbiter.adapters import TABLES  # noqa: E402
 from arbiter.plans.catalog import ORACLE_SQL, QUERIES  # noqa: E402
 from arbiter.session import get_spark  # noqa: E402
 
-MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 spark = get_spark()
