@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 
 STATE_T = "array<struct<epoch:bigint,s:double,c:double>>"
 
+# The Catalyst fold appends to an array, O(E^2) per arm in the number of epochs E. Up to this
+# span it is the fastest exact form; longer histories use a linear per-arm loop (grouped
+# pandas, same operation order, so the results are identical).
+MAX_FOLD_EPOCHS = 2048
+
 
 def per_epoch_totals(updates: DataFrame, keys=("group_id", "decision"), epoch: str = "epoch") -> DataFrame:
     """A1 per epoch: exact score sum (in cents) and count per (keys, epoch)."""
@@ -42,7 +47,7 @@ def _step(gamma: float):
 
 def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
                      reset_period: int | None = None, keys=("group_id", "decision"),
-                     scale: float = 100.0) -> DataFrame:
+                     scale: float = 100.0, first_epoch: int = 0, method: str = "auto") -> DataFrame:
     """A3 (and A4 when ``reset_period`` is set): dense decayed state per (keys, epoch).
 
     ``totals``: ``(keys, epoch, xs, xc)`` from :func:`per_epoch_totals`.
@@ -57,6 +62,9 @@ def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
     if reset_period:
         t = t.withColumn("segment", F.floor(F.col("epoch") / reset_period).cast("bigint"))
         part.append("segment")
+    span = min(reset_period or last_epoch + 1, last_epoch - first_epoch + 1)
+    if method == "loop" or (method == "auto" and span > MAX_FOLD_EPOCHS):
+        return _loop_state(t, part, keys, gamma, last_epoch, reset_period, scale)
     arms = t.groupBy(*part).agg(
         F.min("epoch").alias("e0"),
         F.map_from_entries(F.collect_list(F.struct("epoch", F.struct("xs", "xc")))).alias("x"))
@@ -74,6 +82,47 @@ def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
     return out.select(*cols)
 
 
+def _loop_state(t: DataFrame, part, keys, gamma: float, last_epoch: int, reset_period, scale: float) -> DataFrame:
+    """Linear-time form of the fold: one pandas group per arm (bounded by its epochs)."""
+    import numpy as np
+    import pandas as pd
+
+    g = float(gamma)
+    out_cols = [*part, "epoch", "s", "c"]
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("epoch")
+        xs = dict(zip(pdf["epoch"].tolist(), zip(pdf["xs"].tolist(), pdf["xc"].tolist())))
+        e0 = int(pdf["epoch"].iloc[0])
+        end = int(last_epoch)
+        if reset_period:
+            end = min(end, (int(pdf["segment"].iloc[0]) + 1) * reset_period - 1)
+        n = end - e0 + 1
+        s_out, c_out = np.empty(n), np.empty(n)
+        s = c = None
+        for i in range(n):
+            x = xs.get(e0 + i)
+            if s is None:
+                s, c = x
+            elif x is None:
+                s, c = s * g, c * g
+            else:
+                s, c = x[0] + s * g, x[1] + c * g
+            s_out[i], c_out[i] = s, c
+        res = pd.DataFrame({k: pdf[k].iloc[0] for k in part}, index=range(n))
+        res["epoch"] = np.arange(e0, end + 1, dtype="int64")
+        res["s"], res["c"] = s_out, c_out
+        return res[out_cols]
+
+    types = dict(t.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in part) + ", epoch bigint, s double, c double"
+    out = t.select(*part, "epoch", "xs", "xc").groupBy(*part).applyInPandas(fold, schema)
+    cols = [*keys, "epoch", (F.col("s") / F.lit(scale)).alias("score_sum"), F.col("c").alias("cnt")]
+    if reset_period:
+        cols.insert(len(keys), "segment")
+    return out.select(*cols)
+
+
 def merge_state(history: DataFrame, batch: DataFrame, gamma: float, keys=("group_id", "decision")) -> DataFrame:
     """One epoch of the recurrence as a full outer join of the decayed history and the new
     batch totals (``xs``, ``xc``). Used by the streaming form with a versioned state table."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import subscription_message
@@ -80,12 +80,13 @@ def liveness(beats: DataFrame, last_batch: int, cluster: str = "cluster_id", bat
              max_silence: int = 1) -> DataFrame:
     """Heartbeat view per cluster: beats, last batch, largest gap, alive flag.
 
-    The gap window is partitioned by cluster over *distinct* (cluster, batch) beats, so a
-    cluster's partition is bounded by the number of batches, not by the data volume.
+    Gaps come from a bucketed per-cluster ordinal and look-back (no window holds a whole
+    cluster's history), then one grouped aggregate.
     """
-    b = beats.select(cluster, batch).distinct()
-    gap = F.col(batch) - F.lag(batch).over(Window.partitionBy(cluster).orderBy(batch))
-    return (b.withColumn("_gap", gap).groupBy(cluster)
+    from .ordinal import lag_global, with_ordinal
+    b = with_ordinal(beats.select(cluster, batch).distinct(), [batch], partition_by=[cluster], name="_o")
+    g = lag_global(b, "_o", batch, "_prev", partition_by=[cluster])
+    return (g.groupBy(cluster)
             .agg(F.count(F.lit(1)).alias("n_beats"), F.max(batch).alias("last_batch"),
-                 F.coalesce(F.max("_gap"), F.lit(0)).cast("bigint").alias("max_gap"))
+                 F.coalesce(F.max(F.col(batch) - F.col("_prev")), F.lit(0)).cast("bigint").alias("max_gap"))
             .withColumn("alive", F.col("last_batch") >= F.lit(int(last_batch) - max_silence)))

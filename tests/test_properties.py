@@ -60,3 +60,13 @@ def test_rolling_mean_matches_window(spark):
     want = df.withColumn("want", F.sum(F.col("value").cast("decimal(18,2)")).over(w).cast("double") / F.count(F.lit(1)).over(w))
     j = got.join(want, "ord")
     assert j.count() == 3000 and j.where("rolling_mean != want").count() == 0
+
+
+def test_loop_fold_equals_catalyst_fold(spark):
+    from arbiter import adapters as ad
+    upd = ad.updates(ad.table(spark, "/root/testdata/sf0.001", "events"))
+    tot = discount.per_epoch_totals(upd)
+    for reset in (None, 15):
+        a = discount.discounted_state(tot, 0.9, 119, reset_period=reset, method="fold")
+        b = discount.discounted_state(tot, 0.9, 119, reset_period=reset, method="loop")
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
