@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import small
+from .joins import estimated_bytes, small
 
 
 def _n_parts(df: DataFrame, partitions: int | None) -> int:
@@ -50,16 +50,37 @@ def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
     return F.size(F.filter(F.array(*lits), lambda b: b <= key))
 
 
+def _derived(df: DataFrame) -> bool:
+    """True when the plan does more than scan/project/filter (so re-running it is costly)."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001
+        return True
+    return any(k in plan for k in ("Join", "Aggregate", "Window", "Generate", "MapInPandas", "FlatMapGroupsInPandas"))
+
+
+SMALL_INPUT_BYTES = 8 << 20  # below this (estimated) size one task ranks everything with a plain window
+
+
 def with_ordinal(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), name: str = "ord",
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, materialize: bool | None = None, method: str = "auto") -> DataFrame:
     """0-based position of each row in ``order`` (within ``partition_by`` groups when given).
 
-    ``partition_by + order`` must identify rows (add a unique tiebreaker). Rows are cut into
+    ``partition_by + order`` must identify rows (add a unique tiebreaker). Inputs whose
+    estimated size is below ``SMALL_INPUT_BYTES`` are ranked by a plain window. Larger ones are cut into
     deterministic key-range buckets; a row's ordinal is the count of its group's rows in earlier
     buckets plus its rank inside its bucket. Every window is partitioned by bucket (bounded),
     none by the whole table.
     """
     keys = [*partition_by, *order]
+    if method == "window" or (method == "auto" and (estimated_bytes(df) or SMALL_INPUT_BYTES + 1) <= SMALL_INPUT_BYTES):
+        # size-checked like a broadcast: the whole input provably fits one task
+        w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+    if materialize or (materialize is None and _derived(df)):
+        # the input is read three times (count, boundary sample, ranking): compute it once
+        from ..session import materialize as cut
+        df = cut(df)
     b = df.withColumn("_bucket", range_buckets(df, keys, _n_parts(df, partitions)))
     stats = b.groupBy("_bucket", *partition_by).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*partition_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -22,7 +22,9 @@ def lines(spark, d) -> DataFrame:
 def records(spark, d) -> DataFrame:
     """Parsed trace records, materialized once: the start scalar, the policy aggregate, the
     ordinal's sample and the main job all read the same copy."""
-    r = materialize(T.parse_trace(lines(spark, d)).withColumn("group_id", F.get("features", 4)))
+    r = T.parse_trace(lines(spark, d)).select("line_no", "ts_ms", F.get("features", 4).alias("group_id"),
+                                              "decision_map", "load_map")
+    r = materialize(r)
     return T.with_offsets(r, T.trace_start(r, F.col("ts_ms")))
 
 

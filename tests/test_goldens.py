@@ -144,7 +144,8 @@ def test_g11_load(spark):
 
 
 def test_g12_blocks(spark):
-    s = with_ordinal(spark.createDataFrame([(float(v),) for v in range(1, 151)], "value DOUBLE"), ["value"])
+    s = with_ordinal(spark.createDataFrame([(float(v),) for v in range(1, 151)], "value DOUBLE"), ["value"],
+                     method="buckets")
     assert rows(series.block_means(s, "ord", "value", 60), "label", "mean_value") == [(60, 30.5), (120, 90.5)]
     a = spark.range(250).withColumn("src", F.lit("a"))
     b = spark.range(410).withColumn("src", F.lit("b"))
@@ -177,5 +178,5 @@ def test_g15_failover(spark):
 
 def test_g16_gaps(spark):
     t = spark.createDataFrame([(0, 0), (1, 100000), (2, 300000)], "id INT, us BIGINT")
-    g = series.gaps(with_ordinal(t, ["us", "id"]), "ord", "us")
+    g = series.gaps(with_ordinal(t, ["us", "id"], method="buckets"), "ord", "us")
     assert [r["gap"] for r in g.orderBy("ord").collect()] == [None, 0.1, 0.2]

@@ -47,12 +47,19 @@ def test_schedule_has_p_picks_of_known_arms(spark, rows, p):
 
 def test_ordinal_matches_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") % 7).alias("k"), (F.col("id") * 7919 % 5003).alias("v"), "id")
-    got = with_ordinal(df, ["v", "id"], partition_by=["k"], partitions=6)
+    got = with_ordinal(df, ["v", "id"], partition_by=["k"], partitions=6, method="buckets")
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")) - 1)
     j = got.join(want, ["k", "v", "id"])
     assert j.count() == 5000 and j.where("ord != rn").count() == 0
 
 
+def test_global_ordinal_buckets_and_window_agree(spark):
+    df = spark.range(0, 4000).select(((F.col("id") * 7919) % 4001).alias("v"), "id")
+    a = with_ordinal(df, ["v", "id"], partitions=5, method="buckets")
+    b = with_ordinal(df, ["v", "id"], method="window")
+    assert a.exceptAll(b).count() == 0 and a.count() == 4000
+
+
 def test_rolling_mean_matches_window(spark):
     df = spark.range(0, 3000).select(F.col("id").alias("ord"), ((F.col("id") * 37) % 101 / 4).alias("value"))
     got = series.rolling_mean(df, "ord", "value", 60, block=250)
