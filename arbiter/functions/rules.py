@@ -76,10 +76,11 @@ def assign_groups(df: DataFrame, features: str, rule_paths: DataFrame, out: str
     equi-join on the root (field, key), a ``forall`` over the rest of the path and
     ``max_by(group, rule_order)`` per row (``row_key`` must identify rows).
     """
-    n = rule_paths.limit(MAX_RULES_FOR_CASE + 1).count()
-    if n <= MAX_RULES_FOR_CASE:
-        rows = rule_paths.orderBy("rule_order").select("path", "group_name").collect()
-        rules = [([(p["field"], p["key"]) for p in r["path"]], r["group_name"]) for r in rows]
+    # one bounded read: at most MAX_RULES_FOR_CASE + 1 rules reach the driver
+    head = rule_paths.select("rule_order", "path", "group_name").limit(MAX_RULES_FOR_CASE + 1).collect()
+    if len(head) <= MAX_RULES_FOR_CASE:
+        head.sort(key=lambda r: list(r["rule_order"]))
+        rules = [([(p["field"], p["key"]) for p in r["path"]], r["group_name"]) for r in head]
         return df.withColumn(out, rules_case(F.col(features), rules))
     if row_key is None:
         raise ValueError("row_key is required for large rule sets")
