@@ -23,10 +23,11 @@ def _c(col: str | Column) -> Column:
 
 def parse_update_columns(value: str | Column) -> dict[str, Column]:
     v = F.trim(_c(value))
-    js = F.from_json(v, UPDATE_SCHEMA)
+    # one JSON parse per message; text that is not a JSON object lands in _corrupt_record
+    js = F.from_json(v, UPDATE_SCHEMA + ", _corrupt_record STRING", {"columnNameOfCorruptRecord": "_corrupt_record"})
     parts = F.split(js["update"], TAB)
     cost = F.get(parts, 1).try_cast("double")
-    reason = (F.when(F.get_json_object(v, "$").isNull(), F.lit("not_json"))
+    reason = (F.when(js["_corrupt_record"].isNotNull(), F.lit("not_json"))
               .when(js["group_id"].isNull(), F.lit("missing_group"))
               .when(js["update"].isNull(), F.lit("missing_update"))
               .when(F.size(parts) < 2, F.lit("missing_cost"))
@@ -47,13 +48,12 @@ def parse_updates(df: DataFrame, value: str = "value", keep: Sequence[str] = ())
     parsed: ``keep + (group_id, decision, score, cnt)`` with ``score = 0 - cost`` and ``cnt = 1.0``
     rejects: ``keep + (value, reason)``
 
-    The parse runs inside a one-row ``inline`` generator: the reject filter cannot be pushed
-    below it, so each message is parsed once (not once per predicate branch).
+    The session runs with ``spark.sql.optimizer.enableJsonExpressionOptimization=false`` (see
+    ``session.BASE_CONF``): otherwise the reject filter, pushed below this projection, would get
+    one pruned JSON parse per referenced field.
     """
     cols = parse_update_columns(value)
-    row = F.struct(*[F.col(k).alias(k) for k in keep], F.col(value).alias("_value"),
-                   *[c.alias(f"_{k}") for k, c in cols.items()])
-    staged = df.select(F.inline(F.array(row)))
+    staged = df.select(*keep, F.col(value).alias("_value"), *[c.alias(f"_{k}") for k, c in cols.items()])
     parsed = staged.where(F.col("_reason").isNull()).select(
         *keep, F.col("_group_id").alias("group_id"), F.col("_decision").alias("decision"),
         F.col("_score").alias("score"), F.lit(1.0).alias("cnt"))

@@ -35,7 +35,7 @@ MSGS_SQL = r"""msgs AS (
   FROM events),
 p AS (
   SELECT event_id, value,
-         json_valid(trim(value)) AS ok,
+         json_valid(trim(value)) AND json_type(trim(value)) = 'OBJECT' AS ok,
          json_extract_string(trim(value), '$.update') AS upd,
          json_extract_string(trim(value), '$.group_id') AS gid
   FROM msgs),
