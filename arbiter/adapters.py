@@ -42,7 +42,10 @@ def spread(df: DataFrame) -> DataFrame:
     added. Decided from the plan's size estimate only (no job)."""
     from .operators.joins import estimated_bytes
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on this session type
+        return df
     size = estimated_bytes(df) or 0
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     if size >= SPREAD_MIN_BYTES and -(-size // split) < cores:

@@ -50,12 +50,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) a private folder is created and set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on this session type (e.g. Spark Connect)
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="arbiter-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current
 
 
