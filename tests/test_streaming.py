@@ -107,3 +107,28 @@ def test_communicator_flows(spark):
     assert alive.count() >= 1
     counts = spark.read.parquet(os.path.join(base, "state", "sample"))
     assert counts.agg(F.sum("n")).first()[0] % 15 == 0   # every sampled row contributes 15 feature pairs
+
+
+def test_warm_start_seed_and_drain_counts(spark):
+    from arbiter.streaming.metrics import count_per_batch, drain_counts
+    base = tempfile.mkdtemp(prefix="arbiter-seed-")
+    topic_root = os.path.join(base, "topics")
+    _epoch_files(spark, os.path.join(topic_root, "internal_groups"), 3)
+    seed = spark.createDataFrame([("0", "view", -1000.0 * 120, 120.0)], "group_id STRING, decision STRING, xs DOUBLE, xc DOUBLE")
+    ds = DecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=3, origin="o", seed=seed)
+    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
+    ds.start(s, os.path.join(base, "cp")).awaitTermination()
+    st0 = {(r.group_id, r.decision): r.c for r in ds.state.read(0).collect()}
+    plain = DecisionStream(spark, os.path.join(base, "plain"), gamma=0.5, picks=3, origin="o")
+    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
+    plain.start(s, os.path.join(base, "cp2")).awaitTermination()
+    p0 = {(r.group_id, r.decision): r.c for r in plain.state.read(0).collect()}
+    assert st0[("0", "view")] == p0.get(("0", "view"), 0.0) + 120.0   # one seed standing for 120 copies
+
+    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
+    q = s.writeStream.option("checkpointLocation", os.path.join(base, "cp3")).foreachBatch(
+        count_per_batch(os.path.join(base, "drains"))).trigger(availableNow=True).start()
+    q.awaitTermination()
+    n = sorted(tuple(r) for r in spark.read.parquet(os.path.join(base, "drains")).collect())
+    assert [b for b, _ in n] == [0, 1, 2]
+    assert sum(c for _, c in n) == sum(r.num_input_rows for r in drain_counts(spark, q).collect())
