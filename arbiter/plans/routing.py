@@ -182,7 +182,7 @@ def feature_frequency_q(spark, d):
 
 # ---- subscriptions over the order graph ---------------------------------------------------------
 
-def brand_region_pairs(spark, d, orders_filter=None) -> DataFrame:
+def brand_region_pairs(spark, d, orders_filter=None, flag=None) -> DataFrame:
     """(p_brand, r_name) pairs: which clusters (regions) buy which groups (brands).
 
     lineitem is the fact table: it is joined to the (order -> region) map on the order key, cut to
@@ -192,15 +192,20 @@ def brand_region_pairs(spark, d, orders_filter=None) -> DataFrame:
     o = ad.table(spark, d, "orders")
     if orders_filter is not None:
         o = o.where(orders_filter)
+    extra = []
+    if flag is not None:   # carry a per-order flag through to the pairs (one pass for both sides)
+        o = o.withColumn("_flag", flag)
+        extra = ["_flag"]
     c, n, r = (ad.table(spark, d, t) for t in ("customer", "nation", "region"))
     nr = small(n.join(small(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
     cr = c.select("c_custkey", "c_nationkey").join(nr, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")
-    orr = o.select("o_orderkey", "o_custkey").join(cr, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "r_name")
+    orr = o.select("o_orderkey", "o_custkey", *extra).join(cr, F.col("o_custkey") == F.col("c_custkey")) \
+        .select("o_orderkey", "r_name", *extra)
     li = ad.table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
-    pr = li.join(orr, F.col("l_orderkey") == F.col("o_orderkey")).select("l_partkey", "r_name").distinct()
+    pr = li.join(orr, F.col("l_orderkey") == F.col("o_orderkey")).select("l_partkey", "r_name", *extra).distinct()
     p = ad.table(spark, d, "part").select("p_partkey", "p_brand")
     return (pr.join(p, F.col("l_partkey") == F.col("p_partkey"))
-            .select(F.col("p_brand").alias("group_id"), F.col("r_name").alias("cluster_id")).distinct())
+            .select(F.col("p_brand").alias("group_id"), F.col("r_name").alias("cluster_id"), *extra).distinct())
 
 
 PAIRS_SQL = """pairs_all AS (
@@ -231,17 +236,14 @@ SELECT g.group_id,
        (SELECT string_agg(cluster_id, ',' ORDER BY cluster_id) FROM m WHERE m.group_id = g.group_id) AS subscribers
 FROM g""")
 def subscriber_merge_q(spark, d):
-    old = brand_region_pairs(spark, d, F.col("o_orderdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz"))
-    new = brand_region_pairs(spark, d, F.col("o_orderdate") >= F.lit(SPLIT_DATE).cast("timestamp_ntz"))
-    merged = R.merge_subscribers(old, new)
-    n_old = old.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_old"))
-    n_new = new.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_new"))
-    out = (merged.join(n_old, "group_id", "left").join(n_new, "group_id", "left")
-           .select("group_id", F.coalesce("n_old", F.lit(0)).cast("bigint").alias("n_old"),
-                   F.coalesce("n_new", F.lit(0)).cast("bigint").alias("n_new"),
-                   F.size("subscribers").cast("bigint").alias("n_merged"),
-                   F.array_join("subscribers", ",").alias("subscribers")))
-    return out
+    # one pass over the order graph: each (group, cluster) pair carries whether it comes from the
+    # old orders (the registry) or the new ones (the incoming subscriptions)
+    pairs = brand_region_pairs(spark, d, flag=F.col("o_orderdate") >= F.lit(SPLIT_DATE).cast("timestamp_ntz"))
+    return (pairs.groupBy("group_id")
+            .agg(F.count_if(~F.col("_flag")).alias("n_old"), F.count_if(F.col("_flag")).alias("n_new"),
+                 F.array_sort(F.collect_set("cluster_id")).alias("subscribers"))   # U2: set union
+            .select("group_id", "n_old", "n_new", F.size("subscribers").cast("bigint").alias("n_merged"),
+                    F.array_join("subscribers", ",").alias("subscribers")))
 
 
 @query("decision_fanout", f"""WITH {PAIRS_SQL}, pairs AS (SELECT DISTINCT group_id, cluster_id FROM pairs_all),

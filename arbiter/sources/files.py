@@ -82,10 +82,19 @@ def read_route_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def first_row(df: DataFrame, order: str) -> DataFrame:
-    """The first row of a table (e.g. a JDBC ``proxy`` table) by an explicit order."""
+    """The first row of a table (e.g. a JDBC ``proxy`` table) by an explicit order.
+    Planned as a distributed top-1 (TakeOrderedAndProject), not a full sort."""
     return df.orderBy(order).limit(1)
 
 
+def read_proxy(spark: SparkSession, url: str, table: str = "proxy", properties: dict | None = None,
+               order: str = "server_ip") -> DataFrame:
+    """``(server_ip, server_port)`` of the first proxy row in a relational table (JDBC; the
+    driver jar must be on the classpath)."""
+    df = spark.read.jdbc(url, table, properties=properties or {})
+    return first_row(df.select("server_ip", "server_port"), order)
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Metric outputs as TAB-separated files."""
     df.write.mode(mode).option("sep", "\t").csv(path)
