@@ -46,11 +46,19 @@ def write_topic(df: DataFrame, checkpoint: str, topic: str | None = None, fmt: s
         .partitionBy("topic").format("text").trigger(**(trigger or {"availableNow": True})).start(root)
 
 
-def write_destinations(batch: DataFrame, root: str, fmt: str = "text") -> None:
+def write_batch(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet", partition_by=()) -> None:
+    """Write one micro-batch's output to its own ``batch_id=<n>`` folder, replacing it: a batch
+    replayed after a failure rewrites its output instead of appending it twice."""
+    w = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(f"{root.rstrip('/')}/batch_id={batch_id}")
+
+
+def write_destinations(batch: DataFrame, root: str, batch_id: int, fmt: str = "text") -> None:
     """S3: multi-destination write for one batch: rows carry ``dest_cluster`` and ``topic``;
     each destination gets its own folder (a broker per cluster in the Kafka form)."""
-    batch.select("dest_cluster", "topic", "value").write.mode("append").partitionBy("dest_cluster", "topic") \
-        .format(fmt).save(root)
+    write_batch(batch.select("dest_cluster", "topic", "value"), root, batch_id, fmt, ("dest_cluster", "topic"))
 
 
 SPOOL_SCHEMA = "update STRING, group_id STRING"

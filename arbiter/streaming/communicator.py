@@ -20,7 +20,7 @@ from ..functions import parsing as P
 from ..operators import routing as R
 from ..operators.aggregates import feature_frequency
 from ..operators.sampling import sample_mask
-from ..sources.topics import write_destinations
+from ..sources.topics import write_batch, write_destinations
 
 
 class Communicator:
@@ -37,10 +37,9 @@ class Communicator:
         keyed = b.withColumn("_row", F.monotonically_increasing_id())
         sampled = keyed.where(sample_mask(F.concat_ws(":", F.lit(batch_id), F.col("_row")), self.fraction))
         counts = feature_frequency(P.feature_pairs(sampled, "value", self.k))
-        counts.select(F.lit(batch_id).alias("batch_id"), "*").write.mode("append").parquet(f"{self.root}/sample")
-        b.select(F.lit(batch_id).alias("batch_id"), "value").write.mode("append").parquet(f"{self.root}/upload")
-        self.spark.createDataFrame([(self.own, batch_id)], "cluster_id STRING, batch_id BIGINT") \
-            .write.mode("append").parquet(f"{self.root}/alive")
+        write_batch(counts, f"{self.root}/sample", batch_id)
+        write_batch(b.select("value"), f"{self.root}/upload", batch_id)
+        write_batch(self.spark.createDataFrame([(self.own,)], "cluster_id STRING"), f"{self.root}/alive", batch_id)
         b.unpersist()
 
     # -- subscribe: registry by set union (T5) -----------------------------------------------------
@@ -62,7 +61,7 @@ class Communicator:
         dec = batch.select(d["group_id"].alias("group_id"), "value")
         out = R.fan_out(dec, self.registry(), self.own)
         write_destinations(out.select(F.col("cluster_id").alias("dest_cluster"), F.lit("decision").alias("topic"),
-                                      "value"), f"{self.root}/outbox")
+                                      "value"), f"{self.root}/outbox/decision", batch_id)
 
     # -- external: forward to the owner + subscribe once per group (S3, A13, E14) -------------------
     def external_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -70,11 +69,10 @@ class Communicator:
         rows = batch.select("value", j["group_id"].alias("group_id"), j["cluster_id"].alias("cluster_id"),
                             F.monotonically_increasing_id().alias("offset")).where(F.col("cluster_id").isNotNull())
         rows = rows.persist()
-        write_destinations(rows.select(F.col("cluster_id").alias("dest_cluster"), F.lit(R.INTERNAL).alias("topic"),
-                                       "value"), f"{self.root}/outbox")
+        fwd = rows.select(F.col("cluster_id").alias("dest_cluster"), F.lit(R.INTERNAL).alias("topic"), "value")
         subs = R.subscribe_to_owners(rows, self.own)
-        write_destinations(subs.select("dest_cluster", F.lit("subscribe").alias("topic"), F.col("message").alias("value")),
-                           f"{self.root}/outbox")
+        subs = subs.select("dest_cluster", F.lit("subscribe").alias("topic"), F.col("message").alias("value"))
+        write_destinations(fwd.unionByName(subs), f"{self.root}/outbox/external", batch_id)
         rows.unpersist()
 
     # -- wiring (T7) ----------------------------------------------------------------------------------

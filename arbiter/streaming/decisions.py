@@ -43,7 +43,7 @@ class DecisionStream:
         """``foreachBatch`` body; ``epoch`` is the batch id."""
         batch = batch.persist()
         _, rejects = parse_updates(batch)
-        rejects.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(self.rejects)
+        rejects.write.mode("overwrite").parquet(f"{self.rejects}/epoch={epoch}")
         totals = self.totals(batch)
         if epoch == 0 and self.seed is not None:
             totals = totals.unionByName(self.seed).groupBy("group_id", "decision") \

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 
 def count_per_batch(root: str):
-    """``foreachBatch`` function appending ``(batch_id, n_records)`` (a distributed count)."""
+    """``foreachBatch`` function writing ``n_records`` per batch (a distributed count) into the
+    batch's own folder (idempotent on replay); read back with ``batch_id`` as partition column."""
+    from ..sources.topics import write_batch
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.agg(F.count(F.lit(1)).alias("n_records")).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
-                                                               "n_records").write.mode("append").parquet(root)
+        write_batch(batch.agg(F.count(F.lit(1)).alias("n_records")), root, batch_id)
     return run
 
 

@@ -98,7 +98,9 @@ def test_communicator_flows(spark):
     for name, fn in (("decision", c.decision_batch), ("external_groups", c.external_batch), ("upload", c.upload_batch)):
         read_topic(spark, name, fmt="text", root=topics).writeStream.option("checkpointLocation", f"{cp}/{name}") \
             .foreachBatch(fn).trigger(availableNow=True).start().awaitTermination()
-    out = spark.read.text(os.path.join(base, "state", "outbox")).select("dest_cluster", "topic", "value")
+    parts = [spark.read.text(os.path.join(base, "state", "outbox", f)).select("dest_cluster", "topic", "value")
+             for f in ("decision", "external")]
+    out = parts[0].unionByName(parts[1])
     dec = sorted(tuple(r) for r in out.where("topic = 'decision'").collect())
     assert dec == [("c2", "decision", "g1;a:;From: x"), ("c3", "decision", "g1;a:;From: x")]
     assert out.where("topic = 'internal_groups' AND dest_cluster = 'c4'").count() == 2
@@ -129,6 +131,6 @@ def test_warm_start_seed_and_drain_counts(spark):
     q = s.writeStream.option("checkpointLocation", os.path.join(base, "cp3")).foreachBatch(
         count_per_batch(os.path.join(base, "drains"))).trigger(availableNow=True).start()
     q.awaitTermination()
-    n = sorted(tuple(r) for r in spark.read.parquet(os.path.join(base, "drains")).collect())
+    n = sorted(tuple(r) for r in spark.read.parquet(os.path.join(base, "drains")).select("batch_id", "n_records").collect())
     assert [b for b, _ in n] == [0, 1, 2]
     assert sum(c for _, c in n) == sum(r.num_input_rows for r in drain_counts(spark, q).collect())
