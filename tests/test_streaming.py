@@ -134,3 +134,34 @@ def test_warm_start_seed_and_drain_counts(spark):
     n = sorted(tuple(r) for r in spark.read.parquet(os.path.join(base, "drains")).select("batch_id", "n_records").collect())
     assert [b for b, _ in n] == [0, 1, 2]
     assert sum(c for _, c in n) == sum(r.num_input_rows for r in drain_counts(spark, q).collect())
+
+
+def test_topic_sink_routes_by_column_and_four_flows_start(spark):
+    from arbiter.sources.topics import write_topic
+    base = tempfile.mkdtemp(prefix="arbiter-topics-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "m.txt"), "w") as f:
+        f.write("internal_groups|a\nexternal_groups|b\ninternal_groups|c\n")
+    s = spark.readStream.text(src).select(F.split("value", r"\|").getItem(0).alias("topic"),
+                                          F.split("value", r"\|").getItem(1).alias("value"))
+    write_topic(s, os.path.join(base, "cp"), fmt="text", root=os.path.join(base, "bus")).awaitTermination()
+    bus = spark.read.text(os.path.join(base, "bus"))
+    assert sorted((r.topic, r.value) for r in bus.collect()) == [
+        ("external_groups", "b"), ("internal_groups", "a"), ("internal_groups", "c")]
+
+    # the four communicator flows started together (T7) over their own topic folders
+    topics = os.path.join(base, "topics")
+    for t, line in (("upload", "\t".join("x" * 17)), ("subscribe", "g1;c2"), ("decision", "g1;a:;From: x"),
+                    ("external_groups", '{"update":"a\\t1","group_id":"g5","cluster_id":"c4"}')):
+        os.makedirs(os.path.join(topics, t))
+        with open(os.path.join(topics, t, "p.txt"), "w") as f:
+            f.write(line + "\n")
+    c = Communicator(spark, os.path.join(base, "state"), own="c1")
+    qs = c.start(*(read_topic(spark, t, fmt="text", root=topics) for t in ("upload", "subscribe", "decision", "external_groups")),
+                 checkpoint=os.path.join(base, "cp4"))
+    for q in qs:
+        q.awaitTermination()
+    assert [tuple(r) for r in c.registry().collect()] == [("g1", "c2")]
+    fwd = spark.read.text(os.path.join(base, "state", "outbox", "external"))
+    assert fwd.where("topic = 'internal_groups' AND dest_cluster = 'c4'").count() == 1
