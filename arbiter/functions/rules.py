@@ -28,27 +28,33 @@ def flatten_rules(docs: DataFrame, doc: str = "rules", doc_id: str = "doc_id", d
 
     Output ``doc_id, rule_order ARRAY<INT>, path ARRAY<STRUCT<field,key>>, group_name``;
     ``rule_order`` (the positions along the path) sorts the rules in document order.
+    One chain of ``posexplode_outer`` steps (one per level): a leaf's missing table yields a
+    single null row at the next level, so every leaf ends up as exactly one row.
     """
-    frontier = docs.select(doc_id, F.from_json(F.col(doc), node_schema(depth)).alias("node"),
-                           F.array().cast("array<int>").alias("rule_order"),
-                           F.array().cast(PATH_T).alias("path"))
-    leaves = None
-    for level in range(depth + 1):
-        is_inner = F.col("node.Field").isNotNull() if level < depth else F.lit(False)
-        leaf = frontier.where(~is_inner & F.col("node.GroupName").isNotNull()).select(
-            doc_id, "rule_order", "path", F.col("node.GroupName").alias("group_name"))
-        leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        if level == depth:
-            break
-        frontier = (frontier.where(is_inner)
-                    .select(doc_id, "rule_order", "path", F.col("node.Field").cast("int").alias("_f"),
-                            F.posexplode("node.Table").alias("_pos", "_e"))
-                    .select(doc_id,
-                            F.concat("rule_order", F.array(F.col("_pos").cast("int"))).alias("rule_order"),
-                            F.concat("path", F.array(F.struct(F.col("_f").alias("field"),
-                                                              F.col("_e.Key").alias("key")))).alias("path"),
-                            F.col("_e.Rule").alias("node")))
-    return leaves
+    t = docs.select(doc_id, F.from_json(F.col(doc), node_schema(depth)).alias("n0"))
+    for k in range(1, depth + 1):
+        t = t.select("*", F.posexplode_outer(f"n{k - 1}.Table").alias(f"p{k}", f"e{k}")) \
+             .withColumn(f"n{k}", F.col(f"e{k}.Rule")).drop(f"e{k}")
+    # the leaf is the first node on the chain without a Field
+    group = order = path = None
+    for k in range(depth, -1, -1):
+        n = F.col(f"n{k}")
+        is_leaf = n.isNotNull() & (n["Field"].isNull() if k < depth else F.lit(True)) & n["GroupName"].isNotNull()
+        if k > 0:
+            prev_inner = F.lit(True)
+            for j in range(k):
+                prev_inner = prev_inner & F.col(f"n{j}")["Field"].isNotNull()
+            is_leaf = is_leaf & prev_inner
+        o = F.array(*[F.col(f"p{j}").cast("int") for j in range(1, k + 1)]) if k else F.array().cast("array<int>")
+        pth = (F.array(*[F.struct(F.col(f"n{j - 1}")["Field"].cast("int").alias("field"),
+                                  F.col(f"n{j - 1}")["Table"][F.col(f"p{j}")]["Key"].alias("key"))
+                         for j in range(1, k + 1)]) if k else F.array().cast(PATH_T))
+        g = n["GroupName"]
+        group = F.when(is_leaf, g) if group is None else F.when(is_leaf, g).otherwise(group)
+        order = F.when(is_leaf, o) if order is None else F.when(is_leaf, o).otherwise(order)
+        path = F.when(is_leaf, pth) if path is None else F.when(is_leaf, pth).otherwise(path)
+    out = t.select(doc_id, order.alias("rule_order"), path.cast(PATH_T).alias("path"), group.alias("group_name"))
+    return out.where(F.col("group_name").isNotNull())
 
 
 def _match(features: Column, path) -> Column:

@@ -180,3 +180,17 @@ def test_g16_gaps(spark):
     t = spark.createDataFrame([(0, 0), (1, 100000), (2, 300000)], "id INT, us BIGINT")
     g = series.gaps(with_ordinal(t, ["us", "id"], method="buckets"), "ord", "us")
     assert [r["gap"] for r in g.orderBy("ord").collect()] == [None, 0.1, 0.2]
+
+
+def test_rule_flatten_edge_cases(spark):
+    docs = [(1, '{"GroupName":"root"}'),
+            (2, '{"Field":"1","Table":[]}'),
+            (3, '{"Field":"1","GroupName":"ignored","Table":[{"Key":"a","Rule":{"Field":"2","Table":['
+                '{"Key":"b","Rule":{"Field":"3","Table":[{"Key":"c","Rule":{"GroupName":"deep"}}]}},'
+                '{"Key":"x","Rule":{"GroupName":"mid"}}]}},{"Key":"z","Rule":{"GroupName":"top"}}]}')]
+    p = flatten_rules(spark.createDataFrame(docs, "doc_id INT, rules STRING"))
+    got = sorted((r.doc_id, list(r.rule_order), [(x.field, x.key) for x in r.path], r.group_name) for r in p.collect())
+    assert got == [(1, [], [], "root"),
+                   (3, [0, 0, 0], [(1, "a"), (2, "b"), (3, "c")], "deep"),
+                   (3, [0, 1], [(1, "a"), (2, "x")], "mid"),
+                   (3, [1], [(1, "z")], "top")]
