@@ -1,24 +1,37 @@
 """File sources and sinks.
 
-Every reader is a plain ``spark.read`` with an explicit schema; line order inside a file is
-kept by reading each file whole (``wholetext``) and numbering its lines, which is exact and
-parallel across files.
+Every reader is a plain ``spark.read`` with an explicit schema. Line order inside a file is
+kept without reading files whole (see :func:`read_lines`); only the load-tool reports, which are
+small by nature, are read whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import small
+
 OUTCOME_HEADER = 3   # [sent_count, seconds, rps]
 OUTCOME_ROW = 5      # [req_id, sent, received, resp_time, result]
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """W8 for raw files: ``(file, line_no, value)`` with 0-based line numbers in file order."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = F.split(F.regexp_replace("value", "\n$", ""), "\n", -1)
-    return whole.select("file", F.posexplode(lines).alias("line_no", "value"))
+    """W8 for raw files: ``(file, line_no, value)`` with 0-based line numbers in file order.
+
+    Files stay splittable: a line's number is the count of lines in the earlier splits of its file
+    (a small per-split table) plus its position inside its own split. Splits are read
+    sequentially, so positions inside a split are consecutive row ids; the same scan planned twice
+    yields the same splits and ids.
+    """
+    raw = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_rid"))
+    splits = raw.groupBy("file", "_blk").agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    out = raw.join(small(splits), ["file", "_blk"])
+    return out.select("file", (F.col("_before") + F.col("_rid") - F.col("_first")).alias("line_no"), "value")
 
 
 def read_trace(spark: SparkSession, path: str) -> DataFrame:
@@ -35,7 +48,8 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """Number-per-line series -> ``(file, i, value)`` in file order."""
+    """Number-per-line series -> ``(file, i, value)`` in file order (blank lines skipped,
+    ``i`` keeps the file line number)."""
     lines = read_lines(spark, path).where(F.trim("value") != "")
     return lines.select("file", F.col("line_no").alias("i"), F.trim("value").try_cast("double").alias("value"))
 

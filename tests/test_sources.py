@@ -74,3 +74,17 @@ def test_snapshot_latest_wins(spark):
     t.write(upsert_latest(t.read(0), b1, "group_id", "payload", "offset"), 1)   # replay: idempotent
     assert t.versions() == [0, 1]
     assert sorted((r.group_id, r.payload) for r in t.read().collect()) == [("g1", "b"), ("g2", "y")]
+
+
+def test_line_numbers_across_splits(spark):
+    d = tempfile.mkdtemp(prefix="arbiter-lines-")
+    _write(f"{d}/big/a.txt", "".join(f"{i}\n" for i in range(200000)))
+    _write(f"{d}/big/b.txt", "".join(f"{i}\n" for i in range(10)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        lines = S.read_lines(spark, f"{d}/big")
+        assert spark.read.text(f"{d}/big").rdd.getNumPartitions() > 4      # really split
+        bad = lines.where(F.col("line_no") != F.col("value").cast("bigint")).count()
+        assert bad == 0 and lines.count() == 200010
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
