@@ -69,9 +69,17 @@ def split_features(payload: str | Column) -> Column:
     return F.split(_c(payload), TAB, -1)
 
 
-def default_group(rule_group: str | Column, features: str | Column, mode: str = "asn") -> Column:
-    """E3 (``mode='asn'``: feature 4) / E4 (``mode='null'``: the string "null")."""
+def default_group(rule_group: str | Column, features: str | Column, mode: str = "asn",
+                  precedence: str = "rules") -> Column:
+    """E3 (``mode='asn'``: feature 4) / E4 (``mode='null'``: the string "null").
+
+    ``precedence='rules'``: a matching rule wins over the default (the UCB player);
+    ``precedence='default'``: the default wins whenever present (the epsilon-greedy player
+    assigns the ASN after evaluating the rules).
+    """
     fallback = F.get(_c(features), 4) if mode == "asn" else F.lit("null")
+    if precedence == "default":
+        return F.coalesce(fallback, _c(rule_group))
     return F.coalesce(_c(rule_group), fallback)
 
 

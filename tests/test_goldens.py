@@ -88,8 +88,9 @@ def test_g6_rules(spark, large, monkeypatch):
                                 (3, _features("FR", "ios", "1"))], "id INT, features ARRAY<STRING>")
     g = rules.assign_groups(df, "features", paths, row_key="id")
     g = g.select("id", P.default_group("rule_group", "features", "asn").alias("asn"),
-                 P.default_group("rule_group", "features", "null").alias("nul"))
-    assert rows(g, "id", "asn", "nul") == [(1, "G2", "G2"), (2, "G3", "G3"), (3, "1", "null")]
+                 P.default_group("rule_group", "features", "null").alias("nul"),
+                 P.default_group("rule_group", "features", "asn", precedence="default").alias("eg"))
+    assert rows(g, "id", "asn", "nul", "eg") == [(1, "G2", "G2", "1"), (2, "G3", "G3", "7018"), (3, "1", "null", "1")]
 
 
 def test_g7_routing(spark):
