@@ -74,3 +74,59 @@ class DecisionStream:
 
     def current_state(self) -> DataFrame | None:
         return self.state.read()
+
+
+class EpochDecisionStream:
+    """Event-time form of the decision maker: epochs come from the data, not from the trigger.
+
+    Each micro-batch carries updates ``(group_id, decision, cost_cents, epoch)``. The stored state
+    is the decayed state at the last processed epoch ``L``; a batch folds forward from it through
+    every epoch up to its newest one (the batch fold of :mod:`operators.discount`, seeded with the
+    stored state), emits one schedule per group and epoch, and stores the state at the new last
+    epoch. Updates for epochs ``<= L`` arrive after their epoch was closed and go to dead letters.
+    Results depend only on the data (and on epochs arriving in order), not on batch timing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, gamma: float, picks: int, origin: str):
+        self.spark, self.gamma, self.picks, self.origin = spark, gamma, picks, origin
+        base = root.rstrip("/")
+        self.state = SnapshotTable(spark, f"{base}/state")
+        self.out, self.late = f"{base}/decisions", f"{base}/late"
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        from ..operators.discount import discounted_state, per_epoch_totals
+        from ..sources.topics import write_batch
+        prev = self.state.read(batch_id - 1) if batch_id > 0 else None
+        last_closed = -1 if prev is None else int(prev.agg(F.max("epoch")).first()[0] or -1)
+        batch = batch.persist()
+        write_batch(batch.where(F.col("epoch") <= last_closed), self.late, batch_id)
+        fresh = batch.where(F.col("epoch") > last_closed)
+        newest = fresh.agg(F.max("epoch")).first()[0]
+        if newest is None:                                   # nothing new: carry the state over
+            if prev is not None:
+                self.state.write(prev, batch_id)
+            batch.unpersist()
+            return
+        totals = per_epoch_totals(fresh)
+        if prev is not None:
+            totals = totals.unionByName(prev.select("group_id", "decision", "epoch",
+                                                    F.col("s").alias("xs"), F.col("c").alias("xc")))
+        st = discounted_state(totals, self.gamma, int(newest), scale=1.0, first_epoch=max(last_closed, 0))
+        st = st.persist()
+        self.state.write(st.where(F.col("epoch") == int(newest))
+                         .select("group_id", "decision", "epoch", F.col("score_sum").alias("s"), F.col("cnt").alias("c")),
+                         batch_id)
+        view = st.where(F.col("epoch") > last_closed).withColumn("score_sum", F.col("score_sum") / 100.0)
+        sched = policies.ucb_schedule(view, self.picks, self.gamma)
+        out = sched.select("epoch", "group_id", F.col("schedule").alias("payload")) \
+            .withColumn("message", decision_message(F.col("group_id"), F.col("payload"), self.origin))
+        write_batch(out, self.out, batch_id)
+        st.unpersist()
+        batch.unpersist()
+
+    def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None):
+        w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
+        return w.trigger(**(trigger or {"availableNow": True})).start()
+
+    def decisions(self) -> DataFrame:
+        return self.spark.read.parquet(self.out).drop("batch_id")

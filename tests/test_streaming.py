@@ -165,3 +165,26 @@ def test_topic_sink_routes_by_column_and_four_flows_start(spark):
     assert [tuple(r) for r in c.registry().collect()] == [("g1", "c2")]
     fwd = spark.read.text(os.path.join(base, "state", "outbox", "external"))
     assert fwd.where("topic = 'internal_groups' AND dest_cluster = 'c4'").count() == 1
+
+
+def test_event_time_stream_equals_batch(spark):
+    from arbiter.streaming.decisions import EpochDecisionStream
+    base = tempfile.mkdtemp(prefix="arbiter-evt-")
+    upd = ad.updates(ad.table(spark, SF, "events")).select("group_id", "decision", "cost_cents", "epoch")
+    # three micro-batches covering consecutive epoch ranges, plus one late row in the last one
+    for i, (lo, hi) in enumerate(((0, 40), (40, 90), (90, 120))):
+        part = upd.where((F.col("epoch") >= lo) & (F.col("epoch") < hi))
+        if i == 2:
+            part = part.unionByName(upd.where(F.col("epoch") == 5).limit(1))
+        part.coalesce(1).write.parquet(os.path.join(base, "in", f"chunk={i}"))
+        p = os.path.join(base, "in", f"chunk={i}")
+        for f in os.listdir(p):
+            os.utime(os.path.join(p, f), (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = spark.readStream.schema(upd.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "chunk=*"))
+    es = EpochDecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=5, origin="b1:9092")
+    es.start(stream, os.path.join(base, "cp")).awaitTermination()
+    st = discount.discounted_state(discount.per_epoch_totals(upd), 0.5, 119)
+    want = policies.ucb_schedule(st, 5, 0.5).select("epoch", "group_id", F.col("schedule").alias("payload"))
+    got = es.decisions().select("epoch", "group_id", "payload")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert spark.read.parquet(os.path.join(base, "out", "late")).count() == 1
