@@ -60,6 +60,7 @@ def _derived(df: DataFrame) -> bool:
 
 
 SMALL_INPUT_BYTES = 8 << 20  # below this (estimated) size one task ranks everything with a plain window
+MAX_WINDOW_ROWS = 1_000_000  # a counted group (or whole input) up to this size is ranked by one task
 
 
 def with_ordinal(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), name: str = "ord",
@@ -67,14 +68,22 @@ def with_ordinal(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
     """0-based position of each row in ``order`` (within ``partition_by`` groups when given).
 
     ``partition_by + order`` must identify rows (add a unique tiebreaker). Inputs whose
-    estimated size is below ``SMALL_INPUT_BYTES`` are ranked by a plain window. Larger ones are cut into
+    estimated size is below ``SMALL_INPUT_BYTES``, or whose largest group counts at most
+    ``MAX_WINDOW_ROWS`` rows, are ranked by a plain window. Larger ones are cut into
     deterministic key-range buckets; a row's ordinal is the count of its group's rows in earlier
     buckets plus its rank inside its bucket. Every window is partitioned by bucket (bounded),
     none by the whole table.
     """
     keys = [*partition_by, *order]
-    if method == "window" or (method == "auto" and (estimated_bytes(df) or SMALL_INPUT_BYTES + 1) <= SMALL_INPUT_BYTES):
-        # size-checked like a broadcast: the whole input provably fits one task
+    small_input = (estimated_bytes(df) or SMALL_INPUT_BYTES + 1) <= SMALL_INPUT_BYTES
+    if method == "auto" and not small_input:
+        # count the largest group (one partial aggregate): if every group is small, one task per
+        # group ranks it; a hot group (or a large input) takes the bucketed path below
+        largest = (df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+                   if partition_by else df.count())
+        small_input = (largest or 0) <= MAX_WINDOW_ROWS
+    if method == "window" or (method == "auto" and small_input):
+        # size-checked like a broadcast: each ranked group provably fits one task
         w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     if materialize or (materialize is None and _derived(df)):
