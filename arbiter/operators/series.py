@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..adapters import money
-from .joins import small
 from .ordinal import lag_global, with_lookback, with_ordinal
 
 
