@@ -12,18 +12,20 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (no job is run)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. streaming plan)
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. streaming plan, Spark Connect)
         return None
+    # py4j hands a Scala BigInt back as a Python int; keep a fallback for a JVM object
+    return int(size) if isinstance(size, int) else int(size.toString())
 
 
-def small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast when its estimated size is within ``limit``.
 
     Otherwise the frame is returned unchanged and Catalyst/AQE choose a shuffle join (AQE may
     still turn it into a broadcast at run time once real sizes are known).
     """
     size = estimated_bytes(df)
-    if size is not None and size <= limit:
+    if size is not None and size <= (BROADCAST_LIMIT_BYTES if limit is None else limit):
         return F.broadcast(df)
     return df
