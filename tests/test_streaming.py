@@ -188,3 +188,30 @@ def test_event_time_stream_equals_batch(spark):
     got = es.decisions().select("epoch", "group_id", "payload")
     assert sorted(got.collect()) == sorted(want.collect())
     assert spark.read.parquet(os.path.join(base, "out", "late")).count() == 1
+
+
+def test_sliding_stream_append_mode_drops_late_rows(spark):
+    from arbiter.operators.aggregates import sliding_arm_totals
+    base = tempfile.mkdtemp(prefix="arbiter-wm-")
+    upd = ad.updates(ad.table(spark, SF, "events")).select("event_id", "ts", "group_id", "decision", "cost")
+    cut = F.lit("2024-01-18 00:00:00").cast("timestamp")          # ~60 % of the 30 days
+    early = upd.where(F.col("ts") <= cut)
+    late_row = upd.orderBy("ts").limit(1).withColumn("event_id", F.lit(-1).cast("bigint"))   # day-one row, re-sent late
+    # the late copy comes in a third batch, after its windows were closed and emitted
+    for i, part in enumerate((early, upd.where(F.col("ts") > cut), late_row)):
+        p = os.path.join(base, "in", f"chunk={i}")
+        part.coalesce(1).write.parquet(p)
+        for f in os.listdir(p):
+            os.utime(os.path.join(p, f), (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = spark.readStream.schema(upd.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "chunk=*"))
+    q = (sliding_stream(stream.drop("event_id"), "6 hours", "1 hour", "1 day").writeStream.outputMode("append")
+         .format("memory").queryName("wm_test").option("checkpointLocation", os.path.join(base, "cp"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("wm_test")
+    max_s = upd.agg(F.max(F.unix_micros("ts"))).first()[0] / 1e6
+    want = sliding_arm_totals(upd, "6 hours", "1 hour").where(F.col("window_end") <= max_s - 86400)
+    assert got.count() > 0
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())   # late copy not counted
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
+    assert dropped == 6   # one late row, counted once per sliding window it falls in (6 h / 1 h)
