@@ -87,8 +87,10 @@ class EpochDecisionStream:
     Results depend only on the data (and on epochs arriving in order), not on batch timing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, gamma: float, picks: int, origin: str):
+    def __init__(self, spark: SparkSession, root: str, gamma: float, picks: int, origin: str,
+                 reset_period: int | None = None):
         self.spark, self.gamma, self.picks, self.origin = spark, gamma, picks, origin
+        self.reset = reset_period
         base = root.rstrip("/")
         self.state = SnapshotTable(spark, f"{base}/state")
         self.out, self.late = f"{base}/decisions", f"{base}/late"
@@ -108,17 +110,21 @@ class EpochDecisionStream:
             batch.unpersist()
             return
         totals = per_epoch_totals(fresh)
-        if prev is not None:
+        # the stored state seeds the fold, unless its epoch closed a reset segment
+        segment_closed = self.reset and (last_closed + 1) % self.reset == 0
+        if prev is not None and not segment_closed:
             totals = totals.unionByName(prev.select("group_id", "decision", "epoch",
                                                     F.col("s").alias("xs"), F.col("c").alias("xc")))
-        st = discounted_state(totals, self.gamma, int(newest), scale=1.0, first_epoch=max(last_closed, 0))
+        st = discounted_state(totals, self.gamma, int(newest), reset_period=self.reset, scale=1.0,
+                              first_epoch=max(last_closed, 0))
         st = st.persist()
-        self.state.write(st.where(F.col("epoch") == int(newest))
-                         .select("group_id", "decision", "epoch", F.col("score_sum").alias("s"), F.col("cnt").alias("c")),
-                         batch_id)
+        # the newest epoch has data, so its segment has at least one arm: the stored state is never empty
+        self.state.write(st.where(F.col("epoch") == int(newest)).select(
+            "group_id", "decision", "epoch", F.col("score_sum").alias("s"), F.col("cnt").alias("c")), batch_id)
         view = st.where(F.col("epoch") > last_closed).withColumn("score_sum", F.col("score_sum") / 100.0)
         sched = policies.ucb_schedule(view, self.picks, self.gamma)
-        out = sched.select("epoch", "group_id", F.col("schedule").alias("payload")) \
+        payload = policies.reset_payload(F.col("schedule"), F.col("epoch"), self.reset) if self.reset else F.col("schedule")
+        out = sched.select("epoch", "group_id", payload.alias("payload")) \
             .withColumn("message", decision_message(F.col("group_id"), F.col("payload"), self.origin))
         write_batch(out, self.out, batch_id)
         st.unpersist()

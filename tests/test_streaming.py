@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from arbiter import adapters as ad
@@ -167,7 +169,8 @@ def test_topic_sink_routes_by_column_and_four_flows_start(spark):
     assert fwd.where("topic = 'internal_groups' AND dest_cluster = 'c4'").count() == 1
 
 
-def test_event_time_stream_equals_batch(spark):
+@pytest.mark.parametrize("reset", [None, 15])
+def test_event_time_stream_equals_batch(spark, reset):
     from arbiter.streaming.decisions import EpochDecisionStream
     base = tempfile.mkdtemp(prefix="arbiter-evt-")
     upd = ad.updates(ad.table(spark, SF, "events")).select("group_id", "decision", "cost_cents", "epoch")
@@ -181,10 +184,11 @@ def test_event_time_stream_equals_batch(spark):
         for f in os.listdir(p):
             os.utime(os.path.join(p, f), (1_700_000_000 + i, 1_700_000_000 + i))
     stream = spark.readStream.schema(upd.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "chunk=*"))
-    es = EpochDecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=5, origin="b1:9092")
+    es = EpochDecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=5, origin="b1:9092", reset_period=reset)
     es.start(stream, os.path.join(base, "cp")).awaitTermination()
-    st = discount.discounted_state(discount.per_epoch_totals(upd), 0.5, 119)
-    want = policies.ucb_schedule(st, 5, 0.5).select("epoch", "group_id", F.col("schedule").alias("payload"))
+    st = discount.discounted_state(discount.per_epoch_totals(upd), 0.5, 119, reset_period=reset)
+    payload = policies.reset_payload(F.col("schedule"), F.col("epoch"), reset) if reset else F.col("schedule")
+    want = policies.ucb_schedule(st, 5, 0.5).select("epoch", "group_id", payload.alias("payload"))
     got = es.decisions().select("epoch", "group_id", "payload")
     assert sorted(got.collect()) == sorted(want.collect())
     assert spark.read.parquet(os.path.join(base, "out", "late")).count() == 1
