@@ -24,29 +24,50 @@ SPLIT_DATE = "1998-01-01"  # subscriber_merge: orders before it form the old reg
 NR_SQL = """nr AS (SELECT n_nationkey, n_name, r_regionkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 
+def _node(depth: int, field: str | None = None, group=None, table=None):
+    """A rule node cast to the uniform bounded-depth type (absent parts are null and omitted
+    from the JSON text)."""
+    from ..functions.rules import node_schema
+    if depth == 0:
+        return F.struct(group.alias("GroupName")).cast(node_schema(0))
+    return F.struct((F.lit(field) if field else F.lit(None)).cast("string").alias("Field"),
+                    (group if group is not None else F.lit(None)).cast("string").alias("GroupName"),
+                    (table if table is not None else F.lit(None)).alias("Table")).cast(node_schema(depth))
+
+
 def rule_document(spark, d, nation_rules: bool = True) -> DataFrame:
-    """One rule document built from the dimensions: under the region (feature 5), a subtree per
-    region matching the nation (feature 3) to its own group, then, later in the document, a
-    per-region override for one market segment (feature 2). Later rules win."""
+    """One rule document derived from the data: under the region (feature 5) a subtree per
+    nation (feature 3) whose market segments (feature 2) -- those present among the nation's
+    customers -- map to the group ``nation/segment``; later in the document, a per-region override
+    for one segment. Later rules win.
+
+    The customer side is cut to distinct (nation, segment) pairs first (partial distinct), so the
+    document is bounded by nations x segments, whatever the number of customers.
+    """
     nation, region = ad.table(spark, d, "nation"), ad.table(spark, d, "region")
-    nr = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    leaf = lambda g: F.struct(g.alias("GroupName"))
-    per_region = nr.groupBy("r_regionkey", "r_name").agg(
-        F.array_sort(F.collect_list(F.struct("n_nationkey", F.struct(
-            F.col("n_name").alias("Key"), leaf(F.col("n_name")).alias("Rule")).alias("e")))).alias("ns"))
-    sub = lambda f, table: F.struct(F.lit(f).alias("Field"), table.alias("Table"))
+    segs = ad.table(spark, d, "customer").select("c_nationkey", "c_mktsegment").distinct()
+    nr = small(nation.join(small(region), nation.n_regionkey == region.r_regionkey)
+               .select("n_nationkey", "n_name", "r_regionkey", "r_name"))
+    ns = segs.join(nr, segs.c_nationkey == nr.n_nationkey)
+    entry = lambda key, rule: F.struct(key.alias("Key"), rule.alias("Rule"))
+    per_nation = ns.groupBy("r_regionkey", "r_name", "n_nationkey", "n_name").agg(
+        F.array_sort(F.collect_list("c_mktsegment")).alias("segs"))
+    per_nation = per_nation.select(
+        "r_regionkey", "r_name", "n_nationkey",
+        entry(F.col("n_name"), _node(1, "2", table=F.transform(
+            "segs", lambda sg: entry(sg, _node(0, group=F.concat(F.col("n_name"), F.lit("/"), sg)))))).alias("e"))
+    per_region = per_nation.groupBy("r_regionkey", "r_name").agg(
+        F.array_sort(F.collect_list(F.struct("n_nationkey", "e"))).alias("ns"))
     entries = per_region.select(
         "r_regionkey",
-        F.struct(F.col("r_name").alias("Key"), sub("3", F.transform("ns", lambda x: x["e"])).alias("Rule")).alias("nat"),
-        F.struct(F.col("r_name").alias("Key"), sub("2", F.array(F.struct(
-            F.lit(OVERRIDE_SEGMENT).alias("Key"),
-            leaf(F.concat(F.col("r_name"), F.lit("/" + OVERRIDE_SEGMENT))).alias("Rule")))).alias("Rule")).alias("ovr"))
+        entry(F.col("r_name"), _node(2, "3", table=F.transform("ns", lambda x: x["e"]))).alias("nat"),
+        entry(F.col("r_name"), _node(2, "2", table=F.array(entry(
+            F.lit(OVERRIDE_SEGMENT), _node(1, group=F.concat(F.col("r_name"), F.lit("/" + OVERRIDE_SEGMENT))))))).alias("ovr"))
     rows = F.array_sort(F.collect_list(F.struct("r_regionkey", "nat", "ovr")))
     table = F.transform(rows, lambda x: x["ovr"])
     if nation_rules:
         table = F.concat(F.transform(rows, lambda x: x["nat"]), table)
-    return entries.agg(F.to_json(F.struct(F.lit("5").alias("Field"), table.alias("Table"))).alias("rules")) \
-        .select(F.lit(1).alias("doc_id"), "rules")
+    return entries.agg(F.to_json(_node(3, "5", table=table)).alias("rules")).select(F.lit(1).alias("doc_id"), "rules")
 
 
 def rule_paths(spark, d, nation_rules: bool = True) -> DataFrame:
@@ -54,12 +75,14 @@ def rule_paths(spark, d, nation_rules: bool = True) -> DataFrame:
 
 
 @query("rule_paths", f"""WITH {NR_SQL},
+ns AS (SELECT DISTINCT r_regionkey, r_name, n_nationkey, n_name, c_mktsegment FROM customer JOIN nr ON c_nationkey = n_nationkey),
 paths AS (
-  SELECT 0 AS kind, r_regionkey, n_nationkey, '5=' || r_name || '/3=' || n_name AS path, n_name AS group_name FROM nr
+  SELECT 0 AS kind, r_regionkey, n_nationkey, c_mktsegment AS seg, 3 AS depth,
+         '5=' || r_name || '/3=' || n_name || '/2=' || c_mktsegment AS path, n_name || '/' || c_mktsegment AS group_name FROM ns
   UNION ALL
-  SELECT DISTINCT 1 AS kind, r_regionkey, 0, '5=' || r_name || '/2={OVERRIDE_SEGMENT}', r_name || '/{OVERRIDE_SEGMENT}' FROM nr)
-SELECT 1 AS doc_id, row_number() OVER (ORDER BY kind, r_regionkey, n_nationkey) AS rule_no,
-       CAST(2 AS INTEGER) AS depth, path, group_name FROM paths""")
+  SELECT DISTINCT 1 AS kind, r_regionkey, 0, '', 2, '5=' || r_name || '/2={OVERRIDE_SEGMENT}', r_name || '/{OVERRIDE_SEGMENT}' FROM ns)
+SELECT 1 AS doc_id, row_number() OVER (ORDER BY kind, r_regionkey, n_nationkey, seg) AS rule_no,
+       CAST(depth AS INTEGER) AS depth, path, group_name FROM paths""")
 def rule_paths_q(spark, d):
     p = rule_paths(spark, d)
     return p.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("rule_order"))
@@ -76,7 +99,7 @@ def _customers(spark, d):
 
 @query("rule_group", f"""WITH {NR_SQL}
 SELECT c_custkey, CASE WHEN c_mktsegment = '{OVERRIDE_SEGMENT}' AND r_name IS NOT NULL THEN r_name || '/{OVERRIDE_SEGMENT}'
-                       WHEN n_name IS NOT NULL THEN n_name END AS group_id
+                       WHEN n_name IS NOT NULL THEN n_name || '/' || c_mktsegment END AS group_id
 FROM customer LEFT JOIN nr ON c_nationkey = n_nationkey""")
 def rule_group_q(spark, d):
     c = assign_groups(_customers(spark, d), "features", rule_paths(spark, d), row_key="c_custkey")
