@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RULES_FOR_CASE = 512  # up to this many paths the rules compile to one CASE expression
+MAX_RULES_FOR_CASE = 20000  # up to this many paths the rules compile into the projection (map lookups)
 PATH_T = "array<struct<field:int,key:string>>"
 
 
@@ -74,20 +74,54 @@ def rules_case(features: Column, rules: list[tuple[list[tuple[int, str]], str]])
     return expr.otherwise(F.lit(None).cast("string")) if expr is not None else F.lit(None).cast("string")
 
 
+SEP = "\u0001"
+
+
+def rules_lookup(features: Column, rules: list[tuple[list[tuple[int, str]], str]]) -> Column:
+    """Compile (path, group) rules, in document order, to map lookups: rules testing the same
+    fields form one literal map from their keys to (document position, group); a row looks up
+    each field set once and the matching rule latest in the document wins. The expression grows
+    with the number of distinct field sets, not with the number of rules."""
+    by_fields: dict[tuple[int, ...], dict[tuple[str, ...], tuple[int, str]]] = {}
+    for order, (path, group) in enumerate(rules):
+        fields = tuple(int(f) for f, _ in path)
+        by_fields.setdefault(fields, {})[tuple(k for _, k in path)] = (order, group)   # a later duplicate wins
+    hits = []
+    for fields, table in by_fields.items():
+        if not fields:
+            order, group = table[()]
+            hits.append(F.struct(F.lit(order).alias("o"), F.lit(group).alias("g")))
+            continue
+        parts = [F.get(features, f) for f in fields]
+        present = F.lit(True)
+        for x in parts:
+            present = present & x.isNotNull()
+        key = F.when(present, F.concat_ws(SEP, *parts))
+        entries = []
+        for keys, (order, group) in table.items():
+            entries += [F.lit(SEP.join(keys)), F.struct(F.lit(order).alias("o"), F.lit(group).alias("g"))]
+        hits.append(F.try_element_at(F.create_map(*entries), key))
+    if not hits:
+        return F.lit(None).cast("string")
+    best = hits[0] if len(hits) == 1 else F.greatest(*hits)
+    return best["g"]
+
+
 def assign_groups(df: DataFrame, features: str, rule_paths: DataFrame, out: str = "rule_group",
                   row_key: str | None = None) -> DataFrame:
     """E5: add the rule group of each row (null when no rule matches).
 
-    Small rule sets (checked count) compile to a CASE expression; large ones are matched by an
-    equi-join on the root (field, key), a ``forall`` over the rest of the path and
-    ``max_by(group, rule_order)`` per row (``row_key`` must identify rows).
+    Rule sets up to ``MAX_RULES_FOR_CASE`` paths (checked count) compile into the projection as
+    map lookups (:func:`rules_lookup`); larger ones are matched by an equi-join on the root
+    (field, key), a ``forall`` over the rest of the path and ``max_by(group, rule_order)`` per row
+    (``row_key`` must identify rows).
     """
     # one bounded read: at most MAX_RULES_FOR_CASE + 1 rules reach the driver
     head = rule_paths.select("rule_order", "path", "group_name").limit(MAX_RULES_FOR_CASE + 1).collect()
     if len(head) <= MAX_RULES_FOR_CASE:
         head.sort(key=lambda r: list(r["rule_order"]))
         rules = [([(p["field"], p["key"]) for p in r["path"]], r["group_name"]) for r in head]
-        return df.withColumn(out, rules_case(F.col(features), rules))
+        return df.withColumn(out, rules_lookup(F.col(features), rules))
     if row_key is None:
         raise ValueError("row_key is required for large rule sets")
     first = rule_paths.select(F.get("path", 0)["field"].alias("_f"), F.get("path", 0)["key"].alias("_k"),

@@ -195,3 +195,14 @@ def test_rule_flatten_edge_cases(spark):
                    (3, [0, 0, 0], [(1, "a"), (2, "b"), (3, "c")], "deep"),
                    (3, [0, 1], [(1, "a"), (2, "x")], "mid"),
                    (3, [1], [(1, "z")], "top")]
+
+
+def test_rules_lookup_equals_case(spark):
+    from arbiter.functions.rules import rules_case, rules_lookup
+    rules = [([(1, "a")], "A"), ([(1, "a"), (2, "x")], "AX"), ([], "ROOT"), ([(2, "x")], "X"), ([(1, "a")], "A2"), ([(1, "b"), (2, "y")], "BY")]
+    rows_ = [(i, [None if v == "-" else v for v in f]) for i, f in enumerate(
+        [["0", "a", "x"], ["0", "a", "y"], ["0", "b", "y"], ["0", "c", "x"], ["0", "-", "x"], ["0", "b", "z"]])]
+    df = spark.createDataFrame(rows_, "id INT, f ARRAY<STRING>")
+    got = df.select("id", rules_lookup(F.col("f"), rules).alias("a"), rules_case(F.col("f"), rules).alias("b"))
+    assert all(r.a == r.b for r in got.collect())
+    assert dict(rows(got, "id", "a")) == {0: "A2", 1: "A2", 2: "BY", 3: "X", 4: "X", 5: "ROOT"}
