@@ -77,3 +77,18 @@ def test_loop_fold_equals_catalyst_fold(spark):
         a = discount.discounted_state(tot, 0.9, 119, reset_period=reset, method="fold")
         b = discount.discounted_state(tot, 0.9, 119, reset_period=reset, method="loop")
         assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_counts_conserve_and_block_means_times_n_is_sum(spark):
+    from arbiter import adapters as ad
+    from arbiter.operators import aggregates as agg
+    upd = ad.updates(ad.table(spark, "/root/testdata/sf0.001", "events"))
+    n = upd.count()
+    assert agg.arm_totals(upd).agg(F.sum("cnt")).first()[0] == n
+    st = discount.discounted_state(discount.per_epoch_totals(upd), 1.0, 119)
+    assert st.where(F.col("epoch") == 119).agg(F.sum("cnt")).first()[0] == n
+    s = with_ordinal(upd.select("event_id", "cost"), ["event_id"], method="buckets", partitions=3)
+    blocks = series.block_means(s, "ord", "cost", 60)
+    full = s.where(F.col("ord") < blocks.count() * 60).agg(F.sum(F.col("cost").cast("decimal(18,2)"))).first()[0]
+    total = blocks.agg(F.sum(F.round(F.col("mean_value") * 60, 2).cast("decimal(18,2)"))).first()[0]
+    assert total == full
