@@ -22,6 +22,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.quality_rules import judged
+    return judged(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words")
+
+
 @query("op4_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -35,6 +42,26 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query("op7_simhash_dedup")
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.simhash_dedup import near_duplicates
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), words=4, max_bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.line_dedup import deduplicate_lines
+    made = deduplicate_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=10)
+    return made.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+@query("op9_rule_classifier")
+def op9_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.rule_classifier import score_quality
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.mixing import plan_mix
