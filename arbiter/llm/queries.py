@@ -22,6 +22,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.substring_dedup import remove_repeated
+    made = remove_repeated(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 @query("op2_quality_rules")
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.quality_rules import judged
@@ -29,6 +36,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words")
 
 
+@query("op3_sentence_pieces")
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.sentence_pieces import encode
+    return encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -42,6 +55,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query("op5_pii_crf")
+def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.pii_crf import KINDS, find_pii
+    found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    packed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(packed("base"), 256).alias("base_sha256"), packed("spans").alias("spans"))
+
+
+@query("op6_html_extract")
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.html_extract import extract
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 @query("op7_simhash_dedup")
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.simhash_dedup import near_duplicates
