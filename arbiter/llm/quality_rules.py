@@ -100,5 +100,7 @@ def judged(docs: DataFrame, text_col: str = "text", max_lost: float = 0.3) -> Da
 def clean(docs: DataFrame, text_col: str = "text", max_lost: float = 0.3) -> DataFrame:
     """The documents that stay, with failed lines removed from their text and the columns of ``docs``."""
     whole = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("text"))
-    made = judged(whole, "text", max_lost).filter("kept")
-    return made.select(*[F.col("clean_text").alias(c) if c == text_col else F.col("_doc").getField(c) for c in docs.columns])
+    # The row number keeps the optimizer from pushing the filter below the steps, which would repeat each step
+    # inside the next one's lambdas.
+    made = judged(whole, "text", max_lost).withColumn("_row", F.monotonically_increasing_id()).filter("kept and _row >= 0")
+    return made.select(*[F.col("clean_text").alias(c) if c == text_col else F.col("_doc").getField(c).alias(c) for c in docs.columns])
