@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arbiter.operators.joins import estimated_bytes
 from arbiter.session import checkpoint_dir
 
 # The characters that separate words, and one word.
@@ -44,6 +45,12 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """SHA-256 of id and text, never null: rows with one key are alike in both."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(part(id_col), F.lit("\n"), part(text_col)), 256))
+
+
 def hot_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int,
              how: str = "inner") -> DataFrame:
     """Join ``left`` to ``right`` (one row per key, ``rows`` = rows of ``left`` that hold the key).
@@ -94,6 +101,12 @@ def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordB
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
+def shard_count(df: DataFrame, shard_bytes: int, least: int) -> int:
+    """Shards of about ``shard_bytes`` by Catalyst's estimate of ``df``'s size; ``least`` when it has none."""
+    size = estimated_bytes(df)
+    return least if size is None or size >= 1 << 60 else max(least, -(-size // shard_bytes))
+
+
 def global_rank(df: DataFrame, order: list[Column], name: str, rank: str = "rank") -> DataFrame:
     """0-based rank over all rows, without a single-task window.
 

@@ -117,7 +117,8 @@ def deduplicate_lines(docs: DataFrame, runs: LineRuns | None = None, id_col: str
     spark = docs.sparkSession
     runs = runs or LineRuns(spark, work_path(spark, "line-runs"))
     found = stage(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
-    cuts = [c for c in dict.fromkeys(found.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01))]
+    shares = [i / batches for i in range(1, batches)]
+    cuts = list(dict.fromkeys(found.approxQuantile("doc", shares, 0.01))) if shares else []
     edges = [None, *[int(c) for c in cuts], None]
     drops = None
     for low, high in zip(edges, edges[1:], strict=False):
