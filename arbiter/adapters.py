@@ -59,14 +59,20 @@ def ts_micros(col: str | Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def money(col: str | Column) -> Column:
-    """Money-like double as exact DECIMAL(18,2): sums then agree bit for bit across engines."""
+#: Costs are summed as decimals of this scale; their size stays below COST_LIMIT.
+COST_SCALE = 9
+COST_LIMIT = 1e9
+
+
+def exact(col: str | Column) -> Column:
+    """A cost as DECIMAL(18, COST_SCALE): sums then don't depend on their order. Ratios and other costs far
+    below a cent keep their digits; values of COST_LIMIT and more are refused where messages are parsed."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast("decimal(18,2)")
+    return c.cast(f"decimal(18,{COST_SCALE})")
 
 
 def updates(events: DataFrame, epoch_width_us: int = EPOCH_WIDTH_US) -> DataFrame:
-    """events -> quality updates ``(event_id, ts, ts_us, group_id, decision, cost, cost_cents, epoch)``.
+    """events -> quality updates ``(event_id, ts, ts_us, group_id, decision, cost, epoch)``.
 
     One event is one session report: the arm is the event type and the observed cost its value.
     """
@@ -78,7 +84,6 @@ def updates(events: DataFrame, epoch_width_us: int = EPOCH_WIDTH_US) -> DataFram
         (F.col("user_id") % N_USER_GROUPS).cast("string").alias("group_id"),
         F.col("event_type").alias("decision"),
         F.col("value").alias("cost"),
-        (money("value") * 100).cast("bigint").alias("cost_cents"),
         F.floor((us - F.lit(EPOCH_BASE_US)) / F.lit(epoch_width_us)).cast("bigint").alias("epoch"),
     )
 
@@ -153,7 +158,7 @@ def trace_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     lineitem is combined per (order, flag) map-side before the shuffle, then joined on order key.
     """
     li = (lineitem.groupBy("l_orderkey", "l_returnflag")
-          .agg(F.sum(money("l_quantity")).alias("qty"), F.max("l_tax").alias("mtax"), F.max("l_discount").alias("mdisc")))
+          .agg(F.sum(exact("l_quantity")).alias("qty"), F.max("l_tax").alias("mtax"), F.max("l_discount").alias("mdisc")))
     f1 = (F.lit(1) + F.col("mtax").cast("decimal(10,2)")).cast("string")
     f2 = (F.lit(1) + F.lit(10) * F.col("mdisc").cast("decimal(10,2)")).cast("string")
     item = F.struct(F.col("l_returnflag").alias("k"),

@@ -11,7 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..adapters import COST_LIMIT
+
 TAB = "\t"
+# The message fields, and the cost size from which a message is refused.
 UPDATE_SCHEMA = "update STRING, group_id STRING, cluster_id STRING"
 
 
@@ -21,10 +24,15 @@ def _c(col: str | Column) -> Column:
 
 # ---- E1 / E20: routed update -> (group, decision, score, 1) or a reject -------------------
 
+def update_struct(value: str | Column) -> Column:
+    """The message as a struct; text that is not a JSON object lands in ``_corrupt_record``."""
+    return F.from_json(F.trim(_c(value)), UPDATE_SCHEMA + ", _corrupt_record STRING",
+                       {"columnNameOfCorruptRecord": "_corrupt_record"})
+
+
 def parse_update_columns(value: str | Column) -> dict[str, Column]:
-    v = F.trim(_c(value))
-    # one JSON parse per message; text that is not a JSON object lands in _corrupt_record
-    js = F.from_json(v, UPDATE_SCHEMA + ", _corrupt_record STRING", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    """Columns of a parsed message; ``value`` is the struct made by :func:`update_struct`."""
+    js = _c(value)
     parts = F.split(js["update"], TAB)
     cost = F.get(parts, 1).try_cast("double")
     reason = (F.when(js["_corrupt_record"].isNotNull(), F.lit("not_json"))
@@ -32,12 +40,13 @@ def parse_update_columns(value: str | Column) -> dict[str, Column]:
               .when(js["update"].isNull(), F.lit("missing_update"))
               .when(F.size(parts) < 2, F.lit("missing_cost"))
               .when(cost.isNull(), F.lit("bad_cost"))
-              .when(cost.isin(float("inf"), float("-inf")) | F.isnan(cost), F.lit("non_finite_cost")))
+              .when(cost.isin(float("inf"), float("-inf")) | F.isnan(cost), F.lit("non_finite_cost"))
+              .when(F.abs(cost) >= COST_LIMIT, F.lit("cost_out_of_range")))
     return {
         "group_id": js["group_id"],
         "cluster_id": js["cluster_id"],
         "decision": F.get(parts, 0),
-        "score": -cost,
+        "score": F.lit(0.0) - cost,
         "reason": reason,
     }
 
@@ -48,12 +57,12 @@ def parse_updates(df: DataFrame, value: str = "value", keep: Sequence[str] = ())
     parsed: ``keep + (group_id, decision, score, cnt)`` with ``score = 0 - cost`` and ``cnt = 1.0``
     rejects: ``keep + (value, reason)``
 
-    The session runs with ``spark.sql.optimizer.enableJsonExpressionOptimization=false`` (see
-    ``session.BASE_CONF``): otherwise the reject filter, pushed below this projection, would get
-    one pruned JSON parse per referenced field.
+    Each message is parsed once: the struct comes out of a generator (one row per message), below
+    which the filter on its fields can't be pushed.
     """
-    cols = parse_update_columns(value)
-    staged = df.select(*keep, F.col(value).alias("_value"), *[c.alias(f"_{k}") for k, c in cols.items()])
+    once = df.select(*keep, F.col(value).alias("_value"), F.explode(F.array(update_struct(value))).alias("_js"))
+    cols = parse_update_columns("_js")
+    staged = once.select(*keep, "_value", *[c.alias(f"_{k}") for k, c in cols.items()])
     parsed = staged.where(F.col("_reason").isNull()).select(
         *keep, F.col("_group_id").alias("group_id"), F.col("_decision").alias("decision"),
         F.col("_score").alias("score"), F.lit(1.0).alias("cnt"))
@@ -127,9 +136,7 @@ def parse_subscription(value: str | Column) -> dict[str, Column]:
 
 def eg_payload(best: str | Column, others: str | Column, epsilon: float) -> Column:
     """Epsilon-greedy payload ``{"random":[...],"best":"...","epsilon":x}`` (fixed key order)."""
-    quoted = F.transform(_c(others), lambda x: F.concat(F.lit('"'), x, F.lit('"')))
-    return F.concat(F.lit('{"random":['), F.array_join(quoted, ","), F.lit('],"best":"'), _c(best),
-                    F.lit(f'","epsilon":{epsilon}}}'))
+    return F.to_json(F.struct(_c(others).alias("random"), _c(best).alias("best"), F.lit(float(epsilon)).alias("epsilon")))
 
 
 EG_SCHEMA = "random ARRAY<STRING>, best STRING, epsilon DOUBLE"

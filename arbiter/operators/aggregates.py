@@ -2,7 +2,7 @@
 
 All are plain ``groupBy().agg()``: Spark plans a partial (map-side) aggregate before the
 shuffle, so a hot key is combined per input partition before any exchange.
-Money-like sums are exact DECIMAL(18,2) sums, converted to double at the end.
+Costs are summed as exact decimals and converted to double at the end.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..adapters import money
+from ..adapters import exact
 
 
 def score_sum(cost: str = "cost") -> Column:
     """Sum of scores (score = 0 - cost), exact."""
-    return (-F.sum(money(cost))).cast("double")
+    return (-F.sum(exact(cost))).cast("double")
 
 
 def arm_totals(updates: DataFrame, keys: Sequence[str] = ("group_id", "decision"),
@@ -43,7 +43,7 @@ def sliding_arm_totals(updates: DataFrame, window: str, slide: str, ts: str = "t
     """
     w = F.col(weight) if weight else F.lit(1)
     return (updates.groupBy(F.window(ts, window, slide).alias("w"), *keys)
-            .agg((-F.sum(money("cost") * w)).cast("double").alias("score_sum"),
+            .agg((-F.sum(exact("cost") * w)).cast("double").alias("score_sum"),
                  F.sum(w).cast("bigint").alias("cnt"))
             .select(F.unix_seconds(F.col("w.start")).alias("window_start"),
                     F.unix_seconds(F.col("w.end")).alias("window_end"), *keys, "score_sum", "cnt"))

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..adapters import exact
+
 STATE_T = "array<struct<epoch:bigint,s:double,c:double>>"
 
 # The Catalyst fold appends to an array, O(E^2) per arm in the number of epochs E. Up to this
@@ -24,9 +26,9 @@ MAX_FOLD_EPOCHS = 2048
 
 
 def per_epoch_totals(updates: DataFrame, keys=("group_id", "decision"), epoch: str = "epoch") -> DataFrame:
-    """A1 per epoch: exact score sum (in cents) and count per (keys, epoch)."""
+    """A1 per epoch: exact score sum and count per (keys, epoch)."""
     return (updates.groupBy(*keys, epoch)
-            .agg((-F.sum("cost_cents")).cast("double").alias("xs"),
+            .agg((-F.sum(exact("cost"))).cast("double").alias("xs"),
                  F.count(F.lit(1)).cast("double").alias("xc")))
 
 
@@ -47,7 +49,7 @@ def _step(gamma: float):
 
 def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
                      reset_period: int | None = None, keys=("group_id", "decision"),
-                     scale: float = 100.0, first_epoch: int = 0, method: str = "auto") -> DataFrame:
+                     first_epoch: int = 0, method: str = "auto") -> DataFrame:
     """A3 (and A4 when ``reset_period`` is set): dense decayed state per (keys, epoch).
 
     ``totals``: ``(keys, epoch, xs, xc)`` from :func:`per_epoch_totals`.
@@ -55,7 +57,7 @@ def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
     ``reset_period``: epochs ``k*period .. k*period+period-1`` form one segment; the state starts
     empty at each segment start (A4), and an arm is emitted only from its first epoch with data
     in the segment up to the segment end.
-    Output: ``keys, epoch, score_sum, cnt`` (score_sum divided by ``scale``; cents -> units).
+    Output: ``keys, epoch, score_sum, cnt``.
     """
     part = list(keys)
     t = totals
@@ -64,7 +66,7 @@ def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
         part.append("segment")
     span = min(reset_period or last_epoch + 1, last_epoch - first_epoch + 1)
     if method == "loop" or (method == "auto" and span > MAX_FOLD_EPOCHS):
-        return _loop_state(t, part, keys, gamma, last_epoch, reset_period, scale)
+        return _loop_state(t, part, keys, gamma, last_epoch, reset_period)
     arms = t.groupBy(*part).agg(
         F.min("epoch").alias("e0"),
         F.map_from_entries(F.collect_list(F.struct("epoch", F.struct("xs", "xc")))).alias("x"))
@@ -76,13 +78,13 @@ def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
                          lambda acc, e: step(acc, e, F.try_element_at(F.col("x"), e)))
     out = arms.select(*part, F.explode(folded).alias("st"))
     cols = [*keys, F.col("st.epoch").alias("epoch"),
-            (F.col("st.s") / F.lit(scale)).alias("score_sum"), F.col("st.c").alias("cnt")]
+            F.col("st.s").alias("score_sum"), F.col("st.c").alias("cnt")]
     if reset_period:
         cols.insert(len(keys), "segment")
     return out.select(*cols)
 
 
-def _loop_state(t: DataFrame, part, keys, gamma: float, last_epoch: int, reset_period, scale: float) -> DataFrame:
+def _loop_state(t: DataFrame, part, keys, gamma: float, last_epoch: int, reset_period) -> DataFrame:
     """Linear-time form of the fold: one pandas group per arm (bounded by its epochs)."""
     import numpy as np
     import pandas as pd
@@ -117,7 +119,7 @@ def _loop_state(t: DataFrame, part, keys, gamma: float, last_epoch: int, reset_p
     types = dict(t.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in part) + ", epoch bigint, s double, c double"
     out = t.select(*part, "epoch", "xs", "xc").groupBy(*part).applyInPandas(fold, schema)
-    cols = [*keys, "epoch", (F.col("s") / F.lit(scale)).alias("score_sum"), F.col("c").alias("cnt")]
+    cols = [*keys, "epoch", F.col("s").alias("score_sum"), F.col("c").alias("cnt")]
     if reset_period:
         cols.insert(len(keys), "segment")
     return out.select(*cols)

@@ -111,10 +111,10 @@ def with_lookback(df: DataFrame, ord_col: str, lookback: int, block: int = 65536
     if lookback >= block:
         raise ValueError("lookback must be smaller than the block")
     blk = F.floor(F.col(ord_col) / block)
-    base = df.withColumn("_blk", blk).withColumn("_carry", F.lit(False))
-    carry = (df.where(F.pmod(F.col(ord_col), F.lit(block)) >= block - lookback)
-             .withColumn("_blk", blk + 1).withColumn("_carry", F.lit(True)))
-    return base.unionByName(carry)
+    own = F.struct(blk.alias("_blk"), F.lit(False).alias("_carry"))
+    carry = F.struct((blk + 1).alias("_blk"), F.lit(True).alias("_carry"))
+    copies = F.when(F.pmod(F.col(ord_col), F.lit(block)) >= block - lookback, F.array(own, carry)).otherwise(F.array(own))
+    return df.select("*", F.inline(copies))
 
 
 def lag_global(df: DataFrame, ord_col: str, col: str | Column, name: str, block: int = 65536,

@@ -1,7 +1,7 @@
 """Series, blocks and latency reports.
 
 Global order comes from :mod:`ordinal` (bucketed ranks, never a single-partition window);
-rolling frames use bounded look-back blocks. Money-like sums are exact decimals and integer
+rolling frames use bounded look-back blocks. Costs are summed as exact decimals and integer
 microseconds, so results do not depend on summation order.
 """
 
@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..adapters import money
+from ..adapters import exact
 from .ordinal import lag_global, with_lookback, with_ordinal
 
 
 def block_means(df: DataFrame, ord_col: str, value: str, block: int, partition_by: Sequence[str] = ()) -> DataFrame:
     """Mean of each full block of ``block`` rows, labelled by its last 1-based ordinal."""
     b = (df.groupBy(*partition_by, F.floor(F.col(ord_col) / block).alias("_blk"))
-         .agg(F.sum(money(value)).alias("_s"), F.count(F.lit(1)).alias("_n"))
+         .agg(F.sum(exact(value)).alias("_s"), F.count(F.lit(1)).alias("_n"))
          .where(F.col("_n") == block))
     return b.select(*partition_by, ((F.col("_blk") + 1) * block).cast("bigint").alias("label"),
                     (F.col("_s").cast("double") / F.col("_n")).alias("mean_value"))
@@ -29,7 +29,7 @@ def rolling_mean(df: DataFrame, ord_col: str, value: str, rows: int, block: int
     """Mean over the last ``rows`` rows (fewer at the start), in global ordinal order."""
     t = with_lookback(df, ord_col, rows - 1, block)
     w = Window.partitionBy("_blk").orderBy(ord_col).rowsBetween(-(rows - 1), 0)
-    return (t.withColumn("rolling_mean", F.sum(money(value)).over(w).cast("double") / F.count(F.lit(1)).over(w))
+    return (t.withColumn("rolling_mean", F.sum(exact(value)).over(w).cast("double") / F.count(F.lit(1)).over(w))
             .where(~F.col("_carry")).drop("_blk", "_carry"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..adapters import money
+from ..adapters import exact
 from ..functions.parsing import minute_offset, offered, parse_trace_line, second_offset
 from .joins import small
 from .ordinal import with_ordinal
@@ -59,7 +59,7 @@ def per_second(records: DataFrame, sec: str = "sec", ok: str = "offered", cost:
     """A14 + A15 + A26: sessions sent, succeeded and mean cost (over successes) per second."""
     return (records.groupBy(sec)
             .agg(F.count(F.lit(1)).alias("n_sent"), F.count_if(F.col(ok)).alias("n_ok"),
-                 F.sum(F.when(F.col(ok), money(cost))).alias("_s"))
+                 F.sum(F.when(F.col(ok), exact(cost))).alias("_s"))
             .withColumn("mean_cost", F.when(F.col("n_ok") > 0, F.col("_s").cast("double") / F.col("n_ok")))
             .drop("_s"))
 
@@ -67,8 +67,8 @@ def per_second(records: DataFrame, sec: str = "sec", ok: str = "offered", cost:
 def failover(rows: DataFrame, bucket: str, status: str, cost: str = "cost") -> DataFrame:
     """Per bucket, mean cost over all requests (failed ones use the local decision's cost)
     and split by status (``all`` rows plus one row per status)."""
-    by_status = rows.groupBy(bucket, status).agg(F.sum(money(cost)).alias("_s"), F.count(F.lit(1)).alias("n"))
-    overall = rows.groupBy(bucket).agg(F.sum(money(cost)).alias("_s"), F.count(F.lit(1)).alias("n")) \
+    by_status = rows.groupBy(bucket, status).agg(F.sum(exact(cost)).alias("_s"), F.count(F.lit(1)).alias("n"))
+    overall = rows.groupBy(bucket).agg(F.sum(exact(cost)).alias("_s"), F.count(F.lit(1)).alias("n")) \
         .withColumn(status, F.lit("all"))
     out = by_status.unionByName(overall)
     return out.withColumn("mean_cost", F.col("_s").cast("double") / F.col("n")).drop("_s")

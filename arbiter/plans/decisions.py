@@ -113,6 +113,49 @@ def warm_start_window_q(spark, d):
     return agg.sliding_arm_totals(seeded, WINDOW, SLIDE, weight="weight")
 
 
+# ---- costs far below a cent: 5 decimals, as ratios have them ------------------------------------
+
+RATIO_SQL = """updates AS (
+  SELECT event_id, ts, CAST(user_id % 8 AS VARCHAR) AS group_id, event_type AS decision, event_id % 997 AS n,
+         (epoch_us(ts) - 1704067200000000) // 21600000000 AS epoch FROM events)"""
+RATIO_SUM = "CAST(-sum(n) AS DOUBLE) / 100000"
+
+
+def ratios(spark, d) -> DataFrame:
+    return updates(spark, d).withColumn("cost", (F.col("event_id") % 997).cast("double") / 100000)
+
+
+@query("arm_totals_ratio", f"""WITH {RATIO_SQL}
+SELECT group_id, decision, {RATIO_SUM} AS score_sum, count(*) AS cnt, {RATIO_SUM} / count(*) AS mean_score
+FROM updates GROUP BY group_id, decision""")
+def arm_totals_ratio_q(spark, d):
+    return agg.arm_totals(ratios(spark, d))
+
+
+@query("best_arm_ratio", f"""WITH {RATIO_SQL},
+t AS (SELECT group_id, decision, {RATIO_SUM} / count(*) AS mean_score FROM updates GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY mean_score DESC, decision) AS rn FROM t)
+SELECT group_id, decision AS best FROM r WHERE rn = 1""")
+def best_arm_ratio_q(spark, d):
+    return policies.best_arm(agg.arm_totals(ratios(spark, d))).select("group_id", "best")
+
+
+@query("sliding_ratio", f"""WITH {RATIO_SQL}, {SLIDING_ROWS}
+SELECT window_start, window_start + {_WIN_S} AS window_end, group_id, decision, {RATIO_SUM} AS score_sum, count(*) AS cnt
+FROM slid GROUP BY window_start, group_id, decision""")
+def sliding_ratio_q(spark, d):
+    return agg.sliding_arm_totals(ratios(spark, d), WINDOW, SLIDE)
+
+
+@query("discounted_ratio", f"""WITH RECURSIVE {RATIO_SQL},
+totals AS (SELECT group_id, decision, {RATIO_SUM} AS xs, CAST(count(*) AS DOUBLE) AS xc, epoch
+           FROM updates GROUP BY group_id, decision, epoch), {state_sql()}
+SELECT group_id, decision, epoch, score_sum, cnt FROM state""")
+def discounted_ratio_q(spark, d):
+    upd = ratios(spark, d)
+    return discount.discounted_state(discount.per_epoch_totals(upd), GAMMA, last_epoch(upd))
+
+
 # ---- greedy / epsilon-greedy -------------------------------------------------------------------
 
 @query("best_arm", f"""WITH {UPDATES},

@@ -84,7 +84,7 @@ def policy_pivot_q(spark, d):
     l = (e.groupBy((F.col("user_id") % 8).cast("string").alias("group_id"),
                    F.floor((ad.ts_micros("ts") - ad.EPOCH_BASE_US) / 3600000000).cast("bigint").alias("i"),
                    F.col("event_type").alias("policy"))
-         .agg(F.sum(ad.money("value")).alias("s"), F.count(F.lit(1)).alias("n")))
+         .agg(F.sum(ad.exact("value")).alias("s"), F.count(F.lit(1)).alias("n")))
     long = (l.select(F.lit("cost").alias("feature_type"), "group_id", "i", "policy",
                      (F.col("s").cast("double") / F.col("n")).alias("v"))
             .unionByName(l.select(F.lit("sessions").alias("feature_type"), "group_id", "i", "policy",
@@ -138,7 +138,7 @@ st AS (SELECT min(sent_us) AS s FROM ok)"""
 def outcomes(spark, d) -> DataFrame:
     e = ad.table(spark, d, "events")
     return e.select("event_id", ad.ts_micros("ts").alias("sent_us"),
-                    (ad.money("value") * 1000000).cast("bigint").alias("rt_us"),
+                    (ad.exact("value") * 1000000).cast("bigint").alias("rt_us"),
                     (F.col("event_type") != "error").alias("ok"))
 
 
@@ -211,8 +211,8 @@ def run_rollup_q(spark, d):
 
 def reports(spark, d) -> DataFrame:
     p = ad.table(spark, d, "part")
-    runs = p.groupBy("p_type", "p_brand").agg(F.count(F.lit(1)).alias("n"), F.max(ad.money("p_retailprice")).alias("hi"),
-                                              F.min(ad.money("p_retailprice")).alias("lo"))
+    runs = p.groupBy("p_type", "p_brand").agg(F.count(F.lit(1)).alias("n"), F.max(ad.exact("p_retailprice")).alias("hi"),
+                                              F.min(ad.exact("p_retailprice")).alias("lo"))
     text = F.concat_ws("\n", F.lit("Concurrency Level:      7"),
                        F.concat(F.lit("Complete requests:      "), F.col("n").cast("string")),
                        F.concat(F.lit("Requests per second:    "), F.col("hi").cast("string"), F.lit(" [#/sec] (mean)")),

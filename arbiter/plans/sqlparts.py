@@ -12,14 +12,13 @@ WARM_RPS = 2         # warm start loads RPS * 60 copies of a historic update
 UPDATES = """updates AS (
   SELECT event_id, ts, epoch_us(ts) AS ts_us,
          CAST(user_id % 8 AS VARCHAR) AS group_id, event_type AS decision, value AS cost,
-         CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT) AS cost_cents,
          (epoch_us(ts) - 1704067200000000) // 21600000000 AS epoch
   FROM events)"""
 
 SCORE_SUM = "CAST(-sum(CAST(cost AS DECIMAL(18,2))) AS DOUBLE)"
 
 TOTALS = """totals AS (
-  SELECT group_id, decision, -CAST(sum(cost_cents) AS DOUBLE) AS xs, CAST(count(*) AS DOUBLE) AS xc, epoch
+  SELECT group_id, decision, CAST(-sum(CAST(cost AS DECIMAL(18,9))) AS DOUBLE) AS xs, CAST(count(*) AS DOUBLE) AS xc, epoch
   FROM updates GROUP BY group_id, decision, epoch)"""
 
 
@@ -41,7 +40,7 @@ rec(group_id, decision, segment, epoch, s, c) AS (
   FROM rec r CROSS JOIN lastE
   LEFT JOIN t2 ON t2.group_id = r.group_id AND t2.decision = r.decision AND t2.epoch = r.epoch + 1
   WHERE r.epoch + 1 <= {end.replace('segment', 'r.segment')}),
-state AS (SELECT group_id, decision, segment, epoch, s / 100.0 AS score_sum, c AS cnt FROM rec)"""
+state AS (SELECT group_id, decision, segment, epoch, s AS score_sum, c AS cnt FROM rec)"""
 
 
 def ucb_schedule_sql(src: str = "state", picks: int = PICKS, gamma: float = GAMMA) -> str:

@@ -104,7 +104,7 @@ SELECT sec, count(*) AS n_sent, count(*) FILTER (WHERE offered) AS n_ok,
 FROM lf GROUP BY sec""")
 def evaluate_policy_q(spark, d):
     c = with_load(spark, d)
-    c = c.withColumn("cost", F.when(F.col("offered"), ad.money("cost") * F.col("factor").cast("decimal(10,2)")))
+    c = c.withColumn("cost", F.when(F.col("offered"), ad.exact("cost") * F.col("factor").cast("decimal(10,2)")))
     out = c.groupBy("sec").agg(F.count(F.lit(1)).alias("n_sent"), F.count_if("offered").alias("n_ok"),
                                F.sum("cost").alias("_s"))
     return out.select("sec", "n_sent", "n_ok",

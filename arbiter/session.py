@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Python dict semantics for maps built from lists with repeated keys: last one wins.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Rows can be whole documents: small Arrow batches keep Python workers' memory bounded.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Keep one from_json per message: field pruning would split it into one parse per field
     # once a filter on the parsed fields is pushed below the parse.
     "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
@@ -40,14 +42,15 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 def apply_session_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.mapKeyDedupPolicy", "spark.sql.optimizer.enableJsonExpressionOptimization"):
+              "spark.sql.mapKeyDedupPolicy", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.optimizer.enableJsonExpressionOptimization"):
         spark.conf.set(k, BASE_CONF[k])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a private folder is created and set.
+    Only when a local session (tests) names none, a private folder is created and set; on a cluster
+    executors couldn't see it, so there an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -57,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir isn't set: name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="arbiter-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None:

@@ -38,7 +38,7 @@ class SnapshotTable:
         if version is None:
             version = vs[-1] if vs else None
         elif version not in vs:
-            version = max((v for v in vs if v <= version), default=None)
+            raise ValueError(f"{self.root} has no version {version}; it has {vs[-5:]}")
         if version is None:
             return self.spark.createDataFrame([], schema) if schema else None
         return self.spark.read.parquet(f"{self.root}/v={version}")

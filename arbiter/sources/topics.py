@@ -22,28 +22,40 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", root: str |
     r = spark.readStream.format("text")
     for k, v in opts.items():
         r = r.option(k, v)
-    return r.load(f"{root.rstrip('/')}/{topic}").select("value", F.current_timestamp().alias("timestamp"))
+    # a file's place in time stands for the broker's offset; lines of one file share it
+    offset = F.unix_micros("_metadata.file_modification_time")
+    return r.load(f"{root.rstrip('/')}/{topic}").select("value", F.current_timestamp().alias("timestamp"), offset.alias("offset"))
 
 
 def write_topic(df: DataFrame, checkpoint: str, topic: str | None = None, fmt: str = "kafka",
                 root: str | None = None, options: dict | None = None, trigger: dict | None = None):
     """One message per row. With a ``topic`` column and no fixed topic, each row is routed
     by its own topic (Kafka does this natively; the file form partitions by topic)."""
-    w = df.writeStream.option("checkpointLocation", checkpoint)
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
-    if trigger:
-        w = w.trigger(**trigger)
+    out = topic_rows(df, topic, fmt)
+    w = topic_writer(out.writeStream, checkpoint, topic, fmt, options, trigger)
     if fmt == "kafka":
-        cols = ["CAST(value AS STRING) AS value"] + (["topic"] if topic is None else [])
-        w = df.selectExpr(*cols).writeStream.option("checkpointLocation", checkpoint).format("kafka")
-        if topic is not None:
-            w = w.option("topic", topic)
         return w.start()
-    if topic is not None:
-        return w.format("text").start(f"{root.rstrip('/')}/{topic}")
-    return df.select("topic", "value").writeStream.option("checkpointLocation", checkpoint) \
-        .partitionBy("topic").format("text").trigger(**(trigger or {"availableNow": True})).start(root)
+    return w.start(f"{root.rstrip('/')}/{topic}" if topic is not None else root)
+
+
+def topic_rows(df: DataFrame, topic: str | None, fmt: str) -> DataFrame:
+    """The columns a topic sink takes: value, the key if there is one (Kafka), the topic if it isn't fixed."""
+    cols = [F.col("value").cast("string").alias("value")]
+    if fmt == "kafka" and "key" in df.columns:
+        cols.append(F.col("key").cast("string").alias("key"))
+    return df.select(*cols, *(["topic"] if topic is None else []))
+
+
+def topic_writer(w, checkpoint: str, topic: str | None, fmt: str, options: dict | None, trigger: dict | None):
+    """The stream writer with its checkpoint, all options, the trigger and the routing by topic."""
+    w = w.option("checkpointLocation", checkpoint).format("kafka" if fmt == "kafka" else "text")
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    if fmt == "kafka" and topic is not None:
+        w = w.option("topic", topic)
+    if fmt != "kafka" and topic is None:
+        w = w.partitionBy("topic")
+    return w.trigger(**(trigger or {"availableNow": True})) if trigger or topic is None and fmt != "kafka" else w
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet", partition_by=()) -> None:

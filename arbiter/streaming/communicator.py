@@ -50,10 +50,12 @@ class Communicator:
                 .dropDuplicates(["group_id", "cluster_id"]))
 
     def registry(self) -> DataFrame:
-        try:
-            return self.spark.read.parquet(self.registry_path).select("group_id", "cluster_id").distinct()
-        except Exception:  # noqa: BLE001 - nothing subscribed yet
-            return self.spark.createDataFrame([], "group_id STRING, cluster_id STRING")
+        """The subscriptions so far; only a missing folder means that there are none yet."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.registry_path)
+        schema = "group_id STRING, cluster_id STRING"
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.registry_path).distinct()
 
     # -- decision: fan-out to subscribers (J2, E19, S3) ---------------------------------------------
     def decision_batch(self, batch: DataFrame, batch_id: int) -> None:

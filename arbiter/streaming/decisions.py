@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..adapters import exact
 from ..functions.parsing import decision_message, parse_updates
 from ..operators import policies
 from ..operators.discount import merge_state
@@ -35,9 +36,8 @@ class DecisionStream:
 
     def totals(self, batch: DataFrame) -> DataFrame:
         parsed, _ = parse_updates(batch)
-        cents = (-F.col("score")).cast("decimal(18,2)") * 100
         return parsed.groupBy("group_id", "decision").agg(
-            (-F.sum(cents)).cast("double").alias("xs"), F.count(F.lit(1)).cast("double").alias("xc"))
+            F.sum(exact("score")).cast("double").alias("xs"), F.count(F.lit(1)).cast("double").alias("xc"))
 
     def process(self, batch: DataFrame, epoch: int) -> None:
         """``foreachBatch`` body; ``epoch`` is the batch id."""
@@ -55,7 +55,7 @@ class DecisionStream:
         self.state.write(new, epoch)
         st = self.state.read(epoch)
         view = st.select("group_id", "decision", F.lit(epoch).cast("bigint").alias("epoch"),
-                         (F.col("s") / 100.0).alias("score_sum"), F.col("c").alias("cnt"))
+                         F.col("s").alias("score_sum"), F.col("c").alias("cnt"))
         sched = policies.ucb_schedule(view, self.picks, self.gamma)
         payload = policies.reset_payload(F.col("schedule"), F.col("epoch"), self.reset) if self.reset else F.col("schedule")
         out = sched.select("epoch", "group_id", payload.alias("payload")) \
@@ -79,7 +79,7 @@ class DecisionStream:
 class EpochDecisionStream:
     """Event-time form of the decision maker: epochs come from the data, not from the trigger.
 
-    Each micro-batch carries updates ``(group_id, decision, cost_cents, epoch)``. The stored state
+    Each micro-batch carries updates ``(group_id, decision, cost, epoch)``. The stored state
     is the decayed state at the last processed epoch ``L``; a batch folds forward from it through
     every epoch up to its newest one (the batch fold of :mod:`operators.discount`, seeded with the
     stored state), emits one schedule per group and epoch, and stores the state at the new last
@@ -98,8 +98,8 @@ class EpochDecisionStream:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         from ..operators.discount import discounted_state, per_epoch_totals
         from ..sources.topics import write_batch
-        prev = self.state.read(batch_id - 1) if batch_id > 0 else None
-        last_closed = -1 if prev is None else int(prev.agg(F.max("epoch")).first()[0] or -1)
+        prev = self.state.read(batch_id - 1) if batch_id > 0 else None  # raises when that version is gone
+        last_closed = -1 if prev is None else int(prev.agg(F.max("epoch")).first()[0])
         batch = batch.persist()
         write_batch(batch.where(F.col("epoch") <= last_closed), self.late, batch_id)
         fresh = batch.where(F.col("epoch") > last_closed)
@@ -115,13 +115,13 @@ class EpochDecisionStream:
         if prev is not None and not segment_closed:
             totals = totals.unionByName(prev.select("group_id", "decision", "epoch",
                                                     F.col("s").alias("xs"), F.col("c").alias("xc")))
-        st = discounted_state(totals, self.gamma, int(newest), reset_period=self.reset, scale=1.0,
+        st = discounted_state(totals, self.gamma, int(newest), reset_period=self.reset,
                               first_epoch=max(last_closed, 0))
         st = st.persist()
         # the newest epoch has data, so its segment has at least one arm: the stored state is never empty
         self.state.write(st.where(F.col("epoch") == int(newest)).select(
             "group_id", "decision", "epoch", F.col("score_sum").alias("s"), F.col("cnt").alias("c")), batch_id)
-        view = st.where(F.col("epoch") > last_closed).withColumn("score_sum", F.col("score_sum") / 100.0)
+        view = st.where(F.col("epoch") > last_closed)
         sched = policies.ucb_schedule(view, self.picks, self.gamma)
         payload = policies.reset_payload(F.col("schedule"), F.col("epoch"), self.reset) if self.reset else F.col("schedule")
         out = sched.select("epoch", "group_id", payload.alias("payload")) \

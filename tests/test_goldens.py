@@ -24,8 +24,8 @@ def test_g1_parse(spark):
 
 
 def _g2_updates(spark):
-    data = [("g", "a", 1, 1000), ("g", "a", 1, 2000), ("g", "b", 2, 800)]
-    return spark.createDataFrame(data, "group_id STRING, decision STRING, epoch BIGINT, cost_cents BIGINT")
+    data = [("g", "a", 1, 10.0), ("g", "a", 1, 20.0), ("g", "b", 2, 8.0)]
+    return spark.createDataFrame(data, "group_id STRING, decision STRING, epoch BIGINT, cost DOUBLE")
 
 
 def test_g2_discount_and_schedule(spark):
@@ -46,8 +46,8 @@ def test_g3_schedule(spark):
 
 
 def test_g4_reset(spark):
-    data = [("g1", "a", 0, 100), ("g2", "a", 0, 100), ("g1", "a", 16, 100)]
-    upd = spark.createDataFrame(data, "group_id STRING, decision STRING, epoch BIGINT, cost_cents BIGINT")
+    data = [("g1", "a", 0, 1.0), ("g2", "a", 0, 1.0), ("g1", "a", 16, 1.0)]
+    upd = spark.createDataFrame(data, "group_id STRING, decision STRING, epoch BIGINT, cost DOUBLE")
     st = discount.discounted_state(discount.per_epoch_totals(upd), 0.5, last_epoch=17, reset_period=15)
     sch = policies.ucb_schedule(st, 2, 0.5)
     out = sch.select("group_id", "epoch", policies.reset_payload(F.col("schedule"), F.col("epoch"), 15).alias("p"))

@@ -50,7 +50,7 @@ def test_decision_stream_equals_batch_with_restart(spark):
     upd = ad.updates(ad.table(spark, SF, "events")).where(F.col("epoch") < n_epochs) \
         .where(F.col("decision") != "error")          # error events carry no cost: rejected by the parser
     st = discount.discounted_state(discount.per_epoch_totals(upd), 0.5, n_epochs - 1, reset_period=5)
-    got = ds.current_state().select("group_id", "decision", (F.col("s") / 100.0).alias("score_sum"), F.col("c").alias("cnt"))
+    got = ds.current_state().select("group_id", "decision", F.col("s").alias("score_sum"), F.col("c").alias("cnt"))
     want = st.where(F.col("epoch") == n_epochs - 1).select("group_id", "decision", "score_sum", "cnt")
     assert sorted(got.collect()) == sorted(want.collect())
 
@@ -169,13 +169,13 @@ def test_topic_sink_routes_by_column_and_four_flows_start(spark):
     assert fwd.where("topic = 'internal_groups' AND dest_cluster = 'c4'").count() == 1
 
 
-@pytest.mark.parametrize("reset", [None, 15])
-def test_event_time_stream_equals_batch(spark, reset):
+@pytest.mark.parametrize("reset,first", [(None, 40), (15, 40), (None, 1), (15, 1)])
+def test_event_time_stream_equals_batch(spark, reset, first):
     from arbiter.streaming.decisions import EpochDecisionStream
     base = tempfile.mkdtemp(prefix="arbiter-evt-")
-    upd = ad.updates(ad.table(spark, SF, "events")).select("group_id", "decision", "cost_cents", "epoch")
+    upd = ad.updates(ad.table(spark, SF, "events")).select("group_id", "decision", "cost", "epoch")
     # three micro-batches covering consecutive epoch ranges, plus one late row in the last one
-    for i, (lo, hi) in enumerate(((0, 40), (40, 90), (90, 120))):
+    for i, (lo, hi) in enumerate(((0, first), (first, 90), (90, 120))):
         part = upd.where((F.col("epoch") >= lo) & (F.col("epoch") < hi))
         if i == 2:
             part = part.unionByName(upd.where(F.col("epoch") == 5).limit(1))
