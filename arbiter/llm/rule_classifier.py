@@ -26,8 +26,8 @@ def text_statistics(text: Column) -> dict[str, Column]:
     """Statistics of a non-null text; every one is 0 where it is undefined (no words, no lines)."""
     words = F.regexp_extract_all(text, F.lit(WORD), 0)
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.btrim(x, F.lit(WHITE))) > 0)
-    n, visible = F.size(words), F.length(F.translate(text, WHITE, ""))
-    count = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
+    count = lambda chars: F.regexp_count(text, F.lit(f"[{chars}]"))
+    n, visible = F.size(words), F.length(text) - count(r"\x20\x09-\x0D")
     per = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     return {
         "log_words": F.log1p(n),
@@ -35,8 +35,8 @@ def text_statistics(text: Column) -> dict[str, Column]:
         "symbols": per(count(SYMBOLS), visible),
         "exclaims": per(count("!?"), visible),
         "stops": per(count(".,;:"), visible),
-        "digits": per(count("0123456789"), visible),
-        "capitals": per(F.regexp_count(text, F.lit(r"\p{Lu}")), visible),
+        "digits": per(count("0-9"), visible),
+        "capitals": per(count(r"\p{Lu}"), visible),
         "distinct_words": per(F.size(F.array_distinct(words)), n),
         "line_words": per(n, F.size(lines)),
         "repeated_lines": per(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines)),
