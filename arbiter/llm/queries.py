@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 @query("op1_substring_dedup")
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.substring_dedup import remove_repeated
-    made = remove_repeated(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    made = remove_repeated(read_table(spark, sf_dir, "documents"), window=35)
     return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
@@ -39,7 +39,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_sentence_pieces")
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.sentence_pieces import encode
-    return encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return encode(read_table(spark, sf_dir, "documents"))
 
 
 @query("op4_exact_dedup", """
@@ -60,7 +60,8 @@ def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.pii_crf import KINDS, find_pii
     found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     packed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(packed("base"), 256).alias("base_sha256"), packed("spans").alias("spans"))
 
 
