@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RULES_FOR_CASE = 20000  # up to this many paths the rules compile into the projection (map lookups)
+from ..operators.joins import small
+
 PATH_T = "array<struct<field:int,key:string>>"
 
 
@@ -23,14 +24,26 @@ def node_schema(depth: int) -> str:
     return node
 
 
-def flatten_rules(docs: DataFrame, doc: str = "rules", doc_id: str = "doc_id", depth: int = 4) -> DataFrame:
-    """Rule documents -> one row per root-to-leaf path, in document order.
+def rule_depth(docs: DataFrame, doc: str = "rules") -> int:
+    """Levels that the documents' rules may have: each one opens two braces outside strings (one scalar job)."""
+    step = lambda acc, c: F.struct((acc["now"] + F.when(c == "{", 1).otherwise(-1)).alias("now"),
+                                   F.greatest(acc["most"], acc["now"] + F.when(c == "{", 1).otherwise(0)).alias("most"))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    braces = F.filter(F.split(F.regexp_replace(doc, r'"(?:\\.|[^"\\])*+"|[^{}"]', ""), ""), lambda c: c != "")
+    return ((docs.agg(F.max(F.aggregate(braces, start, step)["most"])).first()[0] or 0) + 1) // 2
+
+
+def flatten_rules(docs: DataFrame, doc: str = "rules", doc_id: str = "doc_id", depth: int | None = None) -> DataFrame:
+    """Rule documents -> one row per root-to-leaf path, in document order, however deep.
+
+    ``depth`` (levels of tables) is taken from the documents unless given.
 
     Output ``doc_id, rule_order ARRAY<INT>, path ARRAY<STRUCT<field,key>>, group_name``;
     ``rule_order`` (the positions along the path) sorts the rules in document order.
     One chain of ``posexplode_outer`` steps (one per level): a leaf's missing table yields a
     single null row at the next level, so every leaf ends up as exactly one row.
     """
+    depth = rule_depth(docs, doc) if depth is None else depth
     t = docs.select(doc_id, F.from_json(F.col(doc), node_schema(depth)).alias("n0"))
     for k in range(1, depth + 1):
         t = t.select("*", F.posexplode_outer(f"n{k - 1}.Table").alias(f"p{k}", f"e{k}")) \
@@ -74,63 +87,29 @@ def rules_case(features: Column, rules: list[tuple[list[tuple[int, str]], str]])
     return expr.otherwise(F.lit(None).cast("string")) if expr is not None else F.lit(None).cast("string")
 
 
-SEP = "\u0001"
-
+def assign_groups(df: DataFrame, features: str, rule_paths: DataFrame, out: str = "rule_group") -> DataFrame:
+    """E5: add the rule group of each row (null when no rule matches; the rule latest in the document wins).
 
-def rules_lookup(features: Column, rules: list[tuple[list[tuple[int, str]], str]]) -> Column:
-    """Compile (path, group) rules, in document order, to map lookups: rules testing the same
-    fields form one literal map from their keys to (document position, group); a row looks up
-    each field set once and the matching rule latest in the document wins. The expression grows
-    with the number of distinct field sets, not with the number of rules."""
-    by_fields: dict[tuple[int, ...], dict[tuple[str, ...], tuple[int, str]]] = {}
-    for order, (path, group) in enumerate(rules):
-        fields = tuple(int(f) for f, _ in path)
-        by_fields.setdefault(fields, {})[tuple(k for _, k in path)] = (order, group)   # a later duplicate wins
+    Rules that test the same fields form one table from their keys to their latest (order, group), and a
+    row joins each table once, by the values of those fields: one match at most, so rows neither
+    multiply nor need a key. The plan grows with the distinct field sets (read to the driver), not with the rules.
+    """
+    rules = rule_paths.select(F.transform("path", lambda p: p["field"]).alias("_fields"),
+                              F.transform("path", lambda p: p["key"]).alias("_keys"), "rule_order", "group_name")
+    last = rules.groupBy("_fields", "_keys").agg(F.max(F.struct("rule_order", "group_name")).alias("_hit"))
+    sets = sorted(tuple(r["_fields"]) for r in last.select("_fields").distinct().collect())
     hits = []
-    for fields, table in by_fields.items():
-        if not fields:
-            order, group = table[()]
-            hits.append(F.struct(F.lit(order).alias("o"), F.lit(group).alias("g")))
-            continue
-        parts = [F.get(features, f) for f in fields]
-        present = F.lit(True)
+    for i, fields in enumerate(sets):
+        same = F.array(*[F.lit(f) for f in fields]) if fields else F.array().cast("array<int>")
+        table = last.where(F.col("_fields") == same).select(F.col("_keys").alias(f"_k{i}"), F.col("_hit").alias(f"_h{i}"))
+        parts = [F.get(F.col(features), f) for f in fields]
+        key = F.array(*parts) if parts else F.array().cast("array<string>")
         for x in parts:
-            present = present & x.isNotNull()
-        key = F.when(present, F.concat_ws(SEP, *parts))
-        entries = []
-        for keys, (order, group) in table.items():
-            entries += [F.lit(SEP.join(keys)), F.struct(F.lit(order).alias("o"), F.lit(group).alias("g"))]
-        hits.append(F.try_element_at(F.create_map(*entries), key))
+            key = F.when(x.isNotNull(), key)
+        # rules without a test have one table row at most
+        df = df.join(small(table) if fields else F.broadcast(table), key == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+        hits.append(f"_h{i}")
     if not hits:
-        return F.lit(None).cast("string")
-    best = hits[0] if len(hits) == 1 else F.greatest(*hits)
-    return best["g"]
-
-
-def assign_groups(df: DataFrame, features: str, rule_paths: DataFrame, out: str = "rule_group",
-                  row_key: str | None = None) -> DataFrame:
-    """E5: add the rule group of each row (null when no rule matches).
-
-    Rule sets up to ``MAX_RULES_FOR_CASE`` paths (checked count) compile into the projection as
-    map lookups (:func:`rules_lookup`); larger ones are matched by an equi-join on the root
-    (field, key), a ``forall`` over the rest of the path and ``max_by(group, rule_order)`` per row
-    (``row_key`` must identify rows).
-    """
-    # one bounded read: at most MAX_RULES_FOR_CASE + 1 rules reach the driver
-    head = rule_paths.select("rule_order", "path", "group_name").limit(MAX_RULES_FOR_CASE + 1).collect()
-    if len(head) <= MAX_RULES_FOR_CASE:
-        head.sort(key=lambda r: list(r["rule_order"]))
-        rules = [([(p["field"], p["key"]) for p in r["path"]], r["group_name"]) for r in head]
-        return df.withColumn(out, rules_lookup(F.col(features), rules))
-    if row_key is None:
-        raise ValueError("row_key is required for large rule sets")
-    first = rule_paths.select(F.get("path", 0)["field"].alias("_f"), F.get("path", 0)["key"].alias("_k"),
-                              "path", "rule_order", "group_name")
-    fields = [r["_f"] for r in first.select("_f").distinct().collect()]  # root fields: a handful
-    probe = df.select(row_key, features).select(
-        row_key, features, F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.get(F.col(features), f).alias("_k"))
-                                               for f in fields])).alias("_p")).select(row_key, features, "_p.*")
-    hits = (probe.join(first, ["_f", "_k"])
-            .where(F.forall("path", lambda p: F.coalesce(F.get(F.col(features), p["field"]) == p["key"], F.lit(False))))
-            .groupBy(row_key).agg(F.max_by("group_name", "rule_order").alias(out)))
-    return df.join(hits, row_key, "left")
+        return df.withColumn(out, F.lit(None).cast("string"))
+    best = F.greatest(*hits) if len(hits) > 1 else F.col(hits[0])
+    return df.withColumn(out, best["group_name"]).drop(*hits)

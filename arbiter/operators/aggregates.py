@@ -7,8 +7,11 @@ Costs are summed as exact decimals and converted to double at the end.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +43,25 @@ def sliding_arm_totals(updates: DataFrame, window: str, slide: str, ts: str = "t
     """A2: sliding-window score sum and count per (window, keys).
 
     ``weight`` (optional) is a row multiplicity: a seed row standing for n copies (S18).
+    Rows are summed once per pane (the common divisor of window and slide); only the panes' totals are copied
+    into the windows that hold them.
     """
+    size, step = (int(pd.Timedelta(x).total_seconds()) for x in (window, slide))
+    pane = math.gcd(size, step)
+    w = F.col(weight) if weight else F.lit(1)
+    at = (F.floor(F.unix_seconds(ts) / pane) * pane).cast("bigint")
+    panes = updates.groupBy(at.alias("_at"), *keys).agg(F.sum(exact("cost") * w).alias("_s"), F.sum(w).cast("bigint").alias("_n"))
+    last = (F.floor(F.col("_at") / step) * step).cast("bigint")  # the latest window that has begun
+    starts = F.sequence(last, F.col("_at") - size + pane, F.lit(-step).cast("bigint"))
+    spread = panes.where(last >= F.col("_at") - size + pane).select("*", F.explode(starts).alias("window_start"))
+    return (spread.groupBy("window_start", *keys)
+            .agg((-F.sum("_s")).cast("double").alias("score_sum"), F.sum("_n").alias("cnt"))
+            .select("window_start", (F.col("window_start") + size).alias("window_end"), *keys, "score_sum", "cnt"))
+
+
+def sliding_arm_stream(updates: DataFrame, window: str, slide: str, ts: str = "ts",
+                       keys: Sequence[str] = ("group_id", "decision"), weight: str | None = None) -> DataFrame:
+    """A2 over a stream: one stateful aggregate per (window, keys), closed by the watermark."""
     w = F.col(weight) if weight else F.lit(1)
     return (updates.groupBy(F.window(ts, window, slide).alias("w"), *keys)
             .agg((-F.sum(exact("cost") * w)).cast("double").alias("score_sum"),

@@ -1,9 +1,8 @@
 """Distributed ordinals and bounded look-back (W8, section 7.5.4 of the design).
 
 An unpartitioned window (``row_number() over (order by ...)``) pulls all rows into one task.
-Here the rows are cut into key-range buckets (a hot key is split across buckets by its
-tiebreakers), numbered inside each bucket, and shifted by the row counts of the preceding
-buckets. The per-bucket count table has at most (buckets + keys) rows.
+Here rows are range-partitioned on the keys (a hot group is split by its order keys), numbered inside
+their partition, and shifted by the row counts of the partitions before. One way for every size.
 """
 
 from __future__ import annotations
@@ -13,90 +12,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import estimated_bytes, small
-
-
-def _n_parts(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-MAX_BUCKETS = 1024        # bucket boundaries are compared per row: keep the list short
-SAMPLES_PER_BUCKET = 64   # sampled keys per bucket when choosing the boundaries
-
-
-def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
-    """A deterministic range bucket of ``struct(keys)``.
-
-    Boundaries come from a bounded sample of the keys (at most ``buckets * SAMPLES_PER_BUCKET``
-    rows reach the driver) and are fixed into the plan as literals, so every re-evaluation --
-    a second branch of the same plan, a retried task -- assigns the same bucket. A hot key
-    value is split across buckets by the tiebreaking keys that follow it.
-    """
-    buckets = max(1, min(buckets, MAX_BUCKETS))
-    total = df.count()
-    want = buckets * SAMPLES_PER_BUCKET
-    frac = min(1.0, want / max(total, 1))
-    sample = df.select(*keys).sample(False, frac, seed=17) if frac < 1.0 else df.select(*keys)
-    rows = sorted(tuple(r) for r in sample.limit(2 * want).collect())
-    if len(rows) < 2 or buckets == 1:
-        return F.lit(0)
-    step = len(rows) / buckets
-    bounds = sorted({rows[int(i * step)] for i in range(1, buckets)})
-    types = dict(df.dtypes)
-    key = F.struct(*[F.col(k).alias(k) for k in keys])
-    lits = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds]
-    return F.size(F.filter(F.array(*lits), lambda b: b <= key))
-
-
-def _derived(df: DataFrame) -> bool:
-    """True when the plan does more than scan/project/filter (so re-running it is costly)."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # noqa: BLE001
-        return True
-    return any(k in plan for k in ("Join", "Aggregate", "Window", "Generate", "MapInPandas", "FlatMapGroupsInPandas"))
-
-
-SMALL_INPUT_BYTES = 8 << 20  # below this (estimated) size one task ranks everything with a plain window
-MAX_WINDOW_ROWS = 1_000_000  # a counted group (or whole input) up to this size is ranked by one task
+from ..session import materialize as cut
+from .joins import small
 
 
 def with_ordinal(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), name: str = "ord",
-                 partitions: int | None = None, materialize: bool | None = None, method: str = "auto") -> DataFrame:
-    """0-based position of each row in ``order`` (within ``partition_by`` groups when given).
+                 partitions: int | None = None) -> DataFrame:
+    """0-based position of each row in ``order`` (within ``partition_by`` groups when given; nulls are a group).
 
-    ``partition_by + order`` must identify rows (add a unique tiebreaker). Inputs whose
-    estimated size is below ``SMALL_INPUT_BYTES``, or whose largest group counts at most
-    ``MAX_WINDOW_ROWS`` rows, are ranked by a plain window. Larger ones are cut into
-    deterministic key-range buckets; a row's ordinal is the count of its group's rows in earlier
-    buckets plus its rank inside its bucket. Every window is partitioned by bucket (bounded),
-    none by the whole table.
+    ``partition_by + order`` must identify rows (add a unique tiebreaker). The range-partitioned rows are
+    written once (a checkpoint), so that the counts and the ranks see the same partitions, also after
+    a lost executor.
     """
-    keys = [*partition_by, *order]
-    small_input = (estimated_bytes(df) or SMALL_INPUT_BYTES + 1) <= SMALL_INPUT_BYTES
-    if method == "auto" and not small_input:
-        # count the largest group (one partial aggregate): if every group is small, one task per
-        # group ranks it; a hot group (or a large input) takes the bucketed path below
-        largest = (df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-                   if partition_by else df.count())
-        small_input = (largest or 0) <= MAX_WINDOW_ROWS
-    if method == "window" or (method == "auto" and small_input):
-        # size-checked like a broadcast: each ranked group provably fits one task
-        w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-    if materialize or (materialize is None and _derived(df)):
-        # the input is read three times (count, boundary sample, ranking): compute it once
-        from ..session import materialize as cut
-        df = cut(df)
-    b = df.withColumn("_bucket", range_buckets(df, keys, _n_parts(df, partitions)))
-    stats = b.groupBy("_bucket", *partition_by).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*partition_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    local = F.row_number().over(Window.partitionBy("_bucket", *partition_by).orderBy(*order))
-    out = b.withColumn("_local", local).join(small(stats), ["_bucket", *partition_by])
-    return out.withColumn(name, (F.col("_before") + F.col("_local") - 1).cast("bigint")).drop("_bucket", "_local", "_before")
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut(df.repartitionByRange(n, *partition_by, *order).withColumn("_part", F.spark_partition_id()))
+    counts = rows.groupBy("_part", *partition_by).agg(F.count(F.lit(1)).alias("_n"))
+    if partition_by:  # a group lies in neighbouring partitions: a row for each
+        w = Window.partitionBy(*partition_by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    else:  # at most n rows
+        earlier = F.broadcast(counts.select(F.col("_part").alias("_p"), F.col("_n").alias("_m")))
+        before = (counts.join(earlier, F.col("_p") < F.col("_part"), "left")
+                  .groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_before")))
+    local = F.row_number().over(Window.partitionBy("_part", *partition_by).orderBy(*order))
+    keys = ["_part", *partition_by]
+    before = before.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "_before")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_b{i}"))
+    out = rows.withColumn("_local", local).join(small(before) if partition_by else F.broadcast(before), same)
+    return (out.withColumn(name, (F.col("_before") + F.col("_local") - 1).cast("bigint"))
+            .drop("_local", "_before", "_part", *[f"_b{i}" for i in range(len(keys))]))
 
 
 def with_lookback(df: DataFrame, ord_col: str, lookback: int, block: int = 65536,

@@ -92,6 +92,37 @@ def rule_paths_q(spark, d):
                                  "/").alias("path"), "group_name")
 
 
+DEEP_FIELDS = ("5", "3", "2", "4", "1", "0")   # six levels
+
+
+def deep_rules(spark, d) -> DataFrame:
+    """A document with one rule of six levels per (nation, segment) of the customers."""
+    nation, region = ad.table(spark, d, "nation"), ad.table(spark, d, "region")
+    segs = ad.table(spark, d, "customer").select("c_nationkey", "c_mktsegment").distinct()
+    nr = small(nation.join(small(region), nation.n_regionkey == region.r_regionkey))
+    keys = (F.col("r_name"), F.col("n_name"), F.col("c_mktsegment"), F.col("n_nationkey").cast("string"), F.lit("x{"), F.lit("y"))
+    rule = _node(0, group=F.concat(F.col("n_name"), F.lit("/"), F.col("c_mktsegment")))
+    for level in range(5, 0, -1):
+        rule = _node(6 - level, DEEP_FIELDS[level], table=F.array(F.struct(keys[level].alias("Key"), rule.alias("Rule"))))
+    entry = F.struct(keys[0].alias("Key"), rule.alias("Rule"))
+    rows = (segs.join(nr, segs.c_nationkey == nr.n_nationkey)
+            .agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "c_mktsegment", entry.alias("e")))).alias("rows")))
+    table = F.transform("rows", lambda r: r["e"])
+    return rows.select(F.lit(1).alias("doc_id"), F.to_json(_node(6, DEEP_FIELDS[0], table=table)).alias("rules"))
+
+
+@query("rule_paths_deep", f"""WITH {NR_SQL},
+ns AS (SELECT DISTINCT r_name, n_nationkey, n_name, c_mktsegment FROM customer JOIN nr ON c_nationkey = n_nationkey)
+SELECT row_number() OVER (ORDER BY n_nationkey, c_mktsegment) - 1 AS rule_no, 6 AS depth,
+       '5=' || r_name || '/3=' || n_name || '/2=' || c_mktsegment || '/4=' || n_nationkey || '/1=x{{/0=y' AS path,
+       n_name || '/' || c_mktsegment AS group_name FROM ns""")
+def rule_paths_deep_q(spark, d):
+    p = flatten_rules(deep_rules(spark, d))
+    path = F.transform("path", lambda x: F.concat(x["field"].cast("string"), F.lit("="), x["key"]))
+    return p.select(F.get("rule_order", 0).cast("bigint").alias("rule_no"), F.size("path").alias("depth"),
+                    F.array_join(path, "/").alias("path"), "group_name")
+
+
 def _customers(spark, d):
     c = ad.customer_payloads(ad.table(spark, d, "customer"), ad.table(spark, d, "nation"), ad.table(spark, d, "region"))
     return c.withColumn("features", P.split_features("payload"))
@@ -102,7 +133,7 @@ SELECT c_custkey, CASE WHEN c_mktsegment = '{OVERRIDE_SEGMENT}' AND r_name IS NO
                        WHEN n_name IS NOT NULL THEN n_name || '/' || c_mktsegment END AS group_id
 FROM customer LEFT JOIN nr ON c_nationkey = n_nationkey""")
 def rule_group_q(spark, d):
-    c = assign_groups(_customers(spark, d), "features", rule_paths(spark, d), row_key="c_custkey")
+    c = assign_groups(_customers(spark, d), "features", rule_paths(spark, d))
     return c.select("c_custkey", F.col("rule_group").alias("group_id"))
 
 
@@ -112,7 +143,7 @@ g AS (SELECT c_custkey, c_nationkey, CASE WHEN c_mktsegment = '{OVERRIDE_SEGMENT
       FROM customer LEFT JOIN nr ON c_nationkey = n_nationkey)
 SELECT c_custkey, coalesce(rg, CAST(c_nationkey AS VARCHAR)) AS group_asn, coalesce(rg, 'null') AS group_null FROM g""")
 def default_group_q(spark, d):
-    c = assign_groups(_customers(spark, d), "features", rule_paths(spark, d, nation_rules=False), row_key="c_custkey")
+    c = assign_groups(_customers(spark, d), "features", rule_paths(spark, d, nation_rules=False))
     return c.select("c_custkey", P.default_group("rule_group", "features", "asn").alias("group_asn"),
                     P.default_group("rule_group", "features", "null").alias("group_null"))
 

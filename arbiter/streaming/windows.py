@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from ..operators.aggregates import sliding_arm_totals
+from ..operators.aggregates import sliding_arm_stream
 
 
 def sliding_stream(updates: DataFrame, window: str, slide: str, watermark: str, ts: str = "ts") -> DataFrame:
     """A2 on a stream: late rows older than the watermark are dropped, window state expires.
     ``updates`` carries ``ts`` (TIMESTAMP, not NTZ), ``group_id``, ``decision``, ``cost``."""
-    return sliding_arm_totals(updates.withWatermark(ts, watermark), window, slide, ts=ts)
+    return sliding_arm_stream(updates.withWatermark(ts, watermark), window, slide, ts=ts)
 

@@ -77,16 +77,13 @@ def _features(f6, f9, f4):
     return f
 
 
-@pytest.mark.parametrize("large", [False, True])
-def test_g6_rules(spark, large, monkeypatch):
+def test_g6_rules(spark):
     import arbiter.functions.rules as rules
-    if large:
-        monkeypatch.setattr(rules, "MAX_RULES_FOR_CASE", 0)
     paths = flatten_rules(spark.createDataFrame([(1, G6_TREE)], "doc_id INT, rules STRING"))
     assert paths.count() == 3
     df = spark.createDataFrame([(1, _features("US", "ios", "1")), (2, _features("US", "ios", "7018")),
                                 (3, _features("FR", "ios", "1"))], "id INT, features ARRAY<STRING>")
-    g = rules.assign_groups(df, "features", paths, row_key="id")
+    g = rules.assign_groups(df, "features", paths)
     g = g.select("id", P.default_group("rule_group", "features", "asn").alias("asn"),
                  P.default_group("rule_group", "features", "null").alias("nul"),
                  P.default_group("rule_group", "features", "asn", precedence="default").alias("eg"))
@@ -145,8 +142,7 @@ def test_g11_load(spark):
 
 
 def test_g12_blocks(spark):
-    s = with_ordinal(spark.createDataFrame([(float(v),) for v in range(1, 151)], "value DOUBLE"), ["value"],
-                     method="buckets")
+    s = with_ordinal(spark.createDataFrame([(float(v),) for v in range(1, 151)], "value DOUBLE"), ["value"],)
     assert rows(series.block_means(s, "ord", "value", 60), "label", "mean_value") == [(60, 30.5), (120, 90.5)]
     a = spark.range(250).withColumn("src", F.lit("a"))
     b = spark.range(410).withColumn("src", F.lit("b"))
@@ -179,7 +175,7 @@ def test_g15_failover(spark):
 
 def test_g16_gaps(spark):
     t = spark.createDataFrame([(0, 0), (1, 100000), (2, 300000)], "id INT, us BIGINT")
-    g = series.gaps(with_ordinal(t, ["us", "id"], method="buckets"), "ord", "us")
+    g = series.gaps(with_ordinal(t, ["us", "id"]), "ord", "us")
     assert [r["gap"] for r in g.orderBy("ord").collect()] == [None, 0.1, 0.2]
 
 
@@ -197,12 +193,15 @@ def test_rule_flatten_edge_cases(spark):
                    (3, [1], [(1, "z")], "top")]
 
 
-def test_rules_lookup_equals_case(spark):
-    from arbiter.functions.rules import rules_case, rules_lookup
+def test_rule_join_equals_case(spark):
+    """Root leaves, repeated paths, null features and rows alike; the same as the rules read one by one."""
+    from arbiter.functions.rules import rules_case
     rules = [([(1, "a")], "A"), ([(1, "a"), (2, "x")], "AX"), ([], "ROOT"), ([(2, "x")], "X"), ([(1, "a")], "A2"), ([(1, "b"), (2, "y")], "BY")]
     rows_ = [(i, [None if v == "-" else v for v in f]) for i, f in enumerate(
         [["0", "a", "x"], ["0", "a", "y"], ["0", "b", "y"], ["0", "c", "x"], ["0", "-", "x"], ["0", "b", "z"]])]
     df = spark.createDataFrame(rows_, "id INT, f ARRAY<STRING>")
-    got = df.select("id", rules_lookup(F.col("f"), rules).alias("a"), rules_case(F.col("f"), rules).alias("b"))
+    paths = spark.createDataFrame([([i], [(int(f), k) for f, k in path], g) for i, (path, g) in enumerate(rules)],
+                                  "rule_order ARRAY<INT>, path ARRAY<STRUCT<field: INT, key: STRING>>, group_name STRING")
+    got = assign_groups(df, "f", paths, "a").select("id", "a", rules_case(F.col("f"), rules).alias("b"))
     assert all(r.a == r.b for r in got.collect())
     assert dict(rows(got, "id", "a")) == {0: "A2", 1: "A2", 2: "BY", 3: "X", 4: "X", 5: "ROOT"}

@@ -56,7 +56,7 @@ def test_schedule_has_p_picks_of_known_arms(spark, rows, p):
 
 def test_ordinal_matches_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") % 7).alias("k"), (F.col("id") * 7919 % 5003).alias("v"), "id")
-    got = with_ordinal(df, ["v", "id"], partition_by=["k"], partitions=6, method="buckets")
+    got = with_ordinal(df, ["v", "id"], partition_by=["k"], partitions=6)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")) - 1)
     j = got.join(want, ["k", "v", "id"])
     assert j.count() == 5000 and j.where("ord != rn").count() == 0
@@ -64,8 +64,8 @@ def test_ordinal_matches_row_number(spark):
 
 def test_global_ordinal_buckets_and_window_agree(spark):
     df = spark.range(0, 4000).select(((F.col("id") * 7919) % 4001).alias("v"), "id")
-    a = with_ordinal(df, ["v", "id"], partitions=5, method="buckets")
-    b = with_ordinal(df, ["v", "id"], method="window")
+    a = with_ordinal(df, ["v", "id"], partitions=5)
+    b = with_ordinal(df, ["v", "id"])
     assert a.exceptAll(b).count() == 0 and a.count() == 4000
 
 
@@ -96,7 +96,7 @@ def test_counts_conserve_and_block_means_times_n_is_sum(spark):
     assert agg.arm_totals(upd).agg(F.sum("cnt")).first()[0] == n
     st = discount.discounted_state(discount.per_epoch_totals(upd), 1.0, 119)
     assert st.where(F.col("epoch") == 119).agg(F.sum("cnt")).first()[0] == n
-    s = with_ordinal(upd.select("event_id", "cost"), ["event_id"], method="buckets", partitions=3)
+    s = with_ordinal(upd.select("event_id", "cost"), ["event_id"], partitions=3)
     blocks = series.block_means(s, "ord", "cost", 60)
     full = s.where(F.col("ord") < blocks.count() * 60).agg(F.sum(F.col("cost").cast("decimal(18,2)"))).first()[0]
     total = blocks.agg(F.sum(F.round(F.col("mean_value") * 60, 2).cast("decimal(18,2)"))).first()[0]
