@@ -5,7 +5,7 @@ count; epochs are dense (an idle arm keeps decaying every epoch) and groups neve
 
 Batch form: the per-epoch totals of one arm (at most one row per epoch, so the list is bounded
 by the number of epochs, not by the data volume) are folded in epoch order by a higher-order
-``aggregate`` -- one pass, Catalyst-only, the same operation order as the streaming form, so
+``aggregate`` -- Catalyst-only, the same operation order as the streaming form, so
 results are bit-identical to a sequential recurrence. Hot groups are harmless: the raw rows are
 combined map-side into per-epoch totals before anything is shuffled.
 """
@@ -17,12 +17,8 @@ from pyspark.sql import functions as F
 
 from ..adapters import exact
 
-STATE_T = "array<struct<epoch:bigint,s:double,c:double>>"
-
-# The Catalyst fold appends to an array, O(E^2) per arm in the number of epochs E. Up to this
-# span it is the fastest exact form; longer histories use a linear per-arm loop (grouped
-# pandas, same operation order, so the results are identical).
-MAX_FOLD_EPOCHS = 2048
+STATE_T = "struct<s:double,c:double>"
+BLOCK = 64  # epochs whose states are gathered in one array
 
 
 def per_epoch_totals(updates: DataFrame, keys=("group_id", "decision"), epoch: str = "epoch") -> DataFrame:
@@ -33,23 +29,18 @@ def per_epoch_totals(updates: DataFrame, keys=("group_id", "decision"), epoch: s
 
 
 def _step(gamma: float):
+    """One epoch of the recurrence: previous state and the epoch's totals (either may be null) -> state."""
     g = F.lit(float(gamma))
 
-    def step(acc: Column, e: Column, x: Column) -> Column:
-        prev = F.when(F.size(acc) > 0, F.get(acc, F.size(acc) - 1))
-        s = (F.when(x.isNull(), prev["s"] * g)
-             .when(prev.isNull(), x["xs"])
-             .otherwise(x["xs"] + prev["s"] * g))
-        c = (F.when(x.isNull(), prev["c"] * g)
-             .when(prev.isNull(), x["xc"])
-             .otherwise(x["xc"] + prev["c"] * g))
-        return F.concat(acc, F.array(F.struct(e.cast("bigint").alias("epoch"), s.alias("s"), c.alias("c"))))
+    def step(prev: Column, x: Column) -> Column:
+        s = F.when(x.isNull(), prev["s"] * g).when(prev.isNull(), x["xs"]).otherwise(x["xs"] + prev["s"] * g)
+        c = F.when(x.isNull(), prev["c"] * g).when(prev.isNull(), x["xc"]).otherwise(x["xc"] + prev["c"] * g)
+        return F.struct(s.alias("s"), c.alias("c"))
     return step
 
 
 def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
-                     reset_period: int | None = None, keys=("group_id", "decision"),
-                     first_epoch: int = 0, method: str = "auto") -> DataFrame:
+                     reset_period: int | None = None, keys=("group_id", "decision")) -> DataFrame:
     """A3 (and A4 when ``reset_period`` is set): dense decayed state per (keys, epoch).
 
     ``totals``: ``(keys, epoch, xs, xc)`` from :func:`per_epoch_totals`.
@@ -58,71 +49,39 @@ def discounted_state(totals: DataFrame, gamma: float, last_epoch: int,
     empty at each segment start (A4), and an arm is emitted only from its first epoch with data
     in the segment up to the segment end.
     Output: ``keys, epoch, score_sum, cnt``.
+
+    A first fold over an arm's epochs keeps only the state before each block of BLOCK epochs; the
+    blocks then become rows and are folded on their own, so arrays that grow stay short.
     """
     part = list(keys)
     t = totals
     if reset_period:
         t = t.withColumn("segment", F.floor(F.col("epoch") / reset_period).cast("bigint"))
         part.append("segment")
-    span = min(reset_period or last_epoch + 1, last_epoch - first_epoch + 1)
-    if method == "loop" or (method == "auto" and span > MAX_FOLD_EPOCHS):
-        return _loop_state(t, part, keys, gamma, last_epoch, reset_period)
-    arms = t.groupBy(*part).agg(
-        F.min("epoch").alias("e0"),
-        F.map_from_entries(F.collect_list(F.struct("epoch", F.struct("xs", "xc")))).alias("x"))
-    end = F.lit(int(last_epoch))
+    arms = t.groupBy(*part).agg(F.array_sort(F.collect_list(F.struct("epoch", "xs", "xc"))).alias("_x"))
+    end = F.lit(int(last_epoch)).cast("bigint")
     if reset_period:
         end = F.least(end, (F.col("segment") + 1) * reset_period - 1)
-    step = _step(gamma)
-    folded = F.aggregate(F.sequence(F.col("e0"), end), F.array().cast(STATE_T),
-                         lambda acc, e: step(acc, e, F.try_element_at(F.col("x"), e)))
-    out = arms.select(*part, F.explode(folded).alias("st"))
-    cols = [*keys, F.col("st.epoch").alias("epoch"),
-            F.col("st.s").alias("score_sum"), F.col("st.c").alias("cnt")]
-    if reset_period:
-        cols.insert(len(keys), "segment")
-    return out.select(*cols)
-
-
-def _loop_state(t: DataFrame, part, keys, gamma: float, last_epoch: int, reset_period) -> DataFrame:
-    """Linear-time form of the fold: one pandas group per arm (bounded by its epochs)."""
-    import numpy as np
-    import pandas as pd
-
-    g = float(gamma)
-    out_cols = [*part, "epoch", "s", "c"]
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("epoch")
-        xs = dict(zip(pdf["epoch"].tolist(), zip(pdf["xs"].tolist(), pdf["xc"].tolist())))
-        e0 = int(pdf["epoch"].iloc[0])
-        end = int(last_epoch)
-        if reset_period:
-            end = min(end, (int(pdf["segment"].iloc[0]) + 1) * reset_period - 1)
-        n = end - e0 + 1
-        s_out, c_out = np.empty(n), np.empty(n)
-        s = c = None
-        for i in range(n):
-            x = xs.get(e0 + i)
-            if s is None:
-                s, c = x
-            elif x is None:
-                s, c = s * g, c * g
-            else:
-                s, c = x[0] + s * g, x[1] + c * g
-            s_out[i], c_out[i] = s, c
-        res = pd.DataFrame({k: pdf[k].iloc[0] for k in part}, index=range(n))
-        res["epoch"] = np.arange(e0, end + 1, dtype="int64")
-        res["s"], res["c"] = s_out, c_out
-        return res[out_cols]
-
-    types = dict(t.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in part) + ", epoch bigint, s double, c double"
-    out = t.select(*part, "epoch", "xs", "xc").groupBy(*part).applyInPandas(fold, schema)
-    cols = [*keys, "epoch", F.col("s").alias("score_sum"), F.col("c").alias("cnt")]
-    if reset_period:
-        cols.insert(len(keys), "segment")
-    return out.select(*cols)
+    none = F.lit(None).cast("struct<xs:double,xc:double>")
+    # one entry per epoch, null where the arm has no data
+    arms = arms.select(*part, F.get("_x", 0)["epoch"].alias("_e0"), F.flatten(F.transform("_x", lambda x, i: F.concat(
+        F.array(F.struct(x["xs"].alias("xs"), x["xc"].alias("xc"))),
+        F.array_repeat(none, (F.coalesce(F.get("_x", i + 1)["epoch"], end + 1) - x["epoch"] - 1).cast("int"))))).alias("_dense"))
+    step, empty = _step(gamma), F.lit(None).cast(STATE_T)
+    start = F.struct(F.lit(0).alias("n"), empty.alias("now"), F.array().cast(f"array<{STATE_T}>").alias("before"))
+    carried = F.aggregate("_dense", start, lambda acc, x: F.struct(
+        (acc["n"] + 1).alias("n"), step(acc["now"], x).alias("now"),
+        F.when(acc["n"] % BLOCK == 0, F.concat(acc["before"], F.array(acc["now"]))).otherwise(acc["before"]).alias("before")))["before"]
+    blocks = (arms.withColumn("_before", carried)
+              .select(*part, "_e0", "_dense", F.posexplode("_before").alias("_b", "_carry"))
+              .select(*part, (F.col("_e0") + F.col("_b") * BLOCK).alias("_e0"), "_carry",
+                      F.slice("_dense", F.col("_b") * BLOCK + 1, F.lit(BLOCK)).alias("_xs")))
+    states = F.aggregate("_xs", F.array().cast(f"array<{STATE_T}>"), lambda acc, x: F.concat(acc, F.array(
+        step(F.coalesce(F.get(acc, F.size(acc) - 1), F.col("_carry")), x))))
+    out = blocks.select(*part, "_e0", F.posexplode(states).alias("_i", "_st"))
+    shown = [*keys, "segment"] if reset_period else list(keys)
+    return out.select(*shown, (F.col("_e0") + F.col("_i")).cast("bigint").alias("epoch"),
+                      F.col("_st.s").alias("score_sum"), F.col("_st.c").alias("cnt"))
 
 
 def merge_state(history: DataFrame, batch: DataFrame, gamma: float, keys=("group_id", "decision")) -> DataFrame:

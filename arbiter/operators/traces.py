@@ -30,7 +30,7 @@ def trace_start(records_or_lines: DataFrame, ts: Column) -> int:
 
 def chosen_cost(records: DataFrame, chosen: str = "chosen") -> DataFrame:
     """J9 + E17: the chosen decision's cost by map lookup; ``offered`` tells if it was on offer."""
-    return (records.withColumn("offered", offered("decision_map", chosen))
+    return (records.withColumn("offered", F.coalesce(offered("decision_map", chosen), F.lit(False)))
             .withColumn("cost", F.try_element_at("decision_map", F.col(chosen))))
 
 
@@ -68,7 +68,6 @@ def failover(rows: DataFrame, bucket: str, status: str, cost: str = "cost") -> D
     """Per bucket, mean cost over all requests (failed ones use the local decision's cost)
     and split by status (``all`` rows plus one row per status)."""
     by_status = rows.groupBy(bucket, status).agg(F.sum(exact(cost)).alias("_s"), F.count(F.lit(1)).alias("n"))
-    overall = rows.groupBy(bucket).agg(F.sum(exact(cost)).alias("_s"), F.count(F.lit(1)).alias("n")) \
-        .withColumn(status, F.lit("all"))
-    out = by_status.unionByName(overall)
+    both = by_status.select(bucket, F.explode(F.array(F.col(status), F.lit("all"))).alias(status), "_s", "n")
+    out = both.groupBy(bucket, status).agg(F.sum("_s").alias("_s"), F.sum("n").alias("n"))
     return out.withColumn("mean_cost", F.col("_s").cast("double") / F.col("n")).drop("_s")

@@ -112,7 +112,6 @@ SELECT ord // {GAP_BLOCK} AS block, count(*) AS n, CAST(sum(gap_us) AS DOUBLE) /
 FROM g WHERE gap_us IS NOT NULL GROUP BY 1""")
 def interarrival_block10_q(spark, d):
     g = S.gaps(by_time(spark, d), "ord", "us", name="_g").where(F.col("_g").isNotNull())
-    g = g.withColumn("gap_us", F.col("us") - (F.col("us") - (F.col("_g") * 1000000).cast("bigint")))
     return (g.groupBy(F.floor(F.col("ord") / GAP_BLOCK).cast("bigint").alias("block"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("_g") * 1000000).cast("bigint")).alias("_s"))
             .select("block", "n", (F.col("_s").cast("double") / F.col("n") / 1000000).alias("mean_gap")))

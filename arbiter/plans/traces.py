@@ -37,7 +37,8 @@ def policy(recs: DataFrame) -> DataFrame:
 
 def chosen(spark, d) -> DataFrame:
     r = records(spark, d)
-    return T.chosen_cost(r.join(small(policy(r)), "group_id"))
+    # a record whose group has no policy stays, with nothing chosen
+    return T.chosen_cost(r.join(small(policy(r)), "group_id", "left"))
 
 
 def with_load(spark, d) -> DataFrame:
@@ -60,7 +61,7 @@ pol AS (SELECT group_id, decision AS chosen FROM (
           FROM rec GROUP BY group_id, decision) WHERE rn = 1),
 lns AS (SELECT DISTINCT line_no, ts_ms, sec, minute, group_id FROM rec),
 cc AS (SELECT l.*, p.chosen, r.cost, r.cost IS NOT NULL AS offered, r.f1, r.f2
-       FROM lns l JOIN pol p USING (group_id) LEFT JOIN rec r ON r.line_no = l.line_no AND r.decision = p.chosen),
+       FROM lns l LEFT JOIN pol p USING (group_id) LEFT JOIN rec r ON r.line_no = l.line_no AND r.decision = p.chosen),
 ls AS (SELECT *, count(*) OVER (PARTITION BY minute, chosen ORDER BY ts_ms, line_no ROWS UNBOUNDED PRECEDING) AS running,
               count(*) OVER (PARTITION BY minute) AS minute_total FROM cc),
 lf AS (SELECT *, running / minute_total AS load,
@@ -130,6 +131,12 @@ def sessions_per_minute_q(spark, d):
     return records(spark, d).groupBy("minute").agg(F.count(F.lit(1)).alias("n_sessions"))
 
 
+@query("sessions_per_minute_decision", f"""WITH {REC_SQL}
+SELECT minute, chosen AS decision, count(*) AS n_sessions FROM cc GROUP BY minute, chosen""")
+def sessions_per_minute_decision_q(spark, d):
+    return chosen(spark, d).groupBy("minute", F.col("chosen").alias("decision")).agg(F.count(F.lit(1)).alias("n_sessions"))
+
+
 @query("load_share", f"""WITH {REC_SQL}
 SELECT line_no, minute, chosen AS decision, running, minute_total, load FROM lf""")
 def load_share_q(spark, d):

@@ -18,8 +18,3 @@ def warm_start_rows(updates: DataFrame, copies: int, keys=("group_id",), order:
     seeds = (updates.groupBy(*keys).agg(first.alias("_s"))
              .select(*keys, "_s.*").withColumn("weight", F.lit(int(copies))))
     return updates.withColumn("weight", F.lit(1)).unionByName(seeds.select(*updates.columns, "weight"))
-
-
-def explode_seed(seed: DataFrame, copies: int) -> DataFrame:
-    """Physically replicated seed rows, when a consumer needs real copies."""
-    return seed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(int(copies))))).drop("_copy")

@@ -115,8 +115,7 @@ class EpochDecisionStream:
         if prev is not None and not segment_closed:
             totals = totals.unionByName(prev.select("group_id", "decision", "epoch",
                                                     F.col("s").alias("xs"), F.col("c").alias("xc")))
-        st = discounted_state(totals, self.gamma, int(newest), reset_period=self.reset,
-                              first_epoch=max(last_closed, 0))
+        st = discounted_state(totals, self.gamma, int(newest), reset_period=self.reset)
         st = st.persist()
         # the newest epoch has data, so its segment has at least one arm: the stored state is never empty
         self.state.write(st.where(F.col("epoch") == int(newest)).select(
