@@ -24,9 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arbiter.llm.common import map_rows, stage, utf8
-from arbiter.operators.joins import estimated_bytes
+from arbiter.llm.common import map_rows, shard_count, utf8
 
 #: Bytes of input per shard, by Catalyst's estimate.
 SHARD_BYTES = 8 << 20
@@ -38,7 +38,7 @@ class WordHashes(dict):
     """word -> 64-bit hash, kept while the vocabulary of a task is moderate."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -104,78 +104,128 @@ def _phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     return map_rows(docs.select("shard", "body"), choose, "shard int, phrase binary", rows=64)
 
 
-def _automaton(phrases: list[bytes]):
-    """The phrases as an automaton over word numbers, and the numbers."""
-    numbers: dict[bytes, int] = {}
-    machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for p in phrases:
-        machine.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in p.split(b" ")), 1)
-    machine.make_automaton()
-    return machine, numbers
+class PhraseAutomaton:
+    """Aho-Corasick over words: a known word is spelled by a few letters, each place from an alphabet of its own.
 
+    Small alphabets keep the branches of a node few (pyahocorasick goes through them one by one), and
+    letters of different places can't be mistaken, so every match starts and ends with a word.
+    """
 
-def _located(dealt: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Streams every shard through its automaton.
-
-    Rows key, pos, len, h: with len 0 a candidate window at ``pos`` and its hash; otherwise ``len``
-    candidate windows in a row from ``pos``. A candidate's own phrase was located.
+    BASE = 64
+
+    def __init__(self, phrases: list[bytes]):
+        split = [p.split(b" ") for p in phrases]
+        known = list(dict.fromkeys(w for p in split for w in p))
+        self.places = 1
+        while self.BASE ** self.places < len(known):
+            self.places += 1
+        self.spelled = {w: self._letters(k) for k, w in enumerate(known)}
+        self.unknown = "\0" * self.places
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for p in split:
+            self.machine.add_word("".join([self.spelled[w] for w in p]), 1)
+        self.machine.make_automaton()
+
+    def _letters(self, number: int) -> str:
+        out = []
+        for place in range(self.places):
+            number, digit = divmod(number, self.BASE)
+            out.append(chr(1 + place * self.BASE + digit))
+        return "".join(out)
+
+    def ends(self, words: list[bytes]) -> list[int]:
+        """The index of the last word of every occurrence of a phrase."""
+        get, unknown = self.spelled.get, self.unknown
+        text = "".join([get(w, unknown) for w in words])
+        return [(at + 1) // self.places - 1 for at, _ in self.machine.iter(text)]
+
+
+def _locate(window: int, phrase: int):
+    """One shard: its rows and its recurring phrases -> key, pos, len, h.
+
+    With len 0 a candidate window at ``pos`` and its hash; otherwise ``len`` candidate windows in a row from
+    ``pos``. A candidate is a window whose own phrase was located.
     """
     width, hashes = window - phrase + 1, WordHashes()
 
-    def spans(key, text, machine, numbers):
-        words = text.split()
-        n = len(words) - window + 1
-        if n <= 0:
-            return None
-        found = [end - phrase + 1 for end, _ in machine.iter(tuple([numbers.get(w, 0) for w in words]))]
-        if not found:
+    def spans(key, words, machine):
+        ends = machine.ends(words) if len(words) >= window else None
+        if not ends:
             return None
         hashed = hashes.of(words)
         grams = rolling(hashed, phrase)
         there = np.full(len(grams), NONE, np.uint64)
+        found = np.array(ends) - (phrase - 1)
         there[found] = grams[found]
         fit = sliding(there, width, np.minimum) == sliding(grams, width, np.minimum)
         edge = np.diff(np.concatenate(([0], fit.view(np.int8), [0])))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         at = np.flatnonzero(fit)
-        return (np.concatenate((at, starts)), np.concatenate((np.zeros(len(at), np.int64), ends - starts)),
-                np.concatenate((rolling(hashed, window)[at], starts.astype(np.uint64))), np.full(len(at) + len(starts), key))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, phrases, machine, numbers, rows, held = None, [], None, {}, [], 0
-        for batch in batches:
-            for shard, kind, key, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if shard != now:
-                    now, phrases, machine = shard, [], None
-                if kind == 0:
-                    phrases.append(body)
-                    continue
-                if phrases:
-                    (machine, numbers), phrases = _automaton(phrases), []
-                if machine is None:
-                    continue
-                if (made := spans(key, body, machine, numbers)) is not None:
-                    rows.append(made)
-                    held += len(made[0])
-                if held >= CHUNK:
-                    yield from out(rows)
-                    rows, held = [], 0
-        yield from out(rows)
-
-    def out(rows):
-        if rows:
-            pos, length, h, key = (np.concatenate(x) for x in zip(*rows, strict=True))
-            for at in range(0, len(pos), CHUNK):
-                cut = slice(at, at + CHUNK)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[cut], pa.int64()), pa.array(pos[cut].astype(np.int32)), pa.array(length[cut].astype(np.int32)),
-                     pa.array(h[cut].view(np.int64))], names=["key", "pos", "len", "h"])
-
-    return dealt.mapInArrow(run, "key long, pos int, len int, h long")
+        return (np.full(len(at) + len(starts), key), np.concatenate((at, starts)).astype(np.int32),
+                np.concatenate((np.zeros(len(at), np.int64), ends - starts)).astype(np.int32),
+                np.concatenate((rolling(hashed, window)[at], starts.astype(np.uint64))).view(np.int64))
+
+    def run(rows: pa.Table, phrases: pa.Table) -> pa.Table:
+        made = [[np.empty(0, t)] for t in (np.int64, np.int32, np.int32, np.int64)]
+        if phrases.num_rows:
+            machine = PhraseAutomaton(phrases["phrase"].to_pylist())
+            for key, text in _rows(rows):
+                if (found := spans(key, text.split(), machine)) is not None:
+                    for column, part in zip(made, found, strict=True):
+                        column.append(part)
+        return pa.table([np.concatenate(c) for c in made], names=["key", "pos", "len", "h"])
+
+    return run
+
+
+def _rows(table: pa.Table) -> Iterator[tuple[int, bytes]]:
+    """(key, text) of a shard's rows, some at a time."""
+    for at in range(0, table.num_rows, 256):
+        part = table.slice(at, 256)
+        texts = part["_row"].combine_chunks().field("text").cast(pa.binary())
+        yield from zip(part["_key"].to_pylist(), (t or b"" for t in texts.to_pylist()), strict=True)
+
+
+def _kept(words: list[bytes], marks: np.ndarray, window: int) -> list[bytes]:
+    """The words that no repeated window covers. marks: pos << 32 | len, runs of candidates and (len 0) windows
+    that start only once."""
+    pos, length = marks >> 32, marks & 0xFFFFFFFF
+    again = np.zeros(len(words) + 1, np.int64)
+    runs = length > 0
+    np.add.at(again, pos[runs], 1)
+    np.add.at(again, pos[runs] + length[runs], -1)
+    again = np.cumsum(again)[:-1] > 0
+    again[pos[~runs]] = False
+    cover = np.zeros(len(words) + 1, np.int64)
+    at = np.flatnonzero(again)
+    cover[at] += 1
+    cover[at + window] -= 1
+    return [w for w, c in zip(words, np.cumsum(cover)[:-1].tolist()) if not c]
+
+
+def _cut(names: list[str], window: int):
+    """One shard: its rows and the marks on them -> the rows with their texts cut."""
+    def run(rows: pa.Table, marks: pa.Table) -> pa.Table:
+        order = np.argsort(keys := marks["key"].to_numpy(), kind="stable")
+        keys, values = keys[order], marks["mark"].to_numpy()[order]
+        total, stay, texts = [], [], []
+        for key, text in _rows(rows):
+            words = text.split()
+            low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            kept = _kept(words, values[low:high], window) if high > low else words
+            total.append(len(words))
+            stay.append(len(kept))
+            texts.append(b" ".join(kept))
+        whole = rows["_row"].combine_chunks()
+        columns = [pa.array(texts, pa.binary()).cast(pa.string()) if c == "text" else whole.field(c) for c in names]
+        return pa.table([*columns, pa.array(total, pa.int64()), pa.array([t - s for t, s in zip(total, stay)], pa.int64())],
+                        names=[*names, "n_words", "n_removed"])
+
+    return run
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
-                    phrase: int = 8) -> DataFrame:
+                    phrase: int = 6) -> DataFrame:
     """``docs`` with ``text_col`` cut to the words that stay, joined by one space; adds n_words and n_removed.
 
     Words are parted by ASCII white space and compared unchanged. Every word goes that a repeated window
@@ -185,45 +235,22 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     which lose what they share. An empty table gives no rows. Columns with other names pass through.
     Windows are compared by 64-bit hash.
     """
-    shards = max(64, -(-(estimated_bytes(docs.select(text_col)) or 0) // SHARD_BYTES))
-    marked = docs.drop("n_words", "n_removed").withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col)))
-    slim = marked.select(F.pmod(F.hash("_key"), F.lit(shards)).alias("shard"), F.col("_key").alias("key"),
-                         utf8(F.col(text_col)).alias("body"))
-    recurring = (_phrases(slim, window, phrase).groupBy("phrase")
-                 .agg(F.count("*").alias("n"), F.collect_set("shard").alias("shards")).filter("n > 1"))
-    held = recurring.select(F.explode("shards").alias("shard"), F.lit(0).alias("kind"),
-                            F.lit(None).cast("long").alias("key"), F.col("phrase").alias("body"))
-    dealt = (held.unionByName(slim.withColumn("kind", F.lit(1))).repartition("shard")
-             .sortWithinPartitions("shard", "kind").select("shard", "kind", "key", "body"))
-    # a window's only start is its least one; rows of runs are groups of their own
-    counted = (_located(dealt, window, phrase).groupBy("h", "len", F.when(F.col("len") > 0, F.col("key")).alias("of"))
-               .agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("pos").alias("pos"))
-               .filter("len > 0 or n = 1"))
-    marks = stage(counted.select("key", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("len").cast("long")).alias("mark")),
-                  "passage-marks")
-    lists = marks.groupBy("key").agg(F.collect_set("mark").alias("_marks")).withColumnRenamed("key", "_key")
-
-    @F.udf("n_words long, n_removed long, text string", useArrow=True)
-    def cut(text: str | None, found: list | None):
-        words = (text or "").encode().split()
-        stay = words
-        if found:
-            marks = np.array(found, np.int64)
-            pos, length = marks >> 32, marks & 0xFFFFFFFF
-            again = np.zeros(len(words) + 1, np.int64)
-            runs = length > 0
-            np.add.at(again, pos[runs], 1)
-            np.add.at(again, pos[runs] + length[runs], -1)
-            again = np.cumsum(again)[:-1] > 0
-            again[pos[~runs]] = False
-            cover = np.zeros(len(words) + 1, np.int64)
-            at = np.flatnonzero(again)
-            cover[at] += 1
-            np.add.at(cover, at + window, -1)
-            gone = np.cumsum(cover)[:-1] > 0
-            stay = [w for w, g in zip(words, gone.tolist()) if not g]
-        return len(words), len(words) - len(stay), b" ".join(stay).decode()
-
-    made = marked.join(lists.hint("merge"), "_key", "left").withColumn("_cut", cut(F.col(text_col), F.col("_marks")))
-    return made.withColumns({text_col: F.col("_cut.text"), "n_words": F.col("_cut.n_words"),
-                             "n_removed": F.col("_cut.n_removed")}).drop("_cut", "_marks", "_key")
+    base = docs.drop("n_words", "n_removed").withColumnRenamed(text_col, "text")
+    names, shards = base.columns, shard_count(docs, SHARD_BYTES, 64)
+    shard = lambda key: F.pmod(F.hash(key), F.lit(shards)).cast("int")
+    keyed = base.withColumn("_key", F.xxhash64(F.col(id_col), F.col("text")))
+    # both uses of the dealt rows read one shuffle: the row travels as one value
+    dealt = keyed.select(shard(F.col("_key")).alias("_shard"), "_key", F.struct(*names).alias("_row")).repartition(shards, "_shard")
+    chosen_ = _phrases(keyed.select(shard(F.col("_key")).alias("shard"), utf8(F.col("text")).alias("body")), window, phrase)
+    recurring = chosen_.groupBy("phrase").agg(F.count("*").alias("n"), F.collect_set("shard").alias("shards")).filter("n > 1")
+    held = recurring.select(F.explode("shards").alias("_of"), "phrase")
+    located = (dealt.groupBy("_shard").cogroup(held.groupBy("_of"))
+               .applyInArrow(_locate(window, phrase), "key long, pos int, len int, h long"))
+    # a window that starts once carries its place in the count; rows of runs are groups of their own
+    counted = (located.groupBy("h", "len", F.when(F.col("len") > 0, F.col("key")).alias("of"))
+               .agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("pos").alias("pos")).filter("len > 0 or n = 1"))
+    marks = counted.select(shard(F.col("key")).alias("_of"), "key", F.shiftleft(F.col("pos").cast("long"), 32)
+                           .bitwiseOR(F.col("len").cast("long")).alias("mark"))
+    made = dealt.groupBy("_shard").cogroup(marks.groupBy("_of")).applyInArrow(_cut(names, window), T.StructType(
+        [*base.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]))
+    return made.withColumnRenamed("text", text_col)
