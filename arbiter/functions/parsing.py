@@ -222,3 +222,14 @@ def succeeded(result: str | Column, body_len: str | Column | None = None, expect
 
 def not_own(cluster: str | Column, own: str) -> Column:
     return _c(cluster) != F.lit(own)
+
+
+# ---- group table messages ---------------------------------------------------------------------
+
+# The two optional parts of a group table message; the rules stay JSON text of any depth.
+GROUP_TABLE_SCHEMA = "GroupAssignment ARRAY<STRUCT<GroupName: STRING, Cluster: STRING>>, GroupingRules STRING"
+
+
+def parse_group_table(value: str | Column) -> Column:
+    """A group table message as a struct; a part that is absent (or a message that isn't JSON) is null."""
+    return F.from_json(_c(value), GROUP_TABLE_SCHEMA)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import subscription_message
+from ..functions.parsing import parse_group_table, subscription_message
 from .joins import small
 
 INTERNAL, EXTERNAL = "internal_groups", "external_groups"
@@ -33,6 +33,21 @@ def latest_assignment(msgs: DataFrame, key: str, value: str, offset: str) -> Dat
     return msgs.groupBy(key).agg(F.max_by(value, offset).alias(value), F.max(offset).alias(offset))
 
 
+def group_table(msgs: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
+    """``group_table`` messages -> the latest cluster per group, (group_name, cluster, offset). A message adds
+    or replaces the groups it names and leaves the others; of one message the last entry of a group counts."""
+    parsed = msgs.select(offset, F.posexplode(parse_group_table(value)["GroupAssignment"]).alias("_i", "_a"))
+    latest = parsed.where(F.col("_a.GroupName").isNotNull()).groupBy(F.col("_a.GroupName").alias("group_name")).agg(
+        F.max_by("_a.Cluster", F.struct(offset, "_i")).alias("cluster"), F.max(offset).alias("offset"))
+    return latest
+
+
+def latest_rules(msgs: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
+    """E6 source: the rule document of the latest message that carries one, (rules, offset); no row without any."""
+    rules = msgs.select(offset, parse_group_table(value)["GroupingRules"].alias("rules")).where("rules is not null")
+    return rules.agg(F.max_by("rules", offset).alias("rules"), F.max(offset).alias("offset")).where("offset is not null")
+
+
 def first_per_key(rows: DataFrame, key: str, value: str, offset: str) -> DataFrame:
     """First value per key by offset."""
     return rows.groupBy(key).agg(F.min_by(value, offset).alias(value), F.min(offset).alias(offset))

@@ -329,6 +329,20 @@ def latest_assignment_q(spark, d):
     return R.latest_assignment(e, "group_id", "cluster_id", "offset")
 
 
+@query("group_table_latest", """WITH a AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS group_name, event_type AS cluster FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT event_id, 'g' || user_id % 8, event_type FROM events WHERE event_type <> 'error')
+SELECT group_name, arg_max(cluster, event_id) AS cluster, max(event_id) AS "offset" FROM a GROUP BY group_name""")
+def group_table_latest_q(spark, d):
+    """Every event is a message that assigns two groups; error events carry rules only."""
+    e = ad.table(spark, d, "events")
+    entry = lambda name: F.struct(name.alias("GroupName"), F.col("event_type").alias("Cluster"))
+    both = F.array(entry(F.col("user_id").cast("string")), entry(F.concat(F.lit("g"), (F.col("user_id") % 8).cast("string"))))
+    msg = F.struct(F.when(F.col("event_type") != "error", both).alias("GroupAssignment"),
+                   F.when(F.col("event_type") == "error", F.struct(F.lit("all").alias("GroupName"))).alias("GroupingRules"))
+    return R.group_table(e.select(F.col("event_id").alias("offset"), F.to_json(msg).alias("value")))
+
+
 def decision_stream(spark, d) -> DataFrame:
     """events -> epsilon-greedy decision messages ``(offset, value)`` for the collector."""
     e = ad.table(spark, d, "events")

@@ -25,8 +25,10 @@ from ..sources.topics import write_batch, write_destinations
 
 class Communicator:
     def __init__(self, spark: SparkSession, root: str, own: str, sample_fraction: float = 0.01,
-                 n_management: int = 2):
-        self.spark, self.own = spark, own
+                 n_management: int = 2, origin: str | None = None):
+        """``origin``: this cluster's tag in decision messages (``From: origin``). When given, only messages that
+        carry it are fanned out, so clusters that subscribe to each other don't pass a decision round."""
+        self.spark, self.own, self.origin = spark, own, origin
         self.root = root.rstrip("/")
         self.registry_path = f"{self.root}/registry"
         self.fraction, self.k = sample_fraction, n_management
@@ -61,6 +63,8 @@ class Communicator:
     def decision_batch(self, batch: DataFrame, batch_id: int) -> None:
         d = P.parse_decision_message("value")
         dec = batch.select(d["group_id"].alias("group_id"), "value")
+        if self.origin is not None:
+            dec = dec.where(F.col("value").endswith(f";From: {self.origin}"))
         out = R.fan_out(dec, self.registry(), self.own)
         write_destinations(out.select(F.col("cluster_id").alias("dest_cluster"), F.lit("decision").alias("topic"),
                                       "value"), f"{self.root}/outbox/decision", batch_id)

@@ -219,3 +219,56 @@ def test_sliding_stream_append_mode_drops_late_rows(spark):
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())   # late copy not counted
     dropped = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
     assert dropped == 6   # one late row, counted once per sliding window it falls in (6 h / 1 h)
+
+
+@pytest.mark.parametrize("warm", [False, True])
+def test_epsilon_greedy_stream_equals_batch(spark, warm):
+    from arbiter.operators.aggregates import guarded_mean, sliding_arm_totals
+    from arbiter.sources.seeds import warm_start_rows
+    from arbiter.streaming.windows import EpsilonGreedyStream
+    base = tempfile.mkdtemp(prefix="arbiter-eg-")
+    upd = ad.updates(ad.table(spark, SF, "events")).select("event_id", "ts", "group_id", "decision", "cost")
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    for i, part in enumerate((upd.where(F.col("ts") < cut), upd.where(F.col("ts") >= cut))):
+        p = os.path.join(base, "in", f"chunk={i}")
+        part.coalesce(1).write.parquet(p)
+        for f in os.listdir(p):
+            os.utime(os.path.join(p, f), (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = spark.readStream.schema(upd.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "chunk=*"))
+    rows = warm_start_rows(upd, 120)
+    es = EpsilonGreedyStream(spark, os.path.join(base, "out"), 0.1, "b1:9092", "6 hours", "1 hour", "1 day",
+                             seed=rows.where("weight > 1") if warm else None)
+    es.start(stream.drop("event_id"), os.path.join(base, "cp")).awaitTermination()
+    totals = sliding_arm_totals(rows if warm else rows.where("weight = 1"), "6 hours", "1 hour", weight="weight")
+    last = upd.agg(F.max(F.unix_micros("ts"))).first()[0] / 1e6
+    totals = totals.where(F.col("window_end") <= last - 86400).withColumn("mean_score", guarded_mean("score_sum", "cnt"))
+    best = policies.best_arm(totals, keys=("window_start", "group_id"))
+    want = best.select("window_start", "group_id", "best", policies.eg_message(best, 0.1, "b1:9092").alias("message"))
+    got = es.decisions().select("window_start", "group_id", "best", "message")
+    assert got.count() > 100 and sorted(got.collect()) == sorted(want.collect())
+
+
+def test_group_table_messages(spark):
+    from arbiter.operators.routing import group_table, latest_rules
+    msgs = ['{"GroupAssignment":[{"GroupName":"g1","Cluster":"c1"},{"GroupName":"g2","Cluster":"c1"},{"GroupName":"g1","Cluster":"c3"}]}',
+            '{"GroupingRules":{"Field":"6","Table":[{"Key":"US","Rule":{"GroupName":"G"}}]}}', "not json",
+            '{"GroupAssignment":[{"GroupName":"g2","Cluster":"c2"}],"GroupingRules":{"GroupName":"all"}}']
+    df = spark.createDataFrame(list(enumerate(msgs)), "offset BIGINT, value STRING")
+    assert sorted(map(tuple, group_table(df).collect())) == [("g1", "c3", 0), ("g2", "c2", 3)]
+    assert [tuple(r) for r in latest_rules(df).collect()] == [('{"GroupName":"all"}', 3)]
+    assert latest_rules(df.where("offset = 0")).count() == 0
+
+
+def test_two_clusters_pass_no_decision_round(spark):
+    base = tempfile.mkdtemp(prefix="arbiter-loop-")
+    own = {}
+    for c, other in (("c1", "c2"), ("c2", "c1")):
+        own[c] = Communicator(spark, os.path.join(base, c), own=c, origin=f"b-{c}")
+        spark.createDataFrame([("g1", other), ("g1", c)], "group_id STRING, cluster_id STRING").write.parquet(own[c].registry_path)
+    first = spark.createDataFrame([("g1;a:;From: b-c1",)], "value STRING")
+    own["c1"].decision_batch(first, 0)
+    sent = spark.read.text(os.path.join(base, "c1", "outbox", "decision")).where("dest_cluster = 'c2'").select("value")
+    assert [r.value for r in sent.collect()] == ["g1;a:;From: b-c1"]
+    own["c2"].decision_batch(sent, 0)
+    out = os.path.join(base, "c2", "outbox", "decision", "batch_id=0")
+    assert not [f for f in os.listdir(out) if f.startswith("dest_cluster")]
