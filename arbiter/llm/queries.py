@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbiter.llm.common import read_table, work_path
+from arbiter.llm.quality_rules import FURNITURE, MENU
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -22,14 +23,49 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS seq
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY seq) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + d AS pos FROM again, (SELECT unnest(range(0, 35)) AS d)),
+marked AS (SELECT u.doc_id, u.word, u.pos, gone.pos IS NULL AS stays
+           FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w) u
+           LEFT JOIN gone ON gone.doc_id = u.doc_id AND gone.pos = u.pos)
+SELECT w.doc_id, count(word) AS n_words, count(word) FILTER (WHERE NOT stays) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE stays), '')) AS kept_sha256
+FROM w LEFT JOIN marked USING (doc_id) GROUP BY w.doc_id
+""")
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.substring_dedup import remove_repeated
     made = remove_repeated(read_table(spark, sf_dir, "documents"), window=35)
     return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-@query("op2_quality_rules")
+@query("op2_quality_rules", rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+              list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, ws[i:i + 2] AS seq FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n
+        FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, seq) AS c FROM win), (SELECT unnest(range(0, 3)) AS k)
+        WHERE c > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+r AS (SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+             length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS visible,
+             length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
+             len(regexp_extract_all(line, '[!?]{{2,}}')) AS runs,
+             len(regexp_extract_all(regexp_replace(line, '([\x20\x09-\x0D])', '\1\1', 'g'),
+                                    '[\x20\x09-\x0D][|>»›•·/][\x20\x09-\x0D]')) AS seps,
+             regexp_matches(line, '{MENU}') OR regexp_matches(line, '{FURNITURE}') AS named FROM l),
+f AS (SELECT doc_id, coalesce(sum(n) FILTER (WHERE n > 0 AND (symbols * 10 > visible OR runs * 5 > n OR seps >= 3 OR named)), 0) AS lost,
+             count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS dup FROM r GROUP BY doc_id),
+b AS (SELECT d.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, dup AS n_dup_lines,
+             coalesce(rep.n, 0) AS n_repeat_words, CAST(lost AS BIGINT) AS n_lost_words
+      FROM d JOIN f USING (doc_id) LEFT JOIN rep USING (doc_id)),
+e AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT *, NOT base_failed AND n_lost_words <= n_words * 0.3 AS kept FROM e
+""")
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.quality_rules import judged
     return judged(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -78,7 +114,17 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@query("op8_line_dedup")
+@query("op8_line_dedup", """
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+own AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key),
+j AS (SELECT k.*, owner IS NULL OR owner = doc_id AS stays FROM k LEFT JOIN own ON k.key = own.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE stays), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+""")
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.line_dedup import deduplicate_lines
     made = deduplicate_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=10)
