@@ -20,37 +20,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-SPREAD_MIN_BYTES = 1 << 20  # tables below this are not worth spreading
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """Scan a supplied table; ``spread_rows`` for CPU-heavy per-row work (see :func:`spread`)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
-
-
-def _bytes(text: str) -> int:
-    t = text.strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    return int(float(t[:-1] if t[-1:] in "kmgt" else t) * mult)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan round-robin over all cores when it would yield fewer splits than cores
-    (e.g. a large table stored as one row group), so per-row parsing uses every core. On a
-    cluster reading many files the scan already has more splits than cores and nothing is
-    added. Decided from the plan's size estimate only (no job)."""
-    from .operators.joins import estimated_bytes
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext on this session type
-        return df
-    size = estimated_bytes(df) or 0
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    if size >= SPREAD_MIN_BYTES and -(-size // split) < cores:
-        return df.repartition(cores)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan a supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ts_micros(col: str | Column) -> Column:

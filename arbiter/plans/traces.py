@@ -16,7 +16,6 @@ from .registry import query
 
 
 def lines(spark, d) -> DataFrame:
-    # no scan spreading here: the per-row work follows the aggregation and join shuffles anyway
     return ad.trace_lines(ad.table(spark, d, "orders"), ad.table(spark, d, "lineitem"))
 
 
