@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from arbiter.llm.common import global_rank, hot_join, n_words, stage
+from arbiter.llm.common import global_rank, hot_join, n_words, row_key, stage
 
 #: Words up to which the dynamic program fills a budget exactly.
 EXACT_WORDS = 16_384
@@ -56,7 +56,7 @@ def fit_counts(lengths: Sequence[int], counts: Sequence[int], budget: int) -> li
 
 def _nearest(items: list[tuple[int, int, int]], rest: int) -> list[tuple[int, int]]:
     """Bounded knapsack: (index, count) pairs whose words come nearest to ``rest``. items: (length, count, index)."""
-    top = rest + items[0][0]
+    top = 2 * rest  # nothing above lies nearer than nothing at all
     mask, want = (1 << (top + 1)) - 1, 1 << rest
     reach, layers = 1, []
     for length, count, index in items:
@@ -155,8 +155,10 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as the plan takes it, with the columns of ``docs``."""
-    marked = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
-    plan = plan_mix(marked, id_col, text_col, source_col, keep=["_row"], **how).select("_row", "copies")
-    return (marked.join(plan.filter("copies > 0"), "_row")
-            .withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns))
+    """The mix itself: rows of ``docs``, each as often as the plan takes it, with the columns of ``docs``. Of rows
+    alike in id, text and source one is repeated for all."""
+    marked = docs.withColumn("_key", F.concat(row_key(id_col, text_col), F.coalesce(F.col(source_col).cast("binary"), F.lit(b"\xff"))))
+    plan = plan_mix(marked, id_col, text_col, source_col, keep=["_key"], **how)
+    copies = plan.groupBy("_key").agg(F.sum("copies").cast("int").alias("_copies")).filter("_copies > 0")
+    return (marked.dropDuplicates(["_key"]).join(copies.hint("merge"), "_key")
+            .withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))

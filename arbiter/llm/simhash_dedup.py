@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import hot_join, map_rows, stage, utf8
+from arbiter.llm.common import hot_join, map_rows, row_key, stage, utf8
 from arbiter.llm.components import components
 
 BITS, BYTES = 64, 8
@@ -48,11 +48,12 @@ def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
-    """id, fp (the 64 bits as a signed long) for every row; null and empty texts get 0."""
-    def one(doc, text):
+    """id, fp (the 64 bits as a signed long) and key (of id and text) for every row; null and empty texts get 0."""
+    def one(doc, key, text):
         f = fingerprint(text, words)
-        return ((doc, f - (1 << 64) if f >> 63 else f),)
-    return map_rows(docs.select(F.col(id_col).cast("long"), utf8(F.col(text_col))), one, "id long, fp long", rows=64)
+        return ((doc, f - (1 << 64) if f >> 63 else f, key),)
+    rows = docs.select(F.col(id_col).cast("long"), row_key(id_col, text_col), utf8(F.col(text_col)))
+    return map_rows(rows, one, "id long, fp long, key binary", rows=64)
 
 
 def _batches(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -183,14 +184,14 @@ def _neighbour_links(fps: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4,
                     list_limit: int = 64) -> DataFrame:
-    """One row per input row: ``id_col``, fp, component_id.
+    """One row per input row: ``id_col``, fp, component_id, root, key.
 
     Texts are A-Z lower-cased and cut into shingles of ``words`` words; fewer words make one shingle, none
     make fingerprint 0, which links like any other. Rows with fingerprints that differ in at most
     ``max_bits`` (even) bits are linked; component_id is the smallest id reachable, the row's own included
-    (null only if no row of the component has an id). Equal fingerprints are one node, so copies are
-    never paired. Null texts count as empty, repeated rows come out as often as they came in, an empty
-    table gives no rows, and other columns aren't looked at.
+    (null only if no row of the component has an id), ``root`` the component's smallest fingerprint. Equal
+    fingerprints are one node, so copies are never paired. Null texts count as empty, repeated rows come
+    out as often as they came in, an empty table gives no rows, and other columns aren't looked at.
     """
     rows = stage(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "fingerprint-nodes")
@@ -200,21 +201,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = found.filter("b is not null").unionByName(_neighbour_links(dense, max_bits))
     roots = components(links).withColumnRenamed("node", "fp")
     hung = stage(nodes.join(roots.hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "fingerprint-roots")
-    total = hung.count()
     least = stage(hung.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("members")), "fingerprint-parts")
-    named = hot_join(hung, least, ["root"], "members", total).select("fp", "n", "component_id")
+    named = hot_join(hung, least, ["root"], "members", hung.count()).select("fp", "n", "component_id", "root")
     return hot_join(rows, stage(named, "fingerprint-named"), ["fp"], "n", rows.count()).select(
-        F.col("id").alias(id_col), "fp", "component_id")
+        F.col("id").alias(id_col), "fp", "component_id", "root", "key")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest id (null ids when there is no
-    other), one row only when that id is repeated."""
-    marked = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "near-docs")
-    ids = stage(marked.select("_row", F.col(id_col).cast("long").alias("_id")), "near-ids")
-    # rows are told apart by row number; components are named by the row that comes first by (id, row)
-    order = ids.select("_row", F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row")).alias("_at"))
-    found = near_duplicates(marked, "_row", text_col, words, max_bits).select(F.col("_row"), F.col("component_id").alias("_part"))
-    kept = (found.join(order.hint("merge"), "_row").groupBy("_part").agg(F.min("_at").alias("_at"))
-            .select(F.col("_at._row").alias("_row")))
-    return marked.join(kept, "_row", "left_semi").drop("_row")
+    """The rows of ``docs`` that stay, with their columns: of each component the one with the smallest id (a null id
+    only if there is no other; on a tie the least key), once when it is repeated."""
+    found = near_duplicates(docs, id_col, text_col, words, max_bits)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("key"))).alias("least"))
+    kept = first.select(F.col("least.key").alias("_key"))
+    marked = docs.withColumn("_key", row_key(id_col, text_col))
+    return marked.join(kept.hint("merge"), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
