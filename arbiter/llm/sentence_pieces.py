@@ -20,15 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import stage
-from arbiter.operators.joins import estimated_bytes
+from arbiter.llm.common import shard_count, stage
 
 #: The model file of the registered queries; any SentencePiece model with byte pieces will do.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of the bounded sample that are spelled once for all shards.
-COMMON_WORDS, SAMPLE_DOCS = 100_000, 4_000
+COMMON_WORDS, SAMPLE_DOCS = 200_000, 20_000
 #: Bytes of input per shard, by Catalyst's estimate.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 3 << 19
 #: Longer words are folded by the same recurrence in a UDF: the fold copies its state at every step.
 LONG_WORD = 256
 SPACE = "▁"
@@ -95,28 +94,21 @@ def _words(text: Column) -> Column:
 def _viterbi(edges: Column, length: Column) -> Column:
     """Piece ids of the best path; -1 - start for a character at ``start`` spelled by bytes.
 
-    ``edges``: (end, start, id, score) sorted by end, start. The first fold goes over them and keeps, for
-    every end, the best score and where it came from; on a tie the longest piece. The second walks back.
+    ``edges``: (end, start, id, score) sorted by end, start. The fold keeps the best score and path to every place
+    of the word; on a tie the longest piece.
     """
-    none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(-1).alias("id"))
-    first = F.array(none)
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(done, e):
-        score = F.get(done, e["start"])["score"] + e["score"]
-        made = F.struct(score.alias("score"), e["start"].alias("start"), e["id"].alias("id"))
-        return (F.when(F.size(done) <= e["end"], F.concat(done, F.array(made)))
-                .when(score > F.get(done, e["end"])["score"], F.concat(F.slice(done, F.lit(1), e["end"]), F.array(made)))
+        come = F.get(done, e["start"])
+        made = F.struct((come["score"] + e["score"]).alias("score"), F.array_append(
+            come["ids"], F.when(e["id"] >= 0, e["id"]).otherwise(-1 - e["start"])).alias("ids"))
+        return (F.when(F.size(done) <= e["end"], F.array_append(done, made))
+                .when(come["score"] + e["score"] > F.get(done, e["end"])["score"],
+                      F.array_append(F.slice(done, F.lit(1), e["end"]), made))
                 .otherwise(done))
 
-    def walk(state, _):
-        at = F.get(state["best"], state["end"])
-        return F.when(state["end"] <= 0, state).otherwise(F.struct(
-            state["best"].alias("best"), at["start"].alias("end"),
-            F.concat(F.array(F.when(at["id"] >= 0, at["id"]).otherwise(-1 - at["start"])), state["ids"]).alias("ids")))
-
-    best = F.aggregate(edges, first, step)
-    start = F.struct(best.alias("best"), length.alias("end"), F.array().cast("array<int>").alias("ids"))
-    return F.aggregate(F.sequence(F.lit(1), length), start, walk)["ids"]
+    return F.get(F.aggregate(edges, first, step), length)["ids"]
 
 
 def spell_words(words: DataFrame, pieces: Pieces, by: list[str]) -> DataFrame:
@@ -136,11 +128,25 @@ def spell_words(words: DataFrame, pieces: Pieces, by: list[str]) -> DataFrame:
     return lattice.select(*by, "word", _viterbi(F.col("edges"), F.length("word")).alias("ids"))
 
 
-def _spelled(word: str, ids: list[int], pieces: Pieces) -> bytes:
-    """The ids of a path as 32-bit integers, places spelled by bytes filled in."""
-    if min(ids) < 0:
-        ids = [j for i in ids for j in ([i] if i >= 0 else [pieces.byte[b] for b in word[-1 - i].encode()])]
-    return np.array(ids, "<i4").tobytes()
+def _spelled(words: list[str], ids: pa.ListArray, pieces: Pieces) -> dict[str, bytes]:
+    """The ids of every word's path as 32-bit integers, places spelled by bytes filled in."""
+    if not words:
+        return {}
+    values, edges = ids.flatten().to_numpy().astype("<i4"), ids.offsets.to_numpy() - ids.offsets[0].as_py()
+    whole, out = values.tobytes(), {}
+    spare = np.add.reduceat(values < 0, edges[:-1]) > 0  # every word has a piece
+    for word, a, b, fill in zip(words, edges[:-1].tolist(), edges[1:].tolist(), spare.tolist(), strict=True):
+        if fill:
+            path = [j for i in values[a:b].tolist() for j in ([i] if i >= 0 else [pieces.byte[c] for c in word[-1 - i].encode()])]
+            out[word] = np.array(path, "<i4").tobytes()
+        else:
+            out[word] = whole[4 * a:4 * b]
+    return out
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    whole = column.combine_chunks()
+    return whole.chunk(0) if isinstance(whole, pa.ChunkedArray) and whole.num_chunks else whole
 
 
 def common_words(docs: DataFrame, pieces: Pieces, sample_docs: int, most: int) -> DataFrame:
@@ -164,30 +170,32 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     with a space in its place, as SentencePiece does it.
     """
     pieces = _pieces(model_file)
-    shards = max(32, -(-(estimated_bytes(docs.select(text_col)) or 0) // SHARD_BYTES))
+    shards = shard_count(docs, SHARD_BYTES, 64)
     slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     known = common_words(slim, pieces, sample_docs, common)
     # id and text travel as one array: both uses of the dealt documents then read one and the same shuffle
     dealt = slim.select(F.pmod(F.xxhash64("_id", "_text"), F.lit(shards)).cast("int").alias("_part"),
-                        F.array(F.col("_id").cast("string"), F.col("_text")).alias("_doc")).repartition("_part")
+                        F.array(F.col("_id").cast("string"), F.col("_text")).alias("_doc")).repartition(shards, "_part")
     words = (dealt.select("_part", F.explode(F.array_distinct(_words(F.get("_doc", F.lit(1))))).alias("word"))
-             .join(F.broadcast(known.select("word")), "word", "left_anti").select("_part", "word").distinct())
+             .distinct().join(F.broadcast(known.select("word")), "word", "left_anti").select("_part", "word"))
     spelled = spell_words(words, pieces, ["_part"]).withColumnRenamed("_part", "_of")
-    shared = {r["word"]: _spelled(r["word"], r["ids"], pieces) for r in known.collect()}  # at most ``common`` rows
+    rows = known.toArrow().combine_chunks()  # at most ``common`` rows
+    shared = docs.sparkSession.sparkContext.broadcast(_spelled(rows["word"].to_pylist(), _one(rows["ids"]), pieces))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def spell(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
         model = _pieces(model_file)
-        own = {w: _spelled(w, i, model) for w, i in zip(dictionary["word"].to_pylist(), dictionary["ids"].to_pylist(), strict=True)}
-        split = re.compile(WORD).findall
+        own = _spelled(dictionary["word"].to_pylist(), _one(dictionary["ids"]), model)
+        split, common_ids = re.compile(WORD).findall, shared.value
 
         def ids_of(word: str) -> bytes:
             found = own.get(word)
             if found is None:
-                found = own[word] = shared[word] if word in shared else np.array(model.spell(word), "<i4").tobytes()
+                found = common_ids.get(word) or np.array(model.spell(word), "<i4").tobytes()
+                own[word] = found
             return found
 
-        flat, sizes, docs = [], [], texts["_doc"].combine_chunks().flatten()
+        flat, sizes, docs = [], [], _one(texts["_doc"]).flatten()
         for at in range(1, len(docs), 512):
             for text in docs.slice(at, 511)[::2].to_pylist():
                 made = b"".join(map(ids_of, split(SPACE + text.replace(" ", SPACE)))) if text else b""

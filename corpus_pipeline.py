@@ -8,6 +8,7 @@ executor costs at most one stage's tasks. All but the last return the columns of
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from arbiter.llm.mixing import mix
 from arbiter.llm.quality_rules import clean
 from arbiter.llm.sentence_pieces import encode
 from arbiter.llm.simhash_dedup import one_of_each
+from arbiter.session import apply_session_conf
 
 
 def _with_length(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -52,12 +54,21 @@ def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return encode(docs)
 
 
+def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage under the library's session settings."""
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apply_session_conf(spark)
+        return fn(spark, docs, sf_dir)
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules),
-    ("line_dedup", line_dedup),
-    ("simhash_dedup", simhash_dedup),
-    ("mix_sources", mix_sources),
-    ("sentence_pieces", sentence_pieces),
+    ("quality_rules", _stage(quality_rules)),
+    ("line_dedup", _stage(line_dedup)),
+    ("simhash_dedup", _stage(simhash_dedup)),
+    ("mix_sources", _stage(mix_sources)),
+    ("sentence_pieces", _stage(sentence_pieces)),
 ]
 
 # Fingerprint components, the budget fit and the lattice aren't expressed in SQL; tests hold a brute-force version.
