@@ -1,13 +1,14 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by exact token length per source. A source's whole repeats are taken first;
-the remaining budget is filled from the length counts: a proportional share of each length, then
-a bounded-knapsack dynamic program over the counts that are left. Which documents of a length are
-taken follows a seeded hash of their id.
+the remaining budget is filled from the length counts: a proportional share of each length, whose
+fractions are rounded by a seeded draw that favours no length, then a bounded-knapsack dynamic program
+for the words that are missing or too many. Which documents of a length are taken follows a seeded hash of their id.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 import numpy as np
@@ -18,16 +19,13 @@ from pyspark.sql import Window as W
 
 from arbiter.llm.common import global_rank, hot_join, n_words, row_key, stage
 
-#: Words up to which the dynamic program fills a budget exactly.
-EXACT_WORDS = 16_384
 
-
-def fit_counts(lengths: Sequence[int], counts: Sequence[int], budget: int) -> list[int]:
+def fit_counts(lengths: Sequence[int], counts: Sequence[int], budget: int, seed: str = "") -> list[int]:
     """How many documents of each length to take, so that their words come as near to ``budget`` as found.
 
-    First a proportional share of every length, then the longest that still fit until at most
-    EXACT_WORDS (or less than any length) are left, then bounded-knapsack dynamic programming over
-    what is left; of the sums it reaches the nearest to the rest is taken, the smaller on a tie.
+    First a proportional share of every length, rounded by ``_rounded``, which leaves at most about two
+    documents' words missing or too many. Then bounded-knapsack dynamic programming over the documents left
+    (or taken, when words are too many) takes (gives back) the sum nearest to that rest, as long as it shrinks.
     """
     size = np.asarray(lengths, dtype=np.int64)
     have = np.where(size > 0, np.asarray(counts, dtype=np.int64), 0)
@@ -36,47 +34,67 @@ def fit_counts(lengths: Sequence[int], counts: Sequence[int], budget: int) -> li
         return [0] * len(size)
     if budget >= total:
         return have.tolist()
-    taken = np.array([int(c) * budget // total for c in have], dtype=np.int64)
-    rest = budget - int((size * taken).sum())
-    for i in np.argsort(-size, kind="stable"):
-        if rest <= EXACT_WORDS:
+    rng = random.Random(seed)
+    taken = _rounded(size, have, budget, total, rng)
+    order = rng.sample(range(len(size)), len(size))
+    while rest := budget - int((size * taken).sum()):
+        sign, free = (1, have - taken) if rest > 0 else (-1, taken)
+        picked = _nearest([(int(size[i]), int(free[i]), i) for i in order if free[i]], abs(rest))
+        if not picked:
             break
-        if have[i]:
-            step = min(int(have[i] - taken[i]), -(-(rest - EXACT_WORDS) // int(size[i])), rest // int(size[i]))
-            taken[i] += step
-            rest -= step * int(size[i])
-    left = have - taken
-    items = [(int(size[i]), int(left[i]), int(i)) for i in np.argsort(size, kind="stable") if left[i]]
-    if rest <= 0 or not items:
-        return taken.tolist()
-    for i, n in _nearest(items, rest):
-        taken[i] += n
+        for i, n in picked:
+            taken[i] += sign * n
     return taken.tolist()
 
 
+def _rounded(size: np.ndarray, have: np.ndarray, budget: int, total: int, rng: random.Random) -> np.ndarray:
+    """``have * budget / total``, each rounded up or down: up with the chance of its fraction, whatever its length.
+
+    Ordered pivotal draws by length: of two fractions in turn one is settled and the other carries on
+    what both had, so the documents up to any length are within one of their share.
+    """
+    taken = np.array([int(c) * budget // total for c in have], dtype=np.int64)
+    held, a = None, 0.0
+    for i in np.argsort(size, kind="stable").tolist():
+        b = int(have[i]) * budget % total / total
+        if not b:
+            continue
+        if held is None:
+            held, a = i, b
+        elif a + b < 1:
+            held, a = i if rng.random() * (a + b) < b else held, a + b
+        else:
+            up, other = (held, i) if rng.random() * (2 - a - b) < 1 - b else (i, held)
+            taken[up] += 1
+            held, a = other, a + b - 1
+    if held is not None and rng.random() < a:
+        taken[held] += 1
+    return taken
+
+
 def _nearest(items: list[tuple[int, int, int]], rest: int) -> list[tuple[int, int]]:
-    """Bounded knapsack: (index, count) pairs whose words come nearest to ``rest``. items: (length, count, index)."""
+    """Bounded knapsack: (index, count) pairs whose words come nearest to ``rest``, the smaller on a tie.
+    items: (length, count, index), looked at in their order until ``rest`` is met."""
     top = 2 * rest  # nothing above lies nearer than nothing at all
-    mask, want = (1 << (top + 1)) - 1, 1 << rest
-    reach, layers = 1, []
+    first = np.full(top + 1, -1, dtype=np.int32)  # the layer that first made a sum; layer 0: nothing taken
+    first[0], layers = 0, [(0, 0, 0)]
     for length, count, index in items:
         count, chunk = min(count, top // length), 1
-        while count > 0:
+        while count > 0 and first[rest] < 0:
             n = min(chunk, count)
-            layers.append((reach, length * n, index, n))
-            reach |= (reach << (length * n)) & mask
+            words = length * n
+            made = (first[:top + 1 - words] >= 0) & (first[words:] < 0)
+            first[words:][made] = len(layers)
+            layers.append((words, index, n))
             count, chunk = count - n, chunk * 2
-        if reach & want:
+        if first[rest] >= 0:
             break
-    below = (reach & ((want << 1) - 1)).bit_length() - 1
-    above = reach >> rest
-    over = rest + (above & -above).bit_length() - 1 if above else None
-    at = below if over is None or rest - below <= over - rest else over
-    picked = []
-    for before, words, index, n in reversed(layers):
-        if not before >> at & 1:
-            picked.append((index, n))
-            at -= words
+    sums = np.flatnonzero(first >= 0)
+    at, picked = int(sums[np.abs(sums - rest).argmin()]), []
+    while at:
+        words, index, n = layers[first[at]]
+        picked.append((index, n))
+        at -= words
     return picked
 
 
@@ -129,7 +147,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         total, target = int(group["source_size"].iloc[0]), float(group["target"].iloc[0])
         repeats = int(target // total) if total else 0
         group = group.sort_values("size")
-        group["extra"] = fit_counts(group["size"], group["n"], round(target - repeats * total))
+        group["extra"] = fit_counts(group["size"], group["n"], round(target - repeats * total),
+                                    f"{seed}:{group['source_key'].iloc[0]}")
         return group.assign(repeats=repeats)[["source_key", "size", "n", "source_size", "target", "repeats", "extra"]]
 
     plan = stage(counts.join(targets.drop("source_rank").hint("merge"), "source_key").groupBy("source_key").applyInPandas(

@@ -185,6 +185,25 @@ def test_fit_counts():
     assert sum(s * t for s, t in zip([3, 100_000], fit_counts([3, 100_000], [10_000, 50], 2_345_678))) == 2_330_000
 
 
+def test_fit_counts_favours_no_length():
+    rng = random.Random(11)
+    sizes = sorted(rng.sample(range(1, 5_000), 2_000))
+    counts = [rng.choice([1, 1, 1, 2]) for _ in sizes]
+    total = sum(s * c for s, c in zip(sizes, counts))
+    picks = set()
+    for share in (0.1, 0.46, 0.8):
+        for seed in ("a", "b"):
+            taken = fit_counts(sizes, counts, round(total * share), seed)
+            assert taken == fit_counts(sizes, counts, round(total * share), seed)
+            assert sum(s * t for s, t in zip(sizes, taken)) == round(total * share)
+            for k in range(0, 2_000, 400):  # fifths by length
+                assert abs(sum(taken[k:k + 400]) / sum(counts[k:k + 400]) - share) < 0.03
+            picks.add(tuple(taken))
+    assert len(picks) == 6  # the seed counts
+    huge = fit_counts([7, 11, 3_000_000], [40, 40, 3], 4_000_001)  # one document holds most words
+    assert abs(sum(s * t for s, t in zip([7, 11, 3_000_000], huge)) - 4_000_001) <= 1_000_001
+
+
 def test_mix(spark):
     rng = random.Random(9)
     rows = [(i, prose(rng, rng.randrange(0, 40)), rng.choice(["b", "a", "é", None, "big", "big", "big"])) for i in range(300)]
