@@ -5,12 +5,12 @@ an ``@`` (tokens without either can't be personal data here, so they are fixed t
 
 * token: weights of the token's shape;
 * chain: between neighbouring tokens of the text;
-* skip: between distant tokens that repeat or resemble each other (the same letters and digits, or one
-  token's digits ending the other's), which makes labels agree across the document.
+* skip: between a token and the hub of all tokens that repeat or resemble it (the same letters and digits, or
+  the same last seven digits), which makes labels agree across the document, at any distance.
 
-Tokens within base spans are evidence. Loopy belief propagation spreads it; a token whose belief in a kind
-reaches ``sure`` becomes a span of that kind. Weights are trained by pseudo-likelihood on a bounded sample
-of documents, with the base spans as labels.
+Tokens within base spans are evidence; they settle the label of their hub. Loopy belief propagation spreads it
+until the messages settle; a token whose belief in a kind reaches ``sure`` becomes a span of that kind. Weights are
+trained by pseudo-likelihood on a bounded sample of documents, with the base spans as labels.
 """
 
 from __future__ import annotations
@@ -19,15 +19,15 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import map_rows
+from arbiter.llm.common import map_rows, stage
 
-#: Documents the field is fitted on, about (taken by a hash of the id); those with over FIT_TOKENS candidate
-#: tokens aren't learnt from.
+#: Documents the field is fitted on, about (taken by a hash of the id).
 FIT_DOCS = 20_000
-FIT_TOKENS = 1_000
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)  # the label of every other token
 
@@ -111,63 +111,60 @@ class Field:
                     self.labels[k] = KINDS.index(kind)
                     break
         self.chain = [(k, k + 1) for k in range(len(order) - 1) if order[k + 1] == order[k] + 1]
-        self.skip = self._skips()
+        self.hub = self._hubs()
         self.x = np.array([shape(t) for _, _, t in self.tokens], float).reshape(-1, len(SHAPES))
 
-    def _skips(self) -> list[tuple[int, int]]:
-        """Each token with the one before that resembles it: linear in the tokens, joined through chains."""
-        ties, seen = [], {}
-        for k, (_, _, token) in enumerate(self.tokens):
-            plain = "".join(c for c in token.lower() if c.isalnum() or c == "@")
+    def _hubs(self) -> np.ndarray:
+        """The number of each token's hub. A token has one key: its last seven digits, or all letters and digits when
+        it has fewer digits or an ``@`` (of the others, those alike in all are alike in the last seven)."""
+        hubs: dict[str, int] = {}
+        out = []
+        for _, _, token in self.tokens:
             digits = "".join(c for c in token if c.isdigit())
-            for key in {plain, digits[-7:] if len(digits) >= 7 and "@" not in token else plain}:
-                if key in seen and (seen[key], k) not in self.chain[-1:]:
-                    ties.append((seen[key], k))
-                seen[key] = k
-        return list(dict.fromkeys(ties))
-
+            key = digits[-7:] if len(digits) >= 7 and "@" not in token else \
+                "".join(c for c in token.lower() if c.isalnum() or c == "@")
+            out.append(hubs.setdefault(key, len(hubs)))
+        return np.array(out, dtype=np.int64)
+
+    def votes(self) -> np.ndarray:
+        """Per hub the number of its tokens with each label."""
+        n = np.zeros((int(self.hub.max(initial=-1)) + 1, NONE + 1))
+        np.add.at(n, (self.hub, self.labels), 1)
+        return n
+
+    def rows(self) -> np.ndarray:
+        """What every token's label is learnt from: its shape, its neighbours' labels, and the label of its hub as the
+        hub's other tokens settle it (shares of the kinds among them, none without a kind, 0 without other tokens)."""
+        size = NONE + 1
+        near, own = np.zeros((len(self.tokens), size)), np.eye(size)[self.labels]
+        for a, b in self.chain:
+            near[a] += own[b]
+            near[b] += own[a]
+        others = self.votes()[self.hub] - own
+        kinds = others[:, :NONE].sum(axis=1, keepdims=True)
+        settled = np.where(kinds > 0, np.hstack([others[:, :NONE], 0 * kinds]) / np.maximum(kinds, 1), others > 0)
+        return np.hstack([self.x, near, settled])
 
     def proven(self) -> list[set[int]]:
-        """For each token the kinds of the base spans that skip ties lead to."""
-        root = list(range(len(self.tokens)))
-
-        def top(k: int) -> int:
-            while root[k] != k:
-                root[k] = root[root[k]]
-                k = root[k]
-            return k
-
-        for a, b in self.skip:
-            root[top(b)] = top(a)
-        kinds: dict[int, set[int]] = {}
-        for k, label in enumerate(self.labels.tolist()):
-            if label != NONE:
-                kinds.setdefault(top(k), set()).add(label)
-        return [kinds.get(top(k), set()) for k in range(len(root))]
+        """For each token the kinds of the base spans of its hub."""
+        kinds = [set(np.flatnonzero(v[:NONE]).tolist()) for v in self.votes()]
+        return [kinds[h] for h in self.hub.tolist()]
 
 
 class SkipChainField:
-    """Weights: token shape by label, and label pairs of chain and of skip ties."""
+    """Weights: token shape by label, and label pairs of chain ties and of hub and token."""
 
     def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         self.unary, self.chain, self.skip = unary, chain, skip
 
     @classmethod
     def fit(cls, fields: list[Field], rounds: int = 2000, rate: float = 0.5, ridge: float = 1e-5) -> "SkipChainField":
-        """Pseudo-likelihood: every token's label given its shape and its neighbours' labels."""
+        """Pseudo-likelihood: every token's label given its shape and its ties' labels. For fields at hand; ``fit_field``
+        learns from a table."""
         size, n = NONE + 1, sum(len(f.tokens) for f in fields)
         if not n:
             return cls(np.zeros((len(SHAPES), size)), np.zeros((size, size)), np.zeros((size, size)))
-        x, y = np.concatenate([f.x for f in fields]), np.concatenate([f.labels for f in fields])
-        near = {"chain": np.zeros((n, size)), "skip": np.zeros((n, size))}
-        start = 0
-        for f in fields:
-            for name, ties in (("chain", f.chain), ("skip", f.skip)):
-                for a, b in ties:
-                    near[name][start + a, f.labels[b]] += 1
-                    near[name][start + b, f.labels[a]] += 1
-            start += len(f.tokens)
-        rows = np.hstack([x, near["chain"], near["skip"]])
+        rows, y = np.concatenate([f.rows() for f in fields]), np.concatenate([f.labels for f in fields])
         weights, want = np.zeros((rows.shape[1], size)), np.eye(size)[y]
         pace = np.full((rows.shape[1], size), 1e-8)
         for _ in range(rounds):
@@ -178,51 +175,72 @@ class SkipChainField:
             slope = rows.T @ (p - want) / n + ridge * weights
             pace += slope ** 2
             weights -= rate * slope / np.sqrt(pace)
-        a, b = len(SHAPES), len(SHAPES) + size
-        even = lambda w: (w + w.T) / 2  # noqa: E731 - a tie has no direction
-        return cls(weights[:a], even(weights[a:b]), even(weights[b:]))
+        return cls.of(weights)
 
-    def beliefs(self, field: Field, rounds: int = 20, damp: float = 0.3) -> np.ndarray:
-        """Label beliefs by loopy sum-product, all messages at once; tokens of base spans are evidence."""
-        node = field.x @ self.unary
+    @classmethod
+    def of(cls, weights: np.ndarray) -> "SkipChainField":
+        """From one weight per column of ``Field.rows`` and label."""
+        a, b = len(SHAPES), len(SHAPES) + NONE + 1
+        chain = weights[a:b]
+        return cls(weights[:a], (chain + chain.T) / 2, weights[b:])  # a chain tie has no direction
+
+    def beliefs(self, field: Field, damp: float = 0.3, still: float = 1e-4) -> np.ndarray:
+        """Label beliefs by loopy sum-product, all messages at once; tokens of base spans are evidence.
+
+        A hub with evidence is settled by it, so all its tokens hear the same, however far away. Other hubs of two
+        tokens or more are nodes without a label of their own. Rounds go on until no message is ``still`` from
+        its next value; messages that never settle are damped more and more, and left after 1,000 rounds and
+        one per node.
+        """
+        node, n = field.x @ self.unary, len(field.tokens)
         known = field.labels != NONE
+        votes = field.votes()
+        kinds = votes[:, :NONE].sum(axis=1)
+        told = kinds[field.hub] > 0
+        share = votes[:, :NONE] / np.maximum(kinds, 1)[:, None]
+        node[told] += share[field.hub[told]] @ self.skip[:NONE]
         node[known] = np.where(np.eye(NONE + 1)[field.labels[known]] > 0, 0.0, -50.0)
-        ties = [(a, b, self.chain) for a, b in field.chain] + [(a, b, self.skip) for a, b in field.skip]
-        if ties:
-            a, b = (np.array([t[i] for t in ties]) for i in (0, 1))
-            table = np.stack([t[2] for t in ties])
+        open_ = np.flatnonzero((votes.sum(axis=1) > 1)[field.hub] & ~told)
+        hubs, at = np.unique(field.hub[open_], return_inverse=True)
+        node = np.vstack([node, np.zeros((len(hubs), NONE + 1))])
+        chain = np.array(field.chain, dtype=np.int64).reshape(-1, 2)
+        a, b = np.concatenate((chain[:, 0], n + at)), np.concatenate((chain[:, 1], open_))
+        if len(a):
+            table = np.concatenate((np.broadcast_to(self.chain, (len(chain), NONE + 1, NONE + 1)),
+                                    np.broadcast_to(self.skip, (len(open_), NONE + 1, NONE + 1))))
             source, target = np.concatenate((a, b)), np.concatenate((b, a))
             table = np.concatenate((table, table.transpose(0, 2, 1)))
             back = np.concatenate((np.arange(len(a), 2 * len(a)), np.arange(len(a))))
-            message = np.zeros((len(source), NONE + 1))
-            for _ in range(rounds):
+            message, pace = np.zeros((len(source), NONE + 1)), 1 - damp
+            for turn in range(1, 1000 + len(node)):
                 total = node.copy()
                 np.add.at(total, target, message)
                 out = total[source] - message[back]
                 new = np.logaddexp.reduce(out[:, :, None] + table, axis=1)
                 new -= new.max(axis=1, keepdims=True)
                 moved = np.abs(new - message).max()
-                message = damp * message + (1 - damp) * new
-                if moved < 1e-4:
+                message = (1 - pace) * message + pace * new
+                if moved < still:
                     break
-            node = node.copy()
+                if turn % 100 == 0:
+                    pace = max(0.1, 0.8 * pace)
             np.add.at(node, target, message)
-        node -= node.max(axis=1, keepdims=True)
+        node = node[:n] - node[:n].max(axis=1, keepdims=True)
         p = np.exp(node)
         return p / p.sum(axis=1, keepdims=True)
 
 
 def all_spans(text: str, base: list[tuple[str, int, int]], model: SkipChainField, sure: float = 0.9) -> list[tuple[str, int, int]]:
-    """Base spans and those of the field, by start, then kind as listed. A token joins a kind only if skip ties lead
-    from it to a base span of that kind. Neighbouring tokens of one kind are one span; punctuation around a
+    """Base spans and those of the field, by start, then kind as listed. A token joins a kind only if its
+    hub has a base span of that kind. Neighbouring tokens of one kind are one span; punctuation around a
     token stays outside; tokens that a base span touches are never added."""
-    if not CANDIDATE.search(text):
+    if not base or not CANDIDATE.search(text):
         return base
     field = Field(text, base)
     if not len(field.tokens) or (field.labels != NONE).all():
         return base
     p, proven = model.beliefs(field), field.proven()
-    added, last = [], None
+    beside, added, last = set(field.chain), [], None
     for k in np.flatnonzero((field.labels == NONE) & (p[:, :NONE].max(axis=1) >= sure)).tolist():
         start, end, token = field.tokens[k]
         kind = KINDS[int(p[k, :NONE].argmax())]
@@ -232,7 +250,7 @@ def all_spans(text: str, base: list[tuple[str, int, int]], model: SkipChainField
         end -= len(token) - len(token.rstrip(".,;:!?[]\"'"))
         if end <= start:
             continue
-        if added and last is not None and (last, k) in field.chain and added[-1][0] == kind:
+        if added and last is not None and (last, k) in beside and added[-1][0] == kind:
             added[-1] = (kind, added[-1][1], end)
         else:
             added.append((kind, start, end))
@@ -241,26 +259,32 @@ def all_spans(text: str, base: list[tuple[str, int, int]], model: SkipChainField
 
 
 def fit_field(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS) -> SkipChainField:
-    """The field fitted on about ``fit_docs`` documents, of which those with candidate tokens count."""
+    """The field fitted on about ``fit_docs`` documents, of which those with candidate tokens count.
+
+    Tokens alike in label and all else they are learnt from are one row with a weight.
+    """
     total = docs.count()
     share = min(1.0, fit_docs / total) if total else 1.0
     place = F.xxhash64(F.col(id_col).cast("string"), F.lit("fit")).cast("double") / 2.0 ** 64 + 0.5
 
     def tokens(text):
         f = Field(text, base_spans(text))
-        if len(f.tokens) <= FIT_TOKENS:
-            yield f.x.ravel().tolist(), f.labels.tolist(), [v for t in f.chain for v in t], [v for t in f.skip for v in t]
+        alike, n = np.unique(np.hstack([f.labels[:, None], f.rows()]), axis=0, return_counts=True)
+        for row, count in zip(alike.tolist(), n.tolist(), strict=True):
+            yield row[0], row[1:], float(count)
 
     sample = docs.filter((place < share) & F.col(text_col).rlike("[0-9@]")).select(text_col)
-    rows = map_rows(sample, tokens, "x array<double>, labels array<int>, chain array<int>, skip array<int>", rows=16).collect()
-    fields = []
-    for r in rows:
-        f = Field.__new__(Field)
-        f.tokens, f.x = [None] * len(r["labels"]), np.array(r["x"], float).reshape(-1, len(SHAPES))
-        f.labels = np.array(r["labels"], int)
-        f.chain, f.skip = [list(zip(r[c][::2], r[c][1::2], strict=True)) for c in ("chain", "skip")]
-        fields.append(f)
-    return SkipChainField.fit(fields)
+    seen = map_rows(sample, tokens, "label double, x array<double>, n double", rows=16)
+    rows = stage(seen.groupBy("label", "x").agg(F.sum("n").alias("n")), "pii-tokens")
+    if rows.select("label").distinct().count() < 2:  # nothing to tell apart
+        return SkipChainField.of(np.zeros((len(SHAPES) + 2 * (NONE + 1), NONE + 1)))
+    fitted = LogisticRegression(family="multinomial", weightCol="n", regParam=1e-5, standardization=False, maxIter=200).fit(
+        rows.select("label", array_to_vector("x").alias("features"), "n"))
+    weights = np.zeros((len(SHAPES) + 2 * (NONE + 1), NONE + 1))
+    made = fitted.coefficientMatrix.toArray().T
+    weights[:, :made.shape[1]] = made
+    weights[0, :made.shape[1]] += fitted.interceptVector.toArray()  # the first shape is 1 for every token
+    return SkipChainField.of(weights)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS,

@@ -4,12 +4,13 @@ import random
 import zlib
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from arbiter.llm.html_extract import FEATURES, FlowNetwork, extract, label_blocks, page_blocks
 from arbiter.llm.mixing import fit_counts, mix, plan_mix
-from arbiter.llm.pii_crf import Field, SkipChainField, all_spans, base_spans, find_pii, redact
+from arbiter.llm.pii_crf import NONE, SHAPES, Field, SkipChainField, all_spans, base_spans, find_pii, fit_field, redact
 from arbiter.llm.quality_rules import clean, judged
 from arbiter.llm.rule_classifier import Rule, score_quality
 from arbiter.llm.sentence_pieces import MODEL, Pieces, decode, encode
@@ -107,6 +108,37 @@ def test_field_agrees_across_the_document():
     assert all_spans(alone, base_spans(alone), model) == []
 
 
+def test_field_reaches_every_repeat():
+    """Equal tokens hear the same of a base span, near or far."""
+    unary, pairs = np.zeros((len(SHAPES), NONE + 1)), np.zeros((NONE + 1, NONE + 1))
+    unary[0, NONE] = 1.0
+    far = "ring +1 (308) 555-1234 now" + " or 555-1234 and then" * 100
+    model = SkipChainField(unary, pairs, 6 * np.eye(NONE + 1))
+    spans = all_spans(far, base_spans(far), model)
+    assert [(k, far[a:b]) for k, a, b in spans] == [("phone", "+1 (308) 555-1234")] + [("phone", "555-1234")] * 100
+    p = model.beliefs(Field(far, base_spans(far)))[3:]  # +1, (308) and 555-1234 come before
+    assert len(p) == 100 and abs(p - p[0]).max() < 1e-9
+
+
+def test_field_fitted_on_a_table(spark):
+    rng = random.Random(12)
+    texts = []
+    for n in range(300):
+        phone = f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+        texts.append(f"call {phone} at {rng.randrange(9)} or {n} items, again {phone}")
+    long = " ".join(f"{n}x" for n in range(5_000)) + " " + "9a " * 50  # no length is left out of the fit
+    model = fit_field(docs(spark, make(enumerate([*texts, long]))))
+    text = "ring +1 (308) 555-1234 now, or 555-1234, then 777 times"
+    assert [(k, text[a:b]) for k, a, b in all_spans(text, base_spans(text), model)] == [
+        ("phone", "+1 (308) 555-1234"), ("phone", "555-1234")]
+    # the slope of the penalised likelihood is near 0: the weights are the best ones
+    fields = [Field(t, base_spans(t)) for t in [*texts, long]]
+    x, y = np.concatenate([f.rows() for f in fields]), np.concatenate([f.labels for f in fields])
+    score = np.exp(x @ np.vstack([model.unary, model.chain, model.skip]))
+    slope = x.T @ (score / score.sum(axis=1, keepdims=True) - np.eye(NONE + 1)[y]) / len(y)
+    assert abs(slope).max() < 0.005
+
+
 def test_find_pii(spark):
     rows = [(1, "a.b@c.de and 10.0.0.1"), (2, None), (3, ""), (1, "a.b@c.de and 10.0.0.1"), (None, "card 4111 1111 1111 1111")]
     got = find_pii(docs(spark, make(rows))).collect()
