@@ -4,7 +4,8 @@ A page is cut into text blocks. A logistic classifier over block statistics give
 of calling it content or boilerplate: its capacities to the two terminals. Blocks that follow each other
 and blocks near in the DOM are tied by smoothness edges. The minimum cut, found by maximum flow,
 parts content from boilerplate. Elements that can't hold an article (menus, forms, scripts, notices, ...) are tied
-to the boilerplate terminal for good; an ``article`` or ``main`` element draws its blocks to the other.
+to the boilerplate terminal for good; an ``article`` or ``main`` element draws its blocks to the other. A form, an
+element never closed or the like around the article or most of the page's text leaves its blocks to the cut.
 
 The classifier is trained on a bounded sample of pages from the blocks whose place is certain: those of
 article or main elements against those of elements that can't hold one.
@@ -38,6 +39,10 @@ CLOSES_P = set("address article aside blockquote div dl fieldset footer form h1
 NEVER = set("head title script style noscript template nav footer aside form button select option textarea iframe svg "
             "canvas object menu dialog audio video map".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
+# Of NEVER those that a page's body may lie in all the same: WRAPPERS (and roles) as they are, the others when not closed.
+ENCLOSES = set("head noscript nav footer aside form object menu dialog map".split())
+WRAPPERS = set("noscript form object dialog alert".split())
+UNSEEN = set("title script style template select option textarea svg".split())
 FURNITURE = set("ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr popup modal "
                 "overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments reply replies "
                 "disqus share sharing social related recommended promo promotion newsletter subscribe subscription signup "
@@ -56,7 +61,9 @@ class Element:
     role: str = ""
     depth: int = 0
     wraps: bool = False  # an article or main element is inside
+    closed: bool = False  # by an end tag of its own
     chars: int = 0
+    seen: int = 0  # of chars, those outside UNSEEN
 
 
 @dataclass
@@ -107,10 +114,11 @@ class PageBlocks(HTMLParser):
         if tag not in VOID and tag not in INLINE:
             self.handle_endtag(tag)
 
-    def _leave(self, tags, stop):
-        """Close the innermost open element of ``tags`` unless one of ``stop`` lies within."""
+    def _leave(self, tags, stop, own=False):
+        """Close the innermost open element of ``tags`` unless one of ``stop`` lies within; ``own``: by its end tag."""
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
+                self.open[i].closed = own
                 del self.open[i:]
                 self.now = None
                 return
@@ -123,7 +131,7 @@ class PageBlocks(HTMLParser):
         if tag in VOID or tag in INLINE:
             return
         self.now = None
-        self._leave({tag}, set())
+        self._leave({tag}, set(), own=True)
 
     def handle_data(self, data):
         if not data:
@@ -144,23 +152,46 @@ def page_blocks(html: str) -> list[Block]:
     parser.close()
     for b in parser.blocks:
         b.text = SPACE.sub(" ", "".join(b.parts)).strip()
+        e, seen = b.holder, True
+        while e is not None:
+            seen = seen and e.tag not in UNSEEN
+            e = e.parent
         e = b.holder
         while e is not None:
             e.chars += len(b.text)
+            e.seen += len(b.text) * seen
             e = e.parent
     return [b for b in parser.blocks if b.text]
 
 
+def encloses(e: Element) -> bool:
+    """Whether an element that holds no article by its name or role lies around the article (or main) here, or, as one of
+    WRAPPERS or never closed, around most of the text of the article or main it is in, or of a page without them."""
+    if e.tag in NEVER and e.tag not in ENCLOSES:
+        return False
+    if e.wraps:
+        return True
+    if e.closed and (e.tag in NEVER - WRAPPERS or e.role in ROLES - WRAPPERS):
+        return False
+    around = e.parent
+    while around.parent is not None and around.tag not in ("article", "main"):
+        around = around.parent
+    return (around.parent is not None or not around.wraps) and e.seen * 10 > around.seen * 6
+
+
 def place(block: Block) -> int:
-    """-1: an element that can't hold an article is around the block; 1: an article or main is; 0: neither."""
-    inside, tops, e, page = 0, False, block.holder, block.holder
+    """-1: an element that can't hold an article is around the block; 1: an article or main is; 0: neither, or an
+    element that ``encloses`` is nearer than the article or main."""
+    inside, tops, loose, e, page = 0, False, False, block.holder, block.holder
     while page.parent is not None:
         page = page.parent
     while e.parent is not None:
         if e.tag in NEVER or e.role in ROLES:
-            return -1
+            if not encloses(e):
+                return -1
+            loose = True
         if e.tag in ("article", "main"):
-            inside = 1
+            inside = inside if loose else 1
         elif e.tag not in ("html", "body") and not e.wraps:
             if e.words & FURNITURE and e.chars * 10 <= page.chars * 6:
                 return -1

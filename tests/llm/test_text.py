@@ -177,6 +177,33 @@ def test_extract_supplied_pages(spark):
     assert {r.page_id: r.text for r in extract(pages).collect()} == want
 
 
+def test_extract_enclosed_pages(spark):
+    """A form of the whole page, and menus and heads that are never closed, don't take the article away."""
+    body = " ".join(f"<p>The {w} of the town was open, and many of its people came to see it, as in the years before.</p>"
+                    for w in ("market", "bridge", "library"))
+    text = " ".join(f"The {w} of the town was open, and many of its people came to see it, as in the years before."
+                    for w in ("market", "bridge", "library"))
+    menu = "<ul><li><a href=x>Home</a><li><a href=y>News</a></ul>"
+    made = [
+        f"<body><form action=x><nav>{menu}</nav><article>{body}</article><footer>&copy; x</footer><button>Go</button></form></body>",
+        f"<head><script>{'var a = 1; ' * 200}</script></head><body><form id=f><nav>{menu}</nav><div>{body}</div><select><option>a</select></form>",
+        f"<body role=form><nav>{menu}</nav><main>{body}</main></body>",
+        f"<body><nav>{menu}<article>{body}</article></body>",
+        f"<body><aside>{menu}<main>{body}</main></body>",
+        f"<body><menu>{menu}<div><article>{body}</article></div></body>",
+        f"<body><nav>{menu}<div>{body}</div></body>",
+        f"<body><main><form>{body}<button>Go</button></form></main></body>",
+        f"<html><head><title>T</title><body><nav>{menu}</nav><article>{body}</article></body>",
+    ]
+    closed = f"<body><nav>{'<p>Many a word of the menu, and more. </p>' * 9}</nav><article><p>Short.</article><form><p>Mail</form>"
+    rows = [(1000 + i, "u", h) for i, h in enumerate([*made, closed])]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    known = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").where("page_id < 1000")
+    got = {r.page_id: r.text for r in extract(table.unionByName(known)).collect()}
+    assert [got[1000 + i] for i in range(len(made))] == [text] * len(made)
+    assert got[1000 + len(made)] == "Short."
+
+
 def test_min_cut_is_the_least():
     rng = random.Random(6)
     for _ in range(60):
