@@ -65,9 +65,28 @@ def per_second(records: DataFrame, sec: str = "sec", ok: str = "offered", cost:
 
 
 def failover(rows: DataFrame, bucket: str, status: str, cost: str = "cost") -> DataFrame:
-    """Per bucket, mean cost over all requests (failed ones use the local decision's cost)
-    and split by status (``all`` rows plus one row per status)."""
+    """Per bucket, mean cost of all rows and split by status (``all`` rows plus one row per status). The rows bring
+    their cost; ``failover_local`` takes it from the decision map."""
     by_status = rows.groupBy(bucket, status).agg(F.sum(exact(cost)).alias("_s"), F.count(F.lit(1)).alias("n"))
     both = by_status.select(bucket, F.explode(F.array(F.col(status), F.lit("all"))).alias(status), "_s", "n")
     out = both.groupBy(bucket, status).agg(F.sum("_s").alias("_s"), F.sum("n").alias("n"))
     return out.withColumn("mean_cost", F.col("_s").cast("double") / F.col("n")).drop("_s")
+
+
+def failover_local(records: DataFrame, sec: str = "sec", failed: str = "failed", chosen: str = "chosen") -> DataFrame:
+    """A failed request takes the third decision of its own map, in the order written, and that decision's cost;
+    the others take ``chosen`` and don't count when it isn't on offer.
+
+    Per second and status (``online``, ``local`` and ``all``): ``n`` requests that count, ``n_cost`` of them with a
+    cost, and the mean over those. A failed request with fewer than three decisions counts without a cost.
+    """
+    gone = F.coalesce(F.col(failed), F.lit(False))
+    decision = F.when(gone, F.get(F.map_keys("decision_map"), 2)).otherwise(F.col(chosen))
+    rows = (records.where(gone | F.coalesce(offered("decision_map", chosen), F.lit(False)))
+            .select(F.col(sec), F.when(gone, "local").otherwise("online").alias("status"),
+                    exact(F.try_element_at("decision_map", decision)).alias("cost")))
+    by_status = rows.groupBy(sec, "status").agg(F.sum("cost").alias("_s"), F.count(F.lit(1)).alias("n"),
+                                                F.count("cost").alias("n_cost"))
+    both = by_status.select(sec, F.explode(F.array("status", F.lit("all"))).alias("status"), "_s", "n", "n_cost")
+    out = both.groupBy(sec, "status").agg(F.sum("_s").alias("_s"), F.sum("n").alias("n"), F.sum("n_cost").alias("n_cost"))
+    return out.withColumn("mean_cost", F.when(F.col("n_cost") > 0, F.col("_s").cast("double") / F.col("n_cost"))).drop("_s")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import adapters as ad
+from ..functions.parsing import succeeded
 from ..operators import aggregates as agg
 from ..operators import series as S
 from ..operators.ordinal import with_ordinal
@@ -138,7 +139,7 @@ def outcomes(spark, d) -> DataFrame:
     e = ad.table(spark, d, "events")
     return e.select("event_id", ad.ts_micros("ts").alias("sent_us"),
                     (ad.exact("value") * 1000000).cast("bigint").alias("rt_us"),
-                    (F.col("event_type") != "error").alias("ok"))
+                    succeeded((F.col("event_type") != "error").cast("int")).alias("ok"))
 
 
 def ok_outcomes(spark, d) -> DataFrame:

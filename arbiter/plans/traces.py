@@ -22,8 +22,8 @@ def lines(spark, d) -> DataFrame:
 def records(spark, d) -> DataFrame:
     """Parsed trace records, materialized once: the start scalar, the policy aggregate, the
     ordinal's sample and the main job all read the same copy."""
-    r = T.parse_trace(lines(spark, d)).select("line_no", "ts_ms", F.get("features", 4).alias("group_id"),
-                                              "decision_map", "load_map")
+    r = T.parse_trace(lines(spark, d)).select("line_no", "ts_ms", F.get("features", 3).alias("order_status"),
+                                              F.get("features", 4).alias("group_id"), "decision_map", "load_map")
     r = materialize(r)
     return T.with_offsets(r, T.trace_start(r, F.col("ts_ms")))
 
@@ -163,3 +163,21 @@ def failover_cost_q(spark, d):
                     F.when(F.col("event_type") == "error", "local").otherwise("online").alias("status"),
                     F.col("value").alias("cost"))
     return T.failover(rows, "bucket", "status").select("bucket", "status", "n", "mean_cost")
+
+
+# Fixed value: orders of this status stand for the requests that failed.
+FAILED_STATUS = "F"
+
+
+@query("failover_local", f"""WITH {REC_SQL},
+k AS (SELECT line_no, cost, row_number() OVER (PARTITION BY line_no ORDER BY decision) AS nth FROM rec),
+f AS (SELECT cc.sec, o.o_orderstatus = '{FAILED_STATUS}' AS failed, cc.offered, cc.cost, k.cost AS local_cost
+      FROM cc JOIN orders o ON o.o_orderkey = cc.line_no LEFT JOIN k ON k.line_no = cc.line_no AND k.nth = 3),
+r AS (SELECT sec, CASE WHEN failed THEN 'local' ELSE 'online' END AS status,
+             CAST(CASE WHEN failed THEN local_cost ELSE cost END AS DECIMAL(18,2)) AS cost FROM f WHERE failed OR offered),
+a AS (SELECT sec, status, sum(cost) AS s, count(*) AS n, count(cost) AS n_cost FROM r GROUP BY ALL
+      UNION ALL SELECT sec, 'all', sum(cost), count(*), count(cost) FROM r GROUP BY sec)
+SELECT sec, status, n, n_cost, CASE WHEN n_cost > 0 THEN CAST(s AS DOUBLE) / n_cost END AS mean_cost FROM a""")
+def failover_local_q(spark, d):
+    c = chosen(spark, d).withColumn("failed", F.col("order_status") == FAILED_STATUS)
+    return T.failover_local(c).select("sec", "status", "n", "n_cost", "mean_cost")

@@ -173,6 +173,21 @@ def test_g15_failover(spark):
     assert got == {"all": (4.0, 3), "online": (3.0, 2), "local": (6.0, 1)}
 
 
+def test_failover_takes_the_third_decision(spark):
+    r = spark.createDataFrame([
+        (0, False, "a", {"a": 2.0, "b": 9.0, "c": 9.0}), (0, False, "x", {"a": 2.0}), (0, False, None, {"a": 2.0}),
+        (0, True, "a", {"b": 1.0, "a": 2.0, "c": 6.0}), (0, True, "a", {"a": 2.0, "b": 1.0}), (1, True, "a", {"a": 1.0}),
+    ], "sec INT, failed BOOLEAN, chosen STRING, decision_map MAP<STRING, DOUBLE>")
+    assert rows(traces.failover_local(r), "sec", "status", "n", "n_cost", "mean_cost") == [
+        (0, "all", 3, 2, 4.0), (0, "local", 2, 1, 6.0), (0, "online", 1, 1, 2.0), (1, "all", 1, 0, None), (1, "local", 1, 0, None)]
+
+
+def test_latency_outcomes_ask_succeeded(spark, monkeypatch):
+    from arbiter.plans import series as plans
+    monkeypatch.setattr(plans, "succeeded", lambda result: F.lit(False))
+    assert plans.latency_summary_q(spark, "/root/testdata/sf0.001").first()["n_ok"] == 0
+
+
 def test_g16_gaps(spark):
     t = spark.createDataFrame([(0, 0), (1, 100000), (2, 300000)], "id INT, us BIGINT")
     g = series.gaps(with_ordinal(t, ["us", "id"]), "ord", "us")
