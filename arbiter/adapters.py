@@ -84,7 +84,7 @@ def request_payloads(events: DataFrame) -> DataFrame:
              F.col("user_id").cast("string"), F.col("event_type"),
              (F.col("user_id") % N_USER_GROUPS).cast("string")]
     feats += [F.lit("")] * (15 - len(feats))
-    offered = F.array_remove(F.array(*[F.lit(t) for t in EVENT_TYPES]), F.col("event_type"))
+    offered = F.array_remove(F.array(*[F.lit(t) for t in event_types(events)]), F.col("event_type"))
     payload = F.concat_ws(TAB, *feats, F.array_join(offered, TAB))
     return events.select("event_id", payload.alias("payload"))
 
@@ -93,6 +93,14 @@ def request_payloads(events: DataFrame) -> DataFrame:
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
+def event_types(events: DataFrame) -> tuple[str, ...]:
+    """EVENT_TYPES and whatever other types ``events`` holds, in name order. An event without a type is an error."""
+    found = {r[0] for r in events.select("event_type").distinct().collect()}
+    if None in found:
+        raise ValueError("events without an event_type")
+    return tuple(sorted(found.union(EVENT_TYPES)))
+
+
 # ---- customers as session payloads (routing / grouping queries) ------------------------------
 
 # Positional labels of the customer payload (the reference's label config, for our data).

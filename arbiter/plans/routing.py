@@ -346,7 +346,7 @@ def group_table_latest_q(spark, d):
 def decision_stream(spark, d) -> DataFrame:
     """events -> epsilon-greedy decision messages ``(offset, value)`` for the collector."""
     e = ad.table(spark, d, "events")
-    others = F.array_remove(F.array(*[F.lit(t) for t in ad.EVENT_TYPES]), F.col("event_type"))
+    others = F.array_remove(F.array(*[F.lit(t) for t in ad.event_types(e)]), F.col("event_type"))
     eps = F.concat(F.lit("0."), F.lpad(F.get_json_object("props", "$.k"), 2, "0"))
     payload = F.concat(F.lit('{"random":['), F.array_join(F.transform(others, lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ","),
                        F.lit('],"best":"'), F.col("event_type"), F.lit('","epsilon":'), eps, F.lit("}"))

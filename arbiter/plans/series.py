@@ -90,7 +90,7 @@ def policy_pivot_q(spark, d):
                      (F.col("s").cast("double") / F.col("n")).alias("v"))
             .unionByName(l.select(F.lit("sessions").alias("feature_type"), "group_id", "i", "policy",
                                   F.col("n").cast("double").alias("v"))))
-    return S.pivot_policies(long, ["feature_type", "group_id", "i"], "policy", "v", ad.EVENT_TYPES)
+    return S.pivot_policies(long, ["feature_type", "group_id", "i"], "policy", "v", ad.event_types(e))
 
 
 TS_SQL = "t AS (SELECT event_id, epoch_us(ts) AS us, row_number() OVER (ORDER BY ts, event_id) - 1 AS ord FROM events)"

@@ -220,3 +220,22 @@ def test_rule_join_equals_case(spark):
     got = assign_groups(df, "f", paths, "a").select("id", "a", rules_case(F.col("f"), rules).alias("b"))
     assert all(r.a == r.b for r in got.collect())
     assert dict(rows(got, "id", "a")) == {0: "A2", 1: "A2", 2: "BY", 3: "X", 4: "X", 5: "ROOT"}
+
+
+def test_unknown_event_types_are_kept(spark, tmp_path):
+    from arbiter import adapters as ad
+    from arbiter.plans.routing import latest_decision_q
+    from arbiter.plans.series import policy_pivot_q
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    odd = e.withColumn("event_type", F.when(F.col("event_id") % 2 == 0, "refund").otherwise(F.col("event_type")))
+    odd.write.parquet(f"{tmp_path}/events.parquet")
+    pivot = policy_pivot_q(spark, str(tmp_path)).where("feature_type = 'sessions'")
+    kinds = [c for c in pivot.columns if c not in ("feature_type", "group_id", "i")]
+    assert kinds == ["click", "error", "purchase", "refund", "signup", "view"]
+    assert pivot.agg(F.sum(sum(F.coalesce(F.col(k), F.lit(0.0)) for k in kinds))).first()[0] == e.count()
+    others = {r.others for r in latest_decision_q(spark, str(tmp_path)).collect()}
+    assert all("refund" in o.split(",") for o in others if len(o.split(",")) == 5 and "click,error,purchase,signup,view" != o)
+    assert "click,error,purchase,signup,view" in others
+    assert all("refund" in r.payload for r in ad.request_payloads(odd).collect())
+    with pytest.raises(ValueError):
+        ad.event_types(odd.withColumn("event_type", F.lit(None).cast("string")))
