@@ -8,6 +8,7 @@ operations run. Adding the same batch again (a retry) appends nothing and decide
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,25 +37,40 @@ class DigestIndex:
         """``groups``: digest, keep_id, one row per digest. Adds those the index doesn't hold."""
         fresh = groups.select("digest", "keep_id").join(self.rows().select("digest").hint("merge"),
                                                         "digest", "left_anti")
-        fresh.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
+        # dealt by bucket, so that a bucket is one file however many partitions there are; four to a bucket, as few meet then
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        (fresh.withColumn("_bucket", bucket).repartition(4 * self.buckets, "_bucket").sortWithinPartitions("_bucket", "digest")
+         .drop("_bucket").write.insertInto(self.table))
 
-    def deduplicate(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def deduplicate(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 1) -> DataFrame:
         """One row per input row: ``id_col``, digest, keep_id, group_size, kept.
 
         Texts are equal when identical; null counts as empty. Of equal texts in the batch the row
         with the largest id stays (null ids last), unless the index held the text before: then
-        its row stays and all of the batch go. ``group_size`` counts the batch's rows. Rows
+        its row stays and all of the batch go. ``group_size`` counts the rows of ``docs``. Rows
         repeated with the same id and text are one decision, and one of them stays. An empty batch
         gives no rows. Other columns of ``docs`` aren't looked at.
+
+        ``docs`` is fed in ``batches`` ranges of descending id, null ids in the last, so that the largest id of a text is
+        in the index before the others meet it there; the decisions are the same for any number of batches.
         """
         digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
         rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), digest.alias("digest"))
                      .groupBy("id", "digest").agg(F.count("*").alias("copies")), "digests")
-        groups = stage(rows.groupBy("digest").agg(
-            F.max("id").alias("keep_id"), F.sum("copies").alias("group_size"),
-            F.count("*").alias("n_rows")), "digest-groups")
-        self.append(groups)
-        decided = groups.drop("keep_id").join(self.rows().hint("merge"), "digest")
+        shares = [i / batches for i in range(1, batches)]
+        cuts = sorted({int(c) for c in rows.approxQuantile("id", shares, 0.01)}, reverse=True) if shares else []
+        met = []
+        for low, high in zip([*cuts, None], [None, *cuts], strict=True):
+            batch = rows if low is None else rows.filter(F.col("id") > low)
+            batch = batch if high is None else batch.filter((F.col("id") <= high) | F.col("id").isNull())
+            met.append(stage(batch.groupBy("digest").agg(
+                F.max("id").alias("keep_id"), F.sum("copies").alias("group_size"),
+                F.count("*").alias("n_rows")), "digest-groups"))
+            self.append(met[-1])
+        groups = reduce(DataFrame.unionByName, met)
+        if len(met) > 1:
+            groups = groups.groupBy("digest").agg(F.sum("group_size").alias("group_size"), F.sum("n_rows").alias("n_rows"))
+        decided = groups.select("digest", "group_size", "n_rows").join(self.rows().hint("merge"), "digest")
         total = rows.count()
         joined = hot_join(rows, decided, ["digest"], "n_rows", total)
         nth = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("nth")

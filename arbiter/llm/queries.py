@@ -87,7 +87,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.exact_dedup import DigestIndex
     index = DigestIndex(spark, work_path(spark, "digest-index"))
-    decided = index.deduplicate(read_table(spark, sf_dir, "documents"))
+    decided = index.deduplicate(read_table(spark, sf_dir, "documents"), batches=4)
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

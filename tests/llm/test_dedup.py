@@ -69,6 +69,23 @@ def test_exact_dedup(spark, corpus):
     assert index.deduplicate(frame(spark, [])).count() == 0
 
 
+def test_exact_dedup_in_batches(spark, corpus, monkeypatch):
+    rows = corpus + [corpus[3]] * 2 + [(None, "lonely"), (None, corpus[5][1]), (5000, corpus[0][1])]
+    want = DigestIndex(spark, work_path(spark, "t"), buckets=4).deduplicate(frame(spark, rows)).collect()
+    for batches in (2, 5):
+        index = DigestIndex(spark, work_path(spark, "t"), buckets=4)
+        got = index.deduplicate(frame(spark, rows), batches=batches).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+        assert index.rows().count() == len({t or "" for _, t in rows})
+    # the registered query feeds an index that isn't empty, and lets it decide
+    from arbiter.llm.queries import op4_exact_dedup
+    held, append = [], DigestIndex.append
+    monkeypatch.setattr(DigestIndex, "append", lambda self, groups: (
+        held.append(self.rows().join(groups.select("digest"), "digest", "left_semi").count()), append(self, groups)))
+    op4_exact_dedup(spark, "/root/testdata/sf0.001")
+    assert len(held) > 1 and held[0] == 0 and sum(held) > 0
+
+
 def test_exact_dedup_joins_by_merge_without_python(spark, corpus):
     index = DigestIndex(spark, work_path(spark, "t"), buckets=4)
     df = index.deduplicate(frame(spark, corpus))
