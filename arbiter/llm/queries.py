@@ -74,8 +74,9 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_sentence_pieces")
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from arbiter.llm.sentence_pieces import encode
-    return encode(read_table(spark, sf_dir, "documents"))
+    from arbiter.llm.sentence_pieces import decode, encode
+    made = decode(encode(read_table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n_tokens", "ids", F.sha2(F.col("text"), 256).alias("decoded_sha256"))
 
 
 @query("op4_exact_dedup", """

@@ -303,6 +303,13 @@ def test_pieces_round_trip(spark):
     assert encode(docs(spark, [])).count() == 0
 
 
+def test_pieces_query_decodes(spark):
+    from arbiter.llm.queries import op3_sentence_pieces
+    texts = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    want = sorted((r.doc_id, brute.sha((r.text or "").replace("\u2581", " "))) for r in texts)
+    assert sorted((r.doc_id, r.decoded_sha256) for r in op3_sentence_pieces(spark, SF).collect()) == want
+
+
 def test_lattice_path_is_the_best(spark):
     """The fold's path scores as the best of all segmentations (short words, all ways tried)."""
     from arbiter.llm.sentence_pieces import SPACE, spell_words
