@@ -142,3 +142,10 @@ def op9_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.mixing import plan_mix
     return plan_mix(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.whitening import whiten
+    made = whiten(read_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+    return made.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
