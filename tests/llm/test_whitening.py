@@ -6,6 +6,8 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from arbiter.llm.whitening import (
     characteristic_polynomial,
     integer_vector,
@@ -116,7 +118,7 @@ def test_sizes_without_variance(spark):
 def test_very_large_entries(spark):
     rows = [(1, [1e14, 3.0]), (2, [-1e14, 1.0]), (3, [5e13, -2.0]), (4, [0.25, 1e300])]
     got = whiten(table(spark, rows), components=2).collect()
-    kept = table(spark, rows).select("vec_id", integer_vector(table(spark, rows)["embedding"], 256).alias("v")).collect()
+    kept = table(spark, rows).select("vec_id", integer_vector(F.col("embedding"), 256).alias("v")).collect()
     s = [sum(r.v[i] for r in kept) for i in range(2)]
     for r in got:
         v = next(k.v for k in kept if k.vec_id == r.vec_id)
