@@ -144,6 +144,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(read_table(spark, sf_dir, "documents"))
 
 
+@query("op12_spelling")
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.spelling import variant_forms
+    return variant_forms(read_table(spark, sf_dir, "documents"), min_chars=7, min_count=2, thin=31, times=10)
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.whitening import whiten
