@@ -144,6 +144,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(read_table(spark, sf_dir, "documents"))
 
 
+@query("op11_katz")
+def op11_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arbiter.llm.katz import katz
+    return katz(read_table(spark, sf_dir, "documents"), held_share=10).scores
+
+
 @query("op12_spelling")
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arbiter.llm.spelling import variant_forms
