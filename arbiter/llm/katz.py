@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from arbiter.llm.common import shard_count, stage
 
 #: Tokens of a shard (a longer text goes over several), bytes of text split at once, and bytes of input per part of the tables.
-SHARD_TOKENS, CHUNK_BYTES, PART_BYTES = 2_000_000, 1 << 20, 8 << 20
+SHARD_TOKENS, CHUNK_BYTES, PART_BYTES = 1_000_000, 1 << 20, 8 << 20
 #: Counts up to this one are discounted.
 MOST_DISCOUNTED = 5
 #: The token that ends a text, and the context of its first token. Words are never empty.
