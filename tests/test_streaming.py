@@ -17,47 +17,81 @@ from arbiter.streaming.windows import sliding_stream
 SF = "/root/testdata/sf0.001"
 
 
-def _epoch_files(spark, root, n_epochs, first=0):
-    """Write the routed update messages of each epoch as one file (empty epochs: empty file)."""
-    ev = ad.table(spark, SF, "events")
-    msgs = ad.update_messages(ev).join(ad.updates(ev).select("event_id", "epoch"), "event_id")
-    per = {e: [r["value"] for r in rows] for e, rows in
-           ((e, msgs.where(F.col("epoch") == e).orderBy("event_id").collect()) for e in range(n_epochs))}
-    os.makedirs(root, exist_ok=True)
-    for e in range(first, n_epochs):
-        path = os.path.join(root, f"part-{e:05d}.txt")
-        with open(path, "w") as f:
-            f.write("".join(v + "\n" for v in per[e]))
-        os.utime(path, (1_700_000_000 + e, 1_700_000_000 + e))   # the file source takes files in mtime order
-
-
-def test_decision_stream_equals_batch_with_restart(spark):
+def _chunks(base, parts, first=0):
+    """One Parquet file per micro-batch; the file source takes files in order of their times."""
+    for i, part in enumerate(parts, first):
+        p = os.path.join(base, "in", f"chunk={i}")
+        part.coalesce(1).write.parquet(p)
+        for f in os.listdir(p):
+            os.utime(os.path.join(p, f), (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def _read_chunks(spark, base, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "chunk=*"))
+
+
+def _epoch_updates(spark):
+    return ad.updates(ad.table(spark, SF, "events")).select("ts", "group_id", "decision", "cost", "epoch")
+
+
+def _closed(upd):
+    """The last epoch whose end the watermark (the latest time) has passed."""
+    last = upd.agg(F.max(F.floor(F.unix_micros("ts") / 1000))).first()[0]
+    return (last * 1000 - ad.EPOCH_BASE_US) // ad.EPOCH_WIDTH_US - 1
+
+
+def _same_as_batch(ds, upd, closed, gamma=0.5, picks=5, reset=None):
+    st = discount.discounted_state(discount.per_epoch_totals(upd.where(F.col("epoch") <= closed)), gamma, closed, reset_period=reset)
+    keys = ["group_id", "decision", "epoch", "score_sum", "cnt"]
+    assert sorted(ds.state_rows().select(*keys).collect()) == sorted(st.select(*keys).collect())
+    payload = policies.reset_payload(F.col("schedule"), F.col("epoch"), reset) if reset else F.col("schedule")
+    want = policies.ucb_schedule(st, picks, gamma).select("epoch", "group_id", payload.alias("payload"))
+    assert sorted(ds.decisions().select("epoch", "group_id", "payload").collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("reset,first", [(None, 40), (15, 1)])
+def test_decision_stream_equals_batch_with_restart(spark, reset, first):
+    """A silent stretch of thirty epochs, a restart after the first batch, one late row."""
     base = tempfile.mkdtemp(prefix="arbiter-stream-")
-    n_epochs = 12
-    topic_root = os.path.join(base, "topics")
-    ds = DecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=5, origin="b1:9092", reset_period=5)
-    cp = os.path.join(base, "cp")
-    # first run sees 5 epochs; the query then restarts from its checkpoint for the rest
-    _epoch_files(spark, os.path.join(topic_root, "internal_groups"), 5)
-    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
-    ds.start(s, cp).awaitTermination()
-    assert ds.state.versions() == list(range(5))
-    _epoch_files(spark, os.path.join(topic_root, "internal_groups"), n_epochs, first=5)
-    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
-    ds.start(s, cp).awaitTermination()
-    assert ds.state.versions()[-1] == n_epochs - 1
-
-    upd = ad.updates(ad.table(spark, SF, "events")).where(F.col("epoch") < n_epochs) \
-        .where(F.col("decision") != "error")          # error events carry no cost: rejected by the parser
-    st = discount.discounted_state(discount.per_epoch_totals(upd), 0.5, n_epochs - 1, reset_period=5)
-    got = ds.current_state().select("group_id", "decision", F.col("s").alias("score_sum"), F.col("c").alias("cnt"))
-    want = st.where(F.col("epoch") == n_epochs - 1).select("group_id", "decision", "score_sum", "cnt")
-    assert sorted(got.collect()) == sorted(want.collect())
-
-    sch = policies.ucb_schedule(st, 5, 0.5).select(
-        "epoch", "group_id", policies.reset_payload(F.col("schedule"), F.col("epoch"), 5).alias("payload"))
-    assert sorted(ds.decisions().select("epoch", "group_id", "payload").collect()) == sorted(sch.collect())
-    assert ds.decisions().where("payload = 'random'").select("epoch").distinct().count() == 2   # epochs 4 and 9
+    upd = _epoch_updates(spark).where("epoch < 50 or epoch >= 80")
+    ds = DecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=5, origin="b1:9092", reset_period=reset)
+    _chunks(base, [upd.where(F.col("epoch") < first)])
+    ds.start(_read_chunks(spark, base, upd.schema), os.path.join(base, "cp")).awaitTermination()
+    assert 0 <= ds.state_rows().agg(F.max("epoch")).first()[0] < first if first > 1 else True
+    late = upd.where(F.col("epoch") == 0).limit(1)
+    _chunks(base, [upd.where((F.col("epoch") >= first) & (F.col("epoch") < 50)),
+                   upd.where(F.col("epoch") >= 80).unionByName(late)], first=1)
+    ds.start(_read_chunks(spark, base, upd.schema), os.path.join(base, "cp")).awaitTermination()
+    closed = _closed(upd)
+    _same_as_batch(ds, upd, closed, reset=reset)
+    silent = ds.state_rows().where("epoch between 50 and 79")
+    assert silent.select("epoch").distinct().count() == (30 if reset is None else 10)   # a reset leaves nothing to decay
+    assert [(r.epoch, r.cost) for r in ds.late_rows().collect()] == [(0, late.first().cost)]
+
+
+def test_heartbeats_go_on_without_input(spark):
+    import time
+    from arbiter.streaming.decisions import heartbeats
+    base = tempfile.mkdtemp(prefix="arbiter-beat-")
+    os.makedirs(os.path.join(base, "in"))
+    with open(os.path.join(base, "in", "a.txt"), "w") as f:
+        f.write("c1\nc1\nc2\n")
+    stream = spark.readStream.text(os.path.join(base, "in")).select(F.col("value").alias("cluster_id"))
+    q = (heartbeats(stream, 500).writeStream.outputMode("append").format("parquet").option("path", os.path.join(base, "out"))
+         .option("checkpointLocation", os.path.join(base, "cp")).trigger(processingTime="500 milliseconds").start())
+    beats = []
+    for _ in range(120):
+        time.sleep(0.5)
+        beats = spark.read.schema("cluster_id string, beat long, at_ms long, n_records long").parquet(os.path.join(base, "out")).collect() \
+            if os.path.isdir(os.path.join(base, "out", "_spark_metadata")) else []
+        if sum(r.cluster_id == "c2" for r in beats) >= 3:
+            break
+    q.stop()
+    for c, n in (("c1", 2), ("c2", 1)):
+        mine = sorted((r.beat, r.at_ms, r.n_records) for r in beats if r.cluster_id == c)
+        assert len(mine) >= 3 and [b for b, _, _ in mine] == list(range(len(mine)))
+        assert [x for _, _, x in mine] == [n] + [0] * (len(mine) - 1)
+        assert all(b - a >= 500 for (_, a, _), (_, b, _) in zip(mine, mine[1:]))
 
 
 def test_sliding_stream_equals_batch(spark):
@@ -113,24 +147,32 @@ def test_communicator_flows(spark):
     assert counts.agg(F.sum("n")).first()[0] % 15 == 0   # every sampled row contributes 15 feature pairs
 
 
-def test_warm_start_seed_and_drain_counts(spark):
-    from arbiter.streaming.metrics import count_per_batch, drain_counts
+def test_warm_start_is_the_initial_state(spark):
+    """120 historic updates per group count in epoch 0, also when the first epochs are silent and after a restart."""
     base = tempfile.mkdtemp(prefix="arbiter-seed-")
-    topic_root = os.path.join(base, "topics")
-    _epoch_files(spark, os.path.join(topic_root, "internal_groups"), 3)
-    seed = spark.createDataFrame([("0", "view", -1000.0 * 120, 120.0)], "group_id STRING, decision STRING, xs DOUBLE, xc DOUBLE")
+    upd = _epoch_updates(spark).where("epoch >= 3")
+    seed = spark.createDataFrame([("0", "view", 0, 1000.25 * 120, 120), ("new", "click", 1, 7.5, 2)],
+                                 "group_id STRING, decision STRING, epoch BIGINT, cost DOUBLE, n BIGINT")
     ds = DecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=3, origin="o", seed=seed)
-    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
-    ds.start(s, os.path.join(base, "cp")).awaitTermination()
-    st0 = {(r.group_id, r.decision): r.c for r in ds.state.read(0).collect()}
-    plain = DecisionStream(spark, os.path.join(base, "plain"), gamma=0.5, picks=3, origin="o")
-    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
-    plain.start(s, os.path.join(base, "cp2")).awaitTermination()
-    p0 = {(r.group_id, r.decision): r.c for r in plain.state.read(0).collect()}
-    assert st0[("0", "view")] == p0.get(("0", "view"), 0.0) + 120.0   # one seed standing for 120 copies
-
-    s = read_topic(spark, "internal_groups", fmt="text", root=topic_root, options={"maxFilesPerTrigger": 1})
-    q = s.writeStream.option("checkpointLocation", os.path.join(base, "cp3")).foreachBatch(
+    for i, part in enumerate((upd.where("epoch < 60"), upd.where("epoch >= 60"))):
+        _chunks(base, [part], first=i)
+        ds.start(_read_chunks(spark, base, upd.schema), os.path.join(base, "cp")).awaitTermination()
+    closed = _closed(upd)
+    totals = discount.per_epoch_totals(upd.where(F.col("epoch") <= closed)).unionByName(
+        seed.select("group_id", "decision", "epoch", (-F.col("cost")).alias("xs"), F.col("n").cast("double").alias("xc")))
+    st = discount.discounted_state(totals, 0.5, closed)
+    keys = ["group_id", "decision", "epoch", "score_sum", "cnt"]
+    got = ds.state_rows().select(*keys).collect()
+    assert sorted(got) == sorted(st.select(*keys).collect())
+    assert {(r.epoch, r.cnt) for r in got if r.group_id == "0" and r.decision == "view" and r.epoch < 3} == {(0, 120.0), (1, 60.0), (2, 30.0)}
+
+
+def test_drain_counts(spark):
+    from arbiter.streaming.metrics import count_per_batch, drain_counts
+    base = tempfile.mkdtemp(prefix="arbiter-drain-")
+    upd = _epoch_updates(spark)
+    _chunks(base, [upd.where(F.col("epoch") == e) for e in range(3)])
+    q = _read_chunks(spark, base, upd.schema).writeStream.option("checkpointLocation", os.path.join(base, "cp3")).foreachBatch(
         count_per_batch(os.path.join(base, "drains"))).trigger(availableNow=True).start()
     q.awaitTermination()
     n = sorted(tuple(r) for r in spark.read.parquet(os.path.join(base, "drains")).select("batch_id", "n_records").collect())
@@ -169,31 +211,6 @@ def test_topic_sink_routes_by_column_and_four_flows_start(spark):
     assert fwd.where("topic = 'internal_groups' AND dest_cluster = 'c4'").count() == 1
 
 
-@pytest.mark.parametrize("reset,first", [(None, 40), (15, 40), (None, 1), (15, 1)])
-def test_event_time_stream_equals_batch(spark, reset, first):
-    from arbiter.streaming.decisions import EpochDecisionStream
-    base = tempfile.mkdtemp(prefix="arbiter-evt-")
-    upd = ad.updates(ad.table(spark, SF, "events")).select("group_id", "decision", "cost", "epoch")
-    # three micro-batches covering consecutive epoch ranges, plus one late row in the last one
-    for i, (lo, hi) in enumerate(((0, first), (first, 90), (90, 120))):
-        part = upd.where((F.col("epoch") >= lo) & (F.col("epoch") < hi))
-        if i == 2:
-            part = part.unionByName(upd.where(F.col("epoch") == 5).limit(1))
-        part.coalesce(1).write.parquet(os.path.join(base, "in", f"chunk={i}"))
-        p = os.path.join(base, "in", f"chunk={i}")
-        for f in os.listdir(p):
-            os.utime(os.path.join(p, f), (1_700_000_000 + i, 1_700_000_000 + i))
-    stream = spark.readStream.schema(upd.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "chunk=*"))
-    es = EpochDecisionStream(spark, os.path.join(base, "out"), gamma=0.5, picks=5, origin="b1:9092", reset_period=reset)
-    es.start(stream, os.path.join(base, "cp")).awaitTermination()
-    st = discount.discounted_state(discount.per_epoch_totals(upd), 0.5, 119, reset_period=reset)
-    payload = policies.reset_payload(F.col("schedule"), F.col("epoch"), reset) if reset else F.col("schedule")
-    want = policies.ucb_schedule(st, 5, 0.5).select("epoch", "group_id", payload.alias("payload"))
-    got = es.decisions().select("epoch", "group_id", "payload")
-    assert sorted(got.collect()) == sorted(want.collect())
-    assert spark.read.parquet(os.path.join(base, "out", "late")).count() == 1
-
-
 def test_sliding_stream_append_mode_drops_late_rows(spark):
     from arbiter.operators.aggregates import sliding_arm_totals
     base = tempfile.mkdtemp(prefix="arbiter-wm-")
