@@ -101,10 +101,12 @@ def candidates(features: str | Column, first: int = 15) -> Column:
 # ---- E7: label projection -----------------------------------------------------------------
 
 def project_labels(payload: str | Column, all_labels: Sequence[str], kept: Sequence[str]) -> Column:
-    """Keep the configured labels of a positional TAB payload and re-join them by TAB."""
+    """Keep the configured labels of a positional TAB payload and re-join them by TAB. Labels beyond a short payload's end are
+    empty, so the later ones keep their places; a null payload gives null."""
     idx = [list(all_labels).index(k) for k in kept]  # positions resolved once, on the driver
     parts = F.split(_c(payload), TAB, -1)
-    return F.array_join(F.transform(F.array(*[F.lit(i) for i in idx]), lambda i: F.get(parts, i)), TAB)
+    kept_parts = F.transform(F.array(*[F.lit(i) for i in idx]), lambda i: F.get(parts, i))
+    return F.when(_c(payload).isNotNull(), F.array_join(kept_parts, TAB, ""))
 
 
 # ---- E12 / E13 / E14: message assembly and parsing ----------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import parse_group_table, subscription_message
+from .asof import as_of
 from .joins import small
 
 INTERNAL, EXTERNAL = "internal_groups", "external_groups"
@@ -21,13 +22,25 @@ def lookup_cluster(updates: DataFrame, assignments: DataFrame, own: str, group:
 def route(updates: DataFrame, assignments: DataFrame, own: str, update: str = "update",
           group: str = "group_id") -> DataFrame:
     """Enrich with the owner and pick the topic; the message is the routed update JSON."""
-    r = lookup_cluster(updates, assignments, own, group)
+    return _addressed(lookup_cluster(updates, assignments, own, group), own, update, group)
+
+
+def _addressed(r: DataFrame, own: str, update: str, group: str) -> DataFrame:
     msg = F.to_json(F.struct(F.col(update).alias("update"), F.col(group).alias("group_id"),
                              F.col("cluster_id").alias("cluster_id")))
     return (r.withColumn("topic", F.when(F.col("cluster_id") == own, F.lit(INTERNAL)).otherwise(F.lit(EXTERNAL)))
             .withColumn("message", msg))
 
 
+def route_as_of(updates: DataFrame, changes: DataFrame, own: str, at: str, since: str, tie: str, update: str = "update",
+                group: str = "group_id") -> DataFrame:
+    """J4 + T6 + E8: as ``route``, but by the owner that the group table named at each update's own time. ``changes``:
+    (group_name, cluster, since, tie), one row per assignment that a message brought."""
+    table = changes.select(F.col("group_name").alias(group), F.col("cluster").alias("_owner"), since, tie)
+    r = as_of(updates, table, group, at, since, ["_owner"], tie).withColumn("cluster_id", F.coalesce("_owner", F.lit(own))).drop("_owner")
+    return _addressed(r, own, update, group)
+
+
 def latest_assignment(msgs: DataFrame, key: str, value: str, offset: str) -> DataFrame:
     """Latest value per key by offset (last writer wins)."""
     return msgs.groupBy(key).agg(F.max_by(value, offset).alias(value), F.max(offset).alias(offset))

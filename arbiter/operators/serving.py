@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .asof import as_of
 from .joins import small
 
 
@@ -28,6 +29,12 @@ def lookup(requests: DataFrame, table: DataFrame, group: str = "group_id") -> Da
     return requests.join(small(table), group, "left")
 
 
+def lookup_as_of(requests: DataFrame, table: DataFrame, values: list[str], group: str = "group_id", at: str = "ts_us",
+                 since: str = "since_us") -> DataFrame:
+    """Request -> the decision row that was in force at its own time; ``table`` has one row per group and change."""
+    return as_of(requests, table, group, at, since, values)
+
+
 def schedule_pick(schedule: str | Column, offered: str | Column, u1: Column, u2: Column) -> dict[str, Column]:
     """C1 + E17: uniform pick from the schedule (repeats weight it); if empty or not offered,
     uniform over the offered list."""

@@ -24,8 +24,8 @@ def with_offsets(records: DataFrame, start_ms: int) -> DataFrame:
 
 
 def trace_start(records_or_lines: DataFrame, ts: Column) -> int:
-    """Trace start = the earliest record (one scalar)."""
-    return int(records_or_lines.agg(F.min(ts)).first()[0])
+    """Trace start = the earliest record (one scalar); 0 without records."""
+    return int(records_or_lines.agg(F.min(ts)).first()[0] or 0)
 
 
 def chosen_cost(records: DataFrame, chosen: str = "chosen") -> DataFrame:
@@ -34,16 +34,19 @@ def chosen_cost(records: DataFrame, chosen: str = "chosen") -> DataFrame:
             .withColumn("cost", F.try_element_at("decision_map", F.col(chosen))))
 
 
-def load_share(records: DataFrame, decision: str = "chosen", minute: str = "minute", order=("ts_ms", "line_no")) -> DataFrame:
+def load_share(records: DataFrame, decision: str = "chosen", minute: str = "minute", order=("ts_ms", "line_no"),
+               ok: str = "offered") -> DataFrame:
     """W1 + A16 + A17: running count of this decision in the minute / sessions in the minute.
 
-    The running count is a distributed per-(minute, decision) ordinal (a hot minute is split by
-    range partitioning); minute totals are a grouped count joined back.
+    Only sessions whose decision is on offer count as load; the minute's total is over all sessions. A session whose
+    decision isn't on offer has no load (null). The running count is a distributed per-(minute, decision) ordinal
+    of the keys alone (a hot minute is split by range partitioning); minute totals are a grouped count joined back.
     """
-    r = with_ordinal(records, list(order), partition_by=[minute, decision], name="_run")
+    keys = list(dict.fromkeys([minute, decision, *order]))
+    run = with_ordinal(records.where(F.col(ok)).select(*keys), list(order), partition_by=[minute, decision], name="_run")
     tot = records.groupBy(minute).agg(F.count(F.lit(1)).alias("minute_total"))
-    return (r.join(small(tot), minute)
-            .withColumn("running", F.col("_run") + 1).drop("_run")
+    r = records.join(small(tot), minute).join(run, keys, "left")
+    return (r.withColumn("running", F.col("_run") + 1).drop("_run")
             .withColumn("load", F.col("running") / F.col("minute_total")))
 
 
@@ -55,9 +58,9 @@ def step_factor(curve: str | Column, load: str | Column) -> Column:
     return F.coalesce(F.array_max(below)["factor"], F.lit(1.0))
 
 
-def per_second(records: DataFrame, sec: str = "sec", ok: str = "offered", cost: str = "cost") -> DataFrame:
-    """A14 + A15 + A26: sessions sent, succeeded and mean cost (over successes) per second."""
-    return (records.groupBy(sec)
+def per_second(records: DataFrame, sec: str = "sec", ok: str = "offered", cost: str = "cost", by=()) -> DataFrame:
+    """A14 + A15 + A26: sessions sent, succeeded and mean cost (over successes) per second (and ``by``)."""
+    return (records.groupBy(*by, sec)
             .agg(F.count(F.lit(1)).alias("n_sent"), F.count_if(F.col(ok)).alias("n_ok"),
                  F.sum(F.when(F.col(ok), exact(cost))).alias("_s"))
             .withColumn("mean_cost", F.when(F.col("n_ok") > 0, F.col("_s").cast("double") / F.col("n_ok")))

@@ -1,4 +1,4 @@
 """All registered queries (importing the plan modules fills the registry)."""
 
-from . import decisions, routing, series, serving, traces  # noqa: F401
+from . import decisions, learning, routing, series, serving, traces  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES  # noqa: F401

@@ -20,8 +20,9 @@ def updates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def last_epoch(upd: DataFrame) -> int:
-    """The stream's last epoch: one scalar (a max over one pruned column)."""
-    return int(upd.agg(F.max("epoch")).first()[0])
+    """The stream's last epoch: one scalar (a max over one pruned column); -1 without updates."""
+    last = upd.agg(F.max("epoch")).first()[0]
+    return -1 if last is None else int(last)
 
 
 # ---- parsing -------------------------------------------------------------------------------

@@ -319,6 +319,30 @@ def decision_fanout_q(spark, d):
     return R.fan_out(dec, brand_region_pairs(spark, d), OWN).select("cluster_id", "group_id", "message")
 
 
+# ---- the group table as of each update -------------------------------------------------------------
+
+N_OWNERS = 5  # clusters of the derived assignments; c0 is the own one
+
+
+@query("route_as_of", f"""WITH chg AS (
+  SELECT CAST(user_id % 8 AS VARCHAR) AS group_id, epoch_us(ts) AS since_us, arg_max('c' || user_id % {N_OWNERS}, event_id) AS owner
+  FROM events WHERE event_type = 'signup' GROUP BY ALL),
+upd AS (SELECT event_id, CAST(user_id % 8 AS VARCHAR) AS group_id, epoch_us(ts) AS ts_us FROM events WHERE event_type <> 'signup'),
+j AS (SELECT upd.event_id, upd.group_id, coalesce(chg.owner, 'c0') AS cluster_id
+      FROM upd ASOF LEFT JOIN chg ON upd.group_id = chg.group_id AND upd.ts_us >= chg.since_us)
+SELECT event_id, group_id, cluster_id, CASE WHEN cluster_id = 'c0' THEN 'internal_groups' ELSE 'external_groups' END AS topic FROM j""")
+def route_as_of_q(spark, d):
+    """A sign-up stands for a message that assigns its group to a cluster from its time on; the other events are updates."""
+    e = ad.table(spark, d, "events").select("event_id", "event_type", "user_id", ad.ts_micros("ts").alias("ts_us"),
+                                            (F.col("user_id") % ad.N_USER_GROUPS).cast("string").alias("group_id"))
+    changes = e.where("event_type = 'signup'").select(
+        F.col("group_id").alias("group_name"), F.concat(F.lit("c"), (F.col("user_id") % N_OWNERS).cast("string")).alias("cluster"),
+        F.col("ts_us").alias("since_us"), F.col("event_id").alias("offset"))
+    updates_ = e.where("event_type <> 'signup'").select("event_id", "group_id", "ts_us", F.col("event_type").alias("update"))
+    routed = R.route_as_of(updates_, changes, "c0", "ts_us", "since_us", "offset")
+    return routed.select("event_id", "group_id", "cluster_id", "topic")
+
+
 # ---- latest-wins tables, heartbeats, drains ---------------------------------------------------------
 
 @query("latest_assignment", """SELECT CAST(user_id AS VARCHAR) AS group_id, arg_max(event_type, event_id) AS cluster_id,

@@ -158,7 +158,7 @@ FROM sp LEFT JOIN p ON sp.sec = p.sec"""
 
 def _series(spark, d, col):
     ok = ok_outcomes(spark, d)
-    start = int(ok.agg(F.min("sent_us")).first()[0])
+    start = int(ok.agg(F.min("sent_us")).first()[0] or 0)
     return S.latency_series(spark, ok, col, "rt_us", start)
 
 

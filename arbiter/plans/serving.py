@@ -55,6 +55,28 @@ def serve_schedule_q(spark, d):
     return r.select("event_id", "group_id", p["decision"].alias("decision"), p["from_schedule"].alias("from_schedule"))
 
 
+# The schedule made from an epoch is in force from that epoch's end on.
+SINCE_SQL = f"{ad.EPOCH_BASE_US} + (epoch + 1) * {ad.EPOCH_WIDTH_US}"
+
+
+@query("serve_as_of", f"""WITH RECURSIVE {UPDATES}, {TOTALS}, {state_sql()}, {ucb_schedule_sql()}, {REQ_SQL},
+chg AS (SELECT group_id, epoch, schedule, {SINCE_SQL} AS since_us FROM sched),
+rt AS (SELECT r.*, u.ts_us FROM req r JOIN updates u USING (event_id)),
+j AS (SELECT rt.event_id, rt.group_id, rt.offered, c.epoch, string_split(trim(c.schedule, ': '), ':') AS arr
+      FROM rt ASOF LEFT JOIN chg c ON rt.group_id = c.group_id AND rt.ts_us >= c.since_us),
+k AS (SELECT *, arr[(event_id % len(arr)) + 1] AS pick FROM j),
+m AS (SELECT *, coalesce(pick IS NOT NULL AND pick <> '' AND list_contains(offered, pick), false) AS ok FROM k)
+SELECT event_id, group_id, coalesce(epoch, -1) AS epoch, CASE WHEN ok THEN pick ELSE offered[((event_id // 7) % len(offered)) + 1] END AS decision,
+       ok AS from_schedule FROM m""")
+def serve_as_of_q(spark, d):
+    changes = policies.ucb_schedule(state(spark, d), PICKS, GAMMA).select(
+        "group_id", "epoch", "schedule", ((F.col("epoch") + 1) * ad.EPOCH_WIDTH_US + ad.EPOCH_BASE_US).alias("since_us"))
+    asked = requests(spark, d).withColumn("ts_us", F.get("features", 1).cast("bigint")).drop("features")
+    r = S.lookup_as_of(asked, changes, ["epoch", "schedule"])
+    p = S.schedule_pick("schedule", "offered", F.col("event_id"), F.floor(F.col("event_id") / 7))
+    return r.select("event_id", "group_id", F.coalesce("epoch", F.lit(-1)).alias("epoch"), p["decision"].alias("decision"), p["from_schedule"].alias("from_schedule"))
+
+
 def eg_table(spark, d) -> DataFrame:
     return policies.best_arm(agg.arm_totals(updates(spark, d)))
 

@@ -61,10 +61,11 @@ pol AS (SELECT group_id, decision AS chosen FROM (
 lns AS (SELECT DISTINCT line_no, ts_ms, sec, minute, group_id FROM rec),
 cc AS (SELECT l.*, p.chosen, r.cost, r.cost IS NOT NULL AS offered, r.f1, r.f2
        FROM lns l LEFT JOIN pol p USING (group_id) LEFT JOIN rec r ON r.line_no = l.line_no AND r.decision = p.chosen),
-ls AS (SELECT *, count(*) OVER (PARTITION BY minute, chosen ORDER BY ts_ms, line_no ROWS UNBOUNDED PRECEDING) AS running,
+ls AS (SELECT *, CASE WHEN offered THEN count(*) FILTER (WHERE offered)
+                OVER (PARTITION BY minute, chosen ORDER BY ts_ms, line_no ROWS UNBOUNDED PRECEDING) END AS running,
               count(*) OVER (PARTITION BY minute) AS minute_total FROM cc),
 lf AS (SELECT *, running / minute_total AS load,
-              CASE WHEN f1 IS NULL THEN 1.0 WHEN running / minute_total > 0.5 THEN CAST(f2 AS DOUBLE)
+              CASE WHEN NOT offered THEN 1.0 WHEN running / minute_total > 0.5 THEN CAST(f2 AS DOUBLE)
                    WHEN running / minute_total > 0.25 THEN CAST(f1 AS DOUBLE) ELSE 1.0 END AS factor FROM ls)"""
 
 
@@ -131,16 +132,17 @@ def sessions_per_minute_q(spark, d):
 
 
 @query("sessions_per_minute_decision", f"""WITH {REC_SQL}
-SELECT minute, chosen AS decision, count(*) AS n_sessions FROM cc GROUP BY minute, chosen""")
+SELECT minute, chosen AS decision, count(*) AS n_sessions FROM cc WHERE offered GROUP BY minute, chosen""")
 def sessions_per_minute_decision_q(spark, d):
-    return chosen(spark, d).groupBy("minute", F.col("chosen").alias("decision")).agg(F.count(F.lit(1)).alias("n_sessions"))
+    return chosen(spark, d).where("offered").groupBy("minute", F.col("chosen").alias("decision")).agg(F.count(F.lit(1)).alias("n_sessions"))
 
 
 @query("load_share", f"""WITH {REC_SQL}
-SELECT line_no, minute, chosen AS decision, running, minute_total, load FROM lf""")
+SELECT line_no, minute, chosen AS decision, coalesce(running, 0) AS running, minute_total, load FROM lf""")
 def load_share_q(spark, d):
     c = T.load_share(chosen(spark, d))
-    return c.select("line_no", "minute", F.col("chosen").alias("decision"), "running", "minute_total", "load")
+    return c.select("line_no", "minute", F.col("chosen").alias("decision"), F.coalesce("running", F.lit(0)).alias("running"),
+                    "minute_total", "load")
 
 
 @query("load_factor", f"""WITH {REC_SQL}
@@ -158,7 +160,7 @@ SELECT bucket, status, n, CAST(s AS DOUBLE) / n AS mean_cost FROM a""")
 def failover_cost_q(spark, d):
     e = ad.table(spark, d, "events")
     us = ad.ts_micros("ts")
-    start = int(e.agg(F.min(us)).first()[0])
+    start = int(e.agg(F.min(us)).first()[0] or 0)
     rows = e.select(F.floor((us - F.lit(start)) / 3600000000).cast("bigint").alias("bucket"),
                     F.when(F.col("event_type") == "error", "local").otherwise("online").alias("status"),
                     F.col("value").alias("cost"))

@@ -130,10 +130,15 @@ def test_g10_epsilon(spark):
 
 
 def test_g11_load(spark):
-    recs = spark.createDataFrame([(0, i, d) for i, d in enumerate("abaa")], "minute INT, ts_ms INT, chosen STRING") \
+    recs = spark.createDataFrame([(0, i, d, True) for i, d in enumerate("abaa")], "minute INT, ts_ms INT, chosen STRING, offered BOOLEAN") \
         .withColumn("line_no", F.col("ts_ms"))
     s = traces.load_share(recs)
     assert [r["load"] for r in s.orderBy("ts_ms").collect()] == [0.25, 0.25, 0.5, 0.75]
+    # a session whose decision isn't on offer counts in the minute, but not as load
+    recs = spark.createDataFrame([(0, i, d, ok) for i, (d, ok) in enumerate([("a", True), ("a", False), ("a", True), (None, False)])],
+                                 "minute INT, ts_ms INT, chosen STRING, offered BOOLEAN").withColumn("line_no", F.col("ts_ms"))
+    got = [(r["running"], r["minute_total"], r["load"]) for r in traces.load_share(recs).orderBy("ts_ms").collect()]
+    assert got == [(1, 4, 0.25), (None, 4, None), (2, 4, 0.5), (None, 4, None)]
     curve = F.array(F.struct(F.lit(0.2).alias("threshold"), F.lit(1.5).alias("factor")),
                     F.struct(F.lit(0.5).alias("threshold"), F.lit(2.0).alias("factor")))
     loads = spark.createDataFrame([(0.1,), (0.2,), (0.4,), (0.75,)], "load DOUBLE")
