@@ -116,6 +116,28 @@ def test_line_runs_go_on_and_are_compacted(spark):
     assert late.n_dropped == 1  # an earlier batch owns it, whatever the id
 
 
+def test_line_runs_survive_a_job_that_dies(spark, monkeypatch, tmp_path):
+    path = f"{tmp_path}/runs"
+    runs = LineRuns(spark, path, expected=100_000_000)
+    assert runs.buckets == 25
+    deduplicate_lines(frame(spark, [(1, "a line of the first batch")]), runs, batches=1).collect()
+    with monkeypatch.context() as m:
+        m.setattr(LineRuns, "_commit", lambda *_: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            deduplicate_lines(frame(spark, [(2, "a line of the second batch")]), runs, batches=1)
+    (tmp_path / "runs" / "lists" / "00000002").mkdir()               # a list that was begun and never completed
+    again = LineRuns(spark, path)
+    assert (again.buckets, len(again.runs), again.number) == (25, 1, 1)
+    got = {r.doc_id: r.n_dropped for r in deduplicate_lines(
+        frame(spark, [(2, "a line of the second batch"), (3, "a line of the first batch\na line of the second batch")]), again, batches=1).collect()}
+    assert got == {2: 0, 3: 2} and LineRuns(spark, path).number == 2
+    with pytest.raises(ValueError, match="25 buckets"):
+        LineRuns(spark, path, buckets=4)
+    (tmp_path / "runs" / "lists").rename(tmp_path / "gone")
+    with pytest.raises(ValueError, match="no list"):
+        LineRuns(spark, path)
+
+
 def test_lines_of_one_id_and_of_none(spark):
     rows = [(5, "a line in two rows"), (5, "a line in two rows\nand one more line"), (None, "and one more line"), (None, None)]
     got = sorted((r.doc_id or 0, r.n_lines, r.n_dropped) for r in deduplicate_lines(frame(spark, rows)).collect())
