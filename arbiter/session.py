@@ -18,8 +18,9 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Python dict semantics for maps built from lists with repeated keys: last one wins.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # Rows can be whole documents: small Arrow batches keep Python workers' memory bounded.
+    # Rows can be whole documents: Arrow batches of few rows and bytes keep Python workers' memory bounded.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
     # Keep one from_json per message: field pruning would split it into one parse per field
     # once a filter on the parsed fields is pushed below the parse.
     "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
@@ -42,7 +43,8 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 def apply_session_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.mapKeyDedupPolicy", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.optimizer.enableJsonExpressionOptimization"):
+              "spark.sql.mapKeyDedupPolicy", "spark.sql.execution.arrow.maxRecordsPerBatch",
+              "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.optimizer.enableJsonExpressionOptimization"):
         spark.conf.set(k, BASE_CONF[k])
 
 
