@@ -189,10 +189,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         split, common_ids = re.compile(WORD).findall, shared.value
 
         def ids_of(word: str) -> bytes:
-            found = own.get(word)
+            found = own.get(word) or common_ids.get(word)
             if found is None:
-                found = common_ids.get(word) or np.array(model.spell(word), "<i4").tobytes()
-                own[word] = found
+                if len(word) <= LONG_WORD:
+                    raise KeyError(f"the lattice has no path for {word!r}")
+                found = own[word] = np.array(model.spell(word), "<i4").tobytes()
             return found
 
         flat, sizes, docs = [], [], _one(texts["_doc"]).flatten()
@@ -212,9 +213,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "text", model_file: str = MODEL) -> DataFrame:
-    """``encoded`` with ``out_col``, the text of its ids; null ids give null, ids that the model lacks nothing."""
-    @F.udf("string", useArrow=True)
-    def text(ids):
-        return None if ids is None else _pieces(model_file).decode(list(ids))
+    """``encoded`` with ``out_col``, the text of its ids; null ids give null, ids that the model lacks nothing.
 
-    return encoded.withColumn(out_col, text(F.col(ids_col)))
+    Column expressions only: the pieces' bytes are one constant array, so no Python worker runs.
+    """
+    pieces = _pieces(model_file)
+    table = F.split(F.lit(",".join(pieces.text.get(i, b"").hex() for i in range(max(pieces.text) + 1))), ",")
+    whole = F.array_join(F.transform(F.col(ids_col), lambda i: F.when(i >= 0, F.get(table, i))), "")
+    text = F.make_valid_utf8(F.unhex(whole).cast("string"))
+    return encoded.withColumn(out_col, F.when(F.startswith(text, F.lit(" ")), F.substring(text, 2, 2 ** 31 - 1)).otherwise(text))
