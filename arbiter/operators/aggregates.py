@@ -61,11 +61,17 @@ def sliding_arm_totals(updates: DataFrame, window: str, slide: str, ts: str = "t
 
 def sliding_arm_stream(updates: DataFrame, window: str, slide: str, ts: str = "ts",
                        keys: Sequence[str] = ("group_id", "decision"), weight: str | None = None) -> DataFrame:
-    """A2 over a stream: one stateful aggregate per (window, keys), closed by the watermark."""
+    """A2 over a stream: two chained stateful aggregates, both closed by the watermark.
+
+    Rows are summed once per pane (the common divisor of window and slide); a closed pane's totals go to the
+    windows that hold it. So a row touches one state row, not one per window. Append mode only.
+    """
     w = F.col(weight) if weight else F.lit(1)
-    return (updates.groupBy(F.window(ts, window, slide).alias("w"), *keys)
-            .agg((-F.sum(exact("cost") * w)).cast("double").alias("score_sum"),
-                 F.sum(w).cast("bigint").alias("cnt"))
+    size, step = (int(pd.Timedelta(x).total_seconds()) for x in (window, slide))
+    panes = (updates.groupBy(F.window(ts, f"{math.gcd(size, step)} seconds").alias("_pane"), *keys)
+             .agg(F.sum(exact("cost") * w).alias("_s"), F.sum(w).cast("bigint").alias("_n")))
+    return (panes.groupBy(F.window(F.window_time("_pane"), window, slide).alias("w"), *keys)
+            .agg((-F.sum("_s")).cast("double").alias("score_sum"), F.sum("_n").alias("cnt"))
             .select(F.unix_seconds(F.col("w.start")).alias("window_start"),
                     F.unix_seconds(F.col("w.end")).alias("window_end"), *keys, "score_sum", "cnt"))
 

@@ -45,8 +45,10 @@ sb AS (SELECT source, ord // {BLOCK_SRC} AS blk, sum(CAST(value AS DECIMAL(18,2)
 blocks AS (SELECT source, (blk + 1) * {BLOCK_SRC} AS label, CAST(s AS DOUBLE) / n AS mean_value FROM sb WHERE n = {BLOCK_SRC})"""
 
 
-def source_blocks(spark, d) -> DataFrame:
+def source_blocks(spark, d, only: tuple[str, ...] = ()) -> DataFrame:
+    """Block means per source; ``only`` these sources, dropped before the ranks are made."""
     e = ad.table(spark, d, "events").select(F.col("event_type").alias("source"), "event_id", "value")
+    e = e.where(F.col("source").isin(*only)) if only else e
     return S.block_means(with_ordinal(e, ["event_id"], partition_by=["source"]), "ord", "value", BLOCK_SRC,
                          partition_by=["source"])
 
@@ -60,7 +62,7 @@ def block_mean_100_by_source_q(spark, d):
 SELECT a.label, a.mean_value AS a, b.mean_value AS b
 FROM blocks a JOIN blocks b ON a.label = b.label WHERE a.source = '{SERIES_A}' AND b.source = '{SERIES_B}'""")
 def zip_series_q(spark, d):
-    bl = source_blocks(spark, d)
+    bl = source_blocks(spark, d, (SERIES_A, SERIES_B))
     return S.zip_series(bl.where(F.col("source") == SERIES_A), bl.where(F.col("source") == SERIES_B))
 
 
@@ -69,7 +71,7 @@ SELECT count(*) FILTER (WHERE source = '{SERIES_A}') AS n_a, count(*) FILTER (WH
        abs(count(*) FILTER (WHERE source = '{SERIES_A}') - count(*) FILTER (WHERE source = '{SERIES_B}')) AS gap
 FROM blocks""")
 def series_length_gap_q(spark, d):
-    bl = source_blocks(spark, d)
+    bl = source_blocks(spark, d, (SERIES_A, SERIES_B))
     return S.length_gap(bl.where(F.col("source") == SERIES_A), bl.where(F.col("source") == SERIES_B))
 
 
@@ -193,7 +195,7 @@ def latency_cdf_q(spark, d):
 r AS (SELECT rt_us, row_number() OVER (ORDER BY rt_us, event_id) - 1 AS k, count(*) OVER () AS n FROM ok)
 SELECT n, CAST(rt_us AS DOUBLE) / 1000000 AS p90 FROM r WHERE k = (9 * n) // 10""")
 def latency_p90_q(spark, d):
-    p = S.percentile_at(ok_outcomes(spark, d), "rt_us", "event_id", 9, 10)
+    p = S.percentile_at(ok_outcomes(spark, d), "rt_us", 9, 10)
     return p.select("n", (F.col("p").cast("double") / 1000000).alias("p90"))
 
 

@@ -6,6 +6,8 @@ the classpath), or a directory of text files per topic (tests, and where no brok
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +75,27 @@ def write_destinations(batch: DataFrame, root: str, batch_id: int, fmt: str = "t
     write_batch(batch.select("dest_cluster", "topic", "value"), root, batch_id, fmt, ("dest_cluster", "topic"))
 
 
+def write_brokers(batch: DataFrame, brokers: Mapping[str, Mapping[str, str]], dead: str, batch_id: int) -> None:
+    """S3 with a broker per destination: ``batch`` has ``dest_cluster``, ``topic`` and ``value``; ``brokers`` is the table of configured
+    destinations, cluster -> writer options with ``format`` (default ``kafka``) among them.
+
+    The batch is persisted once; each destination gets one filtered write to its own broker (file formats: to their ``path``, a
+    folder per batch, replay-safe). Rows for a cluster that isn't configured, or for none, go to dead letters.
+    """
+    rows = batch.select("dest_cluster", "topic", "value").persist()
+    for cluster, given in brokers.items():
+        options = dict(given)
+        fmt = options.pop("format", "kafka")
+        own = rows.where(F.col("dest_cluster") == cluster).select("topic", "value")
+        if fmt == "kafka":
+            own.write.format(fmt).options(**options).save()
+        else:
+            write_batch(own, options.pop("path"), batch_id, fmt, ("topic",))
+    known = F.coalesce(F.col("dest_cluster").isin(*brokers), F.lit(False)) if brokers else F.lit(False)
+    write_batch(rows.where(~known), dead, batch_id)
+    rows.unpersist()
+
+
 SPOOL_SCHEMA = "update STRING, group_id STRING"
 
 

@@ -13,6 +13,8 @@ Four flows share one subscriber registry (a table of distinct ``(group_id, clust
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +22,26 @@ from ..functions import parsing as P
 from ..operators import routing as R
 from ..operators.aggregates import feature_frequency
 from ..operators.sampling import sample_mask
-from ..sources.topics import write_batch, write_destinations
+from ..sources.topics import write_batch, write_brokers, write_destinations
 
 
 class Communicator:
     def __init__(self, spark: SparkSession, root: str, own: str, sample_fraction: float = 0.01,
-                 n_management: int = 2, origin: str | None = None):
-        """``origin``: this cluster's tag in decision messages (``From: origin``). When given, only messages that
+                 n_management: int = 2, origin: str | None = None, brokers: Mapping[str, Mapping[str, str]] | None = None):
+        """``brokers``: options of every destination's broker (see ``write_brokers``); without them each destination gets a folder
+        below ``root/outbox``. ``origin``: this cluster's tag in decision messages (``From: origin``). When given, only messages that
         carry it are fanned out, so clusters that subscribe to each other don't pass a decision round."""
-        self.spark, self.own, self.origin = spark, own, origin
+        self.spark, self.own, self.origin, self.brokers = spark, own, origin, brokers
         self.root = root.rstrip("/")
         self.registry_path = f"{self.root}/registry"
         self.fraction, self.k = sample_fraction, n_management
 
+    def _send(self, rows: DataFrame, flow: str, batch_id: int) -> None:
+        if self.brokers is None:
+            write_destinations(rows, f"{self.root}/outbox/{flow}", batch_id)
+        else:
+            write_brokers(rows, self.brokers, f"{self.root}/dead/{flow}", batch_id)
+
     # -- upload: sample + forward + heartbeat (T8, T10, A10, A25) --------------------------------
     def upload_batch(self, batch: DataFrame, batch_id: int) -> None:
         b = batch.select("value").persist()
@@ -66,8 +75,7 @@ class Communicator:
         if self.origin is not None:
             dec = dec.where(F.col("value").endswith(f";From: {self.origin}"))
         out = R.fan_out(dec, self.registry(), self.own)
-        write_destinations(out.select(F.col("cluster_id").alias("dest_cluster"), F.lit("decision").alias("topic"),
-                                      "value"), f"{self.root}/outbox/decision", batch_id)
+        self._send(out.select(F.col("cluster_id").alias("dest_cluster"), F.lit("decision").alias("topic"), "value"), "decision", batch_id)
 
     # -- external: forward to the owner + subscribe once per group (S3, A13, E14) -------------------
     def external_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -78,7 +86,7 @@ class Communicator:
         fwd = rows.select(F.col("cluster_id").alias("dest_cluster"), F.lit(R.INTERNAL).alias("topic"), "value")
         subs = R.subscribe_to_owners(rows, self.own)
         subs = subs.select("dest_cluster", F.lit("subscribe").alias("topic"), F.col("message").alias("value"))
-        write_destinations(fwd.unionByName(subs), f"{self.root}/outbox/external", batch_id)
+        self._send(fwd.unionByName(subs), "external", batch_id)
         rows.unpersist()
 
     # -- wiring (T7) ----------------------------------------------------------------------------------

@@ -168,7 +168,7 @@ def test_g13_latency(spark):
 def test_g14_cdf_p90(spark):
     v = spark.createDataFrame([(i, i) for i in range(1, 11)], "v INT, id INT")
     assert rows(series.cdf(v, "v", "id"), "pct") == [(p * 10.0,) for p in range(10)]
-    assert rows(series.percentile_at(v, "v", "id", 9, 10), "n", "p") == [(10, 10)]
+    assert rows(series.percentile_at(v, "v", 9, 10), "n", "p") == [(10, 10)]
 
 
 def test_g15_failover(spark):

@@ -95,18 +95,22 @@ def test_heartbeats_go_on_without_input(spark):
 
 
 def test_sliding_stream_equals_batch(spark):
+    """A row far ahead closes every window; state rows are panes and windows of arms, not rows times windows."""
     from arbiter.operators.aggregates import sliding_arm_totals
     base = tempfile.mkdtemp(prefix="arbiter-win-")
     upd = ad.updates(ad.table(spark, SF, "events")).select("ts", "group_id", "decision", "cost")
-    upd.repartition(4).write.parquet(os.path.join(base, "in"))
-    stream = spark.readStream.schema(upd.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
-    q = (sliding_stream(stream, "6 hours", "1 hour", "1000 days").writeStream.outputMode("complete")
+    ahead = upd.limit(1).withColumn("ts", F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    _chunks(base, [*(upd.where(F.dayofmonth("ts") % 3 == k) for k in range(3)), ahead])
+    q = (sliding_stream(_read_chunks(spark, base, upd.schema), "6 hours", "1 hour", "100 days").writeStream.outputMode("append")
          .format("memory").queryName("win_test").option("checkpointLocation", os.path.join(base, "cp"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     got = spark.table("win_test")
     want = sliding_arm_totals(upd, "6 hours", "1 hour")
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
+    most = max(s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"])
+    panes = upd.select(F.date_trunc("hour", "ts"), "group_id", "decision").distinct().count()
+    assert most <= max(panes + 1, want.count())
 
 
 def test_communicator_flows(spark):
@@ -235,7 +239,7 @@ def test_sliding_stream_append_mode_drops_late_rows(spark):
     assert got.count() > 0
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())   # late copy not counted
     dropped = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
-    assert dropped == 6   # one late row, counted once per sliding window it falls in (6 h / 1 h)
+    assert dropped == 1   # one late row, of one pane
 
 
 @pytest.mark.parametrize("warm", [False, True])
@@ -289,3 +293,38 @@ def test_two_clusters_pass_no_decision_round(spark):
     own["c2"].decision_batch(sent, 0)
     out = os.path.join(base, "c2", "outbox", "decision", "batch_id=0")
     assert not [f for f in os.listdir(out) if f.startswith("dest_cluster")]
+
+
+@pytest.mark.parametrize("cuts", [1, 7])
+def test_arrival_stream_equals_batch(spark, cuts):
+    from arbiter.operators.ordinal import with_ordinal
+    from arbiter.operators.series import ack_blocks, gaps
+    from arbiter.streaming.arrivals import arrivals
+    base = tempfile.mkdtemp(prefix="arbiter-arr-")
+    e = ad.table(spark, SF, "events").select(F.lit("all").alias("source"), F.col("event_id").alias("id"), ad.ts_micros("ts").alias("ts_us"))
+    low, high = e.agg(F.min("ts_us"), F.max("ts_us")).first()
+    part = F.least(F.lit(cuts - 1), F.floor((F.col("ts_us") - low) * cuts / (high - low + 1)))
+    _chunks(base, [e.where(part == k) for k in range(cuts)])
+    q = (arrivals(_read_chunks(spark, base, e.schema), 10).writeStream.outputMode("append").format("parquet")
+         .option("path", os.path.join(base, "out")).option("checkpointLocation", os.path.join(base, "cp")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(os.path.join(base, "out"))
+    by_time = with_ordinal(e, ["ts_us", "id"])
+    assert sorted((r.id, r.secs) for r in got.where("kind = 'gap'").collect()) == sorted(
+        (r.id, r.gap) for r in gaps(by_time, "ord", "ts_us").where("gap is not null").collect())
+    assert sorted((r.total, r.secs) for r in got.where("kind = 'block'").collect()) == sorted(
+        map(tuple, ack_blocks(by_time, "ord", "ts_us", 10).collect()))
+
+
+def test_one_broker_per_destination(spark):
+    base = tempfile.mkdtemp(prefix="arbiter-brokers-")
+    brokers = {c: {"format": "text", "path": os.path.join(base, c)} for c in ("c2", "c3")}
+    c = Communicator(spark, os.path.join(base, "own"), own="c1", brokers=brokers)
+    spark.createDataFrame([("g1", "c2"), ("g1", "c3"), ("g1", "c9"), ("g2", "c3")], "group_id STRING, cluster_id STRING").write.parquet(c.registry_path)
+    batch = spark.createDataFrame([("g1;a:;From: x",), ("g2;b:;From: x",)], "value STRING")
+    for _ in range(2):  # a replayed batch
+        c.decision_batch(batch, 0)
+    sent = {k: sorted(r.value for r in spark.read.text(os.path.join(base, k, "batch_id=0", "topic=decision")).collect()) for k in ("c2", "c3")}
+    assert sent == {"c2": ["g1;a:;From: x"], "c3": ["g1;a:;From: x", "g2;b:;From: x"]}
+    dead = spark.read.parquet(os.path.join(base, "own", "dead", "decision"))
+    assert [(r.dest_cluster, r.topic, r.value) for r in dead.collect()] == [("c9", "decision", "g1;a:;From: x")]
