@@ -332,3 +332,23 @@ def test_lattice_path_is_the_best(spark):
     for w in words:
         assert sum(score.get(i, pieces.fallback) for i in got[w]) == max(s for s, _ in ways(w))
         assert [i for i in got[w] if i >= 0] == [i for i in pieces.spell(w) if i not in set(pieces.byte.values())]
+
+
+def test_deep_and_long_pages_take_linear_time():
+    """Fifty thousand unclosed elements, as many stray end tags, nested articles, and a page of 5 MB."""
+    import time
+    weights = [0.3, -1.0, 0.5, 0.2, 0.1, 0.3, -0.2, 0.1, -0.3]
+    pages = {"<div>w " * 50_000: 50_000, "<div>w " * 50_000 + "</x></p>" * 50_000: 50_000, "<article>w " * 50_000: 50_000,
+             "<article><p>" + "some words of text. " * 250_000 + "</p></article>": 1}
+    for html, n in pages.items():
+        began = time.time()
+        blocks = page_blocks(html)
+        assert len(blocks) == n == len(label_blocks(blocks, -1.0, weights))
+        assert time.time() - began < 20  # about 2 s; quadratic work would take an hour
+
+
+def test_long_pages_come_out_whole(spark):
+    article = "<article><p>" + "some words of a text. " * 50_000 + "</p></article>"
+    rows = [(k, "u", article + f"<nav>menu {k}</nav>") for k in range(6)]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.n_chars for r in got.collect()} == {22 * 50_000 - 1}
