@@ -17,7 +17,7 @@ def documents(spark):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
     assert "pipeline" in names and set(QUERIES) <= set(names)
 
 
@@ -89,3 +89,48 @@ def test_pipeline(spark, documents):
             from arbiter.llm.sentence_pieces import Pieces
             pieces = Pieces()
             assert sorted((r.doc_id, pieces.decode(r.ids)) for r in after) == sorted(texts)
+
+
+def test_katz_query(spark, documents):
+    from test_katz import Plain
+    rows = [d[:2] for d in documents]
+    plain = Plain(rows)
+    got = {r.doc_id: tuple(r)[:5] + (r.base_score, r.score) for r in entry.queries()["op11_katz"](spark, SF).collect()}
+    assert len(got) == len(rows)
+    # the plain program adds up a context's probabilities for every token: a part of the documents is enough for its scores
+    for i, t in rows[::10]:
+        want = plain.score(i, t)
+        assert got[i][:5] == want[:5] and got[i][5:] == pytest.approx(want[5:], rel=1e-9)
+
+
+def test_spelling_query(spark, documents):
+    """Near words by deleting or masking each letter, instead of comparing every pair."""
+    from collections import defaultdict
+    got = {r.word: r for r in entry.queries()["op12_spelling"](spark, SF).collect()}
+    n = {w: r.n for w, r in got.items()}
+    masked, near = defaultdict(list), defaultdict(set)
+    for w in n:
+        for i in range(len(w)):
+            masked[w[:i] + "*" + w[i + 1:]].append(w)
+            if (short := w[:i] + w[i + 1:]) in n:
+                near[w].add(short)
+                near[short].add(w)
+    for same in masked.values():
+        for w in same:
+            near[w].update(x for x in same if x != w)
+    for w, r in got.items():
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form = best if best and n[best] >= 10 * n[w] else None
+        assert (r.n_near, r.form, r.form_n) == (len(near[w]), form, n.get(form))
+        assert r.root == (got[form].root if form else w)
+
+
+def test_whitening_query(spark):
+    from test_whitening import plain
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    want, got = plain(rows), entry.queries()["op13_whitening"](spark, SF).collect()
+    assert len(got) == 4 * len(rows)
+    for r in got:
+        n, deviation, white, share = want[r.vec_id, r.component]
+        assert (r.n, r.deviation) == (n, deviation) and abs(abs(r.whitened) - white) < 1e-8
+        assert abs(r.explained - share) < 1e-9 and r.identity_error < 1e-10
