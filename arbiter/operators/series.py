@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..adapters import exact
@@ -72,17 +72,37 @@ def second_index(t_us: str, start_us: int):
     return F.greatest(F.lit(0), F.floor((F.col(t_us) - F.lit(start_us) + 999999) / 1000000) - 1).cast("bigint")
 
 
-def latency_series(spark: SparkSession, outcomes: DataFrame, t_us: str, rt_us: str, start_us: int) -> DataFrame:
-    """Mean response time (s) and count per second, dense over 0..last occupied second."""
-    per = (outcomes.groupBy(second_index(t_us, start_us).alias("sec"))
+def dense_seconds(per: DataFrame, sec: str = "sec", horizon: int = 86_400, start: int = 0) -> DataFrame:
+    """``per`` (one row per occupied second) with the silent seconds in between and from ``start`` on.
+
+    Adds ``seconds``, the number of seconds that a row stands for. An occupied second is 1 long and keeps its columns; in
+    silent rows they are null. A silence of at most ``horizon`` seconds gives a row per second; a longer one is one row that
+    bears its first second and its length, so that nothing is lost and a far outlier costs one row. No spine is walked: each
+    occupied second brings the silence before it, an array of at most ``horizon``. Rows without a second are left out.
+    """
+    rest = [c for c in per.columns if c != sec]
+    own = F.col(sec).cast("bigint")
+    known = with_ordinal(per.where(F.col(sec).isNotNull()), [sec], name="_ord")
+    o = lag_global(known, "_ord", own, "_prev")
+    first = F.coalesce(F.col("_prev") + 1, F.least(F.lit(start).cast("bigint"), own))
+    row = lambda s, n: F.struct(s.alias("_sec"), n.cast("bigint").alias("seconds"))
+    here = F.array(row(own, F.lit(1)))
+    rows = (F.when(own == first, here).when(own - first > horizon, F.concat(F.array(row(first, own - first)), here))
+            .otherwise(F.transform(F.sequence(first, own), lambda s: row(s, F.lit(1)))))
+    spread = o.select(own.alias("_own"), *rest, F.inline(rows))
+    return spread.select(F.col("_sec").alias(sec), "seconds", *[F.when(F.col("_sec") == F.col("_own"), F.col(c)).alias(c) for c in rest])
+
+
+def latency_series(outcomes: DataFrame, t_us: str, rt_us: str, start_us: int, horizon: int = 86_400) -> DataFrame:
+    """Mean response time (s) and count per second from 0 to the last occupied one.
+
+    ``seconds`` is 1, or the length of a silence of over ``horizon`` seconds (see :func:`dense_seconds`).
+    Outcomes without a time are left out."""
+    per = (outcomes.where(F.col(t_us).isNotNull()).groupBy(second_index(t_us, start_us).alias("sec"))
            .agg(F.sum(rt_us).alias("_s"), F.count(F.lit(1)).alias("n")))
-    last = per.agg(F.max("sec")).first()[0]
-    if last is None:
-        return per.select("sec", F.lit(0.0).alias("mean_rt"), "n").limit(0)
-    spine = spark.range(0, int(last) + 1).withColumnRenamed("id", "sec")
-    j = spine.join(per, "sec", "left")
-    return j.select("sec", F.coalesce(F.col("_s").cast("double") / F.col("n") / 1000000, F.lit(0.0)).alias("mean_rt"),
-                    F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    return dense_seconds(per, "sec", horizon).select(
+        "sec", F.coalesce(F.col("_s").cast("double") / F.col("n") / 1000000, F.lit(0.0)).alias("mean_rt"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "seconds")
 
 
 def cdf(df: DataFrame, value: str, tiebreak: str) -> DataFrame:

@@ -16,6 +16,7 @@ ROLL = 60
 BLOCK_SRC = 100
 ACK_BLOCK = 100
 GAP_BLOCK = 10
+HORIZON = 86_400  # seconds of silence given one by one
 SERIES_A, SERIES_B = "click", "view"
 
 ORD_SQL = "s AS (SELECT event_id, event_type, value, epoch_us(ts) AS us, row_number() OVER (ORDER BY event_id) - 1 AS ord FROM events)"
@@ -161,7 +162,7 @@ FROM sp LEFT JOIN p ON sp.sec = p.sec"""
 def _series(spark, d, col):
     ok = ok_outcomes(spark, d)
     start = int(ok.agg(F.min("sent_us")).first()[0] or 0)
-    return S.latency_series(spark, ok, col, "rt_us", start)
+    return S.latency_series(ok, col, "rt_us", start, HORIZON).select("sec", "mean_rt", "n")
 
 
 @query("latency_by_sent", _series_sql("sent_us"))

@@ -11,6 +11,7 @@ from ..operators import policies
 from ..operators import traces as T
 from ..operators.joins import small
 from ..operators.ordinal import with_ordinal
+from ..operators.series import dense_seconds
 from ..session import materialize
 from .registry import query
 
@@ -118,6 +119,23 @@ def per_second_counts_q(spark, d):
     return T.per_second(chosen(spark, d)).select("sec", "n_sent", "n_ok")
 
 
+# Fixed value: silences up to this many seconds are given second by second; the trace pauses for most of every day.
+HORIZON = 3_600
+
+
+@query("per_second_dense", f"""WITH {REC_SQL},
+p AS (SELECT sec, count(*) AS n_sent, count(*) FILTER (WHERE offered) AS n_ok FROM cc GROUP BY sec),
+g AS (SELECT sec, lag(sec) OVER (ORDER BY sec) AS prev FROM p),
+z AS (SELECT prev + 1 AS first, sec - prev - 1 AS len FROM g WHERE sec > prev + 1)
+SELECT sec, CAST(1 AS BIGINT) AS seconds, n_sent, n_ok FROM p
+UNION ALL SELECT first, len, 0, 0 FROM z WHERE len > {HORIZON}
+UNION ALL SELECT unnest(range(first, first + len)), 1, 0, 0 FROM z WHERE len <= {HORIZON}""")
+def per_second_dense_q(spark, d):
+    per = T.per_second(chosen(spark, d)).select("sec", "n_sent", "n_ok")
+    return dense_seconds(per, "sec", HORIZON).select("sec", "seconds", *[
+        F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_sent", "n_ok")])
+
+
 @query("per_second_cost", f"""WITH {REC_SQL}
 SELECT sec, CAST(sum(CAST(cost AS DECIMAL(18,2))) FILTER (WHERE offered) AS DOUBLE) / count(*) FILTER (WHERE offered) AS mean_cost
 FROM cc GROUP BY sec HAVING count(*) FILTER (WHERE offered) > 0""")

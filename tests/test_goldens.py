@@ -160,7 +160,7 @@ def test_g12_blocks(spark):
 def test_g13_latency(spark):
     o = spark.createDataFrame([(0, 100000), (500000, 300000), (1000000, 200000), (2500000, 400000)],
                               "sent_us BIGINT, rt_us BIGINT")
-    s = series.latency_series(spark, o, "sent_us", "rt_us", 0)
+    s = series.latency_series(o, "sent_us", "rt_us", 0)
     got = rows(s, "sec", "mean_rt", "n")
     assert [(a, round(b, 9), c) for a, b, c in got] == [(0, 0.2, 3), (1, 0.0, 0), (2, 0.4, 1)]
 
