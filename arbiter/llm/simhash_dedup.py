@@ -2,11 +2,12 @@
 
 A fingerprint has 8 byte positions. Two fingerprints that differ in at most ``max_bits`` bits agree in
 at least 8 - max_bits positions: the guaranteed minimum. A posting list per single byte would hold
-1/256 of all fingerprints and its pairs would grow with their square, so a list's key here is the
-bytes of that many positions at once: a pair shares a key exactly when its tally reaches the minimum.
-Each pair is taken up in the first list that it shares, its bits are counted, and links of at most
-``max_bits`` are kept. Lists longer than ``list_limit`` (dense groups of near copies) aren't paired: their
-members' links are found through shared neighbours instead (see ``_neighbour_links``), which is exact.
+1/256 of all fingerprints, so a list's key here is the bytes of ``key_bytes`` positions at once, fewer than the
+minimum: every pair in question meets in several lists. It is taken up in the first that it shares, the
+positional bytes that it shares are tallied, pairs below the minimum are left, and the bits of the others are
+counted. More positions a key make shorter lists (four suit more than about 10^9 fingerprints), with the same links.
+Lists longer than ``list_limit`` (dense groups of near copies, whose pairs would grow with their square) aren't paired:
+their members' links are found through shared neighbours instead (see ``_neighbour_links``), which is exact.
 """
 
 from __future__ import annotations
@@ -84,9 +85,10 @@ def _postings(fps: DataFrame, positions: list[tuple[int, ...]]) -> DataFrame:
 
 
 def _list_links(postings: DataFrame, positions: list[tuple[int, ...]], max_bits: int, list_limit: int) -> DataFrame:
-    """a, b: links within the lists of at most ``list_limit`` members; for longer lists rows (member, null)."""
+    """a, b: pairs whose tally of shared positional bytes reaches the minimum and whose bits then fit, within the lists
+    of at most ``list_limit`` members; for longer lists rows (member, null)."""
     first = {sum(1 << p for p in at): k for k, at in enumerate(positions)}
-    size = len(positions[0])
+    size, minimum = len(positions[0]), BYTES - max_bits
     # the number of the first list that fingerprints with these equal byte positions share
     shared = np.full(1 << BYTES, -1, np.int64)
     for equal in range(1 << BYTES):
@@ -102,9 +104,10 @@ def _list_links(postings: DataFrame, positions: list[tuple[int, ...]], max_bits:
                 return
             a, b, k = fp[same], fp[same + d], key[same] >> (8 * size)
             x = (a ^ b).view(np.uint64)
-            zero = (x[:, None] >> np.arange(0, BITS, 8, dtype=np.uint64) & np.uint64(255)) == 0
-            tally = (zero * (1 << np.arange(BYTES))).sum(axis=1)
-            fit = (shared[tally] == k) & (np.bitwise_count(x) <= max_bits)
+            equal = (x[:, None] >> np.arange(0, BITS, 8, dtype=np.uint64) & np.uint64(255)) == 0
+            enough = equal.sum(axis=1) >= minimum
+            a, b, k, x, equal = a[enough], b[enough], k[enough], x[enough], equal[enough]
+            fit = (shared[(equal * (1 << np.arange(BYTES))).sum(axis=1)] == k) & (np.bitwise_count(x) <= max_bits)
             yield from _out(np.maximum(a, b)[fit], np.minimum(a, b)[fit], ["a", "b"])
 
     def hot(fp):
@@ -183,7 +186,7 @@ def _neighbour_links(fps: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4,
-                    list_limit: int = 64) -> DataFrame:
+                    key_bytes: int = 3, list_limit: int = 64) -> DataFrame:
     """One row per input row: ``id_col``, fp, component_id, root, key.
 
     Texts are A-Z lower-cased and cut into shingles of ``words`` words; fewer words make one shingle, none
@@ -195,7 +198,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = stage(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "fingerprint-nodes")
-    positions = list(combinations(range(BYTES), BYTES - max_bits))
+    positions = list(combinations(range(BYTES), min(key_bytes, BYTES - max_bits)))
     found = stage(_list_links(_postings(nodes, positions), positions, max_bits, list_limit), "fingerprint-links")
     dense = found.filter("b is null").select(F.col("a").alias("fp")).distinct()
     links = found.filter("b is not null").unionByName(_neighbour_links(dense, max_bits))

@@ -1,6 +1,7 @@
 """Exact, line, substring and SimHash de-duplication against plain versions, with the odd inputs."""
 
 import random
+from itertools import combinations
 
 import brute
 import pytest
@@ -10,7 +11,7 @@ from arbiter.llm.common import work_path
 from arbiter.llm.components import components
 from arbiter.llm.exact_dedup import DigestIndex, deduplicated
 from arbiter.llm.line_dedup import LineRuns, deduplicate_lines
-from arbiter.llm.simhash_dedup import fingerprint, near_duplicates, one_of_each
+from arbiter.llm.simhash_dedup import _list_links, _postings, fingerprint, near_duplicates, one_of_each
 from arbiter.llm.substring_dedup import remove_repeated
 
 SCHEMA = "doc_id long, text string, n_lines string, n_words string, kept string, h string, source string"
@@ -174,11 +175,31 @@ def test_near_duplicates(spark, corpus):
     assert sorted((10 ** 9 if r.doc_id is None else r.doc_id, r.fp % 2 ** 64, r.component_id) for r in got) == want
     usual = near_duplicates(frame(spark, rows)).collect()  # the roots are the same too
     assert sorted(map(repr, usual)) == sorted(map(repr, got))
+    for key_bytes in (1, 4):  # every pair in a list of single bytes is tallied; in one of four bytes all reach the minimum
+        other = near_duplicates(frame(spark, rows), key_bytes=key_bytes).collect()
+        assert sorted(map(repr, other)) == sorted(map(repr, got))
     assert near_duplicates(frame(spark, [])).count() == 0
     kept = one_of_each(frame(spark, rows))
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want})
 
 
+def test_count_filter_rejects(spark):
+    """Pairs meet in a list with fewer common bytes than the minimum, or enough of them and too many bits."""
+    def bits(*at):
+        return sum(1 << b for b in at)
+    a = 0x0123456789ABCDEF
+    near, far = a ^ bits(0, 8, 16, 24), a ^ bits(0, 1, 8, 16, 24)       # four common bytes, four and five bits
+    few = a ^ bits(0, 8, 16, 24, 32)                                    # three common bytes, five bits
+    fps = [f - (1 << 64) if f >> 63 else f for f in (a, near, far, few)]
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for size in (1, 2, 3, 4):
+        positions = list(combinations(range(8), size))
+        got = _list_links(_postings(df, positions), positions, 4, 64).collect()
+        links = {tuple(sorted((r.a, r.b))) for r in got}
+        want = {tuple(sorted(p)) for p in combinations(fps, 2) if ((p[0] ^ p[1]) % 2 ** 64).bit_count() <= 4}
+        assert links == want and len(got) == len(want)  # each link once
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(k, k + 1) for k in range(0, 60)] + [(1000 + rng.randrange(80), 1000 + rng.randrange(80)) for _ in range(60)]
