@@ -9,7 +9,7 @@ anywhere else. The way there:
 2. Automata. Documents are dealt to shards; each shard gets the recurring phrases that its documents
    hold, compiles them into one Aho-Corasick automaton over word numbers, and streams all its documents through it
    to locate every occurrence. A shard's automaton is bounded by the shard's own text.
-3. Exact check. Windows whose phrase was located are counted by 64-bit hash; those that start once are
+3. Exact check. Windows whose phrase was located are counted by two independent 64-bit hashes; those that start once are
    taken back, with the place that the count itself carries, so nothing is joined window by window.
 """
 
@@ -37,10 +37,14 @@ NONE = np.uint64(2 ** 64 - 1)
 class WordHashes(dict):
     """word -> 64-bit hash, kept while the vocabulary of a task is moderate."""
 
+    def __init__(self, seed: int = 0):
+        super().__init__()
+        self.seed = seed
+
     def __missing__(self, word: bytes) -> int:
         if len(self) > 100_000:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -141,12 +145,12 @@ class PhraseAutomaton:
 
 
 def _locate(window: int, phrase: int):
-    """One shard: its rows and its recurring phrases -> key, pos, len, h.
+    """One shard: its rows and its recurring phrases -> key, mark, h, h2.
 
-    With len 0 a candidate window at ``pos`` and its hash; otherwise ``len`` candidate windows in a row from
-    ``pos``. A candidate is a window whose own phrase was located.
+    A mark is pos << 32 | len. With len 0 a candidate window at ``pos`` and its two hashes; otherwise ``len``
+    candidate windows in a row from ``pos``. A candidate is a window whose own phrase was located.
     """
-    width, hashes = window - phrase + 1, WordHashes()
+    width, hashes, others = window - phrase + 1, WordHashes(), WordHashes(1)
 
     def spans(key, words, machine):
         ends = machine.ends(words) if len(words) >= window else None
@@ -161,19 +165,20 @@ def _locate(window: int, phrase: int):
         edge = np.diff(np.concatenate(([0], fit.view(np.int8), [0])))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         at = np.flatnonzero(fit)
-        return (np.full(len(at) + len(starts), key), np.concatenate((at, starts)).astype(np.int32),
-                np.concatenate((np.zeros(len(at), np.int64), ends - starts)).astype(np.int32),
-                np.concatenate((rolling(hashed, window)[at], starts.astype(np.uint64))).view(np.int64))
+        none = np.zeros(len(starts), np.int64)
+        h, h2 = (np.concatenate((rolling(x, window)[at].view(np.int64), none)) for x in (hashed, others.of(words)))
+        h[len(at):] = starts
+        return (np.full(len(h), key), np.concatenate((at << 32, starts << 32 | (ends - starts))), h, h2)
 
     def run(rows: pa.Table, phrases: pa.Table) -> pa.Table:
-        made = [[np.empty(0, t)] for t in (np.int64, np.int32, np.int32, np.int64)]
+        made = [[np.empty(0, np.int64)] for _ in range(4)]
         if phrases.num_rows:
             machine = PhraseAutomaton(phrases["phrase"].to_pylist())
             for key, text in _rows(rows):
                 if (found := spans(key, text.split(), machine)) is not None:
                     for column, part in zip(made, found, strict=True):
                         column.append(part)
-        return pa.table([np.concatenate(c) for c in made], names=["key", "pos", "len", "h"])
+        return pa.table([np.concatenate(c) for c in made], names=["key", "mark", "h", "h2"])
 
     return run
 
@@ -233,7 +238,8 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same. Windows are judged on the input. Null and empty texts have no words and come out empty; texts
     shorter than a window lose nothing; rows repeated with one id and text count as two documents, both of
     which lose what they share. An empty table gives no rows. Columns with other names pass through.
-    Windows are compared by 64-bit hash.
+    Windows are compared by two independent 64-bit hashes (10^10 candidate windows: one false meeting in 10^18 corpora); a
+    row's marks find it by a 64-bit hash of id and text.
     """
     base = docs.drop("n_words", "n_removed").withColumnRenamed(text_col, "text")
     names, shards = base.columns, shard_count(docs, SHARD_BYTES, 64)
@@ -245,12 +251,12 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     recurring = chosen_.groupBy("phrase").agg(F.count("*").alias("n"), F.collect_set("shard").alias("shards")).filter("n > 1")
     held = recurring.select(F.explode("shards").alias("_of"), "phrase")
     located = (dealt.groupBy("_shard").cogroup(held.groupBy("_of"))
-               .applyInArrow(_locate(window, phrase), "key long, pos int, len int, h long"))
+               .applyInArrow(_locate(window, phrase), "key long, mark long, h long, h2 long"))
     # a window that starts once carries its place in the count; rows of runs are groups of their own
-    counted = (located.groupBy("h", "len", F.when(F.col("len") > 0, F.col("key")).alias("of"))
-               .agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("pos").alias("pos")).filter("len > 0 or n = 1"))
-    marks = counted.select(shard(F.col("key")).alias("_of"), "key", F.shiftleft(F.col("pos").cast("long"), 32)
-                           .bitwiseOR(F.col("len").cast("long")).alias("mark"))
+    run = F.col("mark").bitwiseAND(F.lit(0xFFFFFFFF)) > 0
+    counted = (located.groupBy("h", "h2", F.when(run, F.col("key")).alias("of"))
+               .agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("mark").alias("mark")).filter("of is not null or n = 1"))
+    marks = counted.select(shard(F.col("key")).alias("_of"), "key", "mark")
     made = dealt.groupBy("_shard").cogroup(marks.groupBy("_of")).applyInArrow(_cut(names, window), T.StructType(
         [*base.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]))
     return made.withColumnRenamed("text", text_col)
