@@ -4,25 +4,51 @@ Only DataFrame functions run, row by row; no shuffle. A line fails by
 
 * punctuation: over a tenth of its visible characters are symbols, or double exclamation or question
   marks come more often than every fifth word;
-* navigation: at least three separators stand alone between words, or the whole line is a menu word;
-* boilerplate: it holds a phrase of site furniture (cookies, copyright, scripts, subscriptions).
+* navigation: separators stand alone among its words, three or more of them or one to at most five words (a row of
+  links); or it is one of at least four lines in a row of up to three words that start with a capital and have no closing
+  mark (a column of links); or the whole line is a menu word;
+* boilerplate: of three words or more, most letters are capitals, with more capitals than words; or it is a line of at most
+  30 words with a phrase of site furniture (cookies, copyright, scripts, subscriptions). Longer lines are prose that
+  may speak of such things.
+
+Rows and columns of links and capitals are seen by their form, whatever the language; menu words and furniture are listed
+in the four languages of the supplied texts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arbiter.llm.common import WORD
 
-# The characters counted as symbols, menu words, and phrases of site furniture.
+# The characters counted as symbols, separators, marks that close a line, menu words, and phrases of
+# site furniture, in English, German, French and Spanish.
 SYMBOLS = "#*$%&|<>"
-SEPARATORS = r"(?<=\s)[|>»›•·/](?=\s)"
-MENU = (r"(?i)^\s*(home|menu|login|log in|sign in|sign up|register|contact|contact us|about|about us|search|next|"
-        r"previous|back to top|read more|share|tweet|sitemap|faq)\s*$")
+SEPARATOR = "[|>»›•·/]"
+CLOSED = r"[.!?…:;,)\]\x22\x27”“»][\x20\x09-\x0D]*\z"
+CAPITAL = r"^[\x20\x09-\x0D]*\p{Lu}"
+MENU = (r"(?i)^[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|register|contact|contact us|about|about us|search|next|"
+        r"previous|back to top|read more|share|tweet|sitemap|faq|"
+        r"startseite|anmelden|abmelden|registrieren|kontakt|impressum|suche|weiter|nach oben|weiterlesen|teilen|"
+        r"accueil|connexion|se connecter|inscription|nous contacter|rechercher|suivant|haut de page|lire la suite|partager|plan du site|"
+        r"inicio|iniciar sesi[oóÓ]n|registrarse|contacto|buscar|siguiente|volver arriba|leer m[aáÁ]s|compartir|mapa del sitio"
+        r")[\x20\x09-\x0D]*\z")
 FURNITURE = (r"(?i)\b(all rights reserved|terms of (use|service)|privacy policy|cookie policy|uses cookies|"
              r"accept cookies|enable javascript|javascript is disabled|subscribe to our|sign up for our|"
-             r"click here|lorem ipsum|follow us on|skip to (main )?content)\b")
+             r"click here|lorem ipsum|follow us on|skip to (main )?content|"
+             r"alle rechte vorbehalten|nutzungsbedingungen|verwendet cookies|cookies akzeptieren|javascript aktivieren|"
+             r"newsletter abonnieren|klicken sie hier|folgen sie uns|zum inhalt springen|"
+             r"tous droits r[eéÉ]serv[eéÉ]s|conditions d.utilisation|politique de confidentialit|utilise des cookies|accepter les cookies|"
+             r"activer javascript|cliquez ici|suivez-nous|aller au contenu|"
+             r"todos los derechos reservados|condiciones de uso|pol[iíÍ]tica de (privacidad|cookies)|utiliza cookies|aceptar (las )?cookies|"
+             r"habilitar javascript|haga clic aqu|s[iíÍ]guenos en|saltar al contenido)")
+#: A furniture phrase counts in lines of at most so many words, a menu word in lines of at most so many characters.
+FURNITURE_WORDS, MENU_CHARS = 30, 40
+#: A column of links: so many lines in a row, of at most so many words each.
+COLUMN_LINES, COLUMN_WORDS = 4, 3
 
 
 def _symbols(text: Column) -> Column:
@@ -30,12 +56,30 @@ def _symbols(text: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Whether one line fails a rule; lines without a word never do."""
+    """Whether one line fails a rule by itself; lines without a word never do."""
     words = F.regexp_count(line, F.lit(WORD))
     visible = F.length(F.regexp_replace(line, r"[\x20\x09-\x0D]+", ""))
     punctuation = (_symbols(line) * 10 > visible) | (F.regexp_count(line, F.lit(r"[!?]{2,}")) * 5 > words)
-    navigation = (F.regexp_count(line, F.lit(SEPARATORS)) >= 3) | line.rlike(MENU)
-    return (words > 0) & (punctuation | navigation | line.rlike(FURNITURE))
+    separators = F.regexp_count(line, F.lit(rf"(?<![^\x20\x09-\x0D]){SEPARATOR}(?![^\x20\x09-\x0D])"))
+    row = (separators >= 3) | ((separators >= 1) & (words <= separators * 5))
+    menu = (F.length(line) <= MENU_CHARS) & line.rlike(MENU)
+    capitals = F.regexp_count(line, F.lit(r"\p{Lu}"))
+    shouted = (words >= 3) & (capitals > words) & (capitals > F.regexp_count(line, F.lit(r"\p{Ll}")))
+    furniture = (words <= FURNITURE_WORDS) & line.rlike(FURNITURE)
+    return (words > 0) & (punctuation | row | menu | shouted | furniture)
+
+
+def link_like(line: Column) -> Column:
+    """Whether a line could be an entry of a column of links."""
+    return (F.regexp_count(line, F.lit(WORD)) <= COLUMN_WORDS) & line.rlike(CAPITAL) & ~line.rlike(CLOSED)
+
+
+def _in_column(starts: Column, at: Column) -> Column:
+    """Whether one of the columns of links that start at the places marked in ``starts`` covers line ``at``."""
+    covered = F.get(starts, at)
+    for back in range(1, COLUMN_LINES):
+        covered = covered | F.coalesce(F.get(starts, at - back), F.lit(False))
+    return covered
 
 
 def _bit(h: Column) -> Column:
@@ -83,18 +127,22 @@ def judged(docs: DataFrame, text_col: str = "text", max_lost: float = 0.3) -> Da
         F.slice(words, F.lit(1), F.size(words) - 2),
         lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))).otherwise(F.array().cast("array<long>")))
     step = _repeated_words(step, "_windows", "n_repeat_words")
+    step = step.withColumn("_links", F.transform(lines, link_like))
+    starts = F.transform("_links", lambda x, i: reduce(
+        lambda all_, ahead: all_ & F.coalesce(F.get("_links", i + ahead), F.lit(False)), range(1, COLUMN_LINES), x))
+    step = step.withColumn("_starts", starts)
     solid = F.filter(lines, lambda x: x.rlike(WORD))
     step = step.withColumns({
         "n_words": F.size(words).cast("long"),
         "word_chars": F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long"),
         "n_symbols": _symbols(text).cast("long"),
         "n_dup_lines": (F.size(solid) - F.size(F.array_distinct(solid))).cast("long"),
-        "_kept_lines": F.filter(lines, lambda x: ~line_fails(x))})
+        "_kept_lines": F.filter(lines, lambda x, i: ~(line_fails(x) | _in_column(F.col("_starts"), i)))})
     step = step.withColumn("clean_text", F.when(F.col(text_col).isNotNull(), F.array_join("_kept_lines", "\n")))
     step = step.withColumn("n_lost_words", F.col("n_words") - F.coalesce(F.regexp_count(F.col("clean_text"), F.lit(WORD)), F.lit(0)))
     step = step.withColumn("base_failed", (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
     step = step.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") <= F.col("n_words") * F.lit(float(max_lost))))
-    return step.drop("_words", "_lines", "_windows", "_kept_lines")
+    return step.drop("_words", "_lines", "_windows", "_kept_lines", "_links", "_starts")
 
 
 def clean(docs: DataFrame, text_col: str = "text", max_lost: float = 0.3) -> DataFrame:

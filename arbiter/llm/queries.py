@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbiter.llm.common import read_table, work_path
-from arbiter.llm.quality_rules import FURNITURE, MENU
+from arbiter.llm.quality_rules import CAPITAL, CLOSED, COLUMN_LINES, COLUMN_WORDS, FURNITURE, FURNITURE_WORDS, MENU, MENU_CHARS, SEPARATOR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -49,16 +49,23 @@ win AS (SELECT doc_id, i, ws[i:i + 2] AS seq FROM (SELECT doc_id, ws, unnest(ran
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n
         FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, seq) AS c FROM win), (SELECT unnest(range(0, 3)) AS k)
         WHERE c > 1 GROUP BY doc_id),
-l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-r AS (SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d),
+r AS (SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
              length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS visible,
              length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
              len(regexp_extract_all(line, '[!?]{{2,}}')) AS runs,
-             len(regexp_extract_all(regexp_replace(line, '([\x20\x09-\x0D])', '\1\1', 'g'),
-                                    '[\x20\x09-\x0D][|>»›•·/][\x20\x09-\x0D]')) AS seps,
-             regexp_matches(line, '{MENU}') OR regexp_matches(line, '{FURNITURE}') AS named FROM l),
-f AS (SELECT doc_id, coalesce(sum(n) FILTER (WHERE n > 0 AND (symbols * 10 > visible OR runs * 5 > n OR seps >= 3 OR named)), 0) AS lost,
-             count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS dup FROM r GROUP BY doc_id),
+             len(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: regexp_full_match(x, '{SEPARATOR}'))) AS seps,
+             len(regexp_extract_all(line, '\p{{Lu}}')) AS capitals, len(regexp_extract_all(line, '\p{{Ll}}')) AS small,
+             length(line) <= {MENU_CHARS} AND regexp_matches(line, '{MENU}') AS menu, regexp_matches(line, '{FURNITURE}') AS furniture,
+             regexp_matches(line, '{CAPITAL}') AND NOT regexp_matches(line, '{CLOSED}') AS open FROM l),
+s AS (SELECT *, count(*) FILTER (WHERE n BETWEEN 1 AND {COLUMN_WORDS} AND open)
+                OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {COLUMN_LINES - 1} FOLLOWING) AS links FROM r),
+c AS (SELECT *, max(links) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {COLUMN_LINES - 1} PRECEDING AND CURRENT ROW)
+                = {COLUMN_LINES} AS col FROM s),
+f AS (SELECT doc_id, coalesce(sum(n) FILTER (WHERE n > 0 AND (symbols * 10 > visible OR runs * 5 > n OR seps >= 3 OR menu OR col
+                 OR (seps >= 1 AND n <= 5 * seps) OR (n >= 3 AND capitals > n AND capitals > small)
+                 OR (n <= {FURNITURE_WORDS} AND furniture))), 0) AS lost,
+             count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS dup FROM c GROUP BY doc_id),
 b AS (SELECT d.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, dup AS n_dup_lines,
              coalesce(rep.n, 0) AS n_repeat_words, CAST(lost AS BIGINT) AS n_lost_words

@@ -56,6 +56,20 @@ def test_quality_lines(spark):
     assert clean(docs(spark, [])).count() == 0
 
 
+def test_quality_lines_by_form(spark):
+    """Rows and columns of links and capitals in any language; prose that speaks of such things stays."""
+    rng = random.Random(12)
+    good = [prose(rng, 20) + "." for _ in range(5)]
+    column = ["Über uns", "Nos équipes", "Aktuelles", "Última hora"]
+    gone = ["Startseite | Über uns", "Accueil › Produits › Détail", "ÉCOUTEZ BIEN MAINTENANT", "Tous droits réservés", "Impressum"]
+    stay = ["We changed our privacy policy " + prose(rng, 30) + ".", "Either yes / no was said here by them all in the end.",
+            "NASA said so", "- milk", "Kurz.", "Short lines.", "Of three.", "With marks.", *column[:3]]
+    rows = [(1, "\n".join([*good, *column, *gone])), (2, "\n".join([*good, *stay])), (3, "\n".join([*column, "", *good])),
+            (4, "\n".join([*column, *column, *good]))]
+    got = {r.doc_id: r.clean_text for r in judged(docs(spark, make(rows))).collect()}
+    assert got == {1: "\n".join(good), 2: rows[1][1], 3: "\n".join(["", *good]), 4: "\n".join(good)}
+
+
 def test_classifier_on_held_out_rows(spark):
     rng = random.Random(3)
     rows, labels = [], []
