@@ -1,19 +1,23 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-Words (a run of spaces and what follows it) are told apart per shard of documents. Every substring of a
-word of at most the longest piece's length is exploded and equi-joined to the piece table: the edges of the word's
-lattice. Edges are grouped by word, and a Viterbi fold with Spark's higher-order ``aggregate`` finds the path
-of the highest total score. Documents are then spelled with their shard's words.
+Words (a run of spaces and what follows it, up to a character that no piece joins to the ones before) are told apart
+per shard of documents. Words that aren't frequent are cut once more, into parts: between neighbours that no piece
+holds side by side. Every substring of a part that may be a piece by its length and first characters is exploded and
+equi-joined to the piece table: the edges of the part's lattice. Edges are grouped by part, and a Viterbi fold with
+Spark's higher-order ``aggregate`` finds the path of the highest total score. Documents are then spelled with
+their shard's parts.
 
 The segmentation is the one of the highest score over the model's pieces, as SentencePiece's unigram models
 define it, with byte pieces for characters that have none. Pieces never hold a space after another character,
-so words are independent of each other.
+and none crosses a cut, so every path passes there: words and parts are independent of each other.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+import zlib
+from collections import defaultdict
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,19 @@ SHARD_BYTES = 3 << 19
 #: Longer words are folded by the same recurrence in a UDF: the fold copies its state at every step.
 LONG_WORD = 256
 SPACE = "▁"
-WORD = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
+#: The first HEAD characters of a substring bound its length as a piece; the bounds lie in BUCKETS places by CRC-32.
+HEAD, BUCKETS = 3, 1 << 16
+
+
+def _chars(chars: set[str]) -> str:
+    """The inside of a regular expression's character class, in runs of neighbours."""
+    runs: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join("-".join(re.escape(chr(c)) for c in dict.fromkeys(run)) for run in runs)
 
 
 class Pieces:
@@ -56,6 +72,41 @@ class Pieces:
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(p, i, s) for p, (i, s) in self.ids.items()], "piece string, id int, score double")
 
+    @cached_property
+    def word(self) -> str:
+        """A word: spaces and the characters after them that pieces join, directly or through others (a Java and Python pattern)."""
+        group: dict[str, set[str]] = {}
+        for piece in self.ids:
+            chars = set(piece.lstrip(SPACE))
+            if len(piece.lstrip(SPACE)) > 1 and not chars <= group.get(min(chars), set()):
+                joined = chars.union(*(group.get(c, ()) for c in chars))
+                group.update(dict.fromkeys(joined, joined))
+        groups = sorted({min(g): g for g in group.values()}.values(), key=lambda g: (-len(g), min(g)))
+        some = [f"[{_chars(g)}]+" for g in groups]
+        return f"{SPACE}*(?:{'|'.join([*some, f'[^{SPACE}{_chars(set(group))}]'])})|{SPACE}+"
+
+    @cached_property
+    def part(self) -> str:
+        """A part of a word: characters of which any two neighbours lie side by side in a piece."""
+        after: dict[str, set[str]] = defaultdict(set)
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:]):
+                after[a].add(b)
+        alike: dict[frozenset, set[str]] = defaultdict(set)
+        for a, bs in after.items():
+            alike[frozenset(bs)].add(a)
+        ways = sorted(alike.items(), key=lambda x: (-len(x[0]), min(x[1])))
+        return f"(?:{'|'.join(f'[{_chars(a)}](?=[{_chars(set(bs))}])' for bs, a in ways)})*(?s:.)" if ways else "(?s:.)"
+
+    def bounds(self) -> Column:
+        """By bucket of a substring's first HEAD characters: the longest piece that may begin so, HEAD - 1 at least."""
+        most = [HEAD - 1] * BUCKETS
+        for piece in self.ids:
+            if len(piece) >= HEAD:
+                at = zlib.crc32(piece[:HEAD].encode()) % BUCKETS
+                most[at] = max(most[at], len(piece))
+        return F.split(F.lit(",".join(map(str, most))), ",").cast("array<int>")
+
     def spell(self, word: str) -> list[int]:
         """The best path of one word by plain dynamic programming."""
         best, back = [0.0], [(0, -1)]
@@ -85,10 +136,16 @@ def _pieces(model_file: str) -> Pieces:
     return Pieces(model_file)
 
 
-def _words(text: Column) -> Column:
+def _words(text: Column, pieces: Pieces) -> Column:
     """The words of a text with its leading space; an empty text has none."""
     return F.when(F.length(text) > 0, F.regexp_extract_all(
-        F.concat(F.lit(SPACE), F.translate(text, " ", SPACE)), F.lit(WORD), 0)).otherwise(F.array().cast("array<string>"))
+        F.concat(F.lit(SPACE), F.translate(text, " ", SPACE)), F.lit(pieces.word), 0)).otherwise(F.array().cast("array<string>"))
+
+
+def _parts(word: Column, pieces: Pieces) -> Column:
+    """The parts of a word; a word over LONG_WORD is left out."""
+    return F.when(F.length(word) <= LONG_WORD, F.regexp_extract_all(word, F.lit(pieces.part), 0)).otherwise(
+        F.array().cast("array<string>"))
 
 
 def _viterbi(edges: Column, length: Column) -> Column:
@@ -116,13 +173,15 @@ def spell_words(words: DataFrame, pieces: Pieces, by: list[str]) -> DataFrame:
     lattice keeps: edges are grouped where the words lie. Words over LONG_WORD are left out."""
     table = F.broadcast(pieces.table(words.sparkSession))  # as many rows as the model has pieces
     numbered = words.filter(F.length("word") <= LONG_WORD).withColumn("_w", F.monotonically_increasing_id())
-    starts = numbered.select("*", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    room = F.least(F.lit(pieces.longest), F.length("word") - F.col("start"))
+    starts = (numbered.select("*", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+              .withColumn("rest", F.substring("word", F.col("start") + 1, F.lit(pieces.longest))))
+    bucket = F.pmod(F.crc32(F.substring("rest", 1, HEAD)), F.lit(BUCKETS)).cast("int")
+    room = F.least(F.get(pieces.bounds(), bucket), F.length("rest"))
     spans = starts.select("*", F.explode(F.sequence(F.lit(1), room)).alias("n"))
     # a single character without a piece is spelled by bytes
     edge = F.struct((F.col("start") + F.col("n")).alias("end"), F.col("start"), F.coalesce("id", F.lit(-1)).alias("id"),
                     F.coalesce("score", F.lit(pieces.fallback)).alias("score"))
-    edges = (spans.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("n"))).join(table, "piece", "left")
+    edges = (spans.withColumn("piece", F.substring("rest", F.lit(1), F.col("n"))).join(table, "piece", "left")
              .filter("id is not null or n = 1").select("_w", *by, "word", edge.alias("edge")))
     lattice = edges.groupBy("_w", *by).agg(F.first("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
     return lattice.select(*by, "word", _viterbi(F.col("edges"), F.length("word")).alias("ids"))
@@ -150,12 +209,16 @@ def _one(column: pa.ChunkedArray) -> pa.Array:
 
 
 def common_words(docs: DataFrame, pieces: Pieces, sample_docs: int, most: int) -> DataFrame:
-    """word, ids of the words most frequent in about ``sample_docs`` documents, ``most`` at most (ties by word)."""
+    """word, ids of the words most frequent in about ``sample_docs`` documents, ``most`` at most (ties by word). A part counts
+    once for every different word that it is cut from."""
     total = docs.count()
     share = min(1.0, sample_docs / total) if total else 1.0
     some = docs.filter(F.xxhash64("_id", F.lit("sample")).cast("double") / 2.0 ** 64 + 0.5 < share)
-    counted = some.select(F.explode(_words(F.col("_text"))).alias("word")).groupBy("word").count()
-    top = stage(counted.orderBy(F.desc("count"), "word").limit(most).select("word"), "common-words")
+    counted = some.select(F.explode(_words(F.col("_text"), pieces)).alias("word")).groupBy("word").count()
+    parts = F.transform(_parts(F.col("word"), pieces), lambda part: F.struct(part.alias("word"), F.lit(1).cast("long").alias("count")))
+    each = counted.select(F.inline(F.concat(F.array(F.struct("word", "count")), F.when(F.size(parts) > 1, parts).otherwise(F.slice(parts, 1, 0)))))
+    top = stage(each.groupBy("word").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "word").limit(most).select("word"),
+                "common-words")
     return stage(spell_words(top, pieces, []), "common-spelled")
 
 
@@ -164,8 +227,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     """``id_col``, n_tokens, ids (array of ints) per input row.
 
     Null and empty texts have no tokens. Of paths of equal score the one with the longest last piece is
-    taken, then the longest before it. Words among the ``common`` most frequent of a bounded sample are spelled
-    once and broadcast; every other word is spelled in its shard; the result is the same. Rows repeat as they
+    taken, then the longest before it. Words and parts among the ``common`` most frequent of a bounded sample are spelled
+    once and broadcast; the parts of every other word are spelled in its shard; the result is the same. Rows repeat as they
     came; an empty table gives no rows; other columns aren't looked at. A text that holds U+2581 decodes
     with a space in its place, as SentencePiece does it.
     """
@@ -176,8 +239,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     # id and text travel as one array: both uses of the dealt documents then read one and the same shuffle
     dealt = slim.select(F.pmod(F.xxhash64("_id", "_text"), F.lit(shards)).cast("int").alias("_part"),
                         F.array(F.col("_id").cast("string"), F.col("_text")).alias("_doc")).repartition(shards, "_part")
-    words = (dealt.select("_part", F.explode(F.array_distinct(_words(F.get("_doc", F.lit(1))))).alias("word"))
-             .distinct().join(F.broadcast(known.select("word")), "word", "left_anti").select("_part", "word"))
+    rare = lambda words: words.distinct().join(F.broadcast(known.select("word")), "word", "left_anti").select("_part", "word")
+    words = rare(dealt.select("_part", F.explode(F.array_distinct(_words(F.get("_doc", F.lit(1)), pieces))).alias("word")))
+    words = rare(words.select("_part", F.explode(_parts(F.col("word"), pieces)).alias("word")))
     spelled = spell_words(words, pieces, ["_part"]).withColumnRenamed("_part", "_of")
     rows = known.toArrow().combine_chunks()  # at most ``common`` rows
     shared = docs.sparkSession.sparkContext.broadcast(_spelled(rows["word"].to_pylist(), _one(rows["ids"]), pieces))
@@ -186,14 +250,19 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def spell(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
         model = _pieces(model_file)
         own = _spelled(dictionary["word"].to_pylist(), _one(dictionary["ids"]), model)
-        split, common_ids = re.compile(WORD).findall, shared.value
+        split, cut, common_ids = re.compile(model.word).findall, re.compile(model.part).findall, shared.value
+
+        def part_ids(part: str) -> bytes:
+            found = own.get(part) or common_ids.get(part)
+            if found is None:
+                raise KeyError(f"the lattice has no path for {part!r}")
+            return found
 
         def ids_of(word: str) -> bytes:
-            found = own.get(word) or common_ids.get(word)
+            found = common_ids.get(word) or own.get(word)
             if found is None:
-                if len(word) <= LONG_WORD:
-                    raise KeyError(f"the lattice has no path for {word!r}")
-                found = own[word] = np.array(model.spell(word), "<i4").tobytes()
+                found = own[word] = (b"".join(map(part_ids, cut(word))) if len(word) <= LONG_WORD
+                                     else np.array(model.spell(word), "<i4").tobytes())
             return found
 
         flat, sizes, docs = [], [], _one(texts["_doc"]).flatten()
@@ -221,4 +290,4 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "text", mode
     table = F.split(F.lit(",".join(pieces.text.get(i, b"").hex() for i in range(max(pieces.text) + 1))), ",")
     whole = F.array_join(F.transform(F.col(ids_col), lambda i: F.when(i >= 0, F.get(table, i))), "")
     text = F.make_valid_utf8(F.unhex(whole).cast("string"))
-    return encoded.withColumn(out_col, F.when(F.startswith(text, F.lit(" ")), F.substring(text, 2, 2 ** 31 - 1)).otherwise(text))
+    return encoded.withColumn(out_col, F.regexp_replace(text, "^ ", ""))

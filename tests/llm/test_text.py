@@ -324,6 +324,26 @@ def test_pieces_query_decodes(spark):
     assert sorted((r.doc_id, r.decoded_sha256) for r in op3_sentence_pieces(spark, SF).collect()) == want
 
 
+def test_pieces_never_cross_a_cut(spark):
+    """Words end where no piece joins on; rare words are cut into parts that no piece joins; Java cuts as Python does."""
+    import re
+    from arbiter.llm.sentence_pieces import SPACE, _parts, _words
+    pieces = Pieces()
+    words, parts = re.compile(pieces.word).findall, re.compile(pieces.part).findall
+    assert all(words(p) == [p] for p in pieces.ids) and all(parts(p) == [p] for p in pieces.ids)
+    assert words(f"{SPACE}onntshansh,{SPACE}for.\nThe") == [f"{SPACE}onntshansh", ",", f"{SPACE}for", ".", "\n", "The"]
+    rng = random.Random(14)
+    rows = [(k, "".join(rng.choices("abtqxzéÉжя.,[]-^&\\\n 1²中据数🙂\u0000  ", k=40))) for k in range(200)] + [(200, "b" * 300), (201, "")]
+    table = docs(spark, make(rows))
+    got = table.select("doc_id", "text", _words(F.col("text"), pieces).alias("w"))
+    for r in got.withColumn("p", F.transform("w", lambda w: _parts(w, pieces))).collect():
+        spaced = (SPACE + r.text.replace(" ", SPACE)) if r.text else ""
+        assert r.w == words(spaced) and "".join(r.w) == spaced
+        assert r.p == [parts(w) if len(w) <= 256 else [] for w in r.w]
+    own = {r.doc_id: r.ids for r in encode(table, common=5).collect()}
+    assert own == {i: pieces.spell(SPACE + t.replace(" ", SPACE)) if t else [] for i, t in rows}
+
+
 def test_lattice_path_is_the_best(spark):
     """The fold's path scores as the best of all segmentations (short words, all ways tried)."""
     from arbiter.llm.sentence_pieces import SPACE, spell_words
