@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import WORD
+from arbiter.llm.common import WHITE, WORD
 
 # The characters counted as symbols, separators, marks that close a line, menu words, and phrases of
 # site furniture, in English, German, French and Spanish.
@@ -55,13 +55,16 @@ def _symbols(text: Column) -> Column:
     return F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
 
 
-def line_fails(line: Column) -> Column:
-    """Whether one line fails a rule by itself; lines without a word never do."""
-    words = F.regexp_count(line, F.lit(WORD))
-    visible = F.length(F.regexp_replace(line, r"[\x20\x09-\x0D]+", ""))
+def _visible(text: Column) -> Column:
+    return F.length(F.translate(text, WHITE, ""))
+
+
+def line_fails(line: Column, words: Column) -> Column:
+    """Whether one line, of so many ``words``, fails a rule by itself; lines without a word never do."""
+    visible = _visible(line)
     punctuation = (_symbols(line) * 10 > visible) | (F.regexp_count(line, F.lit(r"[!?]{2,}")) * 5 > words)
     separators = F.regexp_count(line, F.lit(rf"(?<![^\x20\x09-\x0D]){SEPARATOR}(?![^\x20\x09-\x0D])"))
-    row = (separators >= 3) | ((separators >= 1) & (words <= separators * 5))
+    row = separators * 5 >= F.least(words, F.lit(15))  # three or more, or one to at most five words
     menu = (F.length(line) <= MENU_CHARS) & line.rlike(MENU)
     capitals = F.regexp_count(line, F.lit(r"\p{Lu}"))
     shouted = (words >= 3) & (capitals > words) & (capitals > F.regexp_count(line, F.lit(r"\p{Ll}")))
@@ -69,9 +72,9 @@ def line_fails(line: Column) -> Column:
     return (words > 0) & (punctuation | row | menu | shouted | furniture)
 
 
-def link_like(line: Column) -> Column:
-    """Whether a line could be an entry of a column of links."""
-    return (F.regexp_count(line, F.lit(WORD)) <= COLUMN_WORDS) & line.rlike(CAPITAL) & ~line.rlike(CLOSED)
+def link_like(line: Column, words: Column) -> Column:
+    """Whether a line, of so many ``words``, could be an entry of a column of links."""
+    return (words <= COLUMN_WORDS) & line.rlike(CAPITAL) & ~line.rlike(CLOSED)
 
 
 def _in_column(starts: Column, at: Column) -> Column:
@@ -127,22 +130,27 @@ def judged(docs: DataFrame, text_col: str = "text", max_lost: float = 0.3) -> Da
         F.slice(words, F.lit(1), F.size(words) - 2),
         lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))).otherwise(F.array().cast("array<long>")))
     step = _repeated_words(step, "_windows", "n_repeat_words")
-    step = step.withColumn("_links", F.transform(lines, link_like))
+    # a line's words are counted once: inside a lambda every mention would be evaluated anew
+    step = step.withColumn("_counts", F.transform(lines, lambda x: F.regexp_count(x, F.lit(WORD))))
+    count = lambda i: F.get("_counts", i)
+    step = step.withColumn("_links", F.transform(lines, lambda x, i: link_like(x, count(i))))
     starts = F.transform("_links", lambda x, i: reduce(
         lambda all_, ahead: all_ & F.coalesce(F.get("_links", i + ahead), F.lit(False)), range(1, COLUMN_LINES), x))
     step = step.withColumn("_starts", starts)
-    solid = F.filter(lines, lambda x: x.rlike(WORD))
+    step = step.withColumn("_solid", F.filter(lines, lambda x, i: count(i) > 0))
     step = step.withColumns({
         "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long"),
+        "word_chars": _visible(text).cast("long"),
         "n_symbols": _symbols(text).cast("long"),
-        "n_dup_lines": (F.size(solid) - F.size(F.array_distinct(solid))).cast("long"),
-        "_kept_lines": F.filter(lines, lambda x, i: ~(line_fails(x) | _in_column(F.col("_starts"), i)))})
-    step = step.withColumn("clean_text", F.when(F.col(text_col).isNotNull(), F.array_join("_kept_lines", "\n")))
-    step = step.withColumn("n_lost_words", F.col("n_words") - F.coalesce(F.regexp_count(F.col("clean_text"), F.lit(WORD)), F.lit(0)))
+        "n_dup_lines": (F.size("_solid") - F.size(F.array_distinct("_solid"))).cast("long"),
+        "_fails": F.transform(lines, lambda x, i: line_fails(x, count(i)) | _in_column(F.col("_starts"), i))})
+    step = step.withColumn("n_lost_words", F.aggregate(
+        F.zip_with("_fails", "_counts", lambda bad, n: F.when(bad, n).otherwise(0)), F.lit(0).cast("long"), lambda total, n: total + n))
+    kept_lines = F.filter(lines, lambda x, i: ~F.get("_fails", i))
+    step = step.withColumn("clean_text", F.when(F.col(text_col).isNotNull(), F.array_join(kept_lines, "\n")))
     step = step.withColumn("base_failed", (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
     step = step.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") <= F.col("n_words") * F.lit(float(max_lost))))
-    return step.drop("_words", "_lines", "_windows", "_kept_lines", "_links", "_starts")
+    return step.drop("_words", "_lines", "_windows", "_counts", "_solid", "_fails", "_links", "_starts")
 
 
 def clean(docs: DataFrame, text_col: str = "text", max_lost: float = 0.3) -> DataFrame:

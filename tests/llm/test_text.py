@@ -324,6 +324,23 @@ def test_pieces_query_decodes(spark):
     assert sorted((r.doc_id, r.decoded_sha256) for r in op3_sentence_pieces(spark, SF).collect()) == want
 
 
+def test_quality_rules_count_a_lines_words_once(spark):
+    """The rules get a line's words, and all that is counted adds up whatever the white space between words."""
+    from arbiter.llm.common import WORD
+    from arbiter.llm.quality_rules import line_fails, link_like
+    line, n = F.col("line"), F.col("n")
+    assert WORD not in str(line_fails(line, n)) and WORD not in str(link_like(line, n))
+    rows = [("a | b c d", True), ("a | b c d e", False), ("a | b | c d e f g h i", False), ("a | b | c d e f g h", True),
+            ("| | |" + " w" * 40, True), ("plain words", False), (" \t\x0b ", False), ("", False)]
+    made = spark.createDataFrame([(x, len(brute.WORD.findall(x)), want) for x, want in rows], "line string, n int, want boolean")
+    # the symbol rule aside, by long words
+    long = made.withColumn("line", F.regexp_replace("line", "([a-z])", "$1nnnnnnnnn"))
+    assert [r.got for r in long.select(line_fails(line, n).alias("got")).collect()] == [want for _, want in rows]
+    text = "\x0b\n".join(["wort wort\x0cwort"] * 30 + ["Home", "", " \t "])
+    got = judged(docs(spark, make([(1, text), (2, None)]))).collect()
+    assert {(r.doc_id, r.n_words, r.word_chars, r.n_dup_lines, r.n_lost_words) for r in got} == {(1, 91, 364, 29, 1), (2, 0, 0, 0, 0)}
+
+
 def test_pieces_never_cross_a_cut(spark):
     """Words end where no piece joins on; rare words are cut into parts that no piece joins; Java cuts as Python does."""
     import re
