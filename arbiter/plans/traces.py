@@ -9,7 +9,7 @@ from .. import adapters as ad
 from ..operators import aggregates as agg
 from ..operators import policies
 from ..operators import traces as T
-from ..operators.joins import small
+from ..operators.joins import counted_small
 from ..operators.ordinal import with_ordinal
 from ..operators.series import dense_seconds
 from ..session import materialize
@@ -35,16 +35,20 @@ def policy(recs: DataFrame) -> DataFrame:
     return policies.best_arm(agg.arm_totals(arms)).select("group_id", F.col("best").alias("chosen"))
 
 
+def served(recs: DataFrame) -> DataFrame:
+    """``recs`` with what the greedy policy chooses; a record whose group has no policy stays, with nothing chosen."""
+    return T.chosen_cost(recs.join(counted_small(policy(recs)), "group_id", "left"))
+
+
 def chosen(spark, d) -> DataFrame:
-    r = records(spark, d)
-    # a record whose group has no policy stays, with nothing chosen
-    return T.chosen_cost(r.join(small(policy(r)), "group_id", "left"))
+    return served(records(spark, d))
 
 
 def with_load(spark, d) -> DataFrame:
-    c = T.load_share(chosen(spark, d))
-    return c.withColumn("curve", F.try_element_at("load_map", F.col("chosen"))) \
-        .withColumn("factor", T.step_factor("curve", "load"))
+    """Only the chosen decision's curve travels through the load's shuffles, not the maps."""
+    c = chosen(spark, d).withColumn("curve", F.try_element_at("load_map", F.col("chosen"))).select(
+        "line_no", "ts_ms", "sec", "minute", "chosen", "offered", "cost", "curve")
+    return T.load_share(c).withColumn("factor", T.step_factor("curve", "load"))
 
 
 REC_SQL = """li AS (SELECT l_orderkey, l_returnflag AS decision, sum(CAST(l_quantity AS DECIMAL(18,2))) AS qty,
@@ -158,7 +162,7 @@ def sessions_per_minute_decision_q(spark, d):
 @query("load_share", f"""WITH {REC_SQL}
 SELECT line_no, minute, chosen AS decision, coalesce(running, 0) AS running, minute_total, load FROM lf""")
 def load_share_q(spark, d):
-    c = T.load_share(chosen(spark, d))
+    c = T.load_share(chosen(spark, d).select("line_no", "ts_ms", "minute", "chosen", "offered"))
     return c.select("line_no", "minute", F.col("chosen").alias("decision"), F.coalesce("running", F.lit(0)).alias("running"),
                     "minute_total", "load")
 
