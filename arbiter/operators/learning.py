@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..adapters import COST_SCALE, exact
-from .joins import small
+from .joins import counted_small
 from .policies import UCB_SCALE
 
 Totals = dict[str, tuple[float, float]]
@@ -180,19 +180,23 @@ def _fold(policy: Policy) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return fold
 
 
-def learnt_slots(records: DataFrame, policy: Policy, group: str = "group_id", epoch: str = "epoch", draw: str = "line_no") -> DataFrame:
+def learnt_slots(records: DataFrame, policy: Policy, group: str = "group_id", epoch: str = "epoch", draw: str = "line_no",
+                 totals: DataFrame | None = None) -> DataFrame:
     """(group_id, epoch, slots): what each group serves in each of its epochs, learnt from the costs that this very serving caused in
-    the epochs before. A group's fold gets totals only: its epochs x slots x decisions squared at most."""
-    totals = what_if(records, policy.n_slots, group, epoch, draw)
+    the epochs before. A group's fold gets totals only: its epochs x slots x decisions squared at most. ``totals`` are those of
+    ``what_if`` for the policy's number of slots, if they are there already."""
+    if totals is None:
+        totals = what_if(records, policy.n_slots, group, epoch, draw)
     return totals.groupBy("group_id").applyInPandas(_fold(policy), "group_id string, epoch long, slots array<string>")
 
 
-def evaluate_learning(records: DataFrame, policy: Policy, group: str = "group_id", epoch: str = "epoch", draw: str = "line_no") -> DataFrame:
+def evaluate_learning(records: DataFrame, policy: Policy, group: str = "group_id", epoch: str = "epoch", draw: str = "line_no",
+                      totals: DataFrame | None = None) -> DataFrame:
     """``records`` with ``slots``, ``chosen`` (null when nothing is on offer), ``from_policy`` and the ``cost`` of the choice."""
-    slots = learnt_slots(records, policy, group, epoch, draw).select(
+    slots = learnt_slots(records, policy, group, epoch, draw, totals).select(
         F.col("group_id").alias("_g"), F.col("epoch").alias("_e"), F.col("slots").alias("slots"))
     r = _requests(records, draw, policy.n_slots)
-    j = r.join(small(slots), F.col(group).eqNullSafe(F.col("_g")) & (F.col(epoch) == F.col("_e")), "left")
+    j = r.join(counted_small(slots), F.col(group).eqNullSafe(F.col("_g")) & (F.col(epoch) == F.col("_e")), "left")
     pick = F.get("slots", F.col("_slot"))
     ok = pick.isNotNull() & F.coalesce(F.map_contains_key("decision_map", F.coalesce(pick, F.lit(""))), F.lit(False))
     return (j.withColumn("from_policy", ok).withColumn("chosen", F.when(ok, pick).otherwise(F.col("_fallback")))

@@ -15,7 +15,7 @@ from ..operators.ordinal import with_ordinal
 from ..session import materialize
 from .registry import query
 from .sqlparts import EPSILON, GAMMA, PICKS
-from .traces import REC_SQL, chosen, records
+from .traces import REC_SQL, records, served
 
 EPOCH_S = 2_592_000   # 30 days of the trace per epoch (2 s in the reference)
 WINDOW_EPOCHS = 12    # sliding window of the epsilon-greedy totals
@@ -149,10 +149,11 @@ SELECT group_id, metric, label, {", ".join(f"max(v) FILTER (WHERE policy = '{n}'
 FROM b GROUP BY group_id, metric, label""")
 def policy_alignment_q(spark, d):
     """Each policy's own cost series in blocks of its own seconds, side by side per group and metric; a shorter series leaves nulls."""
-    recs = materialize(trace(spark, d))
-    greedy = T.per_second(chosen(spark, d), sec="sec", by=("group_id",)).where("n_ok > 0")
+    recs = trace(spark, d).select("line_no", "group_id", "sec", "epoch", "decision_map")
+    greedy = T.per_second(served(recs), sec="sec", by=("group_id",)).where("n_ok > 0")
+    totals = {n: materialize(L.what_if(recs, n)) for n in {p.n_slots for p in POLICIES.values()}}  # policies of as many slots share them
     all_ = [greedy.select(F.lit("greedy").alias("policy"), "group_id", "sec", F.col("mean_cost").alias("cost"), F.col("n_ok").alias("sessions"))]
-    all_ += [per_second(L.evaluate_learning(recs, p)).select(
+    all_ += [per_second(L.evaluate_learning(recs, p, totals=totals[p.n_slots])).select(
         F.lit(n).alias("policy"), "group_id", "sec", F.col("mean_cost").alias("cost"), F.col("n_sent").alias("sessions"))
         for n, p in POLICIES.items()]
     placed = with_ordinal(reduce(DataFrame.unionByName, all_), ["sec"], partition_by=["policy", "group_id"])
