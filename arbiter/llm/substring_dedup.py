@@ -32,23 +32,17 @@ from arbiter.llm.common import map_rows, shard_count, utf8
 SHARD_BYTES = 8 << 20
 CHUNK = 1 << 16
 NONE = np.uint64(2 ** 64 - 1)
+#: Stands between documents; no word is a space.
+GAP = b" "
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, kept while the vocabulary of a task is moderate."""
+def word_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of every word, the halves of one of 128 bits.
 
-    def __init__(self, seed: int = 0):
-        super().__init__()
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 100_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    Hashed anew each time: that takes a tenth of a Python dictionary's time where most words are rare.
+    """
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
 
 @lru_cache
@@ -95,13 +89,11 @@ def chosen(grams: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """shard, phrase: the phrases that the windows of every document choose (words joined by a space)."""
-    hashes = WordHashes()
-
     def choose(shard, text):
         words = text.split()
         if len(words) < window:
             return
-        _, at = chosen(rolling(hashes.of(words), phrase), window - phrase + 1)
+        _, at = chosen(rolling(word_hashes(words)[0], phrase), window - phrase + 1)
         for i in at.tolist():
             yield shard, b" ".join(words[i:i + phrase])
 
@@ -112,36 +104,44 @@ class PhraseAutomaton:
     """Aho-Corasick over words: a known word is spelled by a few letters, each place from an alphabet of its own.
 
     Small alphabets keep the branches of a node few (pyahocorasick goes through them one by one), and
-    letters of different places can't be mistaken, so every match starts and ends with a word.
+    letters of different places can't be mistaken, so every match starts and ends with a word. Words are known by
+    their hash: where two share one, occurrences are found for both, which the count of windows takes back.
     """
 
     BASE = 64
 
     def __init__(self, phrases: list[bytes]):
         split = [p.split(b" ") for p in phrases]
-        known = list(dict.fromkeys(w for p in split for w in p))
+        hashed = word_hashes(list(dict.fromkeys(w for p in split for w in p)))[0]
+        self.known = np.unique(hashed)
         self.places = 1
-        while self.BASE ** self.places < len(known):
+        while self.BASE ** self.places < len(self.known):
             self.places += 1
-        self.spelled = {w: self._letters(k) for k, w in enumerate(known)}
-        self.unknown = "\0" * self.places
+        # as the last row: an unknown word is one letter, which no phrase holds
+        number = np.arange(len(self.known))[:, None] // self.BASE ** np.arange(self.places) % self.BASE
+        self.letters = np.vstack((1 + number + self.BASE * np.arange(self.places), np.zeros((1, self.places)))).astype("<u4")
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for p in split:
-            self.machine.add_word("".join([self.spelled[w] for w in p]), 1)
+        text, after = self._text(word_hashes([w for p in split for w in p])[0])
+        ends = after[np.cumsum([len(p) for p in split]) - 1].tolist()
+        for a, b in zip([0, *ends], ends):
+            self.machine.add_word(text[a:b], 1)
         self.machine.make_automaton()
 
-    def _letters(self, number: int) -> str:
-        out = []
-        for place in range(self.places):
-            number, digit = divmod(number, self.BASE)
-            out.append(chr(1 + place * self.BASE + digit))
-        return "".join(out)
+    def _text(self, hashed: np.ndarray) -> tuple[str, np.ndarray]:
+        """The letters of all words, and where each word's letters end."""
+        at = np.searchsorted(self.known, hashed)
+        at[at == len(self.known)] = 0
+        known = self.known[at] == hashed
+        at[~known] = len(self.known)
+        letters = self.letters[at]
+        there = np.ones(letters.shape, bool)
+        there[:, 1:] = known[:, None]
+        return letters[there].tobytes().decode("utf-32-le"), np.cumsum(np.where(known, self.places, 1))
 
-    def ends(self, words: list[bytes]) -> list[int]:
-        """The index of the last word of every occurrence of a phrase."""
-        get, unknown = self.spelled.get, self.unknown
-        text = "".join([get(w, unknown) for w in words])
-        return [(at + 1) // self.places - 1 for at, _ in self.machine.iter(text)]
+    def ends(self, hashed: np.ndarray) -> np.ndarray:
+        """The index of the last word of every occurrence of a phrase in the words of these hashes."""
+        text, after = self._text(hashed)
+        return np.searchsorted(after, np.array([at + 1 for at, _ in self.machine.iter(text)], np.int64))
 
 
 def _locate(window: int, phrase: int):
@@ -150,40 +150,63 @@ def _locate(window: int, phrase: int):
     A mark is pos << 32 | len. With len 0 a candidate window at ``pos`` and its two hashes; otherwise ``len``
     candidate windows in a row from ``pos``. A candidate is a window whose own phrase was located.
     """
-    width, hashes, others = window - phrase + 1, WordHashes(), WordHashes(1)
+    width = window - phrase + 1
 
-    def spans(key, words, machine):
-        ends = machine.ends(words) if len(words) >= window else None
-        if not ends:
+    def spans(keys, gaps, words, machine):
+        """Documents one after the other, a gap after each: what holds a gap is no window."""
+        first, second = word_hashes(words)
+        found = machine.ends(first) - (phrase - 1)
+        if not len(found):
             return None
-        hashed = hashes.of(words)
-        grams = rolling(hashed, phrase)
+        grams = rolling(first, phrase)
         there = np.full(len(grams), NONE, np.uint64)
-        found = np.array(ends) - (phrase - 1)
         there[found] = grams[found]
         fit = sliding(there, width, np.minimum) == sliding(grams, width, np.minimum)
+        for gap in gaps:
+            fit[gap - window + 1:gap + 1] = False
         edge = np.diff(np.concatenate(([0], fit.view(np.int8), [0])))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         at = np.flatnonzero(fit)
         none = np.zeros(len(starts), np.int64)
-        second = rolling(others.of(words), window)[at] >> np.uint64(32)  # zeros beside the empty column compress
-        h, h2 = (np.concatenate((x.view(np.int64), none)) for x in (rolling(hashed, window)[at], second))
-        h[len(at):] = starts
-        return (np.full(len(h), key), np.concatenate((at << 32, starts << 32 | (ends - starts))), h, h2)
+        second = rolling(second, window)[at] >> np.uint64(32)  # zeros beside the empty column compress
+        h, h2 = (np.concatenate((x.view(np.int64), none)) for x in (rolling(first, window)[at], second))
+        # places count from the document's first word
+        doc = np.searchsorted(gaps, np.concatenate((at, starts)))
+        pos = np.concatenate((at, starts)) - np.concatenate(([0], np.array(gaps[:-1], np.int64) + 1))[doc]
+        h[len(at):] = pos[len(at):]
+        return np.array(keys)[doc], pos << 32 | np.concatenate((np.zeros(len(at), np.int64), ends - starts)), h, h2
 
     def run(rows: pa.Table, phrases: pa.Table) -> pa.Table:
         made = [[np.empty(0, np.int64)] for _ in range(4)]
         if phrases.num_rows:
             machine = PhraseAutomaton(phrases["phrase"].to_pylist())
-            for key, text in _rows(rows):
-                if (found := spans(key, text.split(), machine)) is not None:
-                    for column, part in zip(made, found, strict=True):
-                        column.append(part)
+            for part in _batches(rows, window):
+                if (found := spans(*part, machine)) is not None:
+                    for column, values in zip(made, found, strict=True):
+                        column.append(values)
         return pa.table([np.concatenate(c) for c in made], names=["key", "mark", "h", "h2"])
 
     return run
 
 
+def _batches(table: pa.Table, window: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Keys, places of gaps and words of a shard's rows that hold a window, about 2 * CHUNK words at a time."""
+    keys, gaps, words = [], [], []
+    for key, text in _rows(table):
+        split = text.split()
+        if len(split) < window:
+            continue
+        words += split
+        keys.append(key)
+        gaps.append(len(words))
+        words.append(GAP)
+        if len(words) > 2 * CHUNK:
+            yield keys, gaps, words
+            keys, gaps, words = [], [], []
+    if keys:
+        yield keys, gaps, words
+
+
 def _rows(table: pa.Table) -> Iterator[tuple[int, bytes]]:
     """(key, text) of a shard's rows, some at a time."""
     for at in range(0, table.num_rows, 256):

@@ -160,6 +160,27 @@ def test_substring_dedup_within_one_text_and_short_windows(spark):
     assert sorted(map(tuple, got.collect())) == sorted(brute.repeated_windows(rows, 5))
 
 
+def test_substring_dedup_batches_end_at_documents(spark, monkeypatch):
+    """Documents are located many at a time; no window, run or phrase goes on in the next document."""
+    import pyarrow as pa
+    from arbiter.llm import substring_dedup as module
+    rng = random.Random(12)
+    rows = [(k, " ".join(rng.choices("abc", k=rng.choice([0, 1, 4, 5, 6, 30])))) for k in range(150)]
+    rows += [(200, "p q r"), (201, "s t u v"), (202, "p q r s t u v"), (203, "s t u v p q r"), (204, None), (205, "p q r s t u v")]
+    for window, phrase in ((5, 2), (7, 7), (2, 1), (1, 1)):
+        got = remove_repeated(frame(spark, rows), window=window, phrase=phrase).select("doc_id", "n_words", "n_removed", F.sha2("text", 256))
+        assert sorted(map(tuple, got.collect())) == sorted(brute.repeated_windows(rows, window))
+    calls, hashes = [], module.word_hashes
+    monkeypatch.setattr(module, "word_hashes", lambda words: calls.append(len(words)) or hashes(words))
+    shard = pa.table({"_key": pa.array(range(400), pa.int64()), "_row": [{"text": f"w{k} x y z w{k + 1} w{k}"} for k in range(400)]})
+    made = module._locate(3, 2)(shard, pa.table({"phrase": [b"x y", b"z w5"]}))
+    assert len(calls) == 3  # the machine's words twice, all texts once
+    marks = sorted(zip(made["key"].to_pylist(), made["mark"].to_pylist(), strict=True))
+    assert {key for key, _ in marks} == set(range(400)) and all(pos >> 32 < 4 for _, pos in marks)
+    first, second = hashes([b"one", b"two", b"one"])
+    assert first[0] == first[2] != first[1] and second[0] == second[2] != second[1] and not set(first) & set(second)
+
+
 def test_fingerprint():
     rng = random.Random(3)
     for n in (0, 1, 3, 4, 5, 50, 40_000):
