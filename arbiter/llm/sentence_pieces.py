@@ -139,7 +139,14 @@ def _pieces(model_file: str) -> Pieces:
 def _words(text: Column, pieces: Pieces) -> Column:
     """The words of a text with its leading space; an empty text has none."""
     return F.when(F.length(text) > 0, F.regexp_extract_all(
-        F.concat(F.lit(SPACE), F.translate(text, " ", SPACE)), F.lit(pieces.word), 0)).otherwise(F.array().cast("array<string>"))
+        F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE))), F.lit(pieces.word), 0)).otherwise(F.array().cast("array<string>"))
+
+
+def _runs(text: Column) -> Column:
+    """A text with its leading space, parted before every space that follows something else: each run's words are the text's."""
+    parted = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(" " + SPACE)))  # a blank before every space ...
+    first = F.replace(parted, F.lit(SPACE + " "), F.lit(SPACE))  # ... but not between two
+    return F.when(F.length(text) > 0, F.split(first, " ")).otherwise(F.array().cast("array<string>"))
 
 
 def _parts(word: Column, pieces: Pieces) -> Column:
@@ -240,7 +247,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     dealt = slim.select(F.pmod(F.xxhash64("_id", "_text"), F.lit(shards)).cast("int").alias("_part"),
                         F.array(F.col("_id").cast("string"), F.col("_text")).alias("_doc")).repartition(shards, "_part")
     rare = lambda words: words.distinct().join(F.broadcast(known.select("word")), "word", "left_anti").select("_part", "word")
-    words = rare(dealt.select("_part", F.explode(F.array_distinct(_words(F.get("_doc", F.lit(1)), pieces))).alias("word")))
+    # a run is searched for words once a shard, not wherever it stands
+    runs = dealt.select("_part", F.explode(F.array_distinct(_runs(F.get("_doc", F.lit(1))))).alias("run")).distinct()
+    words = rare(runs.select("_part", F.explode(F.regexp_extract_all("run", F.lit(pieces.word), F.lit(0))).alias("word")))
     words = rare(words.select("_part", F.explode(_parts(F.col("word"), pieces)).alias("word")))
     spelled = spell_words(words, pieces, ["_part"]).withColumnRenamed("_part", "_of")
     rows = known.toArrow().combine_chunks()  # at most ``common`` rows

@@ -361,6 +361,24 @@ def test_pieces_never_cross_a_cut(spark):
     assert own == {i: pieces.spell(SPACE + t.replace(" ", SPACE)) if t else [] for i, t in rows}
 
 
+def test_pieces_runs_hold_the_words(spark):
+    """The runs between a text's spaces, cut one by one, give the words of the whole text."""
+    import re
+    from arbiter.llm.sentence_pieces import SPACE, _runs
+    words = re.compile(Pieces().word).findall
+    rng = random.Random(15)
+    rows = [(k, "".join(rng.choices("ab.\n ▁ é中\u0000", k=rng.randrange(12)))) for k in range(400)]
+    rows += [(400, ""), (401, " "), (402, "   "), (403, " a  b "), (404, "a▁ b"), (405, "a ▁b"), (406, "one two\tthree.\nfour"), (407, None)]
+    for r in docs(spark, make(rows)).select("text", _runs(F.col("text")).alias("runs")).collect():
+        spaced = (SPACE + r.text.replace(" ", SPACE)) if r.text else ""
+        assert "".join(r.runs) == spaced and [w for run in r.runs for w in words(run)] == words(spaced)
+        assert all(run.startswith(SPACE) for run in r.runs)
+    table = docs(spark, make(rows))
+    model = Pieces()
+    want = sorted((i, model.spell(SPACE + t.replace(" ", SPACE)) if t else []) for i, t in rows)
+    assert sorted((r.doc_id, list(r.ids)) for r in encode(table, common=2).collect()) == want
+
+
 def test_lattice_path_is_the_best(spark):
     """The fold's path scores as the best of all segmentations (short words, all ways tried)."""
     from arbiter.llm.sentence_pieces import SPACE, spell_words
