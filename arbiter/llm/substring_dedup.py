@@ -39,7 +39,7 @@ GAP = b" "
 def word_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes of every word, the halves of one of 128 bits.
 
-    Hashed anew each time: that takes a tenth of a Python dictionary's time where most words are rare.
+    Hashed anew each time: on the supplied texts that takes a third of the time of a dictionary of 100,000 words.
     """
     both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
     return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
