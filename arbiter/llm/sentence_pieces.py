@@ -3,7 +3,7 @@
 Words (a run of spaces and what follows it, up to a character that no piece joins to the ones before) are told apart
 per shard of documents. Words that aren't frequent are cut once more, into parts: between neighbours that no piece
 holds side by side. Every substring of a part that may be a piece by its length and first characters is exploded and
-equi-joined to the piece table: the edges of the part's lattice. Edges are grouped by part, and a Viterbi fold with
+equi-joined to the table of pieces that a best path may hold: the edges of the part's lattice. Edges are grouped by part, and a Viterbi fold with
 Spark's higher-order ``aggregate`` finds the path of the highest total score. Documents are then spelled with
 their shard's parts.
 
@@ -69,8 +69,25 @@ class Pieces:
         #: Score of spelling one character with byte pieces: below every piece.
         self.fallback = min(s for _, s in self.ids.values()) - 10.0
 
+    @cached_property
+    def useful(self) -> dict[str, tuple[int, float]]:
+        """The pieces that a best path may hold: those whose own text no other pieces spell at a higher score. Any path
+        through one of the rest scores less than the same path with that spelling instead, so no best path is lost."""
+        kept: dict[str, tuple[int, float]] = {}
+        # sums of scores along a path may be off by so much: a lead must be larger
+        slack = LONG_WORD ** 2 * 2.0 ** -52 * max(abs(self.fallback), *(abs(s) for _, s in self.ids.values()))
+        for piece in sorted(self.ids, key=len):
+            best = [0.0]  # the score of every beginning, spelled by shorter useful pieces
+            for end in range(1, len(piece) + 1):
+                found = ((best[start], kept.get(piece[start:end])) for start in range(end))
+                best.append(max([best[end - 1] + self.fallback, *(before + f[1] for before, f in found if f)]))
+            if len(piece) == 1 or best[-1] <= self.ids[piece][1] + slack:
+                kept[piece] = self.ids[piece]
+        return kept
+
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(p, i, s) for p, (i, s) in self.ids.items()], "piece string, id int, score double")
+        """The useful pieces."""
+        return spark.createDataFrame([(p, i, s) for p, (i, s) in self.useful.items()], "piece string, id int, score double")
 
     @cached_property
     def word(self) -> str:
@@ -99,9 +116,9 @@ class Pieces:
         return f"(?:{'|'.join(f'[{_chars(a)}](?=[{_chars(set(bs))}])' for bs, a in ways)})*(?s:.)" if ways else "(?s:.)"
 
     def bounds(self) -> Column:
-        """By bucket of a substring's first HEAD characters: the longest piece that may begin so, HEAD - 1 at least."""
+        """By bucket of a substring's first HEAD characters: the longest useful piece that may begin so, HEAD - 1 at least."""
         most = [HEAD - 1] * BUCKETS
-        for piece in self.ids:
+        for piece in self.useful:
             if len(piece) >= HEAD:
                 at = zlib.crc32(piece[:HEAD].encode()) % BUCKETS
                 most[at] = max(most[at], len(piece))
@@ -177,20 +194,28 @@ def _viterbi(edges: Column, length: Column) -> Column:
 
 def spell_words(words: DataFrame, pieces: Pieces, by: list[str]) -> DataFrame:
     """``by``, word -> ``by``, word, ids. Rows are distinct in ``by`` and word, and partitioned by ``by``, which the
-    lattice keeps: edges are grouped where the words lie. Words over LONG_WORD are left out."""
-    table = F.broadcast(pieces.table(words.sparkSession))  # as many rows as the model has pieces
+    lattice keeps: edges are grouped where the words lie. Words over LONG_WORD are left out.
+
+    Substrings meet the pieces by their 64-bit hash and are compared then: a join by one long is the cheapest. Pieces of
+    one hash would only add edges of the fallback's score, which no path prefers."""
+    table = F.broadcast(pieces.table(words.sparkSession).select(  # as many rows as the model has pieces, at most
+        F.xxhash64("piece").alias("key"), F.col("piece").alias("held"), "id", "score"))
     numbered = words.filter(F.length("word") <= LONG_WORD).withColumn("_w", F.monotonically_increasing_id())
     starts = (numbered.select("*", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-              .withColumn("rest", F.substring("word", F.col("start") + 1, F.lit(pieces.longest))))
+              .withColumn("rest", F.substring("word", F.col("start") + 1, F.lit(max(map(len, pieces.useful))))))
     bucket = F.pmod(F.crc32(F.substring("rest", 1, HEAD)), F.lit(BUCKETS)).cast("int")
     room = F.least(F.get(pieces.bounds(), bucket), F.length("rest"))
-    spans = starts.select("*", F.explode(F.sequence(F.lit(1), room)).alias("n"))
+    first = F.when(F.col("start") == 0, F.col("word")).alias("word")  # the other edges needn't carry it
+    spans = starts.select("_w", *by, first, "start", "rest", F.explode(F.sequence(F.lit(1), room)).alias("n"))
+    piece = F.substring("rest", F.lit(1), F.col("n"))
+    found = spans.withColumn("piece", piece).withColumn("key", F.xxhash64("piece")).join(table, "key", "left")
+    same = F.col("held").eqNullSafe(F.col("piece"))
     # a single character without a piece is spelled by bytes
-    edge = F.struct((F.col("start") + F.col("n")).alias("end"), F.col("start"), F.coalesce("id", F.lit(-1)).alias("id"),
-                    F.coalesce("score", F.lit(pieces.fallback)).alias("score"))
-    edges = (spans.withColumn("piece", F.substring("rest", F.lit(1), F.col("n"))).join(table, "piece", "left")
-             .filter("id is not null or n = 1").select("_w", *by, "word", edge.alias("edge")))
-    lattice = edges.groupBy("_w", *by).agg(F.first("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    edge = F.struct((F.col("start") + F.col("n")).alias("end"), F.col("start"), F.when(same, F.col("id")).otherwise(-1).alias("id"),
+                    F.when(same, F.col("score")).otherwise(pieces.fallback).alias("score"))
+    edges = found.filter(same | (F.col("n") == 1)).select("_w", *by, "word", edge.alias("edge"))
+    lattice = edges.groupBy("_w", *by).agg(F.first("word", ignorenulls=True).alias("word"),
+                                           F.sort_array(F.collect_list("edge")).alias("edges"))
     return lattice.select(*by, "word", _viterbi(F.col("edges"), F.length("word")).alias("ids"))
 
 
@@ -248,7 +273,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                         F.array(F.col("_id").cast("string"), F.col("_text")).alias("_doc")).repartition(shards, "_part")
     rare = lambda words: words.distinct().join(F.broadcast(known.select("word")), "word", "left_anti").select("_part", "word")
     # a run is searched for words once a shard, not wherever it stands
-    runs = dealt.select("_part", F.explode(F.array_distinct(_runs(F.get("_doc", F.lit(1))))).alias("run")).distinct()
+    runs = dealt.select("_part", F.explode(_runs(F.get("_doc", F.lit(1)))).alias("run")).distinct()
     words = rare(runs.select("_part", F.explode(F.regexp_extract_all("run", F.lit(pieces.word), F.lit(0))).alias("word")))
     words = rare(words.select("_part", F.explode(_parts(F.col("word"), pieces)).alias("word")))
     spelled = spell_words(words, pieces, ["_part"]).withColumnRenamed("_part", "_of")

@@ -403,6 +403,29 @@ def test_lattice_path_is_the_best(spark):
         assert [i for i in got[w] if i >= 0] == [i for i in pieces.spell(w) if i not in set(pieces.byte.values())]
 
 
+def test_lattice_holds_the_useful_pieces(spark):
+    """Pieces that others spell at a higher score aren't joined; the paths are those over all pieces."""
+    from arbiter.llm.sentence_pieces import SPACE, spell_words
+    pieces = Pieces()
+    held = {r.piece for r in pieces.table(spark).collect()}
+    assert held == set(pieces.useful) and 2 * len(held) < len(pieces.ids)
+    assert all(pieces.spell(p) != [i] for p, (i, _) in pieces.ids.items() if p not in held)
+    rng = random.Random(16)
+    some = [p for p in pieces.ids if set(p) - {SPACE}]
+    words = sorted({*some, *("".join(rng.choices(some, k=4)) for _ in range(2000))})
+    table = spark.createDataFrame([(k % 5, w) for k, w in enumerate(words)], "part int, word string").repartition(4, "part")
+    for r in spell_words(table, pieces, ["part"]).collect():
+        assert [j for i in r.ids for j in ([i] if i >= 0 else [pieces.byte[c] for c in r.word[-1 - i].encode()])] == pieces.spell(r.word)
+
+
+def test_useful_pieces_follow_the_scores():
+    """A piece stays unless a spelling is better by more than rounding; a single character always stays."""
+    pieces = Pieces()
+    pieces.ids = {"a": (1, -3.0), "b": (2, -3.0), "ab": (3, -5.0), "ba": (4, -7.0), "aab": (5, -8.0), "abab": (6, -10.5), "bab": (7, -7.9)}
+    pieces.longest, pieces.fallback = 4, -20.5
+    assert set(pieces.useful) == {"a", "b", "ab", "aab", "bab"}  # aab ties with a + ab
+
+
 def test_deep_and_long_pages_take_linear_time():
     """Fifty thousand unclosed elements, as many stray end tags, nested articles, and a page of 5 MB."""
     import time
