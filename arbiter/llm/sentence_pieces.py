@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -105,14 +105,16 @@ class Pieces:
     @cached_property
     def part(self) -> str:
         """A part of a word: characters of which any two neighbours lie side by side in a piece."""
-        after: dict[str, set[str]] = defaultdict(set)
+        after, uses = defaultdict(set), Counter()
         for piece in self.ids:
+            uses.update(piece[:-1])
             for a, b in zip(piece, piece[1:]):
                 after[a].add(b)
         alike: dict[frozenset, set[str]] = defaultdict(set)
         for a, bs in after.items():
             alike[frozenset(bs)].add(a)
-        ways = sorted(alike.items(), key=lambda x: (-len(x[0]), min(x[1])))
+        # no character is in two ways, so their order is free: those of which most pieces are made are tried first
+        ways = sorted(alike.items(), key=lambda x: (-sum(uses[a] for a in x[1]), min(x[1])))
         return f"(?:{'|'.join(f'[{_chars(a)}](?=[{_chars(set(bs))}])' for bs, a in ways)})*(?s:.)" if ways else "(?s:.)"
 
     def bounds(self) -> Column:
@@ -172,24 +174,31 @@ def _parts(word: Column, pieces: Pieces) -> Column:
         F.array().cast("array<string>"))
 
 
-def _viterbi(edges: Column, length: Column) -> Column:
-    """Piece ids of the best path; -1 - start for a character at ``start`` spelled by bytes.
+def _viterbi(edges: Column) -> Column:
+    """Piece ids of the best path; negative ids are kept as they are.
 
-    ``edges``: (end, start, id, score) sorted by end, start. The fold keeps the best score and path to every place
-    of the word; on a tie the longest piece.
+    ``edges``: (end, start, id, score) sorted by end, start. One fold keeps the best score to every place of the word,
+    a second one goes back from the end along edges that reach theirs with that score; on a tie the longest piece.
+    Paths aren't carried along, so a step of the first fold copies scores alone, and only where a place's score changes.
     """
-    first = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
-
-    def step(done, e):
-        come = F.get(done, e["start"])
-        made = F.struct((come["score"] + e["score"]).alias("score"), F.array_append(
-            come["ids"], F.when(e["id"] >= 0, e["id"]).otherwise(-1 - e["start"])).alias("ids"))
-        return (F.when(F.size(done) <= e["end"], F.array_append(done, made))
-                .when(come["score"] + e["score"] > F.get(done, e["end"])["score"],
-                      F.array_append(F.slice(done, F.lit(1), e["end"]), made))
-                .otherwise(done))
-
-    return F.get(F.aggregate(edges, first, step), length)["ids"]
+    def best(scores, e):
+        score = F.get(scores, e["start"]) + e["score"]
+        return (F.when(F.size(scores) <= e["end"], F.array_append(scores, score))
+                .when(score > F.get(scores, e["end"]), F.array_append(F.slice(scores, F.lit(1), e["end"]), score))
+                .otherwise(scores))
+
+    def path(scores):
+        def step(at, e):
+            tight = F.get(scores, e["start"]) + e["score"] == F.get(scores, e["end"])
+            by = lambda ids: F.struct(e["start"].alias("place"), e["end"].alias("left"), F.array_append(ids, e["id"]).alias("ids"))
+            return (F.when((e["end"] == at["place"]) & tight, by(at["ids"]))
+                    # a longer piece to the place just left
+                    .when((e["end"] == at["left"]) & tight, by(F.slice(at["ids"], F.lit(1), F.size(at["ids"]) - 1)))
+                    .otherwise(at))
+        zero = F.struct((F.size(scores) - 1).alias("place"), F.lit(-1).alias("left"), F.array().cast("array<int>").alias("ids"))
+        return F.aggregate(F.reverse(edges), zero, step, lambda at: F.reverse(at["ids"]))
+
+    return F.aggregate(edges, F.array(F.lit(0.0)), best, path)
 
 
 def spell_words(words: DataFrame, pieces: Pieces, by: list[str]) -> DataFrame:
@@ -210,13 +219,13 @@ def spell_words(words: DataFrame, pieces: Pieces, by: list[str]) -> DataFrame:
     piece = F.substring("rest", F.lit(1), F.col("n"))
     found = spans.withColumn("piece", piece).withColumn("key", F.xxhash64("piece")).join(table, "key", "left")
     same = F.col("held").eqNullSafe(F.col("piece"))
-    # a single character without a piece is spelled by bytes
-    edge = F.struct((F.col("start") + F.col("n")).alias("end"), F.col("start"), F.when(same, F.col("id")).otherwise(-1).alias("id"),
+    # a single character without a piece is spelled by bytes: -1 - start
+    edge = F.struct((F.col("start") + F.col("n")).alias("end"), F.col("start"), F.when(same, F.col("id")).otherwise(-1 - F.col("start")).alias("id"),
                     F.when(same, F.col("score")).otherwise(pieces.fallback).alias("score"))
     edges = found.filter(same | (F.col("n") == 1)).select("_w", *by, "word", edge.alias("edge"))
     lattice = edges.groupBy("_w", *by).agg(F.first("word", ignorenulls=True).alias("word"),
                                            F.sort_array(F.collect_list("edge")).alias("edges"))
-    return lattice.select(*by, "word", _viterbi(F.col("edges"), F.length("word")).alias("ids"))
+    return lattice.select(*by, "word", _viterbi(F.col("edges")).alias("ids"))
 
 
 def _spelled(words: list[str], ids: pa.ListArray, pieces: Pieces) -> dict[str, bytes]:
@@ -272,9 +281,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     dealt = slim.select(F.pmod(F.xxhash64("_id", "_text"), F.lit(shards)).cast("int").alias("_part"),
                         F.array(F.col("_id").cast("string"), F.col("_text")).alias("_doc")).repartition(shards, "_part")
     rare = lambda words: words.distinct().join(F.broadcast(known.select("word")), "word", "left_anti").select("_part", "word")
-    # a run is searched for words once a shard, not wherever it stands
-    runs = dealt.select("_part", F.explode(_runs(F.get("_doc", F.lit(1)))).alias("run")).distinct()
-    words = rare(runs.select("_part", F.explode(F.regexp_extract_all("run", F.lit(pieces.word), F.lit(0))).alias("word")))
+    # a run is searched for words once a shard, not wherever it stands, and not at all if it is a known word
+    runs = rare(dealt.select("_part", F.explode(_runs(F.get("_doc", F.lit(1)))).alias("word")))
+    words = rare(runs.select("_part", F.explode(F.regexp_extract_all("word", F.lit(pieces.word), F.lit(0))).alias("word")))
     words = rare(words.select("_part", F.explode(_parts(F.col("word"), pieces)).alias("word")))
     spelled = spell_words(words, pieces, ["_part"]).withColumnRenamed("_part", "_of")
     rows = known.toArrow().combine_chunks()  # at most ``common`` rows

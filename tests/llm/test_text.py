@@ -403,6 +403,31 @@ def test_lattice_path_is_the_best(spark):
         assert [i for i in got[w] if i >= 0] == [i for i in pieces.spell(w) if i not in set(pieces.byte.values())]
 
 
+def test_fold_takes_the_longest_of_equal_paths(spark):
+    """Edges in, path out: of equal scores the longest last piece, then the longest before it; a negative id stays as it is."""
+    from arbiter.llm.sentence_pieces import _viterbi
+    words = [
+        [(1, 0, 1, -2.0), (2, 0, 12, -5.0), (2, 1, 2, -2.0)],  # 1 + 2 beats 12
+        [(1, 0, 1, -2.0), (2, 0, 12, -4.0), (2, 1, 2, -2.0)],  # a tie: 12
+        [(1, 0, 1, -2.0), (2, 0, 12, -4.0), (2, 1, 2, -2.0), (3, 0, 123, -6.0), (3, 1, 23, -4.0), (3, 2, 3, -2.0)],  # three at once
+        [(1, 0, 1, -2.0), (2, 0, 12, -4.0), (2, 1, 2, -2.0), (3, 0, 123, -7.0), (3, 1, 23, -5.0), (3, 2, 3, -2.0)],  # 12 + 3
+        [(1, 0, 1, -2.0), (2, 1, -2, -50.0), (3, 1, 23, -9.0), (3, 2, 3, -2.0), (4, 3, -4, -50.0)],  # 1 + 23 + bytes
+        [(1, 0, -1, -50.0)]]
+    table = spark.createDataFrame(list(enumerate(words)), "i int, edges array<struct<end:int,start:int,id:int,score:double>>")
+    got = [r.ids for r in table.select("i", _viterbi(F.col("edges")).alias("ids")).orderBy("i").collect()]
+    assert got == [[1, 2], [12], [123], [12, 3], [1, 23, -4], [-1]]
+
+
+def test_parts_try_common_characters_first():
+    """The pattern's ways stand by how many pieces go on from their characters, not by how many characters may follow."""
+    from collections import Counter
+    pieces = Pieces()
+    uses = Counter(c for p in pieces.ids for c in p[:-1])
+    seen = {c: pieces.part.find(f"[{c}](?=") for c in uses if f"[{c}](?=" in pieces.part}
+    alone = sorted(seen, key=seen.get)
+    assert len(alone) > 20 and [uses[c] for c in alone] == sorted((uses[c] for c in alone), reverse=True)
+
+
 def test_lattice_holds_the_useful_pieces(spark):
     """Pieces that others spell at a higher score aren't joined; the paths are those over all pieces."""
     from arbiter.llm.sentence_pieces import SPACE, spell_words
